@@ -19,14 +19,33 @@ TOKENS = ("_7", "_13")
 TIE_NUDGE = 1.000000000001
 
 
+# Types of the generated tables that are read; given, so that no job has to infer them.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 class Bindings:
     """Builds each raw input lazily for one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            path = f"{self.folder}/{name}.parquet"
+            self._tables[name] = read_table(self.spark, path, TABLES[name])
+        return self._tables[name]
 
     def department_map(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")

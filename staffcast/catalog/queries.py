@@ -15,7 +15,7 @@ from staffcast.operators import (
     adjust, calendar, capacity, fitting, forecasts, rates, report, scope, volumes,
 )
 from staffcast.plans.params import PlanParams
-from staffcast.plans.workforce import PlanInputs, run_workforce_plan
+from staffcast.plans.workforce import PlanInputs, PlanTables, run_workforce_plan
 from staffcast.sources import inputs, schemas
 from staffcast.sources.sinks import Stages, write_boards, write_tables
 from staffcast.sources.tables import empty_table, read_first, read_table
@@ -443,8 +443,10 @@ def capacity_consolidation(b: Bindings) -> DataFrame:
 
 @query
 def history_only_months(b: Bindings) -> DataFrame:
-    forecast_keys = monthly_rollup(b)
-    return report.history_only_months(b.actuals(), forecast_keys, PLAN.year)
+    # the two sides need different columns of the daily sums, so those are kept to scan the orders once
+    daily = Stages(b.spark).keep("daily_tickets", b.daily())
+    forecast_keys = forecasts.monthly_rollup(forecasts.seasonal_naive_daily(daily), b.scoped())
+    return report.history_only_months(volumes.monthly_actuals(daily, b.scoped()), forecast_keys, PLAN.year)
 
 
 @query
@@ -471,7 +473,7 @@ def plan_inputs(b: Bindings) -> PlanInputs:
     )
 
 
-def _plan(b: Bindings, params: PlanParams) -> dict[str, DataFrame]:
+def _plan(b: Bindings, params: PlanParams) -> PlanTables:
     return run_workforce_plan(b.spark, plan_inputs(b), params)
 
 

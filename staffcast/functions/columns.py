@@ -40,20 +40,24 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _as_text_unless(df: DataFrame, name: str, kinds: tuple[type, ...]) -> Column:
-    col = quoted(name)
-    return col if isinstance(df.schema[name].dataType, kinds) else col.cast("string")
+def _text(name: str) -> Column:
+    return quoted(name).cast("string")
 
 
 def to_day(df: DataFrame, name: str) -> Column:
     """Calendar day; time of day is dropped, unparsable values become null."""
-    return _as_text_unless(df, name, (T.DateType, T.TimestampType, T.TimestampNTZType)).try_cast("date")
+    if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return quoted(name).cast("date")
+    return _text(name).try_cast("date")
 
 
 def to_number(df: DataFrame, name: str) -> Column:
     """Double; unparsable values and NaN become null."""
-    number = _as_text_unless(df, name, (T.NumericType,)).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return quoted(name).cast("double")
+    number = quoted(name).cast("double") if isinstance(kind, T.NumericType) else _text(name).try_cast("double")
+    return F.nullif(number, F.lit(float("nan")))
 
 
 def to_id(df: DataFrame, name: str) -> Column:
@@ -74,9 +78,7 @@ def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 
 
-def month_from_parts(df: DataFrame, year: str, month_number: str) -> Column:
-    """Month start from a year column and a month-number column; null if either is bad."""
-    text = F.concat(
-        to_id(df, year).cast("string"), F.lit("-"), to_id(df, month_number).cast("string"), F.lit("-1")
-    )
+def month_from_parts(year: Column, month_number: Column) -> Column:
+    """Month start from whole-number year and month; null if either is missing or out of range."""
+    text = F.concat(year.cast("string"), F.lit("-"), month_number.cast("string"), F.lit("-1"))
     return text.try_cast("date")

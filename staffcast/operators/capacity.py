@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from staffcast.functions.columns import (
-    find_column, month_from_parts, month_start, strip_headers, to_day, to_id, to_number,
-)
+from staffcast.functions.columns import find_column, month_start, strip_headers, to_day, to_id, to_number
 from staffcast.functions.scalar import working_days
 from staffcast.operators.calendar import future_months
 from staffcast.operators.rates import latest_rows
 from staffcast.sources import schemas as S
+from staffcast.sources.inputs import sum_by_month, sum_by_parts
 
 # Tickets handled per productive hour; targets up to this mark an absent agent.
 TICKETS_PER_HOUR = 6.0
@@ -82,31 +81,25 @@ def historical_capacity(raw: DataFrame, tickets_per_hour: float = TICKETS_PER_HO
     department or all measures are missing.
     """
     raw = strip_headers(raw)
-    start = find_column(raw, S.CAPACITY_MONTH)
+    start, key = find_column(raw, S.CAPACITY_MONTH), find_column(raw, S.DEPARTMENT_ID)
     year, number = find_column(raw, S.CAPACITY_YEAR), find_column(raw, S.CAPACITY_MONTH_NUMBER)
-    key = find_column(raw, S.DEPARTMENT_ID)
-    if start:
-        month = month_start(to_day(raw, start))
-    elif year and number:
-        month = month_from_parts(raw, year, number)
-    else:
-        return None
     measures = [
         (find_column(raw, S.CAPACITY_TOTAL), F.lit(1.0)),
         (find_column(raw, S.CAPACITY_PER_DAY), working_days(F.col("month"))),
         (find_column(raw, S.CAPACITY_HOURS), F.lit(float(tickets_per_hour))),
     ]
     usable = [(column, scale) for column, scale in measures if column]
-    if not key or not usable:
+    if not key or not usable or not (start or (year and number)):
         return None
     column, scale = usable[0]
-    rows = raw.select(
-        to_id(raw, key).alias("department_id"), month.alias("month"), to_number(raw, column).alias("amount")
-    )
+    chosen = [to_id(raw, key).alias("department_id"), to_number(raw, column).alias("amount")]
+    if start:
+        rows = raw.select(*chosen, month_start(to_day(raw, start)).alias("month"))
+        summed = sum_by_month(rows, "department_id", "amount", F.col("amount"))
+    else:
+        rows = raw.select(*chosen, to_id(raw, year).alias("year"), to_id(raw, number).alias("month_number"))
+        summed = sum_by_parts(rows, "department_id", "amount")
     # the scale is the same for all rows of a month, so it is applied after summing
-    summed = rows.where(F.col("department_id").isNotNull() & F.col("month").isNotNull()).groupBy(
-        "department_id", "month"
-    ).agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount"))
     return summed.select("department_id", "month", (F.col("amount") * scale).alias("capacity"))
 
 

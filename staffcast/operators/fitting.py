@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame
 from staffcast.functions import loess, seasonal_arma
 
 FIT_SCHEMA = (
-    "department_id bigint, fit_path string, engine_failed boolean, level double, "
+    "department_id bigint, fit_path string, engine_used string, engine_failed boolean, level double, "
     "season array<double>, log_sd double, log_path array<double>"
 )
+FIT_COLUMNS = [field.split()[0] for field in FIT_SCHEMA.split(", ")]
 DEFAULT_ENGINE = "Baseline(STL)"
 ARMA_ENGINE = "SARIMAX-7"
 
@@ -64,28 +65,33 @@ def _arma_row(y: np.ndarray, horizon: int) -> dict | None:
     return {"fit_path": "sarima", "log_path": path.tolist()} if np.all(np.isfinite(path)) else None
 
 
+def _fit_frame(pdf: pd.DataFrame, row: dict) -> pd.DataFrame:
+    row = row | {"department_id": int(pdf["department_id"].iloc[0])}
+    return pd.DataFrame([[row.get(c) for c in FIT_COLUMNS]], columns=FIT_COLUMNS)
+
+
 def daily_fitter(horizon: int, min_days: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Grouped-map function choosing the engine by label, with decomposition as the fallback."""
 
     def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
         slot = (pd.to_datetime(pdf["date"]) - pd.Timestamp(0)).dt.days.to_numpy()
         y = _evenly_spaced(slot, pdf["tickets"].to_numpy(dtype=float))
-        row, failed = None, False
-        if pdf["model"].iloc[0] == ARMA_ENGINE:
+        row, engine = None, pdf["model"].iloc[0]
+        if engine == ARMA_ENGINE:
             try:
                 row = _arma_row(y, horizon)
             except (np.linalg.LinAlgError, FloatingPointError, ValueError):
                 row = None
-            failed = row is None
+        failed = engine == ARMA_ENGINE and row is None
         if row is None and len(y) >= min_days:
             try:
                 row = decomposition_row(y, 7)
             except (np.linalg.LinAlgError, FloatingPointError, ValueError):
                 row = None
-        row = {"fit_path": "naive", **(row or {})}
-        columns = ["department_id", "fit_path", "engine_failed", "level", "season", "log_sd", "log_path"]
-        row |= {"department_id": int(pdf["department_id"].iloc[0]), "engine_failed": failed}
-        return pd.DataFrame([[row.get(c) for c in columns]], columns=columns)
+        return _fit_frame(pdf, {
+            "fit_path": "naive", **(row or {}),
+            "engine_used": DEFAULT_ENGINE if failed else engine, "engine_failed": failed,
+        })
 
     return fit_one
 
@@ -97,15 +103,13 @@ def monthly_fitter(min_months: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         month = pd.to_datetime(pdf["month"])
         slot = (month.dt.year * 12 + month.dt.month).to_numpy()
         y = _evenly_spaced(slot, pdf["inventory"].to_numpy(dtype=float))
-        columns = ["department_id", "fit_path", "engine_failed", "level", "season", "log_sd", "log_path"]
         row = {"fit_path": "hold"}
         if len(y) >= min_months:
             try:
                 row = decomposition_row(y, 12)
             except (np.linalg.LinAlgError, FloatingPointError, ValueError):
                 pass
-        row |= {"department_id": int(pdf["department_id"].iloc[0]), "engine_failed": False}
-        return pd.DataFrame([[row.get(c) for c in columns]], columns=columns)
+        return _fit_frame(pdf, row | {"engine_failed": False})
 
     return fit_one
 

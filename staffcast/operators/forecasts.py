@@ -8,7 +8,7 @@ from staffcast.functions.columns import month_start
 from staffcast.functions.scalar import floor_at_zero
 from staffcast.operators.calendar import dense_daily, dense_monthly, future_days, future_months
 from staffcast.operators.fitting import (
-    ARMA_ENGINE, DEFAULT_ENGINE, FIT_SCHEMA, daily_fitter, monthly_fitter, spread_by_key,
+    DEFAULT_ENGINE, FIT_SCHEMA, daily_fitter, monthly_fitter, spread_by_key,
 )
 
 # Fixed values of the forecast bands and of the shortest series worth decomposing.
@@ -70,6 +70,16 @@ def seasonal_naive_daily(daily: DataFrame, horizon: int = 365) -> DataFrame:
     return ahead.select("department_id", "date", *_band(_cycle("last_week"), _naive_sd()))
 
 
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Add the engine label of each department; the default where there is none."""
+    if labels is None:
+        return rows.withColumn("model", F.lit(DEFAULT_ENGINE))
+    known = labels.select("department_id", "model")
+    return rows.join(known, "department_id", "left").withColumn(
+        "model", F.coalesce("model", F.lit(DEFAULT_ENGINE))
+    )
+
+
 def daily_forecast(
     daily: DataFrame, labels: DataFrame | None = None, horizon: int = 365, min_days: int = MIN_DAYS,
     fit: bool = True,
@@ -83,27 +93,19 @@ def daily_forecast(
     grouped fits and repeats the last week everywhere.
     """
     profile = daily_profile(daily)
-    if labels is None:
-        labelled = profile.withColumn("model", F.lit(DEFAULT_ENGINE))
-    else:
-        labelled = profile.join(labels.select("department_id", "model"), "department_id", "left").withColumn(
-            "model", F.coalesce("model", F.lit(DEFAULT_ENGINE))
-        )
     if not fit:
-        ahead = future_days(labelled, "last_day", horizon)
+        ahead = future_days(_labelled(profile, labels), "last_day", horizon)
         return ahead.select(
             "department_id", "date", *_band(_cycle("last_week"), _naive_sd()),
             F.col("model").alias("engine_used"), F.lit("naive").alias("path_used"),
             F.lit(False).alias("engine_failed"),
         )
-    worth_fitting = (F.col("days") >= min_days) | (F.col("model") == ARMA_ENGINE)
-    series = daily.join(
-        labelled.where(worth_fitting).select("department_id", "model"), "department_id"
-    ).select("department_id", "date", "tickets", "model")
+    # both branches read the same columns of ``daily``, so its shuffle is made once and reused
+    series = _labelled(daily.select("department_id", "date", "tickets"), labels)
     fits = spread_by_key(series).groupBy("department_id").applyInPandas(
         daily_fitter(horizon, min_days), FIT_SCHEMA
     )
-    ahead = future_days(labelled.join(fits, "department_id", "left"), "last_day", horizon)
+    ahead = future_days(profile.join(fits, "department_id", "left"), "last_day", horizon)
     path = F.coalesce("fit_path", F.lit("naive"))
     log_mean = F.col("level") + _cycle("season")
 
@@ -126,7 +128,7 @@ def daily_forecast(
             F.expm1(log_mean + BAND * F.col("log_sd")),
             arma_mean + BAND * arma_sd,
         ).alias("p95"),
-        F.when(F.coalesce("engine_failed", F.lit(False)), F.lit(DEFAULT_ENGINE)).otherwise(F.col("model")).alias("engine_used"),
+        "engine_used",
         path.alias("path_used"),
         F.coalesce("engine_failed", F.lit(False)).alias("engine_failed"),
     )
@@ -188,10 +190,8 @@ def backlog_forecast(
     if not fit:
         ahead = future_months(profile, "last_month", horizon)
         return ahead.select("department_id", "month", *_band(held, _hold_sd()), F.lit("hold").alias("path_used"))
-    series = backlog.where(F.col("department_id").isNotNull() & F.col("month").isNotNull()).join(
-        profile.where(F.col("months") >= min_months).select("department_id"), "department_id", "left_semi"
-    ).select("department_id", "month", "inventory")
-    fits = spread_by_key(series).groupBy("department_id").applyInPandas(
+    series = backlog.where(F.col("department_id").isNotNull() & F.col("month").isNotNull())
+    fits = spread_by_key(series.select("department_id", "month", "inventory")).groupBy("department_id").applyInPandas(
         monthly_fitter(min_months), FIT_SCHEMA
     )
     ahead = future_months(profile.join(fits, "department_id", "left"), "last_month", horizon)

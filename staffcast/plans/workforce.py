@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,6 +39,25 @@ class PlanInputs:
     model_errors: DataFrame | None = None
 
 
+class PlanTables(Mapping[str, DataFrame]):
+    """Named result tables; a report table is put together when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def _if_given(raw: DataFrame | None, build: Callable[[DataFrame], DataFrame | None]) -> DataFrame | None:
     return None if raw is None else build(raw)
 
@@ -95,7 +114,7 @@ def _side_tables(
     return {name: _or_empty(spark, table, schema) for name, (table, schema) in made.items()}
 
 
-def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParams) -> dict[str, DataFrame]:
+def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParams) -> PlanTables:
     """Run a plan and return its tables by name.
 
     Each raw input is scanned once: its monthly (or daily) sums are written to
@@ -107,30 +126,27 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
     departments = stages.keep("departments", inputs.department_map(given.department_map))
     _require_unique(departments)
     scoped = scope.departments_in_scope(departments, p.verticals, p.exclude_tokens)
-    side = {
-        name: stages.keep(name, table)
-        for name, table in _side_tables(spark, given, p, departments).items()
-    }
-    calls, backlog = side["calls"], side["backlog"]
-
     # one scan of the tickets serves the forecasts and the monthly actuals
     all_daily = volumes.daily_tickets(inputs.incoming(given.incoming))
-    daily = stages.keep(
-        "daily_tickets", all_daily.join(scoped.select("department_id"), "department_id", "left_semi")
-    )
+    side = stages.keep_all(_side_tables(spark, given, p, departments) | {
+        "daily_tickets": all_daily.join(scoped.select("department_id"), "department_id", "left_semi")
+    })
+    daily, calls, backlog = side.pop("daily_tickets"), side["calls"], side["backlog"]
+
     actuals = volumes.monthly_actuals(daily, scoped)
     if p.uplift_by_calls:
         actuals = volumes.uplift_by_calls(actuals, calls)
-    actuals = stages.keep("monthly_actuals", actuals)
-
-    daily_fc = stages.keep("daily_forecast", scope.attach_departments(
-        forecasts.daily_forecast(daily, _labels(spark, given), p.horizon_days, p.min_days, p.fit_series),
-        scoped,
-    ))
-    raw_monthly = forecasts.monthly_rollup(
+    daily_fc = forecasts.daily_forecast(daily, _labels(spark, given), p.horizon_days, p.min_days, p.fit_series)
+    backlog_fc = forecasts.backlog_forecast(backlog, p.horizon_months, p.min_months, p.fit_series)
+    made = stages.keep_all({
+        "monthly_actuals": actuals,
+        "daily_forecast": scope.attach_departments(daily_fc, scoped),
+        "backlog_forecast": backlog_fc,
+    })
+    actuals, daily_fc = made["monthly_actuals"], made["daily_forecast"]
+    raw_monthly = stages.keep("monthly_forecast", forecasts.monthly_rollup(
         daily_fc.drop("vertical", "department_name"), scoped
-    )
-    raw_monthly = stages.keep("monthly_forecast", raw_monthly)
+    ))
     forecasts.check_quantiles(raw_monthly)
 
     errors = given.model_errors
@@ -141,9 +157,7 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
     )
     adjusted = adjust.forecast_calls(adjusted, rates.calls_rate(actuals, calls))
     adjusted = adjust.forecast_repeats(adjusted, rates.repeats_rate(actuals, side["repeats"]))
-    adjusted = adjust.attach_backlog(
-        adjusted, backlog, forecasts.backlog_forecast(backlog, p.horizon_months, p.min_months, p.fit_series)
-    )
+    adjusted = adjust.attach_backlog(adjusted, backlog, made["backlog_forecast"])
     adjusted = stages.keep("adjusted", adjust.calibrate(adjusted, errors))
 
     capacity_all = capacity.with_projection(
@@ -163,32 +177,35 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
     facts = stages.keep(
         "facts", capacity.consolidate(facts, side["agents"], capacity_all, p.productivity_from_agents)
     )
-    boards = report.board_months(facts, p.board_first, p.board_last, p.board_zero_fill)
-    tables = {
-        "Monthly_Actuals": actuals,
-        "Monthly_Forecast_RAW": raw_monthly,
-        "Monthly_Forecast_CAL": adjusted,
-        "Monthly_Capacity_Hist": side["capacity_history"],
-        "Monthly_Capacity_All": capacity_all,
-        "Monthly_Inventory": side["backlog_mean"],
-        "Model_Used_and_Error": errors,
-        "Daily_Forecast": daily_fc,
-        "boards": report.board_wide(boards, p.board_first, p.board_last),
-        "capacity_forecast_long": report.board_long(boards),
-        "capacity_report": report.capacity_report(facts),
-        "capacity_forecast": report.workload_report(facts),
-    }
-    return tables | {"run_log": run_log({
-        "departments": departments,
-        "daily_tickets": daily,
-        "monthly_actuals": actuals,
-        **side,
-        "daily_forecast": daily_fc,
-        "engine_failures": daily_fc.where("engine_failed").select("department_id").distinct(),
-        "monthly_forecast": raw_monthly,
-        "calibrated_rows": adjusted.where("calib_factor != 1.0"),
-        "facts": facts,
-    })}
+
+    def boards() -> DataFrame:
+        return report.board_months(facts, p.board_first, p.board_last, p.board_zero_fill)
+
+    return PlanTables({
+        "Monthly_Actuals": lambda: actuals,
+        "Monthly_Forecast_RAW": lambda: raw_monthly,
+        "Monthly_Forecast_CAL": lambda: adjusted,
+        "Monthly_Capacity_Hist": lambda: side["capacity_history"],
+        "Monthly_Capacity_All": lambda: capacity_all,
+        "Monthly_Inventory": lambda: side["backlog_mean"],
+        "Model_Used_and_Error": lambda: errors,
+        "Daily_Forecast": lambda: daily_fc,
+        "boards": lambda: report.board_wide(boards(), p.board_first, p.board_last),
+        "capacity_forecast_long": lambda: report.board_long(boards()),
+        "capacity_report": lambda: report.capacity_report(facts),
+        "capacity_forecast": lambda: report.workload_report(facts),
+        "run_log": lambda: run_log({
+            "departments": departments,
+            "daily_tickets": daily,
+            "monthly_actuals": actuals,
+            **side,
+            "daily_forecast": daily_fc,
+            "engine_failures": daily_fc.where("engine_failed").select("department_id").distinct(),
+            "monthly_forecast": raw_monthly,
+            "calibrated_rows": adjusted.where("calib_factor != 1.0"),
+            "facts": facts,
+        }),
+    })
 
 
 def run_log(stages: dict[str, DataFrame]) -> DataFrame:

@@ -7,7 +7,7 @@ never sees fact-sized input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from staffcast.functions.columns import (
     find_column, month_from_parts, month_start, quoted, require_columns, strip_headers,
@@ -62,7 +62,7 @@ def ids_for_names(summed: DataFrame, departments: DataFrame, value: str) -> Data
     )
 
 
-def _sum_by_month(rows: DataFrame, key: str, value: str, amount: Column | None = None) -> DataFrame:
+def sum_by_month(rows: DataFrame, key: str, value: str, amount: Column | None = None) -> DataFrame:
     """Sum ``amount`` (or count rows) per key and month; rows with a null key are left out."""
     total = F.count("*").cast("double") if amount is None else F.sum(F.coalesce(amount, F.lit(0.0)))
     return (
@@ -71,6 +71,17 @@ def _sum_by_month(rows: DataFrame, key: str, value: str, amount: Column | None =
     )
 
 
+def sum_by_parts(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Sum ``amount`` per key, year and month number, then turn the two numbers into a month.
+
+    The month is built once per group instead of once per row.
+    """
+    parts = [key, "year", "month_number"]
+    summed = rows.dropna(subset=parts).groupBy(*parts).agg(F.sum(F.coalesce("amount", F.lit(0.0))).alias(value))
+    month = month_from_parts(F.col("year"), F.col("month_number"))
+    return summed.select(key, month.alias("month"), value).where(F.col("month").isNotNull())
+
+
 def _trimmed(name: str) -> Column:
     return stripped(quoted(name).cast("string"))
 
@@ -87,19 +98,19 @@ def deflection_monthly(raw: DataFrame, departments: DataFrame) -> DataFrame | No
     by_id, by_name = find_column(raw, S.DEPARTMENT_ID), find_column(raw, S.DEFLECTION_NAME)
     day = find_column(raw, S.DATE)
     if solved and year and month_number and (by_id or by_name):
-        month = month_from_parts(raw, year, month_number).alias("month")
-        amount = to_number(raw, solved).alias("solved")
-        if by_id:
-            rows = raw.select(to_id(raw, by_id).alias("department_id"), month, amount)
-            return _sum_by_month(rows, "department_id", "solved", F.col("solved"))
-        rows = raw.select(_trimmed(by_name).alias("department_name"), month, amount)
-        summed = _sum_by_month(rows, "department_name", "solved", F.col("solved"))
-        return ids_for_names(summed, departments, "solved")
+        key = "department_id" if by_id else "department_name"
+        rows = raw.select(
+            (to_id(raw, by_id) if by_id else _trimmed(by_name)).alias(key),
+            to_id(raw, year).alias("year"), to_id(raw, month_number).alias("month_number"),
+            to_number(raw, solved).alias("amount"),
+        )
+        summed = sum_by_parts(rows, key, "solved")
+        return summed if by_id else ids_for_names(summed, departments, "solved")
     if day and by_id:
         rows = raw.select(
             to_id(raw, by_id).alias("department_id"), month_start(to_day(raw, day)).alias("month")
         )
-        return _sum_by_month(rows, "department_id", "solved")
+        return sum_by_month(rows, "department_id", "solved")
     return None
 
 
@@ -115,7 +126,7 @@ def calls_monthly(raw: DataFrame, departments: DataFrame) -> DataFrame:
     columns = [key, month_start(to_day(raw, c["date"])).alias("month")]
     if quantity:
         columns.append(to_number(raw, quantity).alias("amount"))
-    summed = _sum_by_month(
+    summed = sum_by_month(
         raw.select(*columns), "department_id" if by_id else "department_name",
         "calls_not_indexed", F.col("amount") if quantity else None,
     )
@@ -134,7 +145,14 @@ def repeats_monthly(raw: DataFrame) -> DataFrame | None:
         month_start(to_day(raw, day)).alias("month"),
         to_number(raw, value).alias("amount"),
     )
-    return _sum_by_month(rows, "department_id", "repeats_workload", F.col("amount"))
+    return sum_by_month(rows, "department_id", "repeats_workload", F.col("amount"))
+
+
+def _case_key(raw: DataFrame, name: str) -> Column:
+    """Case number without surrounding spaces; whole-number columns are kept, being smaller to shuffle."""
+    if isinstance(raw.schema[name].dataType, T.IntegralType):
+        return quoted(name)
+    return stripped(quoted(name).cast("string"))
 
 
 def inherited_backlog(raw: DataFrame) -> DataFrame:
@@ -153,7 +171,7 @@ def inherited_backlog(raw: DataFrame) -> DataFrame:
     rows = raw.select(
         to_id(raw, c["department_id"]).alias("department_id"),
         to_day(raw, c["date"]).alias("date"),
-        stripped(quoted(c["case_number"]).cast("string")).alias("case_number"),
+        _case_key(raw, c["case_number"]).alias("case_number"),
         to_day(raw, c["date_opened"]).alias("date_opened"),
         (F.lower(stripped(quoted(status).cast("string"))) if status else F.lit(None).cast("string")).alias("status"),
     )
@@ -181,7 +199,7 @@ def backlog_monthly(raw: DataFrame) -> DataFrame:
         month_start(to_day(raw, c["month"])).alias("month"),
         to_number(raw, c["inventory"]).alias("amount"),
     )
-    return _sum_by_month(rows, "department_id", "inventory", F.col("amount"))
+    return sum_by_month(rows, "department_id", "inventory", F.col("amount"))
 
 
 def backlog_mean_of_days(raw: DataFrame) -> DataFrame | None:

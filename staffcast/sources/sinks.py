@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -67,3 +68,9 @@ class Stages:
         path = f"{self.folder}/{name}"
         table.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
+
+    def keep_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Keep several independent tables; their jobs are submitted together and share the cluster."""
+        with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+            kept = {name: pool.submit(self.keep, name, table) for name, table in tables.items()}
+            return {name: done.result() for name, done in kept.items()}
