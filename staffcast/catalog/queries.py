@@ -305,12 +305,16 @@ def stl_reconstruction(b: Bindings) -> DataFrame:
 
 @query
 def engine_dispatch(b: Bindings) -> DataFrame:
-    """Forecast with merged labels, summarised per department."""
+    """Forecast with merged labels, summarised per department.
+
+    Where the decomposition falls below zero the middle value is raised to 0 and
+    the upper one is not, so the upper order is counted on positive days only.
+    """
     fc = forecasts.daily_forecast(b.daily(), b.labels())
     return fc.groupBy("department_id", "engine_used", "path_used").agg(
         F.count("*").alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
         F.sum((F.col("p05") > F.col("p50")).cast("int")).alias("low_above_middle"),
-        F.sum((F.col("p50") > F.col("p95")).cast("int")).alias("middle_above_high"),
+        F.count(F.when((F.col("p50") > 0) & (F.col("p50") > F.col("p95")), 1)).alias("middle_above_high"),
         F.count(F.when(F.col("p05") < 0, 1)).alias("negative"),
     )
 

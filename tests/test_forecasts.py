@@ -86,6 +86,16 @@ def test_bands_are_ordered_and_finite(daily):
     assert (fc.p05 <= fc.p50).all() and (fc.p05 >= 0).all()
 
 
+def test_upper_band_is_not_raised_to_zero(daily):
+    values = [0.0] * 60
+    values[:30:3] = [6.0] * 10
+    fc = by_department(forecasts.daily_forecast(daily({1: (JAN, values)}), horizon=7))[1]
+    parts = loess.decompose(np.log1p(np.array(values)), 7)
+    mu = parts.trend[-1] + parts.seasonal[-7:]
+    np.testing.assert_allclose(fc.p95, np.expm1(mu + 1.645 * np.std(parts.remainder, ddof=1)))
+    np.testing.assert_allclose(fc.p50, np.maximum(np.expm1(mu), 0))
+
+
 def test_series_of_different_length_end_on_their_own_day(daily):
     fc = by_department(forecasts.seasonal_naive_daily(daily({1: (JAN, [1, 2]), 2: (JAN, [1] * 40)}), 5))
     assert fc[1].date[0] == dt.date(2024, 1, 3) and fc[2].date[0] == dt.date(2024, 2, 10)
