@@ -397,7 +397,8 @@ def agent_days_without_ids(b: Bindings) -> DataFrame:
 
 @query
 def agent_days_by_outer_joins(b: Bindings) -> DataFrame:
-    return capacity.agent_days_by_outer_joins(inputs.agent_days(b.agent_days()))
+    pieces = capacity.agent_day_pieces(inputs.agent_days(b.agent_days()))
+    return capacity.join_agent_day_pieces(Stages(b.spark).keep("pieces", pieces))
 
 
 @query
@@ -512,7 +513,8 @@ def workload_with_fits(b: Bindings) -> DataFrame:
 
 
 def _small_boards(b: Bindings) -> DataFrame:
-    rows = b.actuals().withColumns({
+    # kept, because a board reads its rows twice: for the names and for the sums
+    rows = Stages(b.spark).keep("monthly_actuals", b.actuals()).withColumns({
         "forecast": F.col("actual_volume") + F.dayofyear("month") % 5 - 2,
         "capacity": F.col("actual_volume") * 1.5 - 6, "productivity": F.col("actual_volume") + 1,
         "inventory_mean": F.col("actual_volume") / 8,

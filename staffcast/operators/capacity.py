@@ -46,20 +46,32 @@ def agent_days_by_day(rows: DataFrame) -> DataFrame:
     )
 
 
-def agent_days_by_outer_joins(rows: DataFrame) -> DataFrame:
-    """Same result as ``agent_days_by_day`` from three aggregates and two full outer joins.
+def agent_day_pieces(rows: DataFrame) -> DataFrame:
+    """Per department, day and productive-or-not: agents, mean target, production. One scan."""
+    productive = F.coalesce(F.col("item_target_day") > IDLE_TARGET, F.lit(False))
+    agents = F.countDistinct("agent_id") if "agent_id" in rows.columns else F.count("*")
+    return (
+        rows.where(F.col("department_id").isNotNull() & F.col("date").isNotNull())
+        .groupBy("department_id", "date", productive.alias("productive"))
+        .agg(
+            agents.alias("agents"), F.avg("item_target_day").alias("target_mean"),
+            F.coalesce(F.sum("prod_total_model"), F.lit(0.0)).alias("prod_sum"),
+        )
+    )
 
-    Kept only to check the single-pass form against.
+
+def join_agent_day_pieces(pieces: DataFrame) -> DataFrame:
+    """Same result as ``agent_days_by_day`` by two full outer joins of daily pieces.
+
+    The single pass is the one to use; this form serves sources that deliver the
+    pieces separately, and to check the single pass against. The pieces are
+    read several times, so keep them as a table first.
     """
-    keyed = rows.where(F.col("department_id").isNotNull() & F.col("date").isNotNull())
     keys = ["department_id", "date"]
-    productive = keyed.where(F.col("item_target_day") > IDLE_TARGET)
-    agents = F.countDistinct("agent_id") if "agent_id" in rows.columns else F.count("*")
-    counted = productive.groupBy(*keys).agg(agents.alias("agents_day"))
-    targets = productive.groupBy(*keys).agg(F.avg("item_target_day").alias("target_mean_day"))
-    produced = keyed.groupBy(*keys).agg(
-        F.coalesce(F.sum("prod_total_model"), F.lit(0.0)).alias("prod_sum_day")
-    )
+    productive = pieces.where("productive")
+    counted = productive.select(*keys, F.col("agents").alias("agents_day"))
+    targets = productive.select(*keys, F.col("target_mean").alias("target_mean_day"))
+    produced = pieces.groupBy(*keys).agg(F.sum("prod_sum").alias("prod_sum_day"))
     return counted.join(targets, keys, "full").join(produced, keys, "full")
 
 

@@ -59,6 +59,7 @@ def board_months(
     """KPIs per department name and month over the whole range; months without data are null.
 
     With ``zero_fill`` the sums of months that exist but hold only nulls are 0.
+    ``rows`` is read twice (names and sums), so pass a written table.
     """
     sums = ("forecast", "actual_volume", "capacity", "productivity")
     in_range = F.col("month").between(F.lit(first).cast("date"), F.lit(last).cast("date"))

@@ -74,7 +74,7 @@ def test_agent_days(spark):
     got = rows(capacity.agent_days_by_day(table), "date", "agents_day", "target_mean_day", "prod_sum_day")
     day = lambda d: dt.date(2024, 1, d)
     assert got == [(day(1), 1, 6.0, 6.0), (day(2), 1, 4.0, 0.0), (day(3), None, None, 6.0), (day(4), 0, 9.0, 1.0)]
-    joined = capacity.agent_days_by_outer_joins(table)
+    joined = capacity.join_agent_day_pieces(capacity.agent_day_pieces(table))
     assert rows(joined, "date", "agents_day", "target_mean_day", "prod_sum_day") == got
 
 
