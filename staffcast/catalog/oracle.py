@@ -239,6 +239,10 @@ def _board(rows: str, names: str) -> str:
 
 _define("t_board", _board("t_board_rows", "t_facts"))
 _define("t_small_board", _board("t_small_rows", "t_actuals"))
+_define("t_zero_rows", """SELECT department_name, month, forecast, productivity, inventory_mean,
+    CASE WHEN month(month) % 2 = 0 THEN actual_volume ELSE 0 END AS actual_volume,
+    CASE WHEN month(month) % 2 = 0 THEN capacity ELSE 0 END AS capacity FROM t_small_rows""")
+_define("t_zero_board", _board("t_zero_rows", "t_actuals"))
 
 
 def _long(board: str) -> str:
@@ -388,6 +392,15 @@ _STATEMENTS: dict[str, str] = {
         {_num('coalesce(capacity_agents, o.capacity)', 'capacity')}
         FROM t_actuals LEFT JOIN (SELECT * FROM t_agents WHERE department_id % 2 = 1) USING (department_id, month)
         LEFT JOIN t_hours o USING (department_id, month)""",
+    "capacity_consolidation_plain": f"""SELECT {_FOUR_KEYS}, {_num('actual_volume')}, {_num('capacity_agents')},
+        {_num('productivity_agents')}, {_num('coalesce(capacity_agents, o.capacity)', 'productivity')},
+        {_num('coalesce(capacity_agents, o.capacity)', 'capacity')}
+        FROM t_actuals LEFT JOIN (SELECT * FROM t_agents WHERE department_id % 2 = 1) USING (department_id, month)
+        LEFT JOIN t_hours o USING (department_id, month)""",
+    "expected_volumes_calibrated": f"""SELECT {_FOUR_KEYS}, {_num('p50_post * calib_factor', 'forecast')},
+        {_num('forecast_p50', 'forecast_base')}, {_num('p50_post * calib_factor', 'forecast_human_cases_cal')},
+        {_num('forecast_p50 * rate_used', 'deflected_forecast')}, {_num('actual_volume')}
+        FROM t_calibrated LEFT JOIN t_actuals USING (vertical, department_id, department_name, month)""",
     "history_only_months": f"""SELECT {_FOUR_KEYS}, {_num('actual_volume')} FROM t_actuals x
         WHERE year(month) = 2001 AND NOT EXISTS (
             SELECT 1 FROM t_rollup y WHERE y.department_id = x.department_id AND y.month = x.month)""",
@@ -439,6 +452,8 @@ _STATEMENTS: dict[str, str] = {
         UNION ALL SELECT 'facts', count(*) FROM t_facts""",
     "board_months": f"SELECT department_name, {_day('month')}, " + ", ".join(
         _num(f'"{k}"', f'"{k}"') for k in BOARD_KPIS) + " FROM t_small_board",
+    "board_months_zero_filled": f"SELECT department_name, {_day('month')}, " + ", ".join(
+        _num(f'"{k}"', f'"{k}"') for k in BOARD_KPIS) + " FROM t_zero_board",
     "board_gap_text": f"""SELECT department_name, {_day('month')},
         CAST(CAST("Difference Capacity vs Productivity" AS BIGINT) AS VARCHAR) || '%' AS capacity_gap FROM t_small_board""",
     "board_folders": f"""SELECT 'Board_' || department_name || '_2627' AS board_key, CAST(11 AS BIGINT) AS kpis,

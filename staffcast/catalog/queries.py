@@ -443,6 +443,13 @@ def capacity_consolidation(b: Bindings) -> DataFrame:
     return capacity.consolidate(b.actuals(), agents, _history(b))
 
 
+@query
+def capacity_consolidation_plain(b: Bindings) -> DataFrame:
+    """Productivity always equal to the capacity, as in the earliest boards."""
+    agents = capacity.agent_capacity(inputs.agent_days(b.agent_days())).where("department_id % 2 = 1")
+    return capacity.consolidate(b.actuals(), agents, _history(b), productivity_from_agents=False)
+
+
 # --- reports -----------------------------------------------------------------
 
 
@@ -454,6 +461,15 @@ def history_only_months(b: Bindings) -> DataFrame:
     return report.history_only_months(volumes.monthly_actuals(daily, b.scoped()), forecast_keys, PLAN.year)
 
 
+@query
+def expected_volumes_calibrated(b: Bindings) -> DataFrame:
+    """Report columns with the calibrated forecast shown as the forecast."""
+    expected = report.expected_volumes(bias_calibration(b), b.actuals(), "forecast_p50_post_deflection_cal")
+    return expected.select(
+        *volumes.KEYS, "forecast", "forecast_base", "forecast_human_cases_cal", "deflected_forecast", "actual_volume"
+    )
+
+
 @query
 def department_names(b: Bindings) -> DataFrame:
     return report.department_names(b.actuals())
@@ -512,14 +528,17 @@ def workload_with_fits(b: Bindings) -> DataFrame:
     return _plan(b, PLAN)["capacity_forecast"]
 
 
-def _small_boards(b: Bindings) -> DataFrame:
+def _board_rows(b: Bindings) -> DataFrame:
     # kept, because a board reads its rows twice: for the names and for the sums
-    rows = Stages(b.spark).keep("monthly_actuals", b.actuals()).withColumns({
+    return Stages(b.spark).keep("monthly_actuals", b.actuals()).withColumns({
         "forecast": F.col("actual_volume") + F.dayofyear("month") % 5 - 2,
         "capacity": F.col("actual_volume") * 1.5 - 6, "productivity": F.col("actual_volume") + 1,
         "inventory_mean": F.col("actual_volume") / 8,
     })
-    return report.board_months(rows, PLAN.board_first, PLAN.board_last)
+
+
+def _small_boards(b: Bindings) -> DataFrame:
+    return report.board_months(_board_rows(b), PLAN.board_first, PLAN.board_last)
 
 
 @query
@@ -527,6 +546,14 @@ def board_months(b: Bindings) -> DataFrame:
     return _small_boards(b)
 
 
+@query
+def board_months_zero_filled(b: Bindings) -> DataFrame:
+    """Odd months have no actual volume and no capacity; their sums show 0."""
+    even = F.month("month") % 2 == 0
+    rows = _board_rows(b).withColumns({c: F.when(even, F.col(c)) for c in ("actual_volume", "capacity")})
+    return report.board_months(rows, PLAN.board_first, PLAN.board_last, zero_fill=True)
+
+
 @query
 def board_gap_text(b: Bindings) -> DataFrame:
     return report.capacity_gap_text(_small_boards(b))

@@ -10,7 +10,7 @@ def _densify(series: DataFrame, key: str, time: str, value: str, step: str, befo
     spans = series.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
         key, time, value, upcoming.alias("_next")
     )
-    until = F.coalesce(before_next, F.col(time))
+    until = F.greatest(F.col(time), before_next)  # the last row of a key has no next one
     filled = spans.select(
         key, F.col(time).alias("_own"), value,
         F.explode(F.sequence(F.col(time), until, F.expr(f"interval 1 {step}"))).alias(time),

@@ -144,21 +144,20 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
         "backlog_forecast": backlog_fc,
     })
     actuals, daily_fc = made["monthly_actuals"], made["daily_forecast"]
-    raw_monthly = stages.keep("monthly_forecast", forecasts.monthly_rollup(
-        daily_fc.drop("vertical", "department_name"), scoped
-    ))
-    forecasts.check_quantiles(raw_monthly)
+    monthly_fc = forecasts.monthly_rollup(daily_fc.drop("vertical", "department_name"), scoped)
 
     errors = given.model_errors
     if errors is None:
         errors = with_department_names(published_model_errors(spark), departments)
     adjusted = adjust.apply_deflection(
-        raw_monthly, rates.deflection_rate(actuals, side["deflection"], p.deflection_zero_as)
+        monthly_fc, rates.deflection_rate(actuals, side["deflection"], p.deflection_zero_as)
     )
     adjusted = adjust.forecast_calls(adjusted, rates.calls_rate(actuals, calls))
     adjusted = adjust.forecast_repeats(adjusted, rates.repeats_rate(actuals, side["repeats"]))
     adjusted = adjust.attach_backlog(adjusted, backlog, made["backlog_forecast"])
     adjusted = stages.keep("adjusted", adjust.calibrate(adjusted, errors))
+    forecasts.check_quantiles(adjusted)
+    raw_monthly = adjusted.select(*monthly_fc.columns)
 
     capacity_all = capacity.with_projection(
         side["capacity_history"],

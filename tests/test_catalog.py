@@ -45,6 +45,8 @@ def test_same_rows_as_sql(spark, database, name):
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(got.columns)
     assert ordered(got.collect(), got.columns) == ordered(result.fetchall(), columns)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL - {"workload_with_fits"}))

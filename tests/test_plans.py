@@ -9,30 +9,12 @@ import __spark_entry__ as contract
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="generated tables not present")
-WHOLE_PLANS = {
-    "workload_vs_capacity", "capacity_report", "board_kpis_long", "board_wide", "run_log", "workload_with_fits",
-}
-
-
-@pytest.fixture
-def no_broadcast(spark):
-    """As with dimension tables too large to broadcast."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield spark
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def plan_of(spark, name):
     return contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WHOLE_PLANS))
-def test_no_cross_joins(no_broadcast, name):
-    plan = plan_of(no_broadcast, name)
-    assert not re.search("CartesianProduct|NestedLoopJoin", plan)
-
-
 def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(spark, "calls_monthly_quantity")
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line)
