@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,38 +14,24 @@ from staffcast.plans.workforce import PlanInputs, PlanTables, run_workforce_plan
 from staffcast.sources.sinks import write_boards, write_tables
 from staffcast.sources.tables import read_first
 
-# Table names looked for in the input folder, in this order.
-INPUT_TABLES = {
-    "incoming": ("incoming",),
-    "department_map": ("department_map", "department"),
-    "deflection": ("deflection",),
-    "calls": ("calls_not_indexed",),
-    "repeats": ("repeats",),
-    "backlog_daily": ("inventory_daily",),
-    "backlog_monthly": ("inventory_month",),
-    "backlog_open": ("inventory",),
-    "capacity_history": ("agent_language_n_target", "capacity_history"),
-    "agent_days": ("productivity_agents",),
-    "manual_labels": ("recommended_models",),
-    "model_errors": ("model_errors",),
-}
+# The input folder holds one table per input, named as the fields of ``PlanInputs``.
+INPUT_TABLES = [field.name for field in fields(PlanInputs) if field.name != "previous_report"]
 REQUIRED = ("incoming", "department_map")
 SKIP_IF_EMPTY = ("Monthly_Capacity_Hist", "Monthly_Capacity_All", "Monthly_Inventory")
 
 
-def _find(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame | None:
-    paths = [f"{folder}/{name}{suffix}" for name in names for suffix in (".parquet", ".csv", "")]
-    return read_first(spark, paths)
+def _find(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
+    return read_first(spark, [f"{folder}/{name}{suffix}" for suffix in (".parquet", ".csv", "")])
 
 
 def read_inputs(spark: SparkSession, input_folder: str, output_folder: str) -> PlanInputs:
     """Find each input as parquet or CSV; the previous run's model report comes from the output folder."""
     folder = input_folder.rstrip("/")
-    found = {field: _find(spark, folder, names) for field, names in INPUT_TABLES.items()}
+    found = {name: _find(spark, folder, name) for name in INPUT_TABLES}
     missing = [field for field in REQUIRED if found[field] is None]
     if missing:
         raise FileNotFoundError(f"no table for {', '.join(missing)} in {folder}")
-    previous = _find(spark, output_folder.rstrip("/"), ("Remediation_Report",))
+    previous = _find(spark, output_folder.rstrip("/"), "Remediation_Report")
     return PlanInputs(previous_report=previous, **found)
 
 

@@ -13,11 +13,11 @@ def test_folder_in_folder_out(spark, tmp_path):
     tickets = [(str(DAY + dt.timedelta(days=i)), d, 4) for d in (1, 2) for i in range(70)]
     spark.createDataFrame(tickets, "Date string, department_id int, count int").write.parquet(f"{source}/incoming.parquet")
     names = spark.createDataFrame([(1, "Alpha", "Payments"), (2, "Beta", "Partners")], "department_id int, Department string, Vertical string")
-    names.write.option("header", True).csv(f"{source}/department.csv")
+    names.write.option("header", True).csv(f"{source}/department_map.csv")
     spark.createDataFrame([(1, "2025-12-02", 3)], "department_id int, Date string, RR int").write.option("header", True).csv(f"{source}/repeats.csv")
     report = spark.createDataFrame([(1, "SARIMAX-7"), (2, "SARIMAX-7")], "department_id int, Recommended_Model string")
     report.write.parquet(f"{target}/Remediation_Report")
-    spark.createDataFrame([(2, "STL")], "department_id int, model string").write.option("header", True).csv(f"{source}/recommended_models.csv")
+    spark.createDataFrame([(2, "STL")], "department_id int, model string").write.option("header", True).csv(f"{source}/manual_labels.csv")
 
     run_monthly(spark, source, target, PlanParams(as_of="2026-01-15"))
     run_monthly(spark, source, target, PlanParams(as_of="2026-01-15"))  # a second run replaces the first

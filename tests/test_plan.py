@@ -17,7 +17,7 @@ def given(spark):
     return PlanInputs(
         incoming=spark.createDataFrame(tickets, "Date date, department_id int, ticket_total double"),
         department_map=spark.createDataFrame(
-            [(1, "Alpha", "Payments"), (2, "Beta", "Partners"), (3, "Proximis x", "Payments"), (4, "Delta", "Other")],
+            [(1, "Alpha", "Payments"), (2, "Beta", "Partners"), (3, "Proj x", "Payments"), (4, "Delta", "Other")],
             "department_id int, department_name string, vertical string",
         ),
         deflection=spark.createDataFrame(
