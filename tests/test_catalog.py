@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from staffcast.catalog.oracle import all_statements
+from staffcast.catalog.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="generated tables not present")
@@ -34,11 +36,13 @@ def ordered(rows, columns):
 
 
 def test_every_query_has_sql_or_is_a_fit():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    assert set(all_queries()) - set(all_statements()) == WITHOUT_SQL
+    assert set(all_statements()) <= set(all_queries())
+    assert all_queries().items() <= contract.queries().items()
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(all_statements()))
 def test_same_rows_as_sql(spark, database, name):
     got = contract.queries()[name](spark, FOLDER)
     result = database.execute(contract.oracle_sql()[name])
