@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staffcast.deploy import ship_package
-from staffcast.llm import mixing
+from staffcast.llm import bpe, mixing, warc
 from staffcast.llm.stages import Kept
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,25 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records, equal payloads as revisits, and read back from the archives."""
+    keep = Kept(spark)
+    archives = f"{keep.folder}/archives"
+    warc.write_archives(_read(spark, folder, "pages"), archives, keep)
+    records = warc.read_archives(spark, archives, keep, payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded by the ranks of a public vocabulary, and decoded again."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    decoded = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to 150 % of their words, sources weighing 3, 1, 2, repeating."""
     mixed = mixing.mix(Kept(spark), _read(spark, folder, "documents"))
@@ -25,4 +45,4 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {"op6_mixing": op6_mixing}
+    return {"op2_warc": op2_warc, "op5_bpe": op5_bpe, "op6_mixing": op6_mixing}
