@@ -16,6 +16,7 @@ result; all columns of the input are kept, and a column named as an output is re
 from __future__ import annotations
 
 import base64
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from staffcast.llm.words import chunks
+from staffcast.llm.words import chunks, span_hashes
 
-KNOWN_PIECES = 1 << 18  # pieces remembered by a worker; beyond that it starts afresh
+KNOWN_PIECES = 1 << 19  # pieces remembered by a worker; beyond that it starts afresh
 MATRIX_CELLS = 1 << 21
 NO_RANK = np.int32(2**31 - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -37,6 +38,55 @@ def read_ranks(path: str) -> list[tuple[bytes, int]]:
         return [(base64.b64decode(token), int(rank)) for token, rank in map(bytes.split, lines)]
 
 
+# Fixed value: the pattern that the cutter on whole arrays stands for; other patterns use a regex.
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_OTHER, _LETTER, _DIGIT, _SPACE = range(4)
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """Letter, number, white space or other, for every code point."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    out = np.full(0x110000, _OTHER, dtype=np.uint8)
+    points = np.frombuffer(every.encode("utf-32-le"), dtype=np.uint32)
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_DIGIT, r"\p{N}+"), (_SPACE, r"\s+")):
+        for run in regex.finditer(pattern, every):
+            out[points[run.start() : run.end()]] = kind
+    return out
+
+
+def piece_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the matches of WORD_PATTERN begin in the code points of consecutive texts that end at `ends`.
+
+    Matches are runs of one kind, with these exceptions: a space before a run of another kind
+    belongs to it; of several white spaces before something else the last stands apart; and an
+    apostrophe that begins a match takes an English ending with it.
+    """
+    n = len(points)
+    kind = _kinds()[points]
+    edge = np.zeros(n + 1, dtype=bool)  # a text begins here
+    edge[0] = edge[ends] = True
+    start = edge[:n].copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    space = kind == _SPACE
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~edge[1:n])  # white space before something else
+    start[last] = True
+    start[last[points[last] == 0x20] + 1] = False
+    quote = np.flatnonzero((points == 0x27) & start)
+    if len(quote):
+        text_end = ends[np.searchsorted(ends, quote, side="right")]
+        padded = np.concatenate([points, np.zeros(2, points.dtype)])
+        one = np.where(quote + 1 < text_end, padded[quote + 1], 0)
+        two = np.where(quote + 2 < text_end, padded[quote + 2], 0)
+        single = np.isin(one, [ord(c) for c in "stmd"])
+        double = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        for taken, size in ((quote[single], 2), (quote[double], 3)):
+            start[taken + 1] = False
+            behind = taken + size
+            start[behind[behind < n]] = True
+    return np.flatnonzero(start)
+
+
 class PairTable:
     """Open-addressing hash table from pairs of ids to the rank of their merge."""
 
@@ -105,36 +155,32 @@ class Codec:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.starts: list[np.ndarray] = [np.zeros(1, dtype=np.int64)]
-        self.tokens: list[np.ndarray] = []
         self.start = np.zeros(1, dtype=np.int64)
         self.token = np.zeros(0, dtype=np.uint32)
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces not seen before and append them to the flat store of known ones."""
         raw = [p.encode() for p in pieces]
-        encoded: list[np.ndarray | None] = [None] * len(raw)
-        hard = []
-        for i, piece in enumerate(raw):
-            whole = self.ranks.get(piece)
-            if whole is None:
-                hard.append(i)
-            else:
-                encoded[i] = np.array([whole], dtype=np.uint32)
-        for i, ids in zip(hard, self.merge([raw[i] for i in hard]), strict=True):
-            encoded[i] = ids
-        for piece in pieces:
-            self.place[piece] = len(self.place)
-        lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
-        self.token = np.concatenate([self.token, *encoded])
-
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces of at least one byte, merged in matrices of similar lengths."""
+        whole = np.fromiter((self.ranks.get(p, -1) for p in raw), dtype=np.int64, count=len(raw))
+        hard = np.flatnonzero(whole < 0)
+        ids, lengths = self.merge([raw[i] for i in hard])
+        sizes = np.ones(len(raw), dtype=np.int64)
+        sizes[hard] = lengths
+        ends = np.cumsum(sizes)
+        flat = np.empty(int(ends[-1]), dtype=np.uint32)
+        easy = np.flatnonzero(whole >= 0)
+        flat[ends[easy] - 1] = whole[easy]
+        flat[np.repeat(whole < 0, sizes)] = ids
+        self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
+        self.start = np.concatenate([self.start, self.start[-1] + ends])
+        self.token = np.concatenate([self.token, flat])
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of at least one byte, one after the other, and the number of each;
+        merged in matrices of similar lengths."""
         lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(pieces)
         order = np.argsort(lengths, kind="stable")
-        order = order[lengths[order] > 0]
+        done_ids, done_rows, done_sizes = [], [], []
         at = 0
         while at < len(order):
             # rows up to a half longer than the first, and no more cells than the bound
@@ -142,12 +188,18 @@ class Codec:
             stop = int(np.searchsorted(lengths[order], width + width // 2, side="right"))
             stop = max(at + 1, min(stop, at + int(MATRIX_CELLS // (width + width // 2 + 1))))
             rows = order[at:stop]
-            for i, ids in zip(rows, self._merge_matrix([pieces[i] for i in rows], lengths[rows]), strict=True):
-                out[i] = ids
+            for ids, live, sizes in self._merge_matrix([pieces[i] for i in rows], lengths[rows]):
+                done_ids.append(ids), done_rows.append(rows[live]), done_sizes.append(sizes)
             at = stop
-        return out
-
-    def _merge_matrix(self, pieces: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
+        if not done_rows:
+            return np.zeros(0, np.uint32), lengths
+        row, size = np.concatenate(done_rows), np.concatenate(done_sizes)
+        back = np.empty(len(row), dtype=np.int64)
+        back[row] = np.arange(len(row))
+        return gather(np.concatenate(done_ids), np.concatenate([[0], np.cumsum(size)]), back)
+
+    def _merge_matrix(self, pieces: list[bytes], lengths: np.ndarray):
+        """Merges one matrix; yields ids, rows and sizes of the rows that a round finds done."""
         n, width = len(pieces), int(lengths.max())
         lengths = lengths.copy()
         ids = np.zeros((n, width), dtype=np.int32)
@@ -156,7 +208,6 @@ class Codec:
         ranks = np.full((n, width), NO_RANK, dtype=np.int32)  # of the pair that begins at a place
         begins = np.arange(width - 1) < lengths[:, None] - 1
         ranks[:, :-1][begins] = self.pairs.find(ids[:, :-1][begins], ids[:, 1:][begins])
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * n
         live = np.arange(n)
         while len(live):
             best = ranks.argmin(axis=1)
@@ -164,8 +215,8 @@ class Codec:
             least = ranks[each, best]
             ended = least == NO_RANK
             if ended.any():
-                for r in np.flatnonzero(ended):
-                    out[live[r]] = ids[r, : lengths[r]].astype(np.uint32)
+                sizes = lengths[ended]
+                yield ids[ended][np.arange(ids.shape[1]) < sizes[:, None]].astype(np.uint32), live[ended], sizes
                 go = np.flatnonzero(~ended)
                 width = int(lengths[go].max()) if len(go) else 0
                 live, lengths, best, least = live[go], lengths[go], best[go], least[go]
@@ -194,24 +245,53 @@ class Codec:
             if before.any():
                 r, b = each[before], best[before]
                 ranks[r, b - 1] = self.pairs.find(ids[r, b - 1], ids[r, b])
-        return out
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and where each text's ids start."""
-        find = self.pattern.findall
-        cut = [find(t) if t else [] for t in texts]
+        texts = [t or "" for t in texts]
         if len(self.place) > KNOWN_PIECES:
             self._forget()
-        fresh = set().union(*cut).difference(self.place)
-        if fresh:
-            self._learn(sorted(fresh))
-        place = self.place
-        index = np.fromiter((place[p] for pieces in cut for p in pieces), dtype=np.int64)
+        index, counts = self._cut(texts) if self.pattern.pattern == WORD_PATTERN else self._cut_by_regex(texts)
         ids, lengths = gather(self.token, self.start, index)
-        counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
         piece_ends = np.concatenate([[0], np.cumsum(lengths)])
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        return ids, piece_ends[bounds]
+        return ids, piece_ends[np.concatenate([[0], np.cumsum(counts)])]
+
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """The places of different pieces in the store, after learning those that are new."""
+        fresh = [p for p in pieces if p not in self.place]
+        if fresh:
+            self._learn(fresh)
+        return np.fromiter(map(self.place.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+    def _cut_by_regex(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cut = [self.pattern.findall(t) for t in texts]
+        different = {p: i for i, p in enumerate(dict.fromkeys(p for pieces in cut for p in pieces))}
+        place = self._places(list(different))
+        index = np.fromiter((different[p] for pieces in cut for p in pieces), dtype=np.int64)
+        return place[index], np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all pieces, and the number in each text. Equal pieces are found by two
+        independent hashes, so only different ones are cut out as strings."""
+        joined = "".join(texts)
+        ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)))
+        if not joined:
+            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        start = piece_starts(points, ends)
+        end = np.append(start[1:], len(points))
+        counts = np.diff(np.concatenate([[0], np.searchsorted(start, ends)]))
+        first, second = span_hashes(points, start, end)
+        order = np.argsort(first)
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = first[order][1:] != first[order][:-1]
+        group = np.empty(len(order), dtype=np.int64)
+        group[order] = np.cumsum(new) - 1
+        head = order[new]
+        if (second[head][group] != second).any():
+            return self._cut_by_regex(texts)
+        place = self._places([joined[a:b] for a, b in zip(start[head].tolist(), end[head].tolist(), strict=True)])
+        return place[group], counts
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the ids one after the other, and the number of bytes of each id."""

@@ -37,9 +37,9 @@ WITH p AS MATERIALIZED (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages),
 m AS (SELECT payload, max(page_id) AS largest FROM p GROUP BY payload),
 b AS (
-  SELECT DISTINCT digest, array_to_string(list_transform(range(0, 160, 5), i -> substr(
+  SELECT DISTINCT digest, array_to_string(list_transform(range(0, 160, 5), lambda i: substr(
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ('0b' || substr(bits, (i + 1)::BIGINT, 5))::BIGINT + 1, 1)), '') AS base32
-  FROM (SELECT digest, array_to_string(list_transform(range(1, 41), i -> [
+  FROM (SELECT digest, array_to_string(list_transform(range(1, 41), lambda i: [
       '0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'
     ][('0x' || substr(digest, i::BIGINT, 1))::BIGINT + 1]), '') AS bits FROM p))
 SELECT p.page_id, octet_length(encode(p.payload))::BIGINT AS payload_bytes, b.base32 AS payload_digest,

@@ -148,6 +148,20 @@ def hashes(words: Words, lower: bool = False, which: int = 0) -> np.ndarray:
     return mix(out)
 
 
+def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Two independent 64-bit hashes of the spans values[start:end] of small integers."""
+    up, down = _Powers.of(len(values) + 1)
+    out = []
+    for salt in _TABLES[:, 0]:
+        sums = np.empty(len(values) + 1, dtype=_U)
+        sums[0] = 0
+        terms = mix(values.astype(_U) + salt)
+        terms *= up[: len(terms)]
+        np.cumsum(terms, out=sums[1:])
+        out.append(mix((sums[end] - sums[start]) * down[start]))
+    return out
+
+
 def windows(words: Words, hashed: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `width` words inside one text, and the place of each run's first word."""
     n = len(hashed) - width + 1
