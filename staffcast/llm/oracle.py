@@ -48,6 +48,24 @@ SELECT p.page_id, octet_length(encode(p.payload))::BIGINT AS payload_bytes, b.ba
 FROM p JOIN m USING (payload) JOIN b USING (digest)
 """
 
+OP9 = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d),
+k AS MATERIALIZED (SELECT doc_id, i, array_to_string(list_slice(words, i, i + 12), ' ') AS window_text FROM p),
+m AS (SELECT window_text, min(doc_id) AS first_doc FROM k GROUP BY window_text),
+c AS (
+  SELECT DISTINCT doc_id, i + j AS i
+  FROM k JOIN m USING (window_text), (SELECT unnest(range(13)) AS j) WHERE doc_id > first_doc),
+u AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+t AS (
+  SELECT u.doc_id, count(*) AS n_left, string_agg(u.word, ' ' ORDER BY u.i) AS kept
+  FROM u ANTI JOIN c ON u.doc_id = c.doc_id AND u.i = c.i GROUP BY u.doc_id)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, (len(d.words) - coalesce(n_left, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
 
 def all_statements() -> dict[str, str]:
-    return {"op2_warc": OP2, "op6_mixing": OP6}
+    return {"op2_warc": OP2, "op6_mixing": OP6, "op9_substrings": OP9}

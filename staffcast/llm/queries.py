@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staffcast.deploy import ship_package
-from staffcast.llm import bpe, mixing, warc
+from staffcast.llm import bpe, metric_join, mixing, superkmers, warc
 from staffcast.llm.stages import Kept
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,5 +44,18 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words of 13-word windows that start in an earlier document."""
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    kept = superkmers.remove_repeats(docs)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents linked by a Jaccard similarity of 0.8 of five-word shingles."""
+    return metric_join.join_components(_read(spark, folder, "documents"), Kept(spark))
+
+
 def all_queries() -> dict[str, Query]:
-    return {"op2_warc": op2_warc, "op5_bpe": op5_bpe, "op6_mixing": op6_mixing}
+    return {"op2_warc": op2_warc, "op5_bpe": op5_bpe, "op6_mixing": op6_mixing, "op9_substrings": op9_substrings,
+            "op10_jaccard": op10_jaccard}
