@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staffcast.deploy import ship_package
-from staffcast.llm import bpe, metric_join, mixing, superkmers, warc
+from staffcast.llm import bpe, caps, cross_entropy, metric_join, mixing, nn_descent, ordinal, superkmers, warc
 from staffcast.llm.stages import Kept
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,14 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored by cross-entropy difference; the target is those rated good and not toxic."""
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    good = _read(spark, folder, "labels").filter("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    target = Kept(spark)(docs.join(good, "doc_id", "left_semi").select("text"), "target")
+    return cross_entropy.score(docs, target)
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written as WARC records, equal payloads as revisits, and read back from the archives."""
     keep = Kept(spark)
@@ -28,6 +36,11 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors linked by a cosine of 0.98 under equal labels, with their components."""
+    return caps.link(_read(spark, folder, "embeddings"), Kept(spark))
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded by the ranks of a public vocabulary, and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -44,6 +57,19 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for each vector whose vec_id is divisible by 20."""
+    rows = _read(spark, folder, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding")
+    return nn_descent.search(rows, rows.filter("id % 20 = 0"), 20, Kept(spark))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with expected grade and tail probability under a model fitted on rated ones."""
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    model = ordinal.train(docs, ordinal.graded(_read(spark, folder, "labels")))
+    return ordinal.grade(docs, model).drop("text")
+
+
 def op9_substrings(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the words of 13-word windows that start in an earlier document."""
     docs = _read(spark, folder, "documents").select("doc_id", "text")
@@ -57,5 +83,6 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {"op2_warc": op2_warc, "op5_bpe": op5_bpe, "op6_mixing": op6_mixing, "op9_substrings": op9_substrings,
-            "op10_jaccard": op10_jaccard}
+    every = (op1_lm_scoring, op2_warc, op4_embedding_dedup, op5_bpe, op6_mixing, op7_nearest, op8_quality,
+             op9_substrings, op10_jaccard)
+    return {query.__name__: query for query in every}

@@ -168,7 +168,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, bucket_bytes:
     hot = spark.sparkContext.broadcast(hot_minimisers(docs, width, gram, capacity, total))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for begin, texts in chunks(batch.column(2)):
                 place = batch.column(0).slice(begin, len(texts)).to_numpy()
@@ -262,18 +262,20 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col:
         F.collect_list("start").alias("span_start"), F.collect_list("end").alias("span_end"))
     names = ("n_words", "n_removed", "kept")
     kept = [c for c in df.columns if c not in names]
+    others = [c for c in kept if c != text_col]
+    own = {c: f"own_{i}" for i, c in enumerate(others)}
     keyed = df.select(
-        *[F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(kept)], F.col(f"`{text_col}`").cast("string").alias("text"),
+        *[F.col(f"`{c}`").alias(o) for c, o in own.items()],
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("place"),
-        F.shiftright(F.xxhash64(text_col), 32).cast("int").alias("row"))
-    joined = keyed.join(spans, ["place", "row"], "left").drop("place", "row")
-    own = [f"own_{i}" for i in range(len(kept))]
-    schema = joined.select(*own, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept")).schema
+        F.shiftright(F.xxhash64(text_col), 32).cast("int").alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    joined = packed(keyed).join(spans, ["place", "row"], "left").drop("place", "row")
+    added = {"text": "string", "n_words": "long", "n_removed": "long", "kept": "string"}
+    schema = joined.select(*own.values(), *[F.lit(None).cast(k).alias(c) for c, k in added.items()]).schema
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = {f.name: i for i, f in enumerate(batch.schema)}
-            for begin, texts in chunks(batch.column(columns["text"])):
+            for begin, texts in unpacked(batch.column(columns["text"])):
                 rows = batch.slice(begin, len(texts))
                 words = cut(texts)
                 starts, ends = rows.column(columns["span_start"]), rows.column(columns["span_end"])
@@ -282,14 +284,42 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col:
                 np.add.at(change, words.first[owner] + starts.flatten().to_numpy(), 1)
                 np.add.at(change, words.first[owner] + ends.flatten().to_numpy(), -1)
                 stays = np.cumsum(change[:-1]) == 0
-                text = keep_words(words, stays)
                 counts = words.counts
                 left = np.diff(np.concatenate([[0], np.cumsum(stays)])[words.first])
                 yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(columns[c]) for c in own), pa.array(counts), pa.array(counts - left), text], names=schema.names)
+                    [*(rows.column(columns[o]) for o in own.values()), texts, pa.array(counts), pa.array(counts - left),
+                     keep_words(words, stays)], names=schema.names)
 
     out = joined.mapInArrow(apply, schema)
-    return out.select(*[F.col(o).alias(c) for o, c in zip(own, kept, strict=True)], *names)
+    back = {c: F.col(o).alias(c) for c, o in own.items()} | {text_col: F.col("text").alias(text_col)}
+    return out.select(*[back[c] for c in kept], *names)
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """The same rows with `text`, the last column, compressed, for a shuffle."""
+    schema = df.withColumn("text", F.lit(None).cast("binary")).schema
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for begin, texts in chunks(batch.column(batch.num_columns - 1)):
+                raw = [None if t is None else packer.compress(t) for t in texts.cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.slice(begin, len(texts)).columns[:-1], pa.array(raw, pa.binary())], names=schema.names)
+
+    return df.mapInArrow(pack, schema)
+
+
+def unpacked(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Texts of a compressed column, some at a time, with the first one's row."""
+    unpacker, begin, texts, size = zstandard.ZstdDecompressor(), 0, [], 0
+    for i, raw in enumerate(column.to_pylist()):
+        texts.append(None if raw is None else unpacker.decompress(raw))
+        size += len(texts[-1] or b"")
+        if size > CHUNK_BYTES:
+            yield begin, pa.array(texts, pa.binary()).cast(pa.string())
+            begin, texts, size = i + 1, [], 0
+    if texts:
+        yield begin, pa.array(texts, pa.binary()).cast(pa.string())
 
 
 def keep_words(words: Words, stays: np.ndarray) -> pa.Array:
