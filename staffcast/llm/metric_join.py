@@ -103,19 +103,21 @@ def _whole_sets(rows: DataFrame, width: int) -> DataFrame:
 
 def _rarest(shared: DataFrame, percent: int) -> DataFrame:
     """(node, value): the rarest shingles of every set of which enough is shared, one more than
-    may be missing. `shared` holds (node, n, packed shared shingles with their numbers of sets)."""
+    may be missing. Shingles in no other set are the rarest and need no region."""
 
     def pick(part: pa.Table) -> pa.Table:
-        n = part.column("n")[0].as_py()
-        pairs = np.frombuffer(b"".join(part.column("packed").to_pylist()), np.int64).reshape(-1, 2)
-        missing = n * (100 - percent) // 100
-        alone = n - len(pairs)  # in no other set, hence rarest
-        take = missing + 1 - alone
-        order = np.lexsort((pairs[:, 0], pairs[:, 1]))[: max(0, take)]
-        node = part.column("node")[0].as_py()
-        return pa.table({"node": np.full(len(order), node, np.int64), "value": pairs[order, 0].astype(np.int64)})
+        value, node, total = shingles.answers(part)
+        nodes, index = np.unique(node, return_inverse=True)
+        size = total < 0
+        n = -np.bincount(index[size], total[size], minlength=len(nodes)).astype(np.int64)
+        value, index, total = value[~size], index[~size], total[~size]
+        take = n * (100 - percent) // 100 + 1 - (n - np.bincount(index, minlength=len(nodes)))
+        order = np.lexsort((value, total, index))
+        value, index = value[order], index[order]
+        keep = np.arange(len(index)) - np.searchsorted(index, index) < take[index]
+        return pa.table({"node": nodes[index[keep]].astype(np.int64), "value": value[keep].view(np.int64)})
 
-    return shared.groupBy("node").applyInArrow(pick, "node long, value long")
+    return shared.groupBy("group").applyInArrow(pick, "node long, value long")
 
 
 class Sets:
@@ -275,12 +277,12 @@ def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int =
     found = texts.join(classes.select("node", "k1", "k2", "least"), F.col("doc_id").eqNullSafe(F.col("least")))
     sets = keep(_whole_sets(found.select("node", "k1", "k2", "text"), width), "sets")
 
-    entries = int(sets.agg(F.sum("n")).first()[0] or 0)
+    n_sets, entries = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     read = _packed_reader(0, 1)
     often = shingles.frequent(sets.select("node", "set"), read, max(1 << 16, entries >> 20), entries)
-    shared = shingles.shared_counts(sets.select("node", "set"), read, shingles.bucket_count(spark, entries), often)
-    shared = shared.withColumnRenamed("n", "hits").join(sets.select(F.col("node").alias("owner"), "n"), "owner")
-    rarest = keep(_rarest(shared.select(F.col("owner").alias("node"), "n", "packed"), percent), "rarest")
+    shared = shingles.shared_counts(
+        sets.select("node", "set"), read, shingles.bucket_count(spark, entries), often, shingles.bucket_count(spark, n_sets, 4096))
+    rarest = keep(_rarest(shared, percent), "rarest")
     pivots = rarest.groupBy("value").agg(F.min("node").alias("region"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     regions = keep(rarest.join(pivots, "value").select("region", "node").distinct(), "regions")
     measured = regions.join(sets.select("node", "n"), "node").groupBy("region").agg(

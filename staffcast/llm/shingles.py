@@ -57,7 +57,6 @@ def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 _SENT = "bucket int, packed binary, n int"
 _SENT_SCHEMA = pa.schema([("bucket", pa.int32()), ("packed", pa.binary()), ("n", pa.int32())])
-_ALONE, _SHARED = 0, 1
 
 Reader = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
@@ -87,13 +86,14 @@ def frequent(table: DataFrame, read: Reader, capacity: int, entries: int) -> np.
     return np.stack([out["u"].to_numpy(dtype=_U), out["n"].to_numpy(dtype=np.int64).view(_U)], axis=1)
 
 
-def shared_counts(table: DataFrame, read: Reader, n_buckets: int, hot: np.ndarray | None = None) -> DataFrame:
+def shared_counts(table: DataFrame, read: Reader, n_buckets: int, hot: np.ndarray | None = None,
+                  n_groups: int = 1) -> DataFrame:
     """Which hashes occur in at least two sets.
 
     `read` gives (hashes, row of each, owner of each row) for parts of a batch. Without values
     the result is (owner, hits), partial numbers of an owner's hashes that are shared; with
-    values it is (owner, packed, n): the owner's shared hashes with the number of owners, as
-    packed pairs of 64-bit integers.
+    values it is (group, packed, n) for `answers`: the shared hashes of the owners of a group
+    with their numbers of owners, and for every owner its number of hashes.
 
     Hashes travel packed by bucket. One that several sets of a part hold is known to be shared
     there, so its owners are answered on the spot and one copy with their number travels on:
@@ -120,9 +120,10 @@ def shared_counts(table: DataFrame, read: Reader, n_buckets: int, hot: np.ndarra
                 if with_values:
                     at = np.minimum(np.searchsorted(known.value[:, 0], v), max(0, len(known.value) - 1))
                     often = known.value[at, 0] == v if len(known.value) else np.zeros(len(v), bool)
-                    if often.any():
-                        pairs = v[often].tobytes() + owners[r[often]].tobytes() + known.value[at[often], 1].tobytes()
-                        out.append((-1, packer.compress(pairs), int(often.sum())))
+                    counts = np.bincount(row, minlength=len(owners))
+                    told = (np.concatenate([np.zeros(len(owners), _U), v[often]]), np.concatenate([owners, owners[r[often]]]),
+                            np.concatenate([-counts, known.value[at[often], 1].view(np.int64) if often.any() else counts[:0]]))
+                    out.append((-1, packer.compress(b"".join(t.tobytes() for t in told)), len(told[0])))
                     v, r = v[~often], r[~often]
                     owner, n = owners[r], np.ones(len(v), np.int32)
                 else:
@@ -166,31 +167,43 @@ def shared_counts(table: DataFrame, read: Reader, n_buckets: int, hot: np.ndarra
             return pa.table({"owner": owner, "hits": hits})
         v, owner, n = map(np.concatenate, cols)
         if answer:
-            return by_owner(v, owner, n)
+            return by_group(v, owner, n)
         order = np.argsort(v)
         v, owner, n = v[order], owner[order], n[order]
         begin = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
         size = np.diff(np.append(begin, len(v)))
         total = np.repeat(np.add.reduceat(n.astype(np.int64), begin), size)
         if with_values:
-            return by_owner(v[total > 1], owner[total > 1], total[total > 1])
+            return by_group(v[total > 1], owner[total > 1], total[total > 1])
         keep = (total > 1) & (n == 1)
         found, hits = np.unique(owner[keep], return_counts=True)
         return pa.table({"owner": found.astype(np.int64), "hits": hits.astype(np.int64)})
 
-    def by_owner(v: np.ndarray, owner: np.ndarray, total: np.ndarray) -> pa.Table:
-        o = np.argsort(owner, kind="stable")
-        owner, v, total = owner[o], v[o], total[o]
-        begin = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
-        stop = np.append(begin[1:], len(owner)) if len(owner) else begin
-        pairs = np.stack([v.view(np.int64), total.astype(np.int64)], axis=1).tobytes()
-        packed = [pairs[16 * a : 16 * b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
-        return pa.table({"owner": owner[begin], "packed": pa.array(packed, pa.binary()), "n": (stop - begin).astype(np.int32)})
-
-    out = "owner long, packed binary, n int" if with_values else "owner long, hits long"
+    def by_group(v: np.ndarray, owner: np.ndarray, total: np.ndarray) -> pa.Table:
+        packer = zstandard.ZstdCompressor(level=1)
+        group = (mix(owner.view(_U)) % _U(n_groups)).astype(np.int64)
+        o = np.lexsort((owner, group))
+        group, owner, v, total = group[o], owner[o], v[o], total[o]
+        bounds = np.flatnonzero(np.append(np.append(True, group[1:] != group[:-1]), True)) if len(o) else []
+        rows = [(int(group[a]), packer.compress(v[a:b].tobytes() + np.diff(owner[a:b], prepend=0).tobytes() + total[a:b].astype(np.int64).tobytes()), int(b - a))
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return pa.table({n: pa.array([r[k] for r in rows], kind) for k, (n, kind) in enumerate((("group", pa.int64()), ("packed", pa.binary()), ("n", pa.int32())))})
+
+    out = "group long, packed binary, n int" if with_values else "owner long, hits long"
     return table.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(settle, out)
 
 
+def answers(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, owner and number of owners of all answers of a group; for each owner also one with
+    hash 0 and the number of its hashes, negative."""
+    unpacker, cols = zstandard.ZstdDecompressor(), [[], [], []]
+    for packed, n in zip(part.column("packed").to_pylist(), part.column("n").to_pylist(), strict=True):
+        raw = unpacker.decompress(packed, max_output_size=24 * n)
+        cols[0].append(np.frombuffer(raw, "<u8", n)), cols[2].append(np.frombuffer(raw, "<i8", n, 16 * n))
+        cols[1].append(np.cumsum(np.frombuffer(raw, "<i8", n, 8 * n)))
+    return tuple(map(np.concatenate, cols))
+
+
 def bucket_count(spark: SparkSession, entries: int, most: int = 1 << 20) -> int:
     """Buckets of at most about `most` entries, and at least two for each shuffle partition."""
     return max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // most))
