@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staffcast.deploy import ship_package
-from staffcast.llm import bpe, caps, cross_entropy, metric_join, mixing, nn_descent, ordinal, superkmers, warc
+from staffcast.llm import bpe, caps, cross_entropy, metric_join, mixing, nn_descent, ordinal, superkmers, token_files, warc
 from staffcast.llm.stages import Kept
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,17 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as flat token files, and the tokens of each counted from its bytes."""
+    keep = Kept(spark)
+    files = f"{keep.folder}/tokens"
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    token_files.write_token_files(_read(spark, folder, "documents"), files, ranks, public_tokenizers.PATTERN)
+    counts = token_files.count_tokens(spark, files, keep)
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file")
+    return counts.select(number, "document", "start", "n_tokens", "ended")
+
+
 def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All vectors linked by a cosine of 0.98 under equal labels, with their components."""
     return caps.link(_read(spark, folder, "embeddings"), Kept(spark))
@@ -83,6 +94,6 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    every = (op1_lm_scoring, op2_warc, op4_embedding_dedup, op5_bpe, op6_mixing, op7_nearest, op8_quality,
+    every = (op1_lm_scoring, op2_warc, op3_token_counts, op4_embedding_dedup, op5_bpe, op6_mixing, op7_nearest, op8_quality,
              op9_substrings, op10_jaccard)
     return {query.__name__: query for query in every}
