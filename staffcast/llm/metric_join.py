@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from staffcast.llm import shingles
 from staffcast.llm.components import components
+from staffcast.llm.packing import packed, unpacked
 from staffcast.llm.words import chunks
 
 SHINGLE = 5
@@ -82,11 +83,11 @@ def _packed_reader(owner: int, column: int):
 
 
 def _whole_sets(rows: DataFrame, width: int) -> DataFrame:
-    """Of rows (node, k1, k2, text) the node, size and packed set of those whose text has these hashes."""
+    """Of rows (node, k1, k2, compressed text) the node, size and packed set of those whose text has these hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in chunks(batch.column(3)):
+            for at, texts in unpacked(batch.column(3)):
                 values, first = shingles.sets(texts, width)
                 k1, k2 = shingles.set_keys(values, first)
                 want = batch.slice(at, len(texts))
@@ -262,10 +263,10 @@ def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int =
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     whole = keep(profiles(texts, width, percent).withColumn("owner", F.monotonically_increasing_id()), "profiles")
-    entries = whole.agg(F.sum(F.octet_length("part") / 8)).first()[0] or 0
+    n_rows, entries = whole.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("part") / 8), F.lit(0.0))).first()
     hits = shingles.shared_counts(
-        whole.select("owner", "part"), _packed_reader(0, 1), shingles.bucket_count(spark, int(entries)))
-    hits = hits.groupBy("owner").agg(F.sum("hits").alias("hits"))
+        whole.select("owner", "part"), _packed_reader(0, 1), shingles.bucket_count(spark, int(entries)),
+        n_groups=shingles.bucket_count(spark, n_rows, 1 << 16))
     missing = F.floor(F.col("n") * (100 - percent) / 100)
     alive = keep(whole.join(hits, "owner").filter(
         F.col("hits") >= F.greatest(F.lit(1), F.octet_length("part") / 8 - missing)).drop("part"), "alive")
@@ -274,7 +275,9 @@ def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int =
     classes = keep(alive.groupBy(*key).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
                    .withColumn("node", F.monotonically_increasing_id()), "classes")
     # copies that share an id may give a set twice; that costs work and changes no link
-    found = texts.join(classes.select("node", "k1", "k2", "least"), F.col("doc_id").eqNullSafe(F.col("least")))
+    # always a merge join of compressed texts, so that the plan is the same at every size
+    wanted = classes.select("node", "k1", "k2", "least").hint("merge")
+    found = packed(texts).join(wanted, F.col("doc_id").eqNullSafe(F.col("least")))
     sets = keep(_whole_sets(found.select("node", "k1", "k2", "text"), width), "sets")
 
     n_sets, entries = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()

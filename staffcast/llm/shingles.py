@@ -91,9 +91,10 @@ def shared_counts(table: DataFrame, read: Reader, n_buckets: int, hot: np.ndarra
     """Which hashes occur in at least two sets.
 
     `read` gives (hashes, row of each, owner of each row) for parts of a batch. Without values
-    the result is (owner, hits), partial numbers of an owner's hashes that are shared; with
-    values it is (group, packed, n) for `answers`: the shared hashes of the owners of a group
-    with their numbers of owners, and for every owner its number of hashes.
+    the result is (owner, hits), the number of an owner's hashes that are shared; with values
+    it is (group, packed, n) for `answers`: the shared hashes of the owners of a group with
+    their numbers of owners, and for every owner its number of hashes. Buckets answer groups of
+    owners, in packed rows, so the rows do not grow with buckets times owners.
 
     Hashes travel packed by bucket. One that several sets of a part hold is known to be shared
     there, so its owners are answered on the spot and one copy with their number travels on:
@@ -162,9 +163,8 @@ def shared_counts(table: DataFrame, read: Reader, n_buckets: int, hot: np.ndarra
                 cols[1].append(np.cumsum(np.frombuffer(raw, "<i8", n, 8 * n)))
                 cols[2].append(np.frombuffer(raw, "<i4", n, 16 * n))
         if answer and not with_values:
-            owner, inverse = np.unique(np.concatenate(cols[0]), return_inverse=True)
-            hits = np.bincount(inverse, np.concatenate(cols[1])).astype(np.int64)
-            return pa.table({"owner": owner, "hits": hits})
+            owner, hits = np.concatenate(cols[0]), np.concatenate(cols[1])
+            return by_group(np.zeros(len(owner), _U), owner, hits)
         v, owner, n = map(np.concatenate, cols)
         if answer:
             return by_group(v, owner, n)
@@ -177,7 +177,7 @@ def shared_counts(table: DataFrame, read: Reader, n_buckets: int, hot: np.ndarra
             return by_group(v[total > 1], owner[total > 1], total[total > 1])
         keep = (total > 1) & (n == 1)
         found, hits = np.unique(owner[keep], return_counts=True)
-        return pa.table({"owner": found.astype(np.int64), "hits": hits.astype(np.int64)})
+        return by_group(np.zeros(len(found), _U), found, hits)
 
     def by_group(v: np.ndarray, owner: np.ndarray, total: np.ndarray) -> pa.Table:
         packer = zstandard.ZstdCompressor(level=1)
@@ -189,8 +189,13 @@ def shared_counts(table: DataFrame, read: Reader, n_buckets: int, hot: np.ndarra
                 for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         return pa.table({n: pa.array([r[k] for r in rows], kind) for k, (n, kind) in enumerate((("group", pa.int64()), ("packed", pa.binary()), ("n", pa.int32())))})
 
-    out = "group long, packed binary, n int" if with_values else "owner long, hits long"
-    return table.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(settle, out)
+    def add_up(part: pa.Table) -> pa.Table:
+        _, owner, hits = answers(part)
+        owner, inverse = np.unique(owner, return_inverse=True)
+        return pa.table({"owner": owner.astype(np.int64), "hits": np.bincount(inverse, hits).astype(np.int64)})
+
+    answered = table.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(settle, "group long, packed binary, n int")
+    return answered if with_values else answered.groupBy("group").applyInArrow(add_up, "owner long, hits long")
 
 
 def answers(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
