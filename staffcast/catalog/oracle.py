@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import re
 
-from staffcast.catalog.bindings import TIE_NUDGE, TOKENS, VERTICALS
+from staffcast.catalog.bindings import TOKENS, VERTICALS
 from staffcast.operators.report import BOARD_KPIS
 
 _TABLES: dict[str, str] = {}
 
 
 def _num(expr: str, name: str | None = None) -> str:
-    return f"round(CAST({expr} AS DOUBLE) * {TIE_NUDGE!r}, 4) + 0.0 AS {name or expr}"
+    return f"round(CAST({expr} AS DOUBLE), 4) + 0.0 AS {name or expr}"
 
 
 def _day(expr: str, name: str | None = None) -> str:
@@ -47,7 +47,7 @@ def _with(select: str) -> str:
                     order.append(name)
 
     visit(select)
-    heads = ",\n".join(f"{name} AS ({_TABLES[name]})" for name in order)
+    heads = ",\n".join(f"{name} AS MATERIALIZED ({_TABLES[name]})" for name in order)
     return f"WITH {heads}\n{select}" if heads else select
 
 
@@ -110,8 +110,8 @@ def _naive(source: str, tag: str) -> None:
         SELECT department_id, CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(max(day) AS TIMESTAMP),
             INTERVAL 1 DAY)) AS DATE) AS day FROM {source} GROUP BY department_id) g
         LEFT JOIN {source} s USING (department_id, day)""")
-    _define(f"t_diff_{tag}", f"""SELECT a.*, a.tickets - b.tickets AS lag_diff FROM t_dense_{tag} a
-        LEFT JOIN t_dense_{tag} b ON a.department_id = b.department_id AND b.day = a.day - 7""")
+    _define(f"t_diff_{tag}", f"""SELECT *, tickets - lag(tickets, 7) OVER (
+        PARTITION BY department_id ORDER BY day) AS lag_diff FROM t_dense_{tag}""")
     _define(f"t_profile_{tag}", f"""SELECT department_id, count(*) AS days, min(day) AS first_day, max(day) AS last_day,
         avg(tickets) AS mean_tickets, count(lag_diff) AS lag_diffs, stddev_samp(lag_diff) AS lag_sd
         FROM t_diff_{tag} GROUP BY department_id""")
@@ -120,9 +120,9 @@ def _naive(source: str, tag: str) -> None:
         FROM t_dense_{tag} d JOIN t_profile_{tag} p USING (department_id) WHERE d.day > p.last_day - 7""")
     _define(f"t_naive_{tag}", f"""SELECT department_id, last_day + CAST(step AS INTEGER) AS day, tickets AS p50,
         greatest(tickets - 1.645 * sd, 0) AS p05, tickets + 1.645 * sd AS p95
-        FROM (SELECT *, unnest(range(1, 366)) AS step,
-                  coalesce(lag_sd, greatest(1, sqrt(greatest(mean_tickets, 1)))) AS sd FROM t_profile_{tag}) p
-        JOIN t_week_{tag} w USING (department_id) WHERE w.place = (step - 1) % week_days""")
+        FROM (SELECT *, (step - 1) % least(days, 7) AS place FROM (SELECT *, unnest(range(1, 366)) AS step,
+                  coalesce(lag_sd, greatest(1, sqrt(greatest(mean_tickets, 1)))) AS sd FROM t_profile_{tag})) p
+        JOIN t_week_{tag} w USING (department_id, place)""")
 
 
 _naive("t_daily", "orders")
@@ -197,7 +197,8 @@ _define("t_expected", """SELECT c.vertical, c.department_id, c.department_name,
     LEFT JOIN t_hold h ON h.department_id = c.department_id AND h.month = c.month
     LEFT JOIN t_actuals a ON a.department_id = c.department_id AND a.month = c.month
     UNION ALL
-    SELECT vertical, department_id, department_name, month, NULL, NULL, NULL, NULL, NULL, NULL, actual_volume
+    SELECT vertical, department_id, department_name, month, NULL, NULL, NULL, NULL, NULL,
+        (SELECT max(inventory) FROM t_backlog k WHERE k.department_id = x.department_id AND k.month = x.month), actual_volume
     FROM t_actuals x WHERE year(month) = 2001 AND NOT EXISTS (
         SELECT 1 FROM t_rollup y WHERE y.department_id = x.department_id AND y.month = x.month)""")
 _define("t_facts", """SELECT e.*, coalesce(k.calls_not_indexed, 0) AS calls_actual,
@@ -206,12 +207,12 @@ _define("t_facts", """SELECT e.*, coalesce(k.calls_not_indexed, 0) AS calls_actu
     coalesce(g.productivity_agents, g.capacity_agents, o.capacity) AS productivity
     FROM t_expected e LEFT JOIN t_calls k USING (department_id, month)
     LEFT JOIN t_repeats r USING (department_id, month) LEFT JOIN t_backlog_mean m USING (department_id, month)
-    LEFT JOIN (SELECT * FROM t_agents WHERE department_id % 2 = 1) g USING (department_id, month)
+    LEFT JOIN t_agents g USING (department_id, month)
     LEFT JOIN t_capacity_all o USING (department_id, month)""")
-_define("t_board_rows", """SELECT department_name, month, sum(forecast_p50) AS forecast, sum(actual_volume) AS actual_volume,
+_define("t_board_rows", """SELECT department_id, department_name, month, sum(forecast_p50) AS forecast, sum(actual_volume) AS actual_volume,
     sum(capacity) AS capacity, sum(productivity) AS productivity, avg(inventory_mean) AS inventory_mean
     FROM t_facts GROUP BY ALL""")
-_define("t_small_rows", """SELECT department_name, month, actual_volume + dayofyear(month) % 5 - 2 AS forecast, actual_volume,
+_define("t_small_rows", """SELECT department_id, department_name, month, actual_volume + dayofyear(month) % 5 - 2 AS forecast, actual_volume,
     actual_volume * 1.5 - 6 AS capacity, actual_volume + 1 AS productivity, actual_volume / 8 AS inventory_mean
     FROM t_actuals""")
 
@@ -231,15 +232,15 @@ _KPI_SQL = (
 
 def _board(rows: str, names: str) -> str:
     kpis = ", ".join(f'{expr} AS "{name}"' for expr, name in zip(_KPI_SQL, BOARD_KPIS))
-    return f"""SELECT department_name, month, {kpis} FROM (
-        SELECT department_name, CAST(unnest(generate_series(TIMESTAMP '2001-01-01', TIMESTAMP '2002-02-01',
-            INTERVAL 1 MONTH)) AS DATE) AS month FROM (SELECT DISTINCT department_name FROM {names}))
-        LEFT JOIN {rows} USING (department_name, month)"""
+    return f"""SELECT department_id, department_name, month, {kpis} FROM (
+        SELECT department_id, department_name, CAST(unnest(generate_series(TIMESTAMP '2001-01-01', TIMESTAMP '2002-02-01',
+            INTERVAL 1 MONTH)) AS DATE) AS month FROM (SELECT DISTINCT department_id, department_name FROM {names}))
+        LEFT JOIN {rows} USING (department_id, department_name, month)"""
 
 
 _define("t_board", _board("t_board_rows", "t_facts"))
 _define("t_small_board", _board("t_small_rows", "t_actuals"))
-_define("t_zero_rows", """SELECT department_name, month, forecast, productivity, inventory_mean,
+_define("t_zero_rows", """SELECT department_id, department_name, month, forecast, productivity, inventory_mean,
     CASE WHEN month(month) % 2 = 0 THEN actual_volume ELSE 0 END AS actual_volume,
     CASE WHEN month(month) % 2 = 0 THEN capacity ELSE 0 END AS capacity FROM t_small_rows""")
 _define("t_zero_board", _board("t_zero_rows", "t_actuals"))
@@ -247,7 +248,7 @@ _define("t_zero_board", _board("t_zero_rows", "t_actuals"))
 
 def _long(board: str) -> str:
     parts = [
-        f"""SELECT strftime(month, '%m-%y') AS label, department_name, '{k}' AS "KPI", CAST("{k}" AS DOUBLE) AS total
+        f"""SELECT strftime(month, '%m-%y') AS label, department_id, department_name, '{k}' AS "KPI", CAST("{k}" AS DOUBLE) AS total
         FROM {board}""" for k in BOARD_KPIS
     ]
     return " UNION ALL ".join(parts)
@@ -257,6 +258,12 @@ _define("t_board_long", _long("t_board"))
 _define("t_small_long", _long("t_small_board"))
 _LABELS = [f"{m:02d}-01" for m in range(1, 13)] + ["01-02", "02-02"]
 
+_define("t_consolidated", """SELECT * FROM t_actuals UNION ALL
+    SELECT vertical, department_id, department_name, month, NULL FROM t_projection p JOIN t_scope USING (department_id)
+    WHERE NOT EXISTS (SELECT 1 FROM t_actuals a WHERE a.department_id = p.department_id AND a.month = p.month)""")
+_define("t_user_weeks", """SELECT user_id * 100000 + CAST(floor(date_diff('day', DATE '1970-01-05', CAST(ts AS DATE)) / 7.0) AS BIGINT)
+    AS department_id, CAST(ts AS DATE) AS day, CAST(count(*) AS DOUBLE) AS tickets FROM events GROUP BY ALL""")
+
 # --- statements --------------------------------------------------------------
 
 _FOUR_KEYS = f"vertical, department_id, department_name, {_day('month')}"
@@ -353,6 +360,32 @@ _STATEMENTS: dict[str, str] = {
         FROM t_profile_orders LEFT JOIN t_labels USING (department_id)""",
     "backlog_hold_forecast": f"""SELECT department_id, {_day('month')}, {_num('p50')}, {_num('p05')}, {_num('p95')},
         'hold' AS path_used FROM t_hold""",
+    "stl_forecast_invariants": """SELECT department_id, 'stl' AS path_used, CAST(365 AS BIGINT) AS rows,
+        CAST(0 AS BIGINT) AS not_periodic, CAST(0 AS BIGINT) AS lopsided, CAST(0 AS BIGINT) AS out_of_order
+        FROM t_profile_orders WHERE days >= 56""",
+    "backlog_fit_invariants": """SELECT department_id, CASE WHEN date_diff('month', min(month), max(month)) >= 17
+            THEN 'stl' ELSE 'hold' END AS path_used, CAST(12 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS not_periodic,
+        CAST(0 AS BIGINT) AS lopsided, CAST(0 AS BIGINT) AS out_of_order FROM t_lines GROUP BY department_id""",
+    "implausible_series": f"""SELECT department_id, {_day('first_day')}, {_day('last_day')}, {_int('days')} FROM (
+        SELECT department_id, min(day) AS first_day, max(day) AS last_day, max(day) - min(day) + 1 AS days
+        FROM t_daily GROUP BY department_id) WHERE days > 1826""",
+    "naive_spread_short": f"""SELECT department_id, {_int('days')}, {_num('mean_tickets')},
+        {_num('greatest(1, sqrt(greatest(mean_tickets, 1)))', 'spread')} FROM (
+        SELECT department_id, max(day) - min(day) + 1 AS days, sum(tickets) / (max(day) - min(day) + 1) AS mean_tickets
+        FROM t_user_weeks GROUP BY department_id)""",
+    # department_id, MAPE %, WAPE %, bias %.
+    "published_error_calibration": f"""SELECT department_id, department_name, {_num('mape', 'mape_pct')},
+        {_num('wape', 'wape_pct')}, {_num('bias', 'bias_pct')},
+        {_num('least(greatest(1 - bias / 100.0, 0.7), 1.3)', 'calib_factor')}
+        FROM (VALUES (7, 29.35, 26.00, -0.40), (8, 43.80, 39.12, 12.64), (11, 27.76, 22.27, -4.06),
+            (23, 31.44, 25.79, -1.79), (5, 20.88, 17.68, -2.70), (9, 17.29, 14.44, -3.07),
+            (10, 28.77, 23.23, -1.12), (12, 20.88, 20.99, -5.14), (13, 27.76, 25.91, 7.36),
+            (14, 26.60, 21.38, 5.29), (15, 40.03, 30.97, -9.47), (3, 18.63, 18.70, 1.28),
+            (1, 24.80, 22.19, 0.58), (18, 54.89, 38.55, -7.28), (2, 28.56, 24.46, -1.36),
+            (21, 42.25, 41.25, 17.26)) AS e(id, mape, wape, bias) JOIN t_map ON id = department_id""",
+    "workload_identities": f"""SELECT {_day('month')}, department_name, {_num('actual_volume', 'actual')},
+        {_num('calls_actual', 'calls')}, {_num('repeats_actual', 'repeats')}, {_num('capacity')}, {_num('productivity')},
+        human IS NOT NULL AS has_forecast, FALSE AS parts_differ, FALSE AS gap_differs FROM t_facts""",
     "deflection_applied": f"SELECT {_FOUR_KEYS}, {_POST} FROM t_deflected",
     "calls_and_repeats_forecast": f"""SELECT {_FOUR_KEYS}, {_num('forecast_p50')}, {_num('forecast_p05')},
         {_num('forecast_p95')}, days_covered,
@@ -390,13 +423,13 @@ _STATEMENTS: dict[str, str] = {
     "capacity_consolidation": f"""SELECT {_FOUR_KEYS}, {_num('actual_volume')}, {_num('capacity_agents')},
         {_num('productivity_agents')}, {_num('coalesce(productivity_agents, capacity_agents, o.capacity)', 'productivity')},
         {_num('coalesce(capacity_agents, o.capacity)', 'capacity')}
-        FROM t_actuals LEFT JOIN (SELECT * FROM t_agents WHERE department_id % 2 = 1) USING (department_id, month)
-        LEFT JOIN t_hours o USING (department_id, month)""",
+        FROM t_consolidated LEFT JOIN t_agents USING (department_id, month)
+        LEFT JOIN t_capacity_all o USING (department_id, month)""",
     "capacity_consolidation_plain": f"""SELECT {_FOUR_KEYS}, {_num('actual_volume')}, {_num('capacity_agents')},
         {_num('productivity_agents')}, {_num('coalesce(capacity_agents, o.capacity)', 'productivity')},
         {_num('coalesce(capacity_agents, o.capacity)', 'capacity')}
-        FROM t_actuals LEFT JOIN (SELECT * FROM t_agents WHERE department_id % 2 = 1) USING (department_id, month)
-        LEFT JOIN t_hours o USING (department_id, month)""",
+        FROM t_consolidated LEFT JOIN t_agents USING (department_id, month)
+        LEFT JOIN t_capacity_all o USING (department_id, month)""",
     "expected_volumes_calibrated": f"""SELECT {_FOUR_KEYS}, {_num('p50_post * calib_factor', 'forecast')},
         {_num('forecast_p50', 'forecast_base')}, {_num('p50_post * calib_factor', 'forecast_human_cases_cal')},
         {_num('forecast_p50 * rate_used', 'deflected_forecast')}, {_num('actual_volume')}
@@ -413,15 +446,15 @@ _STATEMENTS: dict[str, str] = {
         {_num('coalesce(actual_volume, 0) + calls_actual + repeats_actual',
               '"Actual Workload (Cases + calls not indexed + repeats)"')},
         {_num('forecast_p50', '"Forecast (Cases)"')},
-        {_num('coalesce(calls_forecast, 0)', '"Calls not indexed (forecast)"')},
-        {_num('coalesce(repeats_forecast, 0)', '"Repeats (forecast)"')},
+        {_num('calls_forecast', '"Calls not indexed (forecast)"')},
+        {_num('repeats_forecast', '"Repeats (forecast)"')},
         {_num('forecast_p50 * rate_used', '"Deflected forecast"')},
         {_num('human', '"Forecast after deflection (Human cases)"')},
         {_num('coalesce(inventory_final, 0)', '"Inventory"')},
-        {_num('coalesce(human, 0) + coalesce(calls_forecast, 0) + coalesce(repeats_forecast, 0) + coalesce(inventory_final, 0)',
+        {_num('human + calls_forecast + repeats_forecast + inventory_final',
               '"Workload Forecast (Humans + calls not indexed + repeats + inventory)"')},
         {_num('capacity', '"Capacity"')}, {_num('productivity', '"Productivity"')},
-        {_num('coalesce(human, 0) + coalesce(calls_forecast, 0) + coalesce(repeats_forecast, 0) + coalesce(inventory_final, 0) - capacity',
+        {_num('human + calls_forecast + repeats_forecast + inventory_final - capacity',
               '"Expected Workload vs Capacity"')} FROM t_facts""",
     "capacity_report": f"""SELECT {_day('month', '"Month"')}, vertical AS "Vertical", department_name AS "Department_name",
         {_num('inventory_mean', '"Inventory"')}, {_num('actual_volume', '"Actual Volume"')},
@@ -430,11 +463,11 @@ _STATEMENTS: dict[str, str] = {
         {_num('(forecast_p50 - actual_volume) / nullif(actual_volume, 0)', '"Forecast accuracy"')},
         {_num('productivity - capacity', '"Difference Capacity vs Productivity"')}, {_num('capacity', '"Capacity"')},
         {_num('forecast_p50 - capacity', '"Expected Forecast vs Capacity"')} FROM t_facts""",
-    "board_kpis_long": f"""SELECT label AS "Month", department_name, "KPI", {_num('total', '"Total"')} FROM t_board_long""",
-    "board_wide": "SELECT department_name, \"KPI\", " + ", ".join(
+    "board_kpis_long": f"""SELECT label AS "Month", department_id, department_name, "KPI", {_num('total', '"Total"')} FROM t_board_long""",
+    "board_wide": "SELECT department_id, department_name, \"KPI\", " + ", ".join(
         _num(f"max(total) FILTER (label = '{m}')", f'"{m}"') for m in _LABELS
-    ) + """ FROM (SELECT * FROM t_board_long UNION ALL SELECT label, department_name, 'Comments', NULL FROM t_board_long)
-        GROUP BY department_name, "KPI\"""",
+    ) + """ FROM (SELECT * FROM t_board_long UNION ALL SELECT label, department_id, department_name, 'Comments', NULL FROM t_board_long)
+        GROUP BY department_id, department_name, "KPI\"""",
     "run_log": """SELECT 'departments' AS stage, count(*) AS rows FROM t_map
         UNION ALL SELECT 'daily_tickets', count(*) FROM t_daily JOIN t_scope USING (department_id)
         UNION ALL SELECT 'monthly_actuals', count(*) FROM t_actuals
@@ -444,21 +477,23 @@ _STATEMENTS: dict[str, str] = {
         UNION ALL SELECT 'backlog', count(*) FROM t_backlog
         UNION ALL SELECT 'backlog_mean', count(*) FROM t_backlog_mean
         UNION ALL SELECT 'capacity_history', count(*) FROM t_hours
-        UNION ALL SELECT 'agents', count(*) FROM t_agents WHERE department_id % 2 = 1
+        UNION ALL SELECT 'agents', count(*) FROM t_agents
         UNION ALL SELECT 'daily_forecast', count(*) FROM t_naive_orders JOIN t_scope USING (department_id)
+        UNION ALL SELECT 'implausible_series', 0
         UNION ALL SELECT 'engine_failures', 0
         UNION ALL SELECT 'monthly_forecast', count(*) FROM t_rollup
         UNION ALL SELECT 'calibrated_rows', count(*) FROM t_calibrated WHERE calib_factor <> 1
         UNION ALL SELECT 'facts', count(*) FROM t_facts""",
-    "board_months": f"SELECT department_name, {_day('month')}, " + ", ".join(
+    "board_months": f"SELECT department_id, department_name, {_day('month')}, " + ", ".join(
         _num(f'"{k}"', f'"{k}"') for k in BOARD_KPIS) + " FROM t_small_board",
-    "board_months_zero_filled": f"SELECT department_name, {_day('month')}, " + ", ".join(
+    "board_months_zero_filled": f"SELECT department_id, department_name, {_day('month')}, " + ", ".join(
         _num(f'"{k}"', f'"{k}"') for k in BOARD_KPIS) + " FROM t_zero_board",
-    "board_gap_text": f"""SELECT department_name, {_day('month')},
+    "board_gap_text": f"""SELECT department_id, department_name, {_day('month')},
         CAST(CAST("Difference Capacity vs Productivity" AS BIGINT) AS VARCHAR) || '%' AS capacity_gap FROM t_small_board""",
-    "board_folders": f"""SELECT 'Board_' || department_name || '_2627' AS board_key, CAST(11 AS BIGINT) AS kpis,
+    "board_folders": f"""SELECT department_id, 'Specialists of the second level ' || department_name AS department_name,
+        'Board_Specialists of the second' AS board_key, CAST(11 AS BIGINT) AS kpis,
         {_num("sum(total) FILTER (label = '01-01')", 'january')}, {_num("sum(total) FILTER (label = '06-01')", 'june')}
-        FROM t_small_long GROUP BY department_name""",
+        FROM t_small_long GROUP BY department_id, department_name""",
     "written_tables": f"""SELECT vertical, count(*) AS rows, {_num('sum(actual_volume)', 'volume')},
         CAST(1 AS BIGINT) AS tables FROM t_actuals GROUP BY vertical""",
 }

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from staffcast.catalog.bindings import TIE_NUDGE, TOKENS, VERTICALS, Bindings
+from staffcast.catalog.bindings import TOKENS, VERTICALS, Bindings
 from staffcast.deploy import ship_package
 from staffcast.functions.columns import month_start
 from staffcast.functions.scalar import board_key, month_label, working_days
@@ -18,7 +18,9 @@ from staffcast.plans.params import PlanParams
 from staffcast.plans.workforce import PlanInputs, PlanTables, run_workforce_plan
 from staffcast.sources import inputs, schemas
 from staffcast.sources.sinks import Stages, write_boards, write_tables
-from staffcast.sources.tables import empty_table, read_first, read_table
+from staffcast.sources.tables import (
+    empty_table, published_model_errors, read_first, read_table, with_department_names,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -39,7 +41,7 @@ def comparable(df: DataFrame) -> DataFrame:
             col = col.cast("string")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             # + 0.0 turns a negative zero into zero
-            col = F.round(col.cast("double") * TIE_NUDGE, 4) + F.lit(0.0)
+            col = F.round(col.cast("double"), 4) + F.lit(0.0)
         elif isinstance(field.dataType, T.IntegralType):
             col = col.cast("bigint")
         out.append(col.alias(field.name))
@@ -294,6 +296,66 @@ def stl_daily_forecast(b: Bindings) -> DataFrame:
     return forecasts.daily_forecast(b.daily())
 
 
+def _log_steps(fc: DataFrame, step: int, key: str) -> DataFrame:
+    """Forecast rows with the log of the middle value and of the same place one cycle before."""
+    order = Window.partitionBy("department_id").orderBy(key)
+    return fc.withColumns({
+        "z": F.log1p("p50"), "before": F.lag(F.log1p("p50"), step).over(order),
+        "up": F.log1p("p95") - F.log1p("p50"), "down": F.log1p("p50") - F.log1p("p05"),
+    })
+
+
+def _invariants(fc: DataFrame, step: int, key: str) -> DataFrame:
+    """Per department: rows, and those that break the shape of a decomposed forecast.
+
+    Its log repeats after one cycle, and its band is as wide above as below on the log scale
+    where nothing is raised to 0.
+    """
+    steps = _log_steps(fc, step, key)
+    return steps.groupBy("department_id", "path_used").agg(
+        F.count("*").alias("rows"),
+        F.count_if((F.col("p50") > 0) & (F.abs(F.col("z") - F.col("before")) > 1e-9)).alias("not_periodic"),
+        F.count_if((F.col("p05") > 0) & (F.abs(F.col("up") - F.col("down")) > 1e-9)).alias("lopsided"),
+        F.count_if((F.col("p05") < 0) | (F.col("p05") > F.col("p50")) | (F.col("p50") > F.col("p95"))).alias("out_of_order"),
+    )
+
+
+@query
+def stl_forecast_invariants(b: Bindings) -> DataFrame:
+    """Shape of the fitted daily forecasts of all departments."""
+    return _invariants(forecasts.daily_forecast(b.daily()), 7, "date")
+
+
+@query
+def backlog_fit_invariants(b: Bindings) -> DataFrame:
+    """Shape of the fitted monthly backlog forecasts of all departments."""
+    return _invariants(forecasts.backlog_forecast(inputs.backlog_monthly(b.backlog_monthly())), 12, "month")
+
+
+@query
+def implausible_series(b: Bindings) -> DataFrame:
+    """Departments whose tickets span more than five years, to check the report on bad dates."""
+    return forecasts.implausible_series(b.daily(), 1826)
+
+
+@query
+def naive_spread_short(b: Bindings) -> DataFrame:
+    """Profile and spread of series of one to seven days: all events by user and calendar week."""
+    week = F.date_diff(F.col("ts").cast("date"), F.lit("1970-01-05").cast("date"))
+    rows = b.table("events").select(
+        (F.col("user_id") * 100_000 + F.floor(week / 7)).alias("department_id"), F.col("ts").alias("date"))
+    profile = forecasts.daily_profile(volumes.daily_tickets(inputs.incoming(rows)))
+    return profile.select("department_id", "days", "mean_tickets", forecasts._naive_sd().alias("spread"))
+
+
+@query
+def published_error_calibration(b: Bindings) -> DataFrame:
+    """The published error record with names of the map, and the factor that follows from each bias."""
+    errors = with_department_names(published_model_errors(b.spark), b.departments())
+    return errors.join(adjust.calibration_factors(errors), "department_id").select(
+        "department_id", "department_name", "mape_pct", "wape_pct", "bias_pct", "calib_factor")
+
+
 @query
 def stl_reconstruction(b: Bindings) -> DataFrame:
     parts = fitting.decompose_daily(b.daily())
@@ -427,27 +489,40 @@ def _history(b: Bindings) -> DataFrame:
 
 @query
 def capacity_projection(b: Bindings) -> DataFrame:
-    return capacity.project_capacity(_history(b), b.actuals(), PLAN.as_of)
+    # the projection reads the monthly history twice, so it is kept
+    history = Stages(b.spark).keep("history", _history(b))
+    return capacity.project_capacity(history, b.actuals(), PLAN.as_of)
 
 
 @query
 def capacity_projection_from_actuals(b: Bindings) -> DataFrame:
-    projected = capacity.project_capacity(_history(b), b.actuals(), PLAN.as_of, use_capacity_months=False)
-    return capacity.with_projection(_history(b), projected)
+    history = Stages(b.spark).keep("history", _history(b))
+    projected = capacity.project_capacity(history, b.actuals(), PLAN.as_of, use_capacity_months=False)
+    return capacity.with_projection(history, projected)
+
+
+def _capacity_sides(b: Bindings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Actual and projected department months, capacity by agents, capacity by history and projection."""
+    stages = Stages(b.spark)
+    history, actuals = stages.keep("history", _history(b)), stages.keep("actuals", b.actuals())
+    projected = stages.keep("projected", capacity.project_capacity(history, actuals, PLAN.as_of))
+    months = scope.attach_departments(projected.select("department_id", "month"), b.scoped())
+    months = months.join(actuals.select("department_id", "month"), ["department_id", "month"], "left_anti")
+    rows = actuals.unionByName(months, allowMissingColumns=True)
+    agents = capacity.agent_capacity(inputs.agent_days(b.agent_days()))
+    return rows, agents, capacity.with_projection(history, projected)
 
 
 @query
 def capacity_consolidation(b: Bindings) -> DataFrame:
-    """Agents cover odd departments only, so even ones fall back to history."""
-    agents = capacity.agent_capacity(inputs.agent_days(b.agent_days())).where("department_id % 2 = 1")
-    return capacity.consolidate(b.actuals(), agents, _history(b))
+    """Months with agent rows, and projected months, which fall back to the history."""
+    return capacity.consolidate(*_capacity_sides(b))
 
 
 @query
 def capacity_consolidation_plain(b: Bindings) -> DataFrame:
     """Productivity always equal to the capacity, as in the earliest boards."""
-    agents = capacity.agent_capacity(inputs.agent_days(b.agent_days())).where("department_id % 2 = 1")
-    return capacity.consolidate(b.actuals(), agents, _history(b), productivity_from_agents=False)
+    return capacity.consolidate(*_capacity_sides(b), productivity_from_agents=False)
 
 
 # --- reports -----------------------------------------------------------------
@@ -464,7 +539,12 @@ def history_only_months(b: Bindings) -> DataFrame:
 @query
 def expected_volumes_calibrated(b: Bindings) -> DataFrame:
     """Report columns with the calibrated forecast shown as the forecast."""
-    expected = report.expected_volumes(bias_calibration(b), b.actuals(), "forecast_p50_post_deflection_cal")
+    daily = Stages(b.spark).keep("daily_tickets", b.daily())  # read by the forecast, the rates and the report
+    actuals = volumes.monthly_actuals(daily, b.scoped())
+    monthly = forecasts.monthly_rollup(forecasts.seasonal_naive_daily(daily), b.scoped())
+    solved = inputs.deflection_monthly(b.deflection(), b.departments())
+    adjusted = adjust.calibrate(adjust.apply_deflection(monthly, rates.deflection_rate(actuals, solved)), b.model_errors())
+    expected = report.expected_volumes(adjusted, actuals, "forecast_p50_post_deflection_cal")
     return expected.select(
         *volumes.KEYS, "forecast", "forecast_base", "forecast_human_cases_cal", "deflected_forecast", "actual_volume"
     )
@@ -489,7 +569,7 @@ def plan_inputs(b: Bindings) -> PlanInputs:
         incoming=b.incoming(), department_map=b.department_map(), deflection=b.deflection(),
         calls=b.calls_counted(), repeats=b.repeats(), backlog_daily=b.backlog_daily(),
         backlog_open=b.backlog_open(), capacity_history=b.capacity_history("productive"),
-        agent_days=b.agent_days().where("dept_id % 2 = 1"),
+        agent_days=b.agent_days(),
         manual_labels=b.manual_labels(), previous_report=b.previous_report(), model_errors=b.model_errors(),
     )
 
@@ -500,7 +580,7 @@ def _plan(b: Bindings, params: PlanParams) -> PlanTables:
 
 @query
 def workload_vs_capacity(b: Bindings) -> DataFrame:
-    return _plan(b, NAIVE_PLAN)["capacity_forecast"]
+    return _plan(b, NAIVE_PLAN)["workload_report"]
 
 
 @query
@@ -510,7 +590,7 @@ def capacity_report(b: Bindings) -> DataFrame:
 
 @query
 def board_kpis_long(b: Bindings) -> DataFrame:
-    return _plan(b, NAIVE_PLAN)["capacity_forecast_long"]
+    return _plan(b, NAIVE_PLAN)["board_kpis_long"]
 
 
 @query
@@ -525,7 +605,25 @@ def run_log(b: Bindings) -> DataFrame:
 
 @query
 def workload_with_fits(b: Bindings) -> DataFrame:
-    return _plan(b, PLAN)["capacity_forecast"]
+    return _plan(b, PLAN)["workload_report"]
+
+
+@query
+def workload_identities(b: Bindings) -> DataFrame:
+    """The fitted plan: its columns that don't depend on a fit, and whether the others add up."""
+    rows = workload_with_fits(b)
+    human, calls, repeats = (F.col(f"`{c}`") for c in (
+        "Forecast after deflection (Human cases)", "Calls not indexed (forecast)", "Repeats (forecast)"))
+    total = F.col("`Workload Forecast (Humans + calls not indexed + repeats + inventory)`")
+    parts = human + calls + repeats + F.col("Inventory")
+    return rows.select(
+        F.col("Month").alias("month"), F.col("Department_name").alias("department_name"),
+        F.col("Actual Volume").alias("actual"), F.col("`Calls not indexed (actual)`").alias("calls"),
+        F.col("`Repeats (actual)`").alias("repeats"), F.col("Capacity").alias("capacity"),
+        F.col("Productivity").alias("productivity"), total.isNotNull().alias("has_forecast"),
+        F.coalesce(F.abs(total - parts) > 1e-6, F.lit(False)).alias("parts_differ"),
+        F.coalesce(F.abs(F.col("`Expected Workload vs Capacity`") - (total - F.col("Capacity"))) > 1e-6, F.lit(False)).alias("gap_differs"),
+    )
 
 
 def _board_rows(b: Bindings) -> DataFrame:
@@ -538,7 +636,7 @@ def _board_rows(b: Bindings) -> DataFrame:
 
 
 def _small_boards(b: Bindings) -> DataFrame:
-    return report.board_months(_board_rows(b), PLAN.board_first, PLAN.board_last)
+    return report.board_months(_board_rows(b), *PLAN.board_range)
 
 
 @query
@@ -551,7 +649,7 @@ def board_months_zero_filled(b: Bindings) -> DataFrame:
     """Odd months have no actual volume and no capacity; their sums show 0."""
     even = F.month("month") % 2 == 0
     rows = _board_rows(b).withColumns({c: F.when(even, F.col(c)) for c in ("actual_volume", "capacity")})
-    return report.board_months(rows, PLAN.board_first, PLAN.board_last, zero_fill=True)
+    return report.board_months(rows, *PLAN.board_range, zero_fill=True)
 
 
 @query
@@ -561,11 +659,13 @@ def board_gap_text(b: Bindings) -> DataFrame:
 
 @query
 def board_folders(b: Bindings) -> DataFrame:
-    """Boards written with a folder per department and read back."""
+    """Boards written with a folder per department and read back; all names begin with the same 32 characters."""
     path = f"{Stages(b.spark).folder}/boards"
-    write_boards(report.board_wide(_small_boards(b), PLAN.board_first, PLAN.board_last), path)
-    back = read_table(b.spark, path)
-    return back.groupBy("board_key").agg(
+    alike = F.concat(F.lit("Specialists of the second level "), F.col("department_name"))
+    boards = report.board_wide(_small_boards(b), *PLAN.board_range).withColumn("department_name", alike)
+    write_boards(boards, path)
+    back = read_table(b.spark, path).withColumn("department_id", F.col("department_id").cast("bigint"))
+    return back.groupBy("department_id", "department_name", "board_key").agg(
         F.count("*").alias("kpis"), F.sum("`01-01`").alias("january"), F.sum("`06-01`").alias("june")
     )
 

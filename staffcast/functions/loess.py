@@ -13,6 +13,11 @@ from dataclasses import dataclass
 import numpy as np
 
 
+# Median gaps below this part of the largest value are rounding noise: the fit is exact and
+# all points keep their full weight.
+EXACT_FIT = 1e-9
+
+
 def odd_at_least(value: float) -> int:
     """Smallest odd whole number not below ``value``."""
     whole = int(np.ceil(value))
@@ -116,8 +121,8 @@ def decompose(y: np.ndarray, period: int, inner: int = 2, outer: int = 15, seaso
         if round_no < outer:
             gap = np.abs(y - trend - seasonal)
             cut = 6.0 * np.median(gap)
-            if cut <= 0:
-                weights = (gap <= 0).astype(float)
+            if cut <= 6.0 * EXACT_FIT * np.max(np.abs(y), initial=0.0):
+                weights = None
                 continue
             share = gap / cut
             weights = np.where(share <= 0.001, 1.0, (1.0 - np.minimum(share, 1.0) ** 2) ** 2)

@@ -11,17 +11,28 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from staffcast.functions import loess, seasonal_arma
 
 FIT_SCHEMA = (
-    "department_id bigint, fit_path string, engine_used string, engine_failed boolean, level double, "
+    "department_id bigint, fit_path string, engine_used string, engine_failed boolean, fit_error string, level double, "
     "season array<double>, log_sd double, log_path array<double>"
 )
 FIT_COLUMNS = [field.split()[0] for field in FIT_SCHEMA.split(", ")]
 DEFAULT_ENGINE = "Baseline(STL)"
 ARMA_ENGINE = "SARIMAX-7"
+# Longest series that is fitted, in days: a century. Dates further apart are taken for wrong ones.
+MAX_SPAN_DAYS = 36525
+
+
+def day_number(day: Column) -> Column:
+    """Days since 1970 as a plain number; fits work on these, since pandas' dates end in 2262."""
+    return F.unix_date(day)
+
+
+def month_number(month: Column) -> Column:
+    return (F.year(month) * 12 + F.month(month)).cast("int")
 
 
 def spread_by_key(series: DataFrame, key: str = "department_id") -> DataFrame:
@@ -39,20 +50,25 @@ def spread_by_key(series: DataFrame, key: str = "department_id") -> DataFrame:
 
 
 def _evenly_spaced(slot: np.ndarray, value: np.ndarray) -> np.ndarray:
-    dense = np.zeros(int(slot.max() - slot.min()) + 1)
+    span = int(slot.max() - slot.min()) + 1
+    if span > MAX_SPAN_DAYS:
+        raise ValueError(f"first and last row are {span} steps apart")
+    dense = np.zeros(span)
     dense[slot - slot.min()] = np.nan_to_num(value)
     return dense
 
 
 def decomposition_row(y: np.ndarray, period: int) -> dict:
     """Level, last cycle and remainder spread of ``log(1 + y)``."""
-    parts = loess.decompose(np.log1p(y), period)
+    z = np.log1p(y)
+    parts = loess.decompose(z, period)
     spread = float(np.std(parts.remainder, ddof=1)) if len(y) > 1 else 0.0
+    known = spread > loess.EXACT_FIT * float(np.max(np.abs(z)))
     return {
         "fit_path": "stl",
         "level": float(parts.trend[-1]),
         "season": parts.seasonal[-period:].tolist(),
-        "log_sd": spread if spread > 0 else 0.5,
+        "log_sd": spread if known else 0.5,
     }
 
 
@@ -74,23 +90,28 @@ def daily_fitter(horizon: int, min_days: int) -> Callable[[pd.DataFrame], pd.Dat
     """Grouped-map function choosing the engine by label, with decomposition as the fallback."""
 
     def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
-        slot = (pd.to_datetime(pdf["date"]) - pd.Timestamp(0)).dt.days.to_numpy()
-        y = _evenly_spaced(slot, pdf["tickets"].to_numpy(dtype=float))
-        row, engine = None, pdf["model"].iloc[0]
-        if engine == ARMA_ENGINE:
+        asked = pdf["model"].iloc[0]
+        row, engine, error = None, asked, None
+        try:
+            y = _evenly_spaced(pdf["slot"].to_numpy(), pdf["tickets"].to_numpy(dtype=float))
+        except Exception as problem:
+            return _fit_frame(pdf, {
+                "fit_path": "naive", "engine_used": DEFAULT_ENGINE, "engine_failed": True, "fit_error": str(problem)[:200]})
+        if asked == ARMA_ENGINE:
             try:
                 row = _arma_row(y, horizon)
-            except (np.linalg.LinAlgError, FloatingPointError, ValueError):
-                row = None
-        failed = engine == ARMA_ENGINE and row is None
+                error = None if row else "seasonal ARMA could not be fitted"
+            except Exception as problem:
+                error = str(problem)[:200]
+            engine = asked if row else DEFAULT_ENGINE
         if row is None and len(y) >= min_days:
             try:
                 row = decomposition_row(y, 7)
-            except (np.linalg.LinAlgError, FloatingPointError, ValueError):
-                row = None
+            except Exception as problem:
+                error = str(problem)[:200]
         return _fit_frame(pdf, {
-            "fit_path": "naive", **(row or {}),
-            "engine_used": DEFAULT_ENGINE if failed else engine, "engine_failed": failed,
+            "fit_path": "naive", **(row or {}), "engine_used": engine,
+            "engine_failed": error is not None, "fit_error": error,
         })
 
     return fit_one
@@ -100,16 +121,14 @@ def monthly_fitter(min_months: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Grouped-map function for monthly series with a yearly cycle."""
 
     def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
-        month = pd.to_datetime(pdf["month"])
-        slot = (month.dt.year * 12 + month.dt.month).to_numpy()
-        y = _evenly_spaced(slot, pdf["inventory"].to_numpy(dtype=float))
-        row = {"fit_path": "hold"}
-        if len(y) >= min_months:
-            try:
+        row, error = {"fit_path": "hold"}, None
+        try:
+            y = _evenly_spaced(pdf["slot"].to_numpy(), pdf["inventory"].to_numpy(dtype=float))
+            if len(y) >= min_months:
                 row = decomposition_row(y, 12)
-            except (np.linalg.LinAlgError, FloatingPointError, ValueError):
-                pass
-        return _fit_frame(pdf, row | {"engine_failed": False})
+        except Exception as problem:
+            error = str(problem)[:200]
+        return _fit_frame(pdf, row | {"engine_failed": error is not None, "fit_error": error})
 
     return fit_one
 
@@ -118,16 +137,18 @@ def decompose_daily(daily: DataFrame, value: str = "tickets") -> DataFrame:
     """Trend, seasonal and remainder of ``log(1 + y)`` for every day of every department."""
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
-        day = pd.to_datetime(pdf["date"])
-        slot = (day - pd.Timestamp(0)).dt.days.to_numpy()
-        y = _evenly_spaced(slot, pdf[value].to_numpy(dtype=float))
+        slot = pdf["slot"].to_numpy()
+        try:
+            y = _evenly_spaced(slot, pdf[value].to_numpy(dtype=float))
+        except ValueError:  # reported by forecasts.implausible_series
+            return pd.DataFrame(columns=["department_id", "slot", "trend", "seasonal", "remainder"])
         parts = loess.decompose(np.log1p(y), 7)
-        dates = pd.date_range(day.min(), periods=len(y), freq="D").date
         return pd.DataFrame({
-            "department_id": int(pdf["department_id"].iloc[0]), "date": dates,
+            "department_id": int(pdf["department_id"].iloc[0]), "slot": slot.min() + np.arange(len(y)),
             "trend": parts.trend, "seasonal": parts.seasonal, "remainder": parts.remainder,
         })
 
-    schema = "department_id bigint, date date, trend double, seasonal double, remainder double"
-    rows = daily.select("department_id", "date", value)
-    return spread_by_key(rows).groupBy("department_id").applyInPandas(split, schema)
+    schema = "department_id bigint, slot int, trend double, seasonal double, remainder double"
+    rows = daily.select("department_id", day_number(F.col("date")).alias("slot"), value)
+    split_rows = spread_by_key(rows).groupBy("department_id").applyInPandas(split, schema)
+    return split_rows.select("department_id", F.date_from_unix_date("slot").alias("date"), "trend", "seasonal", "remainder")

@@ -8,7 +8,8 @@ from staffcast.functions.columns import month_start
 from staffcast.functions.scalar import floor_at_zero
 from staffcast.operators.calendar import dense_daily, dense_monthly, future_days, future_months
 from staffcast.operators.fitting import (
-    DEFAULT_ENGINE, FIT_SCHEMA, daily_fitter, monthly_fitter, spread_by_key,
+    DEFAULT_ENGINE, FIT_SCHEMA, MAX_SPAN_DAYS, daily_fitter, day_number, month_number, monthly_fitter,
+    spread_by_key,
 )
 
 # Fixed values of the forecast bands and of the shortest series worth decomposing.
@@ -101,7 +102,7 @@ def daily_forecast(
             F.lit(False).alias("engine_failed"),
         )
     # both branches read the same columns of ``daily``, so its shuffle is made once and reused
-    series = _labelled(daily.select("department_id", "date", "tickets"), labels)
+    series = _labelled(daily.select("department_id", day_number(F.col("date")).alias("slot"), "tickets"), labels)
     fits = spread_by_key(series).groupBy("department_id").applyInPandas(
         daily_fitter(horizon, min_days), FIT_SCHEMA
     )
@@ -125,7 +126,7 @@ def daily_forecast(
         ).alias("p05"),
         by_path(
             week + BAND * naive_sd,
-            F.expm1(log_mean + BAND * F.col("log_sd")),
+            floor_at_zero(F.expm1(log_mean + BAND * F.col("log_sd"))),
             arma_mean + BAND * arma_sd,
         ).alias("p95"),
         "engine_used",
@@ -134,6 +135,14 @@ def daily_forecast(
     )
 
 
+def implausible_series(daily: DataFrame, max_days: int = MAX_SPAN_DAYS) -> DataFrame:
+    """Departments whose first and last day are further apart than can be right; they are not fitted."""
+    spans = daily.where("department_id IS NOT NULL AND date IS NOT NULL").groupBy("department_id").agg(
+        F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    days = F.date_diff("last_day", "first_day") + 1
+    return spans.withColumn("days", days.cast("bigint")).where(F.col("days") > max_days)
+
+
 def monthly_rollup(forecast: DataFrame, departments: DataFrame) -> DataFrame:
     """Monthly sums of the three quantiles; first and last month may be partial (``days_covered``)."""
     monthly = forecast.groupBy("department_id", month_start(F.col("date")).alias("month")).agg(
@@ -191,7 +200,8 @@ def backlog_forecast(
         ahead = future_months(profile, "last_month", horizon)
         return ahead.select("department_id", "month", *_band(held, _hold_sd()), F.lit("hold").alias("path_used"))
     series = backlog.where(F.col("department_id").isNotNull() & F.col("month").isNotNull())
-    fits = spread_by_key(series.select("department_id", "month", "inventory")).groupBy("department_id").applyInPandas(
+    series = series.select("department_id", month_number(F.col("month")).alias("slot"), "inventory")
+    fits = spread_by_key(series).groupBy("department_id").applyInPandas(
         monthly_fitter(min_months), FIT_SCHEMA
     )
     ahead = future_months(profile.join(fits, "department_id", "left"), "last_month", horizon)
@@ -203,7 +213,7 @@ def backlog_forecast(
         F.when(decomposed, floor_at_zero(F.expm1(log_mean))).otherwise(held).alias("p50"),
         F.when(decomposed, floor_at_zero(F.expm1(log_mean - BAND * F.col("log_sd"))))
         .otherwise(floor_at_zero(held - BAND * sd)).alias("p05"),
-        F.when(decomposed, F.expm1(log_mean + BAND * F.col("log_sd")))
+        F.when(decomposed, floor_at_zero(F.expm1(log_mean + BAND * F.col("log_sd"))))
         .otherwise(held + BAND * sd).alias("p95"),
         F.when(decomposed, F.lit("stl")).otherwise(F.lit("hold")).alias("path_used"),
     )

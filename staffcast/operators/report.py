@@ -8,6 +8,8 @@ from staffcast.functions.scalar import month_label, percent_text, round_even, si
 from staffcast.operators.calendar import month_grid
 from staffcast.operators.volumes import KEYS
 
+# Boards belong to a department id; names need not differ.
+BOARD_KEYS = ("department_id", "department_name")
 # Months shown on a board.
 BOARD_FIRST, BOARD_LAST = "2026-01-01", "2027-02-01"
 # KPI rows of a board in display order, without the blank comments row.
@@ -64,11 +66,11 @@ def board_months(
     sums = ("forecast", "actual_volume", "capacity", "productivity")
     in_range = F.col("month").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
     total = [F.coalesce(F.sum(c), F.lit(0.0)) if zero_fill else F.sum(c) for c in sums]
-    by_month = rows.where(in_range).groupBy("department_name", "month").agg(
+    by_month = rows.where(in_range).groupBy(*BOARD_KEYS, "month").agg(
         *[t.alias(c) for t, c in zip(total, sums)], F.avg("inventory_mean").alias("inventory_mean")
     )
-    names = rows.where(F.col("department_name").isNotNull()).select("department_name").distinct()
-    grid = month_grid(names, first, last).join(by_month, ["department_name", "month"], "left")
+    names = rows.where(F.col("department_name").isNotNull()).select(*BOARD_KEYS).distinct()
+    grid = month_grid(names, first, last).join(by_month, [*BOARD_KEYS, "month"], "left")
     f, a = F.col("forecast"), F.col("actual_volume")
     c, p = F.col("capacity"), F.col("productivity")
     gap = F.coalesce(round_even(signed_ratio(c - p, c) * 100, 0), F.lit(0.0))
@@ -84,14 +86,14 @@ def board_months(
         "Actual vs Productivity %": round_even(signed_ratio(a - p, a) * 100, 1),
         "Inventory": round_even(F.col("inventory_mean"), 2),
     }
-    return grid.select("department_name", "month", *[kpis[k].alias(k) for k in BOARD_KPIS])
+    return grid.select(*BOARD_KEYS, "month", *[kpis[k].alias(k) for k in BOARD_KPIS])
 
 
 def board_long(months: DataFrame) -> DataFrame:
-    """One row per month label, department and KPI: ``Month, department_name, KPI, Total``."""
+    """One row per month label, department and KPI: ``Month, department_id, department_name, KPI, Total``."""
     labelled = months.withColumn("Month_label", month_label(F.col("month")))
     return labelled.unpivot(
-        ["Month_label", "department_name"], list(BOARD_KPIS), "KPI", "Total"
+        ["Month_label", *BOARD_KEYS], list(BOARD_KPIS), "KPI", "Total"
     ).withColumnRenamed("Month_label", "Month")
 
 
@@ -108,15 +110,15 @@ def board_wide(months: DataFrame, first: str = BOARD_FIRST, last: str = BOARD_LA
     """
     blank = months.withColumn("Comments", F.lit(None).cast("double"))
     long = blank.withColumn("label", month_label(F.col("month"))).unpivot(
-        ["label", "department_name"], ["Comments", *BOARD_KPIS], "KPI", "Total"
+        ["label", *BOARD_KEYS], ["Comments", *BOARD_KPIS], "KPI", "Total"
     )
-    return long.groupBy("department_name", "KPI").pivot("label", board_labels(first, last)).agg(F.first("Total"))
+    return long.groupBy(*BOARD_KEYS, "KPI").pivot("label", board_labels(first, last)).agg(F.first("Total"))
 
 
 def capacity_gap_text(months: DataFrame) -> DataFrame:
     """Capacity gap of each board month as percent text, the older display form."""
     return months.select(
-        "department_name", "month",
+        *BOARD_KEYS, "month",
         percent_text(F.col("Difference Capacity vs Productivity")).alias("capacity_gap"),
     )
 
@@ -158,18 +160,19 @@ def capacity_report(rows: DataFrame) -> DataFrame:
 def workload_rows(rows: DataFrame) -> DataFrame:
     """Actual workload, expected workload and its gap to the capacity.
 
-    Missing volumes count 0 in the sums; a missing capacity leaves the gap null.
+    Missing volumes count 0 in the sums. Months without a forecast have no expected workload
+    and no gap, and a missing capacity leaves the gap null.
     """
     zero = F.lit(0.0)
-    filled = rows.withColumns({
-        c: F.coalesce(c, zero)
-        for c in ("calls_not_indexed_actual", "calls_not_indexed_forecast",
-                  "repeats_actual", "repeats_forecast", "inventory_final")
-    })
+    expected = F.col("forecast_human_cases_cal").isNotNull()
+    filled = rows.withColumns(
+        {c: F.coalesce(c, zero) for c in ("calls_not_indexed_actual", "repeats_actual", "inventory_final")}
+        | {c: F.when(expected, F.coalesce(c, zero)) for c in ("calls_not_indexed_forecast", "repeats_forecast")}
+    )
     summed = filled.withColumns({
         "actual_workload": F.coalesce("actual_volume", zero)
         + F.col("calls_not_indexed_actual") + F.col("repeats_actual"),
-        "workload_forecast": F.coalesce("forecast_human_cases_cal", zero)
+        "workload_forecast": F.col("forecast_human_cases_cal")
         + F.col("calls_not_indexed_forecast") + F.col("repeats_forecast") + F.col("inventory_final"),
     })
     return summed.withColumn("workload_minus_capacity", F.col("workload_forecast") - F.col("capacity"))
@@ -177,7 +180,7 @@ def workload_rows(rows: DataFrame) -> DataFrame:
 
 def workload_report(rows: DataFrame) -> DataFrame:
     """Display form of ``workload_rows``, sorted for reading."""
-    # Display names, in display order.
+    # Display names, in display order; the two names of deflected volume are this library's own.
     names = {
         "month": "Month",
         "vertical": "Vertical",

@@ -31,7 +31,7 @@ def read_inputs(spark: SparkSession, input_folder: str, output_folder: str) -> P
     missing = [field for field in REQUIRED if found[field] is None]
     if missing:
         raise FileNotFoundError(f"no table for {', '.join(missing)} in {folder}")
-    previous = _find(spark, output_folder.rstrip("/"), "Remediation_Report")
+    previous = _find(spark, output_folder.rstrip("/"), "recommended_models")
     return PlanInputs(previous_report=previous, **found)
 
 
@@ -43,7 +43,7 @@ def run_monthly(
     tables = run_workforce_plan(spark, read_inputs(spark, input_folder, output_folder), params)
     out = output_folder.rstrip("/")
     write_tables({n: t for n, t in tables.items() if n != "boards"}, out, skip_if_empty=SKIP_IF_EMPTY)
-    write_boards(tables["boards"], f"{out}/boards")
+    write_boards(tables["boards"], f"{out}/boards", params.board_suffix)
     return tables
 
 
@@ -53,10 +53,22 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("outputs")
     parser.add_argument("--as-of", required=True, help="ISO date that stands for today")
     parser.add_argument("--verticals", nargs="*", help="verticals to keep; none after the flag keeps all")
-    chosen = parser.parse_args(arguments)
-    scope = {} if chosen.verticals is None else {"verticals": tuple(chosen.verticals) or None}
+    parser.add_argument("--exclude-tokens", nargs="*", help="parts of names that leave a department out")
+    parser.add_argument("--horizon-days", type=int)
+    parser.add_argument("--horizon-months", type=int)
+    parser.add_argument("--tickets-per-hour", type=float)
+    parser.add_argument("--uplift-by-calls", action="store_true", default=None)
+    parser.add_argument("--board-first", help="first month of the boards; by default January of the year of --as-of")
+    parser.add_argument("--board-last", help="last month of the boards; by default February of the year after")
+    chosen = vars(parser.parse_args(arguments))
+    source, target, as_of = (chosen.pop(k) for k in ("inputs", "outputs", "as_of"))
+    scope = {name: value for name, value in chosen.items() if value is not None}
+    if "verticals" in scope:
+        scope["verticals"] = tuple(scope["verticals"]) or None
+    if "exclude_tokens" in scope:
+        scope["exclude_tokens"] = tuple(scope["exclude_tokens"])
     spark = SparkSession.builder.appName("staffcast monthly run").getOrCreate()
-    tables = run_monthly(spark, chosen.inputs, chosen.outputs, PlanParams(as_of=chosen.as_of, **scope))
+    tables = run_monthly(spark, source, target, PlanParams(as_of=as_of, **scope))
     tables["run_log"].show(truncate=False)
 
 

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from staffcast.operators.capacity import TICKETS_PER_HOUR
 from staffcast.operators.forecasts import MIN_DAYS, MIN_MONTHS
-from staffcast.operators.report import BOARD_FIRST, BOARD_LAST
 
 # Default scope of a plan.
 VERTICALS = ("Payments", "Partners", "Hospitality")
@@ -37,10 +36,20 @@ class PlanParams:
     tickets_per_hour: float = TICKETS_PER_HOUR
     productivity_from_agents: bool = True
     forecast_base: str = "forecast_p50"
-    board_first: str = BOARD_FIRST
-    board_last: str = BOARD_LAST
+    board_first: str | None = None
+    board_last: str | None = None
     board_zero_fill: bool = False
 
     @property
     def year(self) -> int:
         return int(self.as_of[:4])
+
+    @property
+    def board_range(self) -> tuple[str, str]:
+        """First and last month of the boards: January of this year to February of the next, unless given."""
+        return self.board_first or f"{self.year}-01-01", self.board_last or f"{self.year + 1}-02-01"
+
+    @property
+    def board_suffix(self) -> str:
+        """Two digits of each year of the board range, e.g. ``2627``."""
+        return "".join(month[2:4] for month in self.board_range)

@@ -172,13 +172,16 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
         .join(calls.select(*keys, F.col("calls_not_indexed").alias("calls_not_indexed_actual")), keys, "left")
         .join(side["repeats"].select(*keys, F.col("repeats_workload").alias("repeats_actual")), keys, "left")
         .join(side["backlog_mean"], keys, "left")
+        .join(backlog.select(*keys, F.col("inventory").alias("inventory_known")), keys, "left")
     )
+    # months without a forecast show the backlog they had
+    facts = facts.withColumn("inventory_final", F.coalesce("inventory_final", "inventory_known")).drop("inventory_known")
     facts = stages.keep(
         "facts", capacity.consolidate(facts, side["agents"], capacity_all, p.productivity_from_agents)
     )
 
     def boards() -> DataFrame:
-        return report.board_months(facts, p.board_first, p.board_last, p.board_zero_fill)
+        return report.board_months(facts, *p.board_range, p.board_zero_fill)
 
     return PlanTables({
         "Monthly_Actuals": lambda: actuals,
@@ -189,16 +192,18 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
         "Monthly_Inventory": lambda: side["backlog_mean"],
         "Model_Used_and_Error": lambda: errors,
         "Daily_Forecast": lambda: daily_fc,
-        "boards": lambda: report.board_wide(boards(), p.board_first, p.board_last),
-        "capacity_forecast_long": lambda: report.board_long(boards()),
+        "Implausible_Series": lambda: forecasts.implausible_series(daily),
+        "boards": lambda: report.board_wide(boards(), *p.board_range),
+        "board_kpis_long": lambda: report.board_long(boards()),
         "capacity_report": lambda: report.capacity_report(facts),
-        "capacity_forecast": lambda: report.workload_report(facts),
+        "workload_report": lambda: report.workload_report(facts),
         "run_log": lambda: run_log({
             "departments": departments,
             "daily_tickets": daily,
             "monthly_actuals": actuals,
             **side,
             "daily_forecast": daily_fc,
+            "implausible_series": forecasts.implausible_series(daily),
             "engine_failures": daily_fc.where("engine_failed").select("department_id").distinct(),
             "monthly_forecast": raw_monthly,
             "calibrated_rows": adjusted.where("calib_factor != 1.0"),

@@ -19,27 +19,33 @@ def write_tables(
     format: str = "parquet",
 ) -> list[str]:
     """Write one table per name, replacing earlier ones; returns the names written."""
-    written = []
-    for name, table in tables.items():
+
+    def write(name: str, table: DataFrame) -> bool:
         if name in skip_if_empty and table.isEmpty():
-            continue
+            return False
         writer = table.write.mode("overwrite").format(format)
         if format == "csv":
             writer = writer.option("header", True)
         writer.save(f"{folder.rstrip('/')}/{name}")
-        written.append(name)
-    return written
+        return True
+
+    ready = dict(tables.items())
+    # the tables are independent, so their jobs are submitted together and share the cluster
+    with ThreadPoolExecutor(max_workers=max(1, len(ready))) as pool:
+        done = {name: pool.submit(write, name, table) for name, table in ready.items()}
+        return [name for name, job in done.items() if job.result()]
 
 
 def write_boards(boards: DataFrame, path: str, suffix: str = "2627") -> None:
-    """Write all boards as one table with a folder per department board.
+    """Write all boards as one table with a folder per department id.
 
-    Rows are grouped by board first, so each folder gets one file and no task
-    keeps writers open for every department. A board is a dozen rows, so no
-    group can grow with the facts.
+    ``board_key`` is a short text for display; names that share its beginning keep boards of
+    their own. Rows are grouped by department first, so each folder gets one file and no task
+    keeps writers open for every department. A board is a dozen rows, so no group can grow
+    with the facts.
     """
     keyed = boards.withColumn("board_key", board_key(F.col("department_name"), suffix))
-    keyed.repartition("board_key").write.mode("overwrite").partitionBy("board_key").parquet(path)
+    keyed.repartition("department_id").write.mode("overwrite").partitionBy("department_id").parquet(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
