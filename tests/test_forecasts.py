@@ -1,11 +1,12 @@
 import datetime as dt
+import math
+import statistics
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from staffcast.functions import loess
 from staffcast.operators import forecasts
 
 JAN = dt.date(2024, 1, 1)
@@ -16,13 +17,15 @@ def by_department(df):
     return {k: g.reset_index(drop=True) for k, g in pdf.groupby("department_id")}
 
 
-def naive_in_pandas(values, horizon):
-    y = pd.Series([0.0 if v is None else float(v) for v in values])
-    p50 = np.resize(y[-7:].to_numpy(), horizon)
-    sd = (y - y.shift(7)).dropna().std()
-    if np.isnan(sd):
-        sd = max(1.0, np.sqrt(max(y.mean(), 1)))
-    return p50, np.clip(p50 - 1.645 * sd, 0, None), p50 + 1.645 * sd
+def week_repeated(values, horizon):
+    """The last week again and again; the band is 1.645 sample deviations of the changes over a week wide."""
+    filled = [0.0 if v is None else float(v) for v in values]
+    week = filled[-7:]
+    middle = [week[step % len(week)] for step in range(horizon)]
+    changes = [later - earlier for earlier, later in zip(filled, filled[7:])]
+    mean = sum(filled) / len(filled)
+    width = 1.645 * (statistics.stdev(changes) if len(changes) > 1 else max(1.0, max(mean, 1.0) ** 0.5))
+    return middle, [max(m - width, 0.0) for m in middle], [m + width for m in middle]
 
 
 SERIES = {
@@ -36,7 +39,7 @@ def test_short_series_repeat_their_last_week(daily):
     for fc in (forecasts.seasonal_naive_daily(table, 20), forecasts.daily_forecast(table, horizon=20)):
         got = by_department(fc)
         for dept, values in SERIES.items():
-            p50, p05, p95 = naive_in_pandas(values, 20)
+            p50, p05, p95 = week_repeated(values, 20)
             assert list(got[dept]["date"])[0] == JAN + dt.timedelta(days=len(values))
             np.testing.assert_allclose(got[dept]["p50"], p50)
             np.testing.assert_allclose(got[dept]["p05"], p05)
@@ -47,12 +50,12 @@ def test_56_days_are_decomposed_and_55_are_not(daily):
     values = [10 + (i % 7) * 3 for i in range(56)]
     fc = by_department(forecasts.daily_forecast(daily({1: (JAN, values), 2: (JAN, values[:55])}), horizon=10))
     assert set(fc[1].path_used) == {"stl"} and set(fc[2].path_used) == {"naive"}
-    parts = loess.decompose(np.log1p(np.array(values, float)), 7)
-    sd = np.std(parts.remainder, ddof=1) or 0.5
-    mu = parts.trend[-1] + np.resize(parts.seasonal[-7:], 10)
-    np.testing.assert_allclose(fc[1].p50, np.clip(np.expm1(mu), 0, None))
-    np.testing.assert_allclose(fc[1].p05, np.clip(np.expm1(mu - 1.645 * sd), 0, None))
-    np.testing.assert_allclose(fc[1].p95, np.expm1(mu + 1.645 * sd))
+    # a series that repeats exactly leaves no remainder, so the fallback spread of 0.5 makes the band
+    pattern = np.array([10 + (56 + step) % 7 * 3 for step in range(10)], dtype=float)
+    factor = math.exp(1.645 * 0.5)
+    np.testing.assert_allclose(fc[1].p50, pattern, rtol=1e-6)
+    np.testing.assert_allclose(fc[1].p05, (pattern + 1) / factor - 1, rtol=1e-6)
+    np.testing.assert_allclose(fc[1].p95, (pattern + 1) * factor - 1, rtol=1e-6)
 
 
 def test_labels_choose_the_engine(spark, daily):
@@ -86,14 +89,23 @@ def test_bands_are_ordered_and_finite(daily):
     assert (fc.p05 <= fc.p50).all() and (fc.p05 >= 0).all()
 
 
-def test_upper_band_is_not_raised_to_zero(daily):
+def test_no_band_falls_below_zero(daily):
     values = [0.0] * 60
     values[:30:3] = [6.0] * 10
     fc = by_department(forecasts.daily_forecast(daily({1: (JAN, values)}), horizon=7))[1]
-    parts = loess.decompose(np.log1p(np.array(values)), 7)
-    mu = parts.trend[-1] + parts.seasonal[-7:]
-    np.testing.assert_allclose(fc.p95, np.expm1(mu + 1.645 * np.std(parts.remainder, ddof=1)))
-    np.testing.assert_allclose(fc.p50, np.maximum(np.expm1(mu), 0))
+    assert (0 <= fc.p05).all() and (fc.p05 <= fc.p50).all() and (fc.p50 <= fc.p95).all()
+
+
+def test_impossible_dates_stop_one_department_only(spark):
+    rows = [(d, JAN + dt.timedelta(days=i), 5.0 + i % 7) for d in (1, 2) for i in range(70)]
+    rows += [(2, dt.date(1, 1, 1), 1.0), (2, dt.date(9000, 12, 31), 1.0)]
+    table = spark.createDataFrame(rows, "department_id bigint, date date, tickets double")
+    fc = forecasts.daily_forecast(table, horizon=3)
+    got = {r.department_id: (r.path_used, r.engine_failed, r.n) for r in fc.groupBy(
+        "department_id", "path_used", "engine_failed").agg(F.count("*").alias("n")).collect()}
+    assert got == {1: ("stl", False, 3), 2: ("naive", True, 3)}
+    found = forecasts.implausible_series(table).collect()
+    assert [(r.department_id, r.first_day, r.last_day) for r in found] == [(2, dt.date(1, 1, 1), dt.date(9000, 12, 31))]
 
 
 def test_series_of_different_length_end_on_their_own_day(daily):

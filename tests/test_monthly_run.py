@@ -16,7 +16,7 @@ def test_folder_in_folder_out(spark, tmp_path):
     names.write.option("header", True).csv(f"{source}/department_map.csv")
     spark.createDataFrame([(1, "2025-12-02", 3)], "department_id int, Date string, RR int").write.option("header", True).csv(f"{source}/repeats.csv")
     report = spark.createDataFrame([(1, "SARIMAX-7"), (2, "SARIMAX-7")], "department_id int, Recommended_Model string")
-    report.write.parquet(f"{target}/Remediation_Report")
+    report.write.parquet(f"{target}/recommended_models")
     spark.createDataFrame([(2, "STL")], "department_id int, model string").write.option("header", True).csv(f"{source}/manual_labels.csv")
 
     run_monthly(spark, source, target, PlanParams(as_of="2026-01-15"))
@@ -27,7 +27,7 @@ def test_folder_in_folder_out(spark, tmp_path):
     assert log["repeats"] == 1 and log["daily_forecast"] == 730 and log["deflection"] == 0
     assert spark.read.parquet(f"{target}/boards").count() == 22
     # 2025-11 and 2025-12 are history of an earlier year, so the report starts with the forecast
-    months = spark.read.parquet(f"{target}/capacity_forecast").select("Month").distinct().collect()
+    months = spark.read.parquet(f"{target}/workload_report").select("Month").distinct().collect()
     assert min(m[0] for m in months) == dt.date(2026, 1, 1)
     assert not (tmp_path / "out" / "Monthly_Inventory").exists()
 

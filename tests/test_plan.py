@@ -65,7 +65,7 @@ def test_adjusted_months(tables):
 
 
 def test_reports(tables):
-    report = tables["capacity_forecast"]
+    report = tables["workload_report"]
     alpha = {r["Month"]: r for r in report.where("Department_name = 'Alpha'").collect()}
     # the partly elapsed January is in the forecast, so no month is history only
     assert min(alpha) == dt.date(2026, 1, 1) and len(alpha) == 13
@@ -78,7 +78,7 @@ def test_reports(tables):
     # history 70 hours x 6, projected over the 12 months after the latest actual month (January)
     assert beta[dt.date(2026, 2, 1)]["Capacity"] == 420.0 and beta[dt.date(2026, 2, 1)]["Productivity"] == 420.0
     assert tables["boards"].count() == 2 * 11
-    assert tables["capacity_forecast_long"].count() == 2 * 14 * 10
+    assert tables["board_kpis_long"].count() == 2 * 14 * 10
 
 
 def test_run_log_and_sinks(spark, tables, tmp_path):
@@ -86,8 +86,8 @@ def test_run_log_and_sinks(spark, tables, tmp_path):
     assert log["daily_tickets"] == 200 and log["daily_forecast"] == 730 and log["engine_failures"] == 0
     assert log["repeats"] == 0 and log["calls"] == 1
     names = write_tables(tables, str(tmp_path), skip_if_empty=("Monthly_Inventory",))
-    assert "Monthly_Inventory" not in names and len(names) == len(tables) - 1
-    assert spark.read.parquet(f"{tmp_path}/capacity_forecast").count() == 26
+    assert "Monthly_Inventory" not in names and len(names) == len(tables) - 1 and "Implausible_Series" in names
+    assert spark.read.parquet(f"{tmp_path}/workload_report").count() == 26
     assert spark.read.parquet(f"{tmp_path}/Model_Used_and_Error").count() == 16
 
 
@@ -96,7 +96,7 @@ def test_uplift_switch_and_history_months(spark, given):
     tables = run_workforce_plan(spark, given, params)
     december = tables["Monthly_Actuals"].where("department_id = 1").where(F.col("month") == F.lit(dt.date(2025, 12, 1))).first()
     assert december.actual_volume == sum(6 + i % 7 for i in range(61, 92)) + 40
-    months = [r[0] for r in tables["capacity_forecast"].where("Department_name = 'Alpha'").orderBy("Month").select("Month").collect()]
+    months = [r[0] for r in tables["workload_report"].where("Department_name = 'Alpha'").orderBy("Month").select("Month").collect()]
     assert months[:4] == [dt.date(2025, 10, 1), dt.date(2025, 11, 1), dt.date(2025, 12, 1), dt.date(2026, 1, 1)]
 
 
@@ -110,6 +110,6 @@ def test_only_required_inputs(spark, given):
     tables = run_workforce_plan(
         spark, PlanInputs(given.incoming, given.department_map), PlanParams(as_of="2026-02-01", fit_series=False)
     )
-    rows = tables["capacity_forecast"].collect()
+    rows = tables["workload_report"].collect()
     assert len(rows) == 26 and all(r["Capacity"] is None for r in rows)
     assert all(r["Inventory"] == 0 and r["Deflected forecast"] == 0 for r in rows)

@@ -50,10 +50,10 @@ def test_zero_fill_gives_zero_sums_for_existing_months(facts):
 def test_long_and_wide_boards(facts):
     months = report.board_months(facts)
     long = report.board_long(months)
-    assert long.columns == ["Month", "department_name", "KPI", "Total"]
+    assert long.columns == ["Month", "department_id", "department_name", "KPI", "Total"]
     assert long.count() == 2 * 14 * 10
     wide = report.board_wide(months)
-    assert wide.columns[2:] == report.board_labels() and report.board_labels()[0] == "01-26"
+    assert wide.columns[3:] == report.board_labels() and report.board_labels()[0] == "01-26"
     assert report.board_labels()[-1] == "02-27" and len(report.board_labels()) == 14
     assert wide.count() == 2 * 11
     row = wide.where("KPI = 'Forecast' and department_name = 'A/B'").first()
@@ -87,7 +87,7 @@ def test_workload_rows(spark):
     ], "actual_volume double, calls_not_indexed_actual double, repeats_actual double, forecast_human_cases_cal double, "
        "calls_not_indexed_forecast double, repeats_forecast double, inventory_final double, capacity double")
     got = [(r.actual_workload, r.workload_forecast, r.workload_minus_capacity) for r in report.workload_rows(df).collect()]
-    assert got == [(13.0, 20.0, 5.0), (10.0, 0.0, None)]
+    assert got == [(13.0, 20.0, 5.0), (10.0, None, None)]
 
 
 def test_history_only_months(spark):
@@ -110,10 +110,17 @@ def test_tables_are_replaced_and_empty_ones_skipped(spark, tmp_path):
 def test_boards_get_one_folder_each(facts, spark, tmp_path):
     write_boards(report.board_wide(report.board_months(facts)), f"{tmp_path}/boards")
     folders = sorted(p.name for p in (tmp_path / "boards").iterdir() if p.is_dir())
-    assert folders == ["board_key=Board_A_B_2627", "board_key=Board_C_2627"]
+    assert folders == ["department_id=1", "department_id=2"]
     assert spark.read.parquet(f"{tmp_path}/boards").count() == 22
 
 
+def test_names_with_one_beginning_keep_boards_of_their_own(facts, spark, tmp_path):
+    long = F.concat(F.lit("Specialists of the second level "), F.col("department_name"))
+    write_boards(report.board_wide(report.board_months(facts)).withColumn("department_name", long), f"{tmp_path}/boards")
+    back = spark.read.parquet(f"{tmp_path}/boards").groupBy("department_id").agg(F.count("*").alias("n"), F.first("board_key").alias("k"))
+    assert {(r.department_id, r.n, r.k) for r in back.collect()} == {(d, 11, "Board_Specialists of the second") for d in (1, 2)}
+
+
 def test_stages_use_the_shared_folder(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     stages = Stages(spark)
