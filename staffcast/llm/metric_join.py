@@ -266,7 +266,7 @@ def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int =
     n_rows, entries = whole.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("part") / 8), F.lit(0.0))).first()
     hits = shingles.shared_counts(
         whole.select("owner", "part"), _packed_reader(0, 1), shingles.bucket_count(spark, int(entries)),
-        n_groups=shingles.bucket_count(spark, n_rows, 1 << 16))
+        n_groups=max(8, -(-n_rows // (1 << 16))))
     missing = F.floor(F.col("n") * (100 - percent) / 100)
     alive = keep(whole.join(hits, "owner").filter(
         F.col("hits") >= F.greatest(F.lit(1), F.octet_length("part") / 8 - missing)).drop("part"), "alive")
@@ -284,7 +284,7 @@ def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int =
     read = _packed_reader(0, 1)
     often = shingles.frequent(sets.select("node", "set"), read, max(1 << 16, entries >> 20), entries)
     shared = shingles.shared_counts(
-        sets.select("node", "set"), read, shingles.bucket_count(spark, entries), often, shingles.bucket_count(spark, n_sets, 4096))
+        sets.select("node", "set"), read, shingles.bucket_count(spark, entries), often, max(8, -(-n_sets // 4096)))
     rarest = keep(_rarest(shared, percent), "rarest")
     pivots = rarest.groupBy("value").agg(F.min("node").alias("region"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     regions = keep(rarest.join(pivots, "value").select("region", "node").distinct(), "regions")
