@@ -32,7 +32,7 @@ SAMPLE_ROWS = 16384  # bound of the rated sample that the model is fitted on
 STEM_BYTES = (4, 6)
 THRESHOLD = 0.8  # of the tail probability; most texts are far from it
 LEAST_DOCS = 8  # of the sample, for a feature to have a weight
-LEAST_ERRORS = 4.0  # standard errors by which its rows' mean grade must stand apart
+LEAST_ERRORS = 4.0  # standard errors by which its share of some grades must stand apart
 _U = np.uint64
 _CAPITAL, _LETTER, _DIGIT, _SYMBOL, _FOREIGN, _BLANK = range(6)
 
@@ -104,8 +104,8 @@ def fit(number: np.ndarray, first: np.ndarray, grades: np.ndarray, n_grades: int
         rounds: int = 200, ridge: float = 1e-4, rate: float = 0.05) -> Model:
     """Maximum likelihood with a ridge on the weights, by Adam on all rows at once.
 
-    Features of fewer than `least_docs` rows, or with a mean grade within `least_errors` standard
-    errors of all rows' mean, say nothing reliable and keep weight 0. Thresholds are a first one and the exponentials of positive steps, so they stay ordered.
+    Features of fewer than `least_docs` rows, or whose share of rows below every grade is within
+    `least_errors` standard errors of all rows' share, keep weight 0. Thresholds are a first one and the exponentials of positive steps, so they stay ordered.
     """
     m = len(grades)
     row = np.repeat(np.arange(m), np.diff(first))
@@ -117,8 +117,12 @@ def fit(number: np.ndarray, first: np.ndarray, grades: np.ndarray, n_grades: int
     mean, square = np.zeros_like(free), np.zeros_like(free)
     size, each = 1 << BITS, np.arange(m)
     docs = np.bincount(number, minlength=size)
-    apart = np.bincount(number, (grades - grades.mean())[row], minlength=size)
-    known = ((docs >= least_docs) & (np.abs(apart) > least_errors * (grades.std() + 1e-9) * np.sqrt(docs)))
+    known = np.zeros(size, dtype=bool)
+    for cut in range(n_grades - 1):
+        below = (grades <= cut).astype(float)
+        apart = np.bincount(number, (below - below.mean())[row], minlength=size)
+        known |= np.abs(apart) > least_errors * (below.std() + 1e-9) * np.sqrt(docs)
+    known &= docs >= least_docs
     used = known[number]
     first = np.concatenate([[0], np.cumsum(used)])[first]
     number, row = number[used], row[used]
