@@ -206,6 +206,30 @@ class Bindings:
             inputs.model_labels(self.previous_report(), ("Recommended_Model",)),
         )
 
+    def agents(self) -> DataFrame:
+        """Suppliers as agents; they start with their first line, and every seventh has no start date."""
+        first = self.table("lineitem").groupBy("l_suppkey").agg(F.min(F.col("l_shipdate").cast("date")).alias("first_day"))
+        known = F.when(F.col("s_suppkey") % 7 != 0, F.col("first_day"))
+        return self.table("supplier").join(first, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(
+            F.col("s_suppkey").alias("agent_id"), F.col("s_nationkey").cast("bigint").alias("department_id"), known.alias("start_date"))
+
+    def tenure_ranges(self) -> DataFrame:
+        """Three ranges of months per department, with gaps between them."""
+        ranges = F.explode(F.array(*[
+            F.struct(F.lit(s).alias("seniority"), F.lit(a).alias("min_months"), F.lit(b).alias("max_months"), F.lit(t).alias("base"))
+            for s, a, b, t in (("new", 1, 74, 5), ("grown", 76, 77, 8), ("senior", 78, 999, 12))]))
+        return self.table("nation").select(F.col("n_nationkey").cast("bigint").alias("department_id"), ranges.alias("r")).select(
+            "department_id", "r.seniority", "r.min_months", "r.max_months", (F.col("r.base") + F.col("department_id") % 3).cast("double").alias("item_target_day"))
+
+    def holidays(self) -> DataFrame:
+        """Days around the turn of the year, for every year of the orders."""
+        years = self.table("orders").select(F.year("o_orderdate").alias("year")).distinct()
+        # Month, day, label.
+        days = ((12, 24, "Christmas Eve"), (12, 25, "Christmas Day"), (12, 26, "Boxing/St. Stephen"),
+                (12, 31, "New Year Eve"), (1, 1, "New Year Day"), (1, 6, "Epiphany"))
+        day = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("label")) for m, d, n in days]))
+        return years.select("year", day.alias("x")).select(F.make_date("year", "x.m", "x.d").alias("date"), "x.label")
+
     def model_errors(self) -> DataFrame:
         """Bias from -45 to 45 %, so both bounds of the factor are reached; a third has no record."""
         key = F.col("n_nationkey")

@@ -264,6 +264,20 @@ _define("t_consolidated", """SELECT * FROM t_actuals UNION ALL
 _define("t_user_weeks", """SELECT user_id * 100000 + CAST(floor(date_diff('day', DATE '1970-01-05', CAST(ts AS DATE)) / 7.0) AS BIGINT)
     AS department_id, CAST(ts AS DATE) AS day, CAST(count(*) AS DOUBLE) AS tickets FROM events GROUP BY ALL""")
 
+_define("t_tested", """SELECT CAST(unnest(generate_series(TIMESTAMP '2000-07-01', TIMESTAMP '2001-06-01', INTERVAL 1 MONTH)) AS DATE) AS month""")
+_define("t_before", """SELECT month, department_id, min(day) AS first_day, max(day) AS last_day
+    FROM t_daily JOIN t_tested ON day < month GROUP BY ALL""")
+_define("t_ahead", """SELECT month, department_id, last_day, first_day, last_day + CAST(step AS INTEGER) AS day,
+    least(last_day - first_day + 1, 7) AS week, (step - 1) % least(last_day - first_day + 1, 7) AS place
+    FROM (SELECT *, unnest(range(1, 63)) AS step FROM t_before)""")
+_define("t_naive_months", f"""SELECT a.month, a.department_id, sum(coalesce(d.tickets, 0)) AS forecast
+    FROM t_ahead a LEFT JOIN t_daily d ON d.department_id = a.department_id
+        AND d.day = a.last_day - CAST(a.week AS INTEGER) + 1 + CAST(a.place AS INTEGER)
+    WHERE {_month('a.day')} = a.month GROUP BY ALL""")
+_define("t_month_sums", f"SELECT department_id, {_month('day')} AS month, sum(tickets) AS actual FROM t_daily GROUP BY ALL")
+_define("t_naive_tested", """SELECT department_id, forecast, coalesce(actual, 0) AS actual
+    FROM t_naive_months LEFT JOIN t_month_sums USING (department_id, month)""")
+
 # --- statements --------------------------------------------------------------
 
 _FOUR_KEYS = f"vertical, department_id, department_name, {_day('month')}"
@@ -386,6 +400,32 @@ _STATEMENTS: dict[str, str] = {
     "workload_identities": f"""SELECT {_day('month')}, department_name, {_num('actual_volume', 'actual')},
         {_num('calls_actual', 'calls')}, {_num('repeats_actual', 'repeats')}, {_num('capacity')}, {_num('productivity')},
         human IS NOT NULL AS has_forecast, FALSE AS parts_differ, FALSE AS gap_differs FROM t_facts""",
+    "backtest_errors_naive": f"""SELECT department_id, 'naive' AS engine, count(*) AS backtest_months,
+        {_num('avg(CASE WHEN actual > 0 THEN abs(forecast - actual) / actual * 100 END)', 'mape_pct')},
+        {_num('sum(abs(forecast - actual)) / nullif(sum(actual), 0) * 100', 'wape_pct')},
+        {_num('sum(forecast - actual) / nullif(sum(actual), 0) * 100', 'bias_pct')}
+        FROM t_naive_tested GROUP BY department_id""",
+    "backtest_invariants": f"""SELECT department_id, engine,
+        CASE WHEN engine = 'SARIMAX-7' THEN 'sarima' ELSE 'stl' END AS path_used, count(*) AS months,
+        {_num('sum(coalesce(actual, 0))', 'actual')}, CAST(0 AS BIGINT) AS impossible
+        FROM t_naive_months LEFT JOIN t_month_sums USING (department_id, month), (VALUES ('STL'), ('SARIMAX-7')) AS e(engine)
+        GROUP BY department_id, engine""",
+    "backtest_recommendation": """SELECT department_id, TRUE AS is_least, count(*) AS backtest_months
+        FROM t_naive_months GROUP BY department_id""",
+    "tenure_targets": f"""SELECT a.agent_id, a.department_id, {_day('start_date')}, a.tenure_months, seniority,
+        {_num('base + a.department_id % 3', 'item_target_day')}
+        FROM (SELECT *, CAST(date_diff('month', start_date, DATE '2001-06-30') AS BIGINT)
+                AS tenure_months FROM (
+            SELECT s_suppkey AS agent_id, CAST(s_nationkey AS BIGINT) AS department_id,
+                CASE WHEN s_suppkey % 7 <> 0 THEN first_day END AS start_date
+            FROM supplier LEFT JOIN (SELECT l_suppkey, min(CAST(l_shipdate AS DATE)) AS first_day FROM lineitem GROUP BY ALL)
+                ON s_suppkey = l_suppkey)) a
+        LEFT JOIN (VALUES ('new', 1, 74, 5), ('grown', 76, 77, 8), ('senior', 78, 999, 12)) AS r(seniority, low, high, base)
+        ON tenure_months BETWEEN low AND high""",
+    "holiday_flags": f"""SELECT department_id, {_day('day', 'date')}, {_num('tickets')}, label AS holiday,
+        CAST(label IS NOT NULL AS BIGINT) AS is_holiday FROM t_daily LEFT JOIN (VALUES (12, 24, 'Christmas Eve'),
+            (12, 25, 'Christmas Day'), (12, 26, 'Boxing/St. Stephen'), (12, 31, 'New Year Eve'), (1, 1, 'New Year Day'),
+            (1, 6, 'Epiphany')) AS h(m, d, label) ON month(day) = m AND day(day) = d""",
     "deflection_applied": f"SELECT {_FOUR_KEYS}, {_POST} FROM t_deflected",
     "calls_and_repeats_forecast": f"""SELECT {_FOUR_KEYS}, {_num('forecast_p50')}, {_num('forecast_p05')},
         {_num('forecast_p95')}, days_covered,

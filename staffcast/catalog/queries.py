@@ -12,7 +12,7 @@ from staffcast.deploy import ship_package
 from staffcast.functions.columns import month_start
 from staffcast.functions.scalar import board_key, month_label, working_days
 from staffcast.operators import (
-    adjust, calendar, capacity, fitting, forecasts, rates, report, scope, volumes,
+    adjust, backtest, calendar, capacity, fitting, forecasts, rates, reference_data, report, scope, volumes,
 )
 from staffcast.plans.params import PlanParams
 from staffcast.plans.workforce import PlanInputs, PlanTables, run_workforce_plan
@@ -397,6 +397,58 @@ def backlog_stl_forecast(b: Bindings) -> DataFrame:
     return forecasts.backlog_forecast(inputs.backlog_monthly(b.backlog_monthly()))
 
 
+# --- backtest ---------------------------------------------------------------
+
+TESTED = [f"2000-{m:02d}-01" for m in range(7, 13)] + [f"2001-{m:02d}-01" for m in range(1, 7)]
+
+
+@query
+def backtest_errors_naive(b: Bindings) -> DataFrame:
+    daily = Stages(b.spark).keep("daily_tickets", b.daily())
+    return backtest.backtest_errors(backtest.backtest_months(daily, TESTED, backtest.NAIVE))
+
+
+def _fitted_backtest(b: Bindings) -> DataFrame:
+    stages = Stages(b.spark)
+    daily = stages.keep("daily_tickets", b.daily())
+    tested = [backtest.backtest_months(daily, TESTED, engine) for engine in backtest.ENGINES]
+    return stages.keep("tested", tested[0].unionByName(tested[1]))
+
+
+@query
+def backtest_invariants(b: Bindings) -> DataFrame:
+    """Both fitted engines over all departments and months: coverage, actual volume, impossible values."""
+    return _fitted_backtest(b).groupBy("department_id", "engine", "path_used").agg(
+        F.count("*").alias("months"), F.sum("actual").alias("actual"),
+        F.count_if(~(F.col("forecast") >= 0) | F.isnan("forecast")).alias("impossible"))
+
+
+@query
+def backtest_recommendation(b: Bindings) -> DataFrame:
+    """The recommendation written and read as the monthly run reads it: departments by engine are
+    whole, and each has the engine of least error."""
+    stages = Stages(b.spark)
+    errors = stages.keep("errors", backtest.backtest_errors(_fitted_backtest(b)))
+    write_tables({"recommended_models": backtest.recommended_models(errors)}, stages.folder)
+    labels = inputs.model_labels(read_table(b.spark, f"{stages.folder}/recommended_models"), schemas.REPORT_MODEL)
+    least = errors.groupBy("department_id").agg(F.min("wape_pct").alias("least"))
+    chosen = labels.join(errors.withColumnRenamed("engine", "model"), ["department_id", "model"]).join(least, "department_id")
+    return chosen.select("department_id", F.col("wape_pct").eqNullSafe(F.col("least")).alias("is_least"), "backtest_months")
+
+
+# --- reference data ----------------------------------------------------------
+
+
+@query
+def tenure_targets(b: Bindings) -> DataFrame:
+    return reference_data.tenure_targets(b.agents(), b.tenure_ranges(), PLAN.as_of)
+
+
+@query
+def holiday_flags(b: Bindings) -> DataFrame:
+    return reference_data.holiday_flags(b.daily(), b.holidays())
+
+
 # --- adjustments -------------------------------------------------------------
 
 
