@@ -5,9 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staffcast.deploy import ship_package
 from staffcast.llm import bpe, metric_join, mixing, ordinal, superkmers
-from staffcast.llm.stages import Kept
+from staffcast.llm.stages import Kept, prepare
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,7 +15,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model is fitted on a bounded sample of the rated documents. Without any ratings it
     knows nothing, and all documents stay.
     """
-    ship_package(spark)
+    prepare(spark)
     model = ordinal.train(docs, ordinal.graded(spark.read.parquet(f"{sf_dir}/labels.parquet")))
     if not model.weights.any():
         return docs
@@ -28,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of rows that repeat an id one stays; documents without an id stay.
     """
-    ship_package(spark)
+    prepare(spark)
     found = metric_join.join_components(docs, Kept(spark))
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti")
@@ -40,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: words of repeated passages go; a text without any stays as it is."""
-    ship_package(spark)
+    prepare(spark)
     found = superkmers.remove_repeats(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     out = found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
@@ -49,7 +48,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: each document as often as the mix takes it."""
-    ship_package(spark)
+    prepare(spark)
     keep = Kept(spark)
     taken = mixing.mix(keep, docs).filter("repeats > 0").groupBy("doc_id").agg(F.max("repeats").alias("repeats"))
     taken = keep(taken.select(F.col("doc_id").alias("taken_id"), "repeats"), "taken")
@@ -60,7 +59,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: the packed ids of each document, and whether they decode to its text."""
-    ship_package(spark)
+    prepare(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
     back = bpe.decode(coded, ranks, public_tokenizers.PATTERN)

@@ -348,6 +348,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text")
                 kept = [rows.column(i) for i, f in enumerate(batch.schema) if f.name not in ("ids", "n_tokens")]
                 packed = _binary(ids.astype("<u4").view(np.uint8), bounds * 4)
                 yield pa.RecordBatch.from_arrays([*kept, packed, pa.array(np.diff(bounds))], names=schema.names)
+        codec._forget()  # workers live on; their known pieces need not
 
     return df.mapInArrow(run, schema)
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from staffcast.llm.words import Words, chunks, cut, hashes, mix
 
 BITS = 18
-SAMPLE_ROWS = 16384  # bound of the rated sample that the model is fitted on
+SAMPLE_ROWS = 12288  # bound of the rated sample that the model is fitted on
 STEM_BYTES = (4, 6)
 THRESHOLD = 0.8  # of the tail probability; most texts are far from it
 LEAST_DOCS = 8  # of the sample, for a feature to have a weight

@@ -7,15 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staffcast.deploy import ship_package
 from staffcast.llm import bpe, caps, cross_entropy, metric_join, mixing, nn_descent, ordinal, superkmers, token_files, warc
-from staffcast.llm.stages import Kept
+from staffcast.llm.stages import Kept, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 

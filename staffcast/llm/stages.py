@@ -7,6 +7,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from staffcast.deploy import ship_package
+
+
+BATCH_ROWS = 1024  # rows of an Arrow batch; ten thousand texts at once would crowd a worker's memory
+
+
+def prepare(spark: SparkSession) -> None:
+    """Makes the package importable on executors and keeps Arrow batches small."""
+    ship_package(spark)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, str(BATCH_ROWS))
+
 
 def stage_folder(spark: SparkSession) -> str:
     """A new folder for one run. The session's setting names the shared folder; only where it is

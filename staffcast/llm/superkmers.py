@@ -171,7 +171,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, bucket_bytes:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for begin, texts in chunks(batch.column(2)):
+            for begin, texts in chunks(batch.column(2), 2 * CHUNK_BYTES):
                 place = batch.column(0).slice(begin, len(texts)).to_numpy()
                 row = batch.column(1).slice(begin, len(texts)).to_numpy()
                 words = cut(texts)
