@@ -55,3 +55,18 @@ def test_dispatch_scans_the_tickets_once(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert len(re.findall(r"FileScan parquet.*orders\.parquet", final)) == 1
+
+
+@pytest.mark.parametrize("name", ["deflection_monthly_form", "historical_capacity_hours", "backlog_monthly_form"])
+def test_lines_are_summed_before_the_lookup(spark, name):
+    lines = plan_of(spark, name).splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "lineitem" in line)
+    above = [line for line in reversed(lines[:scan]) if "Join" in line or "HashAggregate" in line]
+    assert "partial_sum" in above[0]
+
+
+@pytest.mark.parametrize("name", ["capacity_projection", "capacity_projection_from_actuals", "expected_volumes_calibrated"])
+def test_facts_used_twice_are_kept_first(spark, name):
+    plan = plan_of(spark, name)
+    assert len(re.findall(r"FileScan parquet.*lineitem\.parquet", plan)) <= 1
+    assert len(re.findall(r"FileScan parquet.*orders\.parquet", plan)) <= 1
