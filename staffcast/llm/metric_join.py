@@ -3,9 +3,10 @@
 Jaccard distance is a metric, but unrelated texts are all at distance 1, where the triangle
 inequality separates nothing. So the join goes from coarse to fine, and every step is exact:
 
-1. Texts with equal sets form one class. A set can link only if all but a fifth of it (at 0.8)
-   occurs in other sets, so at least that many of any part of it must; this is asked of the
-   least third of each set, and the sets that fail are apart from all others.
+1. Texts with equal sets form one class. The least third of each set is compared with the
+   least thirds of all others. How many hits a linked set must have there (`least_hits`) counts
+   what may be missing from its own part and what the other set's surplus may push out of that
+   set's part; the sets with fewer are apart from all others.
 2. The remaining sets are ordered by how many sets hold a shingle. Linked sets share one of
    the rarest fifth of their shingles. Sets that share such a shingle lie in the Voronoi region
    of the pivot chosen for it, the one of least id, so linked sets meet in a region.
@@ -44,12 +45,28 @@ REGION_SETS = 1500  # more are joined recursively
 REGION_VALUES = 1 << 21
 TRIED_PIVOTS = 16
 _SLACK = 1e-9
-_PROFILE = "doc_id long, n int, k1 long, k2 long, part binary"
+_PROFILE = "doc_id long, n int, k1 long, k2 long, need int, part binary"
+
+
+def least_hits(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many values the part of a set of size `n` has, at least, in the part of any linked set.
+
+    With c values in common the part of size p(n) lacks at most n - c of them, and the part of
+    the other set, of size m, at most m - c; both hold the least common values, so they share at
+    least min(p(n) - (n - c), p(m) - (m - c)). The first is least for a subset, m = percent of n.
+    The second is at least one more than the whole part of a linear function of m, so it is
+    bounded at both ends of the sizes that link. One shared value is always certain.
+    """
+    missing = 100 - percent
+    own = np.minimum(n, n * missing * 3 // 200 + 1) - n * missing // 100
+    superset = n * missing // (2 * percent) + 1
+    subset = n * missing * percent * 3 // 20000 + 1
+    return np.maximum(1, np.minimum(own, np.minimum(superset, subset)))
 
 
 def profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, set size, two hashes of the set, and the least part of it, packed: a half more
-    than the `100 - percent` percent that may be missing from a linked set."""
+    """doc_id, set size, two hashes of the set, the hits it needs to link, and the least part of
+    it, packed: a half more than the `100 - percent` percent that may be missing from a linked set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,8 +79,9 @@ def profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32) * 8
                 packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(part)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(n)), pa.array(n.astype(np.int32)), pa.array(k1), pa.array(k2), packed],
-                    names=["doc_id", "n", "k1", "k2", "part"])
+                    [batch.column(0).slice(at, len(n)), pa.array(n.astype(np.int32)), pa.array(k1), pa.array(k2),
+                     pa.array(least_hits(n, percent).astype(np.int32)), packed],
+                    names=["doc_id", "n", "k1", "k2", "need", "part"])
 
     return docs.mapInArrow(run, _PROFILE)
 
@@ -267,9 +285,7 @@ def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int =
     hits = shingles.shared_counts(
         whole.select("owner", "part"), _packed_reader(0, 1), shingles.bucket_count(spark, int(entries)),
         n_groups=max(8, -(-n_rows // (1 << 16))))
-    missing = F.floor(F.col("n") * (100 - percent) / 100)
-    alive = keep(whole.join(hits, "owner").filter(
-        F.col("hits") >= F.greatest(F.lit(1), F.octet_length("part") / 8 - missing)).drop("part"), "alive")
+    alive = keep(whole.join(hits, "owner").filter("hits >= need").drop("part", "need"), "alive")
 
     key = ["n", "k1", "k2"]
     classes = keep(alive.groupBy(*key).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
@@ -303,5 +319,5 @@ def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int =
     named = keep(named, "named")
     ids = named.groupBy("group").agg(F.min("least_id").alias("component_id"))
     named = keep(named.join(ids, "group").select(*key, "component_id"), "components")
-    out = whole.drop("part").join(named, key, "left")
+    out = whole.drop("part", "need").join(named, key, "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +138,28 @@ def test_join_of_odd_rows(spark):
         (-1, 0, -1), (-1, 2, 3), (3, 2, 3), (3, 2, 3), (4, 0, 4), (4, 0, 4), (8, 1, 8), (9, 1, 8)]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert metric_join.join_components(empty, Kept(spark)).count() == 0
+
+
+@pytest.mark.parametrize("percent, size", [(80, 8), (90, 13), (95, 23)])
+def test_texts_and_their_one_word_extensions_link(spark, percent, size):
+    """n shingles and one more are at n / (n + 1), just enough, whichever hash is the least."""
+    rng = random.Random(percent)
+    rows = []
+    for i in range(300):
+        w = [f"v{rng.randrange(10**9)}" for _ in range(size + 1)]
+        rows += [(2 * i, " ".join(w[:-1])), (2 * i + 1, " ".join(w))]
+    got = metric_join.join_components(spark.createDataFrame(rows, "doc_id long, text string"), Kept(spark), percent=percent).collect()
+    assert {r.doc_id: r.component_id for r in got} == {d: d - d % 2 for d, _ in rows}
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 95])
+def test_hits_that_a_link_makes_certain(percent):
+    """Never more than the worst pair of a set and a linked one has, over all their sizes."""
+    part = lambda n: min(n, n * (100 - percent) * 3 // 200 + 1)
+    for n in range(1, 200):
+        worst = min(
+            min(part(n) - (n - c), part(m) - (m - c))
+            for m in range(-(-percent * n // 100), 100 * n // percent + 1)
+            for c in [-(-percent * (n + m) // (100 + percent))])
+        need = int(metric_join.least_hits(np.array([n]), percent)[0])
+        assert 1 <= need <= max(1, worst) and need >= worst - 2
