@@ -16,8 +16,8 @@ vertices not yet expanded are scored; it keeps a beam of the best. Vectors and l
 packed rows by bucket, and each round's lists are written.
 
 Every vector is indexed. Defined results: vectors that are null, empty, zero or hold null or
-non-finite components, and vectors of another length than the first valid one, take no part;
-neither do null ids; equal vectors tie and the smaller id comes first; rows that repeat an id
+non-finite components, and vectors of another length than most valid ones have (the larger of
+two as frequent), take no part; neither do null ids; equal vectors tie and the smaller id comes first; rows that repeat an id
 are one vector, the last of the sorted ones; an empty table gives an empty result.
 """
 
@@ -40,6 +40,23 @@ BEAM, EXPAND, SEARCH_ROUNDS = 160, 32, 6
 _SAME = 0.02  # rounds end when a smaller part of all list entries is new
 
 
+def _dimension(table: DataFrame) -> int:
+    """The most frequent length of valid vectors, the larger of two as frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = []
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                values, ok = vectors(part.column(1))
+                lengths += [len(values[i]) for i in np.flatnonzero(ok & np.array(part.column(0).is_valid()))]
+            length, n = np.unique(np.array(lengths, dtype=np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(length), pa.array(n.astype(np.int64))], names=["length", "n"])
+
+    counts = table.mapInArrow(run, "length long, n long").groupBy("length").agg(F.sum("n").alias("n"))
+    return counts.agg(F.max_by("length", F.struct("n", "length"))).first()[0] or 1
+
+
 def _valid(table: DataFrame, dim: int) -> DataFrame:
     """id and packed doubles of the vectors that take part."""
 
@@ -271,8 +288,7 @@ def search(table: DataFrame, queries: DataFrame, k: int, keep) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for rows (id, embedding) of `queries`
     among rows (id, embedding) of `table`, a query's own id excepted."""
     spark = table.sparkSession
-    first = table.filter("id IS NOT NULL AND size(embedding) > 0").select(F.size("embedding")).limit(1).collect()
-    dim = first[0][0] if first else 1
+    dim = _dimension(table)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = keep(_valid(table, dim), "base")
     asked = keep(_valid(queries, dim).select(F.col("id").alias("query"), "vector"), "queries")

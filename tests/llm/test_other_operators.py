@@ -199,6 +199,21 @@ def test_few_or_no_vectors(spark):
     assert nn_descent.search(few.limit(0), few.limit(0), 20, Kept(spark)).count() == 0
 
 
+@pytest.mark.parametrize("odd", [[None], [7.0], [0.0, 0.0, 0.0], [float("nan")] * 3])
+def test_invalid_and_short_vectors_first(spark, odd):
+    """Whatever row comes first, vectors of the most frequent length are searched."""
+    rows = [(100 + i, odd) for i in range(2)] + [(i, [1.0, i / 10]) for i in range(1, 6)]
+    table = spark.createDataFrame(rows, "id long, embedding array<double>").coalesce(1)
+    got = nn_descent.search(table, table.filter("id IN (1, 100)"), 2, Kept(spark)).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(1, 5), (1, 4)]
+
+
+def test_of_two_lengths_as_frequent_the_larger(spark):
+    rows = [(1, [1.0]), (2, [2.0]), (3, [1.0, 1.0]), (4, [2.0, 1.0]), (5, [None, None]), (None, [1.0])]
+    table = spark.createDataFrame(rows, "id long, embedding array<double>").coalesce(1)
+    assert nn_descent._dimension(table) == 2 and nn_descent._dimension(table.limit(0)) == 1
+
+
 def test_components_of_long_paths(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = components.components(spark.createDataFrame(links, "a long, b long"), Kept(spark)).collect()
