@@ -1,11 +1,17 @@
 """Cross-entropy difference of documents under matched n-gram models of a target and a background.
 
-Both models are bigram models over one vocabulary, the most frequent words of the background
-with one id for all others, and have the same smoothing: a bigram's count is mixed with
-`prior` times the word's unigram probability. A document's score is its mean loss per token
+Both models are bigram models over one vocabulary, all words of the background, and have the
+same smoothing: a bigram's count is mixed with `prior` times the word's unigram probability.
+Only with a `size` the vocabulary is that many most frequent words, and one id for all others. A document's score is its mean loss per token
 under the target less that under the background; the lower, the more it is like the target.
 
-Counts cover all documents. Bigrams of two of the most frequent words are counted in dense
+Counts cover all documents. The most frequent words have ids, and their unigram counts are
+broadcast; all other words go by their 63-bit hashes and nothing about them is broadcast. A
+bigram whose word is such travels to the word's bucket, which has all of its occurrences and
+so its unigram count; a context that is such sends an entry of its own to its bucket, which
+answers with the loss's denominator.
+
+Bigrams of two of the most frequent words are counted in dense
 tables of a fixed size, summed and broadcast, and scored where the text is, so no bucket holds
 a bigram that nearly every document has. All others travel with their documents, packed, to
 the bucket of the bigram, which counts them for both models and answers with loss sums.
@@ -25,14 +31,16 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from staffcast.llm.words import chunks, cut, hashes
+from staffcast.llm.words import chunks, cut, hashes, mix
 
-VOCABULARY = 1 << 16  # words with ids of their own; bounds what is broadcast
+TABLE = 1 << 16  # words with ids; bounds what is broadcast, not which words are counted
 DENSE = 512  # ids whose bigrams are counted in dense tables
 PRIOR = 50.0
 BUCKET_ENTRIES = 1 << 20
 _UNKNOWN, _BEGIN, _WORDS = 0, 1, 2
 _U = np.uint64
+_HASHED = _U(1 << 63)  # marks codes that are hashes of words without an id
+_CONTEXT = _U(_UNKNOWN)  # in place of the word of a bigram with a hashed context: all its occurrences
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,48 +56,77 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"word": found.view(np.int64), "n": sizes})
 
 
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> np.ndarray:
+def _counted(texts: DataFrame) -> DataFrame:
+    return texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(texts: DataFrame, size: int = TABLE) -> np.ndarray:
     """Hashes of the most frequent words, most frequent first; at most `size`."""
-    counts = texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return counts.orderBy(F.desc("n"), "word").limit(size).toPandas()["word"].to_numpy(dtype=np.int64).view(_U)
+    return _counted(texts).orderBy(F.desc("n"), "word").limit(size).toPandas()["word"].to_numpy(dtype=np.int64).view(_U)
+
+
+def _all_words(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """`vocabulary` and the number of all different words, from one scan."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        different = 0
+        for batch in batches:
+            different += batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(batch.num_rows, bool)), *batch.columns], names=["is_word", "word", "n"])
+        yield pa.RecordBatch.from_pydict({"is_word": [False], "word": pa.array([0], pa.int64()), "n": pa.array([different], pa.int64())})
+
+    # the tasks' sums come first; there are at most as many as shuffle partitions
+    sums = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = _counted(texts).select("word", "n").mapInArrow(run, "is_word boolean, word long, n long")
+    rows = counts.orderBy("is_word", F.desc("n"), "word").limit(size + sums).toPandas()
+    is_word = rows["is_word"].to_numpy(dtype=bool)
+    return rows["word"].to_numpy(dtype=np.int64)[is_word][:size].view(_U), int(rows["n"].to_numpy()[~is_word].sum())
 
 
 class Ids:
-    """Ids of words by their hashes: 0 is unknown, 1 stands before a text, then by frequency."""
+    """Codes of words by their hashes: 1 stands before a text, then ids by frequency; all others
+    are their hashes under the mark _HASHED or, where the vocabulary is closed, 0, unknown."""
 
-    def __init__(self, words: np.ndarray):
+    def __init__(self, words: np.ndarray, closed: bool):
+        self.closed = closed
         self.order = np.argsort(words)
         self.sorted = words[self.order]
         self.size = _WORDS + len(words)
 
     def bigrams(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Context id, word id and row of every word."""
+        """Context code, word code and row of every word."""
         words = cut(texts)
         h = hashes(words, lower=True)
-        ids = np.full(len(h), _UNKNOWN, dtype=np.int64)
+        ids = np.full(len(h), _UNKNOWN, dtype=_U) if self.closed else h | _HASHED
         if len(self.sorted):
             at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
             known = self.sorted[at] == h
-            ids[known] = self.order[at[known]] + _WORDS
+            ids[known] = (self.order[at[known]] + _WORDS).astype(_U)
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
         before[words.first[:-1][words.counts > 0]] = _BEGIN
         return before, ids, words.rows()
 
 
-def _dense_counts(texts: DataFrame, known) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of all ids as contexts and words, and of bigrams of the DENSE first ids."""
+def _ids(codes: np.ndarray) -> np.ndarray:
+    """Ids as places in tables; hashed codes share place 0."""
+    return np.where(codes < _HASHED, codes, _U(_UNKNOWN)).astype(np.int64)
+
+
+def _dense_counts(texts: DataFrame, known, closed: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of all ids as contexts and words, and of bigrams of the DENSE first ids. Hashed
+    words are counted together, at 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(known.value)
+        ids = Ids(known.value, closed)
         total = np.zeros(2 * ids.size + DENSE * DENSE, dtype=np.int64)
         for batch in batches:
             for _, part in chunks(batch.column(0)):
                 before, word, _ = ids.bigrams(part)
-                total[: ids.size] += np.bincount(before, minlength=ids.size)
-                total[ids.size : 2 * ids.size] += np.bincount(word, minlength=ids.size)
+                total[: ids.size] += np.bincount(_ids(before), minlength=ids.size)
+                total[ids.size : 2 * ids.size] += np.bincount(_ids(word), minlength=ids.size)
                 both = (before < DENSE) & (word < DENSE)
-                total[2 * ids.size :] += np.bincount(before[both] * DENSE + word[both], minlength=DENSE * DENSE)
+                total[2 * ids.size :] += np.bincount(_ids(before[both]) * DENSE + _ids(word[both]), minlength=DENSE * DENSE)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"place": used, "n": total[used]})
 
@@ -101,42 +138,74 @@ def _dense_counts(texts: DataFrame, known) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Unigrams, contexts and dense bigrams of one corpus, with the losses of bigram counts."""
+    """Unigrams, contexts and dense bigrams of one corpus, with the losses of bigram counts.
+    `different` is the number of words that a unigram probability is shared by."""
 
-    def __init__(self, singles: np.ndarray, dense: np.ndarray, prior: float):
+    def __init__(self, singles: np.ndarray, dense: np.ndarray, prior: float, different: int):
         self.context = singles[0].astype(float)
-        self.word = (singles[1] + 1.0) / (singles[1].sum() + len(singles[1]))
+        self.total = singles[1].sum() + different
+        self.word = (singles[1] + 1.0) / self.total
         self.dense, self.prior = dense, prior
 
     def loss(self, before: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
         return -np.log((count + self.prior * self.word[word]) / (self.context[before] + self.prior))
 
+    def open_loss(self, before: np.ndarray, word: np.ndarray, count: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """Of codes; `single` is the unigram count of hashed words. A bigram with a hashed context
+        has its denominator from the entry of that context, whose word is _CONTEXT."""
+        chance = np.where(word < _HASHED, self.word[_ids(word)], (single + 1.0) / self.total)
+        under = np.where(before < _HASHED, np.log(self.context[_ids(before)] + self.prior), 0.0)
+        of_context = (before >= _HASHED) & (word == _CONTEXT)
+        return np.where(of_context, np.log(count + self.prior), under - np.log(count + self.prior * chance))
+
 
 _SENT = "bucket int, packed binary, n int, kind int"
 _SENT_SCHEMA = pa.schema([("bucket", pa.int32()), ("packed", pa.binary()), ("n", pa.int32()), ("kind", pa.int32())])
 _ENTRY, _TARGET, _ANSWER = range(3)
 
 
-def score(background: DataFrame, target: DataFrame, size: int = VOCABULARY, prior: float = PRIOR) -> DataFrame:
+def score(background: DataFrame, target: DataFrame, size: int | None = None, prior: float = PRIOR) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss (means per token) and score of all rows
     (doc_id, text) of `background`; its bigrams are counted as they are scored, in one shuffle.
+    All words count, or with `size` as many, the others being one.
     `target` (text) is scanned twice; pass a written table.
     """
     spark = background.sparkSession
     context = spark.sparkContext
-    known = context.broadcast(vocabulary(background.select("text"), size))
-    models = context.broadcast([Model(*_dense_counts(x.select("text"), known), prior) for x in (target, background)])
+    closed = size is not None
+    words, different = (vocabulary(background.select("text"), size), 0) if closed else _all_words(background.select("text"), TABLE)
+    known = context.broadcast(words)
+    different = _WORDS + (len(words) if closed else different)
+    models = context.broadcast([Model(*_dense_counts(x.select("text"), known, closed), prior, different) for x in (target, background)])
     tokens = int(models.value[1].context.sum())
-    n_buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // (2 * BUCKET_ENTRIES)))
-    n_ids = _U(_WORDS + len(known.value))
-
-    def pack(keys, owner, row, count, kind, packer):
-        bucket = ((keys * _U(0x9E3779B97F4A7C15) >> _U(33)) % _U(n_buckets)).astype(np.int32)
-        order = np.lexsort((keys, bucket))
-        keys, owner, row, count, bucket = keys[order], owner[order], row[order], count[order], bucket[order]
+    entries = tokens + (0 if closed else int(models.value[1].context[_UNKNOWN]))
+    n_buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // (2 * BUCKET_ENTRIES)))
+
+    def grouped(*columns):
+        """Order by all columns, the last one first, and where equal rows begin in it."""
+        order = np.lexsort(columns)
+        new = np.zeros(len(order), dtype=bool)
+        new[:1] = True
+        for c in columns:
+            c = c[order]
+            new[1:] |= c[1:] != c[:-1]
+        return order, np.flatnonzero(new)
+
+    def with_contexts(before, word, row):
+        """The rows, and for each with a hashed context one more for that context."""
+        hashed = before >= _HASHED
+        return (np.concatenate([before, before[hashed]]), np.concatenate([word, np.full(int(hashed.sum()), _CONTEXT)]),
+                np.concatenate([row, row[hashed]]))
+
+    def pack(before, word, owner, row, count, kind, packer):
+        # a hashed word's bigrams meet in its bucket, those of an id are spread by context too
+        key = np.where(word < _HASHED, mix(before ^ word * _U(0x9E3779B97F4A7C15)), mix(word))
+        bucket = ((key >> _U(20)) % _U(n_buckets)).astype(np.int32)
+        order = np.lexsort((before, word, bucket))
+        before, word, owner, row, count, bucket = (x[order] for x in (before, word, owner, row, count, bucket))
         bounds = np.flatnonzero(np.append(np.append(True, bucket[1:] != bucket[:-1]), True)) if len(bucket) else []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            parts = (np.diff(keys[a:b], prepend=_U(0)), owner[a:b], row[a:b], count[a:b])
+            parts = (np.diff(word[a:b], prepend=_U(0)), before[a:b], owner[a:b], row[a:b], count[a:b])
             raw = b"".join(x.tobytes() for x in parts)
             yield int(bucket[a]), packer.compress(raw), int(b - a), kind
 
@@ -144,44 +213,42 @@ def score(background: DataFrame, target: DataFrame, size: int = VOCABULARY, prio
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _SENT_SCHEMA, strict=True)], schema=_SENT_SCHEMA)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, packer = Ids(known.value), zstandard.ZstdCompressor(level=1)
+        ids, packer = Ids(known.value, closed), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for at, part in chunks(batch.column(2)):
                 before, word, row = ids.bigrams(part)
                 place = batch.column(0).slice(at, len(part)).to_numpy()
                 mark = batch.column(1).slice(at, len(part)).to_numpy().astype(np.int32)
                 both = (before < DENSE) & (word < DENSE)
-                b, w, r = before[both], word[both], row[both]
+                b, w, r = _ids(before[both]), _ids(word[both]), row[both]
                 sums = [np.bincount(r, m.loss(b, w, m.dense[b, w]), minlength=len(part)) for m in models.value]
                 n = np.bincount(row, minlength=len(part)).astype(np.float64)
                 one = np.ones(len(part))
                 out = [(int(place[0] % n_buckets), packer.compress(
                     place.tobytes() + mark.tobytes() + sums[0].tobytes() + sums[1].tobytes() + n.tobytes() + one.tobytes()), len(part), _ANSWER)]
-                keys = (before[~both].astype(_U) * n_ids + word[~both].astype(_U))
-                row = row[~both]
-                order = np.lexsort((keys, row))
-                keys, row = keys[order], row[order]
-                new = np.ones(len(keys), dtype=bool)
-                new[1:] = (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])
-                begin = np.flatnonzero(new)
-                count = np.diff(np.append(begin, len(keys))).astype(np.int32)
-                out += pack(keys[begin], place[row[begin]], mark[row[begin]], count, _ENTRY, packer)
+                before, word, row = with_contexts(before[~both], word[~both], row[~both])
+                order, begin = grouped(before, word, row)
+                count = np.diff(np.append(begin, len(order))).astype(np.int32)
+                first = order[begin]
+                out += pack(before[first], word[first], place[row[first]], mark[row[first]], count, _ENTRY, packer)
                 yield batch_of(out)
 
     def send_target(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, packer = Ids(known.value), zstandard.ZstdCompressor(level=1)
+        ids, packer = Ids(known.value, closed), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for _, part in chunks(batch.column(0)):
                 before, word, _ = ids.bigrams(part)
                 rest = ~((before < DENSE) & (word < DENSE))
-                keys, count = np.unique(before[rest].astype(_U) * n_ids + word[rest].astype(_U), return_counts=True)
-                if len(keys):
-                    none = np.zeros(len(keys), np.int64)
-                    yield batch_of(list(pack(keys, none, none.astype(np.int32), count.astype(np.int32), _TARGET, packer)))
+                before, word, _ = with_contexts(before[rest], word[rest], word[rest])
+                if len(word):
+                    order, begin = grouped(before, word)
+                    count = np.diff(np.append(begin, len(order))).astype(np.int32)
+                    first, none = order[begin], np.zeros(len(begin), np.int64)
+                    yield batch_of(list(pack(before[first], word[first], none, none.astype(np.int32), count, _TARGET, packer)))
 
     def settle(part: pa.Table) -> pa.Table:
         unpacker = zstandard.ZstdDecompressor()
-        cols = [[] for _ in range(5)]
+        cols = [[] for _ in range(6)]
         sums = [[] for _ in range(6)]
         for packed, n, kind in zip(*(part.column(c).to_pylist() for c in ("packed", "n", "kind")), strict=True):
             raw = unpacker.decompress(packed, max_output_size=44 * n)
@@ -190,15 +257,22 @@ def score(background: DataFrame, target: DataFrame, size: int = VOCABULARY, prio
                     c.append(np.frombuffer(raw, dtype, n, at * n))
                 continue
             cols[0].append(np.cumsum(np.frombuffer(raw, "<u8", n), dtype=_U))
-            for c, (dtype, at) in zip(cols[1:4], (("<i8", 8), ("<i4", 16), ("<i4", 20)), strict=True):
+            for c, (dtype, at) in zip(cols[1:5], (("<u8", 8), ("<i8", 16), ("<i4", 24), ("<i4", 28)), strict=True):
                 c.append(np.frombuffer(raw, dtype, n, at * n))
-            cols[4].append(np.full(n, kind == _TARGET))
+            cols[5].append(np.full(n, kind == _TARGET))
         if cols[0]:
-            keys, place, mark, count, of_target = map(np.concatenate, cols)
-            different, inverse = np.unique(keys, return_inverse=True)
-            before, word = (different // n_ids).astype(np.int64), (different % n_ids).astype(np.int64)
-            losses = [m.loss(before, word, np.bincount(inverse[x], count[x], minlength=len(different)))
-                      for m, x in zip(models.value, (of_target, ~of_target), strict=True)]
+            word, before, place, mark, count, of_target = map(np.concatenate, cols)
+            cols.clear()
+            order, begin = grouped(before, word)
+            inverse = np.empty(len(order), dtype=np.int64)
+            inverse[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+            before, word = before[order[begin]], word[order[begin]]
+            starts = np.append(True, word[1:] != word[:-1])
+            of_word = np.cumsum(starts) - 1
+            losses = []
+            for m, x in zip(models.value, (of_target, ~of_target), strict=True):
+                n = np.bincount(inverse[x], count[x], minlength=len(word))
+                losses.append(m.open_loss(before, word, n, np.add.reduceat(n, np.flatnonzero(starts))[of_word]))
             e = np.flatnonzero(~of_target)
             for c, x in zip(sums, (place[e], mark[e], losses[0][inverse[e]] * count[e], losses[1][inverse[e]] * count[e],
                             np.zeros(len(e)), np.zeros(len(e))), strict=True):

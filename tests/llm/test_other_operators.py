@@ -262,6 +262,41 @@ def test_losses_are_those_of_plain_counts(spark, monkeypatch):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("table", [0, 3, 7, 1 << 16])
+def test_losses_count_every_word(spark, monkeypatch, table):
+    """Words without an id in the broadcast table are counted by their hashes, as all others."""
+    monkeypatch.setattr(cross_entropy, "DENSE", 4)
+    monkeypatch.setattr(cross_entropy, "TABLE", table)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(40)], weights=[1 / (i + 1) for i in range(40)], k=rng.randint(1, 15))) for _ in range(80)]
+    rows = [*enumerate(texts), (3, texts[3]), (4, "other words W1"), (100, None), (None, "w0 rare")]
+    target = texts[:25] + ["never seen w0 w1 never seen"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = cross_entropy.score(docs, spark.createDataFrame([(t,) for t in target], "text string")).collect()
+    different = len({w for _, t in rows for w in (t or "").lower().split()}) + 2
+
+    def model(corpus):
+        single, context, pair = Counter(), Counter(), Counter()
+        for text in corpus:
+            w = (text or "").lower().split()
+            for a, b in zip(["<"] + w, w):
+                single[b] += 1
+                context[a] += 1
+                pair[a, b] += 1
+        total = sum(single.values())
+        return lambda a, b: -math.log((pair[a, b] + 50 * (single[b] + 1) / (total + different)) / (context[a] + 50))
+
+    models, want = (model(target), model([t for _, t in rows])), []
+    for doc, text in rows:
+        w = (text or "").lower().split()
+        want.append((doc, len(w), *([sum(m(a, b) for a, b in zip(["<"] + w, w)) / len(w) for m in models] if w else [None, None])))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or 0)
+    mine = sorted(((r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in got), key=key)
+    assert len(mine) == len(want)
+    for a, b in zip(mine, sorted(want, key=key)):
+        assert a[:2] == b[:2] and (a[2:] == b[2:] or a[2:] == pytest.approx(b[2:]))
+
+
 def graded_texts(seed, n):
     rng = random.Random(seed)
     out = []
