@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 from staffcast.llm.words import Words, chunks, cut, hashes, mix
 
 BITS = 18
-SAMPLE_ROWS = 12288  # bound of the rated sample that the model is fitted on
+SAMPLE_ROWS = 16384  # bound of the rated sample that the model is fitted on
 STEM_BYTES = (4, 6)
 THRESHOLD = 0.8  # of the tail probability; most texts are far from it
+FIT_ROWS = 1024  # whose features are screened at once; bounds the driver's temporaries
 LEAST_DOCS = 8  # of the sample, for a feature to have a weight
 LEAST_ERRORS = 4.0  # standard errors by which its share of some grades must stand apart
 _U = np.uint64
@@ -108,7 +109,6 @@ def fit(number: np.ndarray, first: np.ndarray, grades: np.ndarray, n_grades: int
     `least_errors` standard errors of all rows' share, keep weight 0. Thresholds are a first one and the exponentials of positive steps, so they stay ordered.
     """
     m = len(grades)
-    row = np.repeat(np.arange(m), np.diff(first))
     share = np.cumsum(np.bincount(grades, minlength=n_grades) + 1.0)[:-1] / (m + n_grades)
     begin = np.log(share / (1 - share))
     free = np.concatenate([np.zeros(1 << BITS), begin[:1], np.log(np.maximum(np.diff(begin), 1e-3))])
@@ -116,16 +116,26 @@ def fit(number: np.ndarray, first: np.ndarray, grades: np.ndarray, n_grades: int
         return Model(free[: 1 << BITS], begin)
     mean, square = np.zeros_like(free), np.zeros_like(free)
     size, each = 1 << BITS, np.arange(m)
-    docs = np.bincount(number, minlength=size)
+    spans = [(a, min(a + FIT_ROWS, m)) for a in range(0, m, FIT_ROWS)]
+    lower = [(grades <= cut).astype(float) for cut in range(n_grades - 1)]
+    docs, apart = np.zeros(size, dtype=np.int64), np.zeros((n_grades - 1, size))
+    for a, b in spans:
+        part, row = number[first[a] : first[b]], np.repeat(np.arange(a, b), np.diff(first[a : b + 1]))
+        docs += np.bincount(part, minlength=size)
+        for cut, below in enumerate(lower):
+            apart[cut] += np.bincount(part, (below - below.mean())[row], minlength=size)
     known = np.zeros(size, dtype=bool)
-    for cut in range(n_grades - 1):
-        below = (grades <= cut).astype(float)
-        apart = np.bincount(number, (below - below.mean())[row], minlength=size)
-        known |= np.abs(apart) > least_errors * (below.std() + 1e-9) * np.sqrt(docs)
+    for cut, below in enumerate(lower):
+        known |= np.abs(apart[cut]) > least_errors * (below.std() + 1e-9) * np.sqrt(docs)
     known &= docs >= least_docs
-    used = known[number]
-    first = np.concatenate([[0], np.cumsum(used)])[first]
-    number, row = number[used], row[used]
+    numbers, rows = [], []
+    for a, b in spans:
+        part = number[first[a] : first[b]]
+        used = known[part]
+        numbers.append(part[used].astype(np.int64))
+        rows.append(np.repeat(np.arange(a, b), np.diff(first[a : b + 1]))[used])
+    number, row = np.concatenate(numbers), np.concatenate(rows)
+    first = np.searchsorted(row, np.arange(m + 1))
     for step in range(1, rounds + 1):
         cuts = np.concatenate([[free[size]], free[size] + np.cumsum(np.exp(free[size + 1 :]))])
         model = Model(free[:size], cuts)
@@ -178,7 +188,7 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int = 3, sample_rows: i
     lists = rows.column("number").combine_chunks()
     first = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
     grades = np.clip(rows.column("grade").to_numpy().astype(np.int64), 0, n_grades - 1)
-    return fit(lists.flatten().to_numpy().astype(np.int64), first, grades, n_grades)
+    return fit(lists.flatten().to_numpy(), first, grades, n_grades)
 
 
 def grade(docs: DataFrame, model: Model, least_grade: int = 2, threshold: float = THRESHOLD) -> DataFrame:

@@ -324,6 +324,19 @@ def test_held_out_grades(spark):
     assert np.array_equal(again.weights, model.weights)
 
 
+def test_fit_covers_the_stated_sample_in_parts(monkeypatch):
+    """The sample holds 16,384 ratings, and screening it in parts gives the model of one part."""
+    assert ordinal.SAMPLE_ROWS == 16384
+    rng = np.random.default_rng(4)
+    lists = [np.unique(rng.integers(0, 60, rng.integers(0, 20))) for _ in range(300)]
+    grades = np.array([2 - min(2, int((x < 4).sum())) for x in lists])
+    number, first = np.concatenate(lists).astype(np.int32), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    whole = ordinal.fit(number, first, grades, 3, rounds=20)
+    monkeypatch.setattr(ordinal, "FIT_ROWS", 7)
+    parts = ordinal.fit(number, first, grades, 3, rounds=20)
+    assert whole.weights.any() and np.allclose(whole.weights, parts.weights) and np.allclose(whole.thresholds, parts.thresholds)
+
+
 def test_gradient_of_the_ordinal_model():
     """The fit lowers the loss to where small changes of any threshold or weight don't help."""
     number, first = np.array([0, 1, 0, 1, 2, 2, 0]), np.array([0, 1, 3, 4, 5, 6, 7])
