@@ -8,13 +8,13 @@ inequality separates nothing. So the join goes from coarse to fine, and every st
    what may be missing from its own part and what the other set's surplus may push out of that
    set's part; the sets with fewer are apart from all others.
 2. The remaining sets are ordered by how many sets hold a shingle. Linked sets share one of
-   the rarest fifth of their shingles. Sets that share such a shingle lie in the Voronoi region
-   of the pivot chosen for it, the one of least id, so linked sets meet in a region.
+   the rarest fifth of their shingles. Sets that share such a shingle form its region, named
+   by the one of least id, so linked sets meet in a region. It is no Voronoi cell.
 3. In a region distances to pivots are exact. Sets in the pivot's ball are linked to it; two
    sets whose distances to any pivot differ by more than the threshold are never compared
    (triangle inequality), and a set becomes a pivot itself only while some set of another
    component is inside its windows.
-4. A region of too many sets is joined recursively: several pivots are tried and the one with
+4. A region of too many sets is split once, not recursively: several pivots are tried and the one with
    the most sets in its ball is taken; the others, its boundary, are replicated to the shells
    of the region that the triangle inequality leaves, in blocks, and joined there.
 
@@ -41,7 +41,7 @@ from staffcast.llm.words import chunks
 
 SHINGLE = 5
 PERCENT = 80
-REGION_SETS = 1500  # more are joined recursively
+REGION_SETS = 1500  # more are joined by ball and shells
 REGION_VALUES = 1 << 21
 TRIED_PIVOTS = 16
 _SLACK = 1e-9
