@@ -67,5 +67,57 @@ FROM d LEFT JOIN t USING (doc_id)
 """
 
 
+OP11 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+m AS (
+  SELECT *, length(said) + len(regexp_extract_all(said, '<\\*/?s>|\[\\*(?:/?INST|/?SYS|/?ROLE|TEXT)\]'))
+    + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 11
+      ELSE 19 + length(role) + len(regexp_extract_all(role, '<\\*/?s>|\[\\*(?:/?INST|/?SYS|/?ROLE|TEXT)\]')) END AS chars
+  FROM t)
+SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(said))) AS turns_sha256,
+  coalesce(sum(length(said)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(said, '' ORDER BY turn NULLS FIRST, role, md5(said)) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+# DuckDB has no CRC-32: the digits' bits go through the reflected polynomial one by one.
+OP13 = r"""
+WITH o AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place,
+    md5(coalesce(role, '')) || md5(coalesce(text, '')) AS step, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, max(place) AS turns FROM o GROUP BY conv_id),
+k AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda v, d: list_reduce(list_prepend(xor(v, d), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda w, z: CASE WHEN w % 2 = 1 THEN xor(w // 2, 3988292384::BIGINT) ELSE w // 2 END)), 4294967295::BIGINT) % 6 AS h
+  FROM l),
+v AS MATERIALIZED (SELECT k.*, least(h, coalesce(l.turns, 0)) AS shared FROM k LEFT JOIN l ON l.conv_id = k.base),
+r AS (
+  SELECT v.conv_id AS c, place AS depth, step, chars FROM v JOIN o ON o.conv_id = v.base WHERE place <= h
+  UNION ALL SELECT v.conv_id, shared + place - h, step, chars FROM v JOIN o ON o.conv_id = v.conv_id WHERE place > h),
+p AS MATERIALIZED (
+  SELECT c, depth, chars, string_agg(step, '') OVER (PARTITION BY c ORDER BY depth) AS path FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM v),
+n AS MATERIALIZED (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved, left(path, 64 * (depth - 1)::INT) AS above
+  FROM p GROUP BY path, depth),
+b AS (SELECT above AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above),
+u AS (SELECT left(path, 64 * level::INT) AS path, saved, leaf FROM (
+  SELECT path, saved, (n_children IS NULL)::BIGINT AS leaf, unnest(range(depth + 1)) AS level FROM n LEFT JOIN b USING (path))),
+s AS (SELECT path, sum(saved)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM u GROUP BY path),
+e AS (SELECT path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ends FROM (
+  SELECT *, max(depth) OVER (PARTITION BY c) AS turns FROM p) WHERE depth = turns GROUP BY path)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, CASE WHEN n.depth > 0 THEN a.conv_id END::BIGINT AS parent_conv_id,
+  n.n_convs, coalesce(b.n_children, 0)::BIGINT AS n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM n JOIN s USING (path) LEFT JOIN b USING (path) LEFT JOIN e USING (path) LEFT JOIN n a ON a.path = n.above
+"""
+
+
 def all_statements() -> dict[str, str]:
-    return {"op2_warc": OP2, "op6_mixing": OP6, "op9_substrings": OP9}
+    return {"op2_warc": OP2, "op6_mixing": OP6, "op9_substrings": OP9, "op11_chat": OP11, "op13_prefix_trie": OP13}

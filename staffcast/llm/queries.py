@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staffcast.llm import bpe, caps, cross_entropy, metric_join, mixing, nn_descent, ordinal, superkmers, token_files, warc
+from staffcast.llm import (
+    bpe, caps, chat, cross_entropy, metric_join, mixing, nn_descent, ordinal, prefix_trie, superkmers, token_files, warc, whitening,
+)
 from staffcast.llm.stages import Kept, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,7 +94,28 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return metric_join.join_components(_read(spark, folder, "documents"), Kept(spark))
 
 
+def op11_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one more that says control strings, formatted as prefix trees and read back from the tokens."""
+    table = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], table.schema)
+    ranks, keep = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), Kept(spark)
+    trees, members = chat.format_trees(table.unionByName(more), ranks, public_tokenizers.PATTERN, keep)
+    found = chat.summary(chat.read_back(trees, members, ranks, public_tokenizers.PATTERN, keep))
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors along the four leading components of the distinct ones, whitened."""
+    return whitening.whiten(_read(spark, folder, "embeddings"), Kept(spark))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All nodes of the prefix tree of the conversations rebuilt as branches, with sums over their subtrees."""
+    return prefix_trie.branched_trie(_read(spark, folder, "conversations"), Kept(spark))
+
+
 def all_queries() -> dict[str, Query]:
     every = (op1_lm_scoring, op2_warc, op3_token_counts, op4_embedding_dedup, op5_bpe, op6_mixing, op7_nearest, op8_quality,
-             op9_substrings, op10_jaccard)
+             op9_substrings, op10_jaccard, op11_chat, op12_whitening, op13_prefix_trie)
     return {query.__name__: query for query in every}
