@@ -200,6 +200,14 @@ class Bindings:
         model = F.when(key % 2 == 0, "STL").otherwise("SARIMAX-7")
         return self.table("nation").where(key % 5 == 0).select(key.alias("department_id"), model.alias("model"))
 
+    def labels_by_customer(self) -> DataFrame:
+        """A label for each customer, so many for a department; two customers share a place, and
+        all customers of every fifth department agree."""
+        key = F.col("c_custkey")
+        model = F.when((F.col("c_nationkey") % 5 == 0) | (key % 3 == 0), "STL").when(key % 3 == 1, "SARIMAX-7").otherwise("Prophet")
+        return self.table("customer").select(
+            F.col("c_nationkey").alias("department_id"), model.alias("model"), F.floor(key / 2).alias("Sequence"))
+
     def labels(self) -> DataFrame:
         return inputs.merge_labels(
             inputs.model_labels(self.manual_labels()),

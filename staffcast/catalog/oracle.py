@@ -16,7 +16,9 @@ _TABLES: dict[str, str] = {}
 
 
 def _num(expr: str, name: str | None = None) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 4) + 0.0 AS {name or expr}"
+    """A double to 4 places, rounded from a decimal of 9 places as in `comparable`."""
+    rounded = f"CAST(round(TRY_CAST(CAST({expr} AS DOUBLE) AS DECIMAL(28,9)), 4) AS DOUBLE)"
+    return f"coalesce({rounded}, CAST({expr} AS DOUBLE)) + 0.0 AS {name or expr}"
 
 
 def _day(expr: str, name: str | None = None) -> str:
@@ -265,18 +267,40 @@ _define("t_user_weeks", """SELECT user_id * 100000 + CAST(floor(date_diff('day',
     AS department_id, CAST(ts AS DATE) AS day, CAST(count(*) AS DOUBLE) AS tickets FROM events GROUP BY ALL""")
 
 _define("t_tested", """SELECT CAST(unnest(generate_series(TIMESTAMP '2000-07-01', TIMESTAMP '2001-06-01', INTERVAL 1 MONTH)) AS DATE) AS month""")
-_define("t_before", """SELECT month, department_id, min(day) AS first_day, max(day) AS last_day
-    FROM t_daily JOIN t_tested ON day < month GROUP BY ALL""")
-_define("t_ahead", """SELECT month, department_id, last_day, first_day, last_day + CAST(step AS INTEGER) AS day,
-    least(last_day - first_day + 1, 7) AS week, (step - 1) % least(last_day - first_day + 1, 7) AS place
-    FROM (SELECT *, unnest(range(1, 63)) AS step FROM t_before)""")
-_define("t_naive_months", f"""SELECT a.month, a.department_id, sum(coalesce(d.tickets, 0)) AS forecast
-    FROM t_ahead a LEFT JOIN t_daily d ON d.department_id = a.department_id
-        AND d.day = a.last_day - CAST(a.week AS INTEGER) + 1 + CAST(a.place AS INTEGER)
-    WHERE {_month('a.day')} = a.month GROUP BY ALL""")
-_define("t_month_sums", f"SELECT department_id, {_month('day')} AS month, sum(tickets) AS actual FROM t_daily GROUP BY ALL")
-_define("t_naive_tested", """SELECT department_id, forecast, coalesce(actual, 0) AS actual
-    FROM t_naive_months LEFT JOIN t_month_sums USING (department_id, month)""")
+
+
+def _backtested(daily: str, tag: str) -> None:
+    """Naive forecasts of the tested months from the days before them, and all months of all departments."""
+    _define(f"t_before{tag}", f"""SELECT month, department_id, min(day) AS first_day, max(day) AS last_day
+        FROM {daily} JOIN t_tested ON day < month GROUP BY ALL""")
+    _define(f"t_ahead{tag}", f"""SELECT month, department_id, horizon, last_day, last_day + CAST(step AS INTEGER) AS day,
+        least(last_day - first_day + 1, 7) AS week, (step - 1) % least(last_day - first_day + 1, 7) AS place
+        FROM (SELECT *, unnest(range(1, horizon + 1)) AS step FROM (
+            SELECT *, date_diff('day', last_day, CAST(month + INTERVAL 1 MONTH AS DATE)) - 1 AS horizon FROM t_before{tag}))""")
+    _define(f"t_naive_months{tag}", f"""SELECT a.month, a.department_id, min(horizon) AS horizon_days, sum(coalesce(d.tickets, 0)) AS forecast
+        FROM t_ahead{tag} a LEFT JOIN {daily} d ON d.department_id = a.department_id
+            AND d.day = a.last_day - CAST(a.week AS INTEGER) + 1 + CAST(a.place AS INTEGER)
+        WHERE {_month('a.day')} = a.month GROUP BY ALL""")
+    _define(f"t_naive_tested{tag}", f"""SELECT department_id, month, horizon_days, forecast, coalesce(actual, 0) AS actual,
+        forecast IS NOT NULL AS has_forecast
+        FROM (SELECT DISTINCT department_id FROM {daily}) CROSS JOIN t_tested
+        LEFT JOIN t_naive_months{tag} USING (department_id, month)
+        LEFT JOIN (SELECT department_id, {_month('day')} AS month, sum(tickets) AS actual FROM {daily} GROUP BY ALL) USING (department_id, month)""")
+
+
+_define("t_thinned", """SELECT * FROM t_daily WHERE NOT (day BETWEEN DATE '2000-12-16' AND DATE '2001-02-28' AND department_id % 4 = 1)
+    AND NOT (day < DATE '2000-10-01' AND department_id % 4 = 2)""")
+_backtested("t_daily", "")
+_backtested("t_thinned", "_thin")
+
+_define("t_customer_labels", """SELECT CAST(c_nationkey AS BIGINT) AS department_id, c_custkey // 2 AS place,
+    CASE WHEN c_nationkey % 5 = 0 OR c_custkey % 3 = 0 THEN 'STL' WHEN c_custkey % 3 = 1 THEN 'SARIMAX-7' ELSE 'Prophet' END AS model
+    FROM customer""")
+_define("t_label_kept", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY department_id ORDER BY place DESC, model DESC) AS back,
+    count(*) OVER (PARTITION BY department_id, place) AS tied, min(model) OVER (PARTITION BY department_id, place) AS least
+    FROM t_customer_labels) WHERE back = 1""")
+_define("t_label_lists", """SELECT department_id, count(*) AS entries, string_agg(DISTINCT model, ', ' ORDER BY model) AS labels, max(model) AS greatest
+    FROM t_customer_labels GROUP BY department_id HAVING count(DISTINCT model) > 1""")
 
 # --- statements --------------------------------------------------------------
 
@@ -297,6 +321,7 @@ def _series(table: str, value: str, time: str = "month") -> str:
     return f"SELECT department_id, {_day(time)}, {_num(value)} FROM {table}"
 
 
+_FORECAST_KPIS = "('Forecast', 'Forecast Accuracy', 'Expected Forecast vs Capacity', 'Forecast Error %')"
 _FORECAST = f"department_id, {_day('day', 'date')}, {_num('p50')}, {_num('p05')}, {_num('p95')}"
 
 _STATEMENTS: dict[str, str] = {
@@ -400,18 +425,25 @@ _STATEMENTS: dict[str, str] = {
     "workload_identities": f"""SELECT {_day('month')}, department_name, {_num('actual_volume', 'actual')},
         {_num('calls_actual', 'calls')}, {_num('repeats_actual', 'repeats')}, {_num('capacity')}, {_num('productivity')},
         human IS NOT NULL AS has_forecast, FALSE AS parts_differ, FALSE AS gap_differs FROM t_facts""",
-    "backtest_errors_naive": f"""SELECT department_id, 'naive' AS engine, count(*) AS backtest_months,
+    "backtest_errors_naive": f"""SELECT department_id, 'naive' AS engine, count(*) FILTER (has_forecast) AS backtest_months,
+        count(*) FILTER (NOT has_forecast) AS months_without_forecast,
         {_num('avg(CASE WHEN actual > 0 THEN abs(forecast - actual) / actual * 100 END)', 'mape_pct')},
-        {_num('sum(abs(forecast - actual)) / nullif(sum(actual), 0) * 100', 'wape_pct')},
-        {_num('sum(forecast - actual) / nullif(sum(actual), 0) * 100', 'bias_pct')}
+        {_num('sum(abs(forecast - actual)) / nullif(sum(actual) FILTER (has_forecast), 0) * 100', 'wape_pct')},
+        {_num('sum(forecast - actual) / nullif(sum(actual) FILTER (has_forecast), 0) * 100', 'bias_pct')}
         FROM t_naive_tested GROUP BY department_id""",
+    "backtest_months_naive": f"""SELECT department_id, {_day('month')}, 'naive' AS engine, CASE WHEN has_forecast THEN 'naive' END AS path_used,
+        {_int('horizon_days')}, {_num('forecast')}, {_num('actual')}, has_forecast FROM t_naive_tested_thin""",
     "backtest_invariants": f"""SELECT department_id, engine,
         CASE WHEN engine = 'SARIMAX-7' THEN 'sarima' ELSE 'stl' END AS path_used, count(*) AS months,
-        {_num('sum(coalesce(actual, 0))', 'actual')}, CAST(0 AS BIGINT) AS impossible
-        FROM t_naive_months LEFT JOIN t_month_sums USING (department_id, month), (VALUES ('STL'), ('SARIMAX-7')) AS e(engine)
-        GROUP BY department_id, engine""",
-    "backtest_recommendation": """SELECT department_id, TRUE AS is_least, count(*) AS backtest_months
-        FROM t_naive_months GROUP BY department_id""",
+        {_num('sum(actual)', 'actual')}, {_int('sum(horizon_days)', 'horizon_days')}, CAST(0 AS BIGINT) AS impossible
+        FROM t_naive_tested, (VALUES ('STL'), ('SARIMAX-7')) AS e(engine) GROUP BY department_id, engine""",
+    "backtest_recommendation": """SELECT department_id, department_name, TRUE AS is_least, count(*) FILTER (has_forecast) AS backtest_months,
+        count(*) FILTER (NOT has_forecast) AS months_without_forecast, TRUE AS errors_follow, TRUE AS factor_follows
+        FROM t_naive_tested JOIN t_map USING (department_id) GROUP BY department_id, department_name""",
+    "sarima_recursion": f"""SELECT p.department_id, {_int('days')}, CAST(365 AS BIGINT) AS steps, {_day('last_day + 1', 'first_day')},
+        {_num('log_sum')}, CAST(0 AS BIGINT) AS broken, CAST(0 AS BIGINT) AS noisy, CAST(0 AS BIGINT) AS out_of_bounds, CAST(0 AS BIGINT) AS not_followed
+        FROM t_profile_orders p JOIN (SELECT department_id, sum(ln(1 + tickets)) AS log_sum FROM t_dense_orders GROUP BY ALL) USING (department_id)
+        WHERE days >= 35""",
     "tenure_targets": f"""SELECT a.agent_id, a.department_id, {_day('start_date')}, a.tenure_months, seniority,
         {_num('base + a.department_id % 3', 'item_target_day')}
         FROM (SELECT *, CAST(date_diff('month', start_date, DATE '2001-06-30') AS BIGINT)
@@ -519,6 +551,8 @@ _STATEMENTS: dict[str, str] = {
         UNION ALL SELECT 'capacity_history', count(*) FROM t_hours
         UNION ALL SELECT 'agents', count(*) FROM t_agents
         UNION ALL SELECT 'daily_forecast', count(*) FROM t_naive_orders JOIN t_scope USING (department_id)
+        UNION ALL SELECT 'backlog_forecast', count(*) FROM t_hold
+        UNION ALL SELECT 'label_conflicts', 0
         UNION ALL SELECT 'implausible_series', 0
         UNION ALL SELECT 'engine_failures', 0
         UNION ALL SELECT 'monthly_forecast', count(*) FROM t_rollup
@@ -534,10 +568,47 @@ _STATEMENTS: dict[str, str] = {
         'Board_Specialists of the second' AS board_key, CAST(11 AS BIGINT) AS kpis,
         {_num("sum(total) FILTER (label = '01-01')", 'january')}, {_num("sum(total) FILTER (label = '06-01')", 'june')}
         FROM t_small_long GROUP BY department_id, department_name""",
+    "months_rewritten": f"""SELECT vertical, department_id, department_name, {_day('month')},
+        {_num("CASE WHEN month = DATE '2001-03-01' THEN 2 ELSE 1 END * actual_volume", 'actual_volume')} FROM t_actuals
+        WHERE month BETWEEN DATE '2001-01-01' AND DATE '2001-06-01' AND NOT (month = DATE '2001-04-01' AND vertical = '{VERTICALS[0]}')""",
+    "label_conflicts": """SELECT 'sequence' AS source, department_id, entries, labels, model AS kept,
+            CASE WHEN least < model THEN 'alphabet' ELSE 'sequence' END AS decided_by FROM t_label_lists JOIN t_label_kept USING (department_id)
+        UNION ALL SELECT 'none', department_id, entries, labels, greatest, 'alphabet' FROM t_label_lists""",
+    "labels_in_sequence": "SELECT department_id, model FROM t_label_kept",
+    "monthly_rollup_fitted": f"""SELECT {_FOUR_KEYS}, days_covered, FALSE AS sums_differ, FALSE AS out_of_order FROM t_rollup""",
+    "monthly_chain_fitted": f"""SELECT {_FOUR_KEYS}, days_covered, {_num('rate_used', 'deflection_rate_recent')},
+        {_num('coalesce(calls_not_indexed_rate_recent, 0)', 'calls_not_indexed_rate_recent')},
+        {_num('coalesce(repeats_rate_recent, 0)', 'repeats_rate_recent')}, {_num('calib_factor')}, {_num('b.inventory', 'inventory_actual')},
+        h.p50 IS NOT NULL AS has_backlog_forecast, FALSE AS deflected_differs, FALSE AS calibrated_differs, FALSE AS calls_differ,
+        FALSE AS repeats_differ, FALSE AS backlog_differs
+        FROM t_calibrated LEFT JOIN t_calls_rate USING (department_id) LEFT JOIN t_repeats_rate USING (department_id)
+        LEFT JOIN t_backlog b USING (department_id, month) LEFT JOIN t_hold h USING (department_id, month)""",
+    "backlog_final_fitted": f"""SELECT {_FOUR_KEYS}, {_num('b.inventory', 'inventory_actual')},
+        CASE WHEN h.p50 IS NULL THEN NULL WHEN months >= 18 THEN 'stl' ELSE 'hold' END AS path_used,
+        FALSE AS forecast_differs, CASE WHEN h.p50 IS NOT NULL THEN FALSE END AS out_of_order, FALSE AS final_differs
+        FROM (SELECT *, CAST(unnest(generate_series(TIMESTAMP '2000-06-01', TIMESTAMP '2003-12-01', INTERVAL 1 MONTH))
+            AS DATE) AS month FROM t_scope)
+        LEFT JOIN t_backlog b USING (department_id, month) LEFT JOIN t_hold h USING (department_id, month)
+        LEFT JOIN t_backlog_profile USING (department_id)""",
+    "capacity_report_fitted": f"""SELECT {_day('month')}, vertical, department_name, {_num('inventory_mean', 'inventory')},
+        {_num('actual_volume', 'actual')}, {_num('productivity')}, {_num('actual_volume - productivity', 'actual_gap')},
+        {_num('productivity - capacity', 'productivity_gap')}, {_num('capacity')}, forecast_p50 IS NOT NULL AS has_forecast,
+        FALSE AS forecast_differs, FALSE AS deflected_differs, FALSE AS accuracy_differs, FALSE AS gap_differs FROM t_facts""",
+    "board_kpis_fitted": f"""SELECT label, department_id, department_name, "KPI",
+        {_num(f"CASE WHEN \"KPI\" NOT IN {_FORECAST_KPIS} THEN total END", 'total')}, total IS NOT NULL AS has_total, FALSE AS differs
+        FROM t_board_long""",
+    "board_wide_fitted": f"""SELECT department_id, department_name, "KPI", count(total) AS months,
+        {_num(f"sum(total) FILTER (\"KPI\" NOT IN {_FORECAST_KPIS})", 'total')}, CAST(0 AS BIGINT) AS differ
+        FROM (SELECT * FROM t_board_long UNION ALL SELECT label, department_id, department_name, 'Comments', NULL FROM t_board_long)
+        GROUP BY department_id, department_name, "KPI\"""",
     "written_tables": f"""SELECT vertical, count(*) AS rows, {_num('sum(actual_volume)', 'volume')},
         CAST(1 AS BIGINT) AS tables FROM t_actuals GROUP BY vertical""",
 }
 
 
+# the stages have as many rows whether their values are fitted or held
+_STATEMENTS["run_log_fitted"] = _STATEMENTS["run_log"]
+
+
 def all_statements() -> dict[str, str]:
     return {name: _with(select) for name, select in _STATEMENTS.items()}

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staffcast.catalog.bindings import TOKENS, VERTICALS, Bindings
-from staffcast.deploy import ship_package
+from staffcast.catalog.registry import all_queries as all_queries, query
 from staffcast.functions.columns import month_start
 from staffcast.functions.scalar import board_key, month_label, working_days
 from staffcast.operators import (
@@ -17,14 +16,11 @@ from staffcast.operators import (
 from staffcast.plans.params import PlanParams
 from staffcast.plans.workforce import PlanInputs, PlanTables, run_workforce_plan
 from staffcast.sources import inputs, schemas
-from staffcast.sources.sinks import Stages, write_boards, write_tables
+from staffcast.sources.sinks import Stages, read_months, write_boards, write_months, write_tables
 from staffcast.sources.tables import (
     empty_table, published_model_errors, read_first, read_table, with_department_names,
 )
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-
 PLAN = PlanParams(
     as_of="2001-06-30", verticals=VERTICALS, exclude_tokens=TOKENS,
     board_first="2001-01-01", board_last="2002-02-01",
@@ -32,35 +28,6 @@ PLAN = PlanParams(
 NAIVE_PLAN = replace(PLAN, fit_series=False)
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Form used for comparing engines: dates as text, doubles to 4 places, whole numbers as bigint."""
-    out = []
-    for field in df.schema.fields:
-        col = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DateType):
-            col = col.cast("string")
-        elif isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            # + 0.0 turns a negative zero into zero
-            col = F.round(col.cast("double"), 4) + F.lit(0.0)
-        elif isinstance(field.dataType, T.IntegralType):
-            col = col.cast("bigint")
-        out.append(col.alias(field.name))
-    return df.select(*out)
-
-
-def query(build: Callable[[Bindings], DataFrame]) -> Callable[[Bindings], DataFrame]:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        ship_package(spark)
-        return comparable(build(Bindings(spark, folder)))
-
-    _QUERIES[build.__name__] = run
-    return build
-
-
-def all_queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
 # --- sources, columns, scope -------------------------------------------------
 
 
@@ -367,11 +334,7 @@ def stl_reconstruction(b: Bindings) -> DataFrame:
 
 @query
 def engine_dispatch(b: Bindings) -> DataFrame:
-    """Forecast with merged labels, summarised per department.
-
-    Where the decomposition falls below zero the middle value is raised to 0 and
-    the upper one is not, so the upper order is counted on positive days only.
-    """
+    """Forecast with merged labels, summarised per department."""
     fc = forecasts.daily_forecast(b.daily(), b.labels())
     return fc.groupBy("department_id", "engine_used", "path_used").agg(
         F.count("*").alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
@@ -387,6 +350,45 @@ def sarima_daily_forecast(b: Bindings) -> DataFrame:
     return forecasts.daily_forecast(b.daily(), labels)
 
 
+@query
+def sarima_recursion(b: Bindings) -> DataFrame:
+    """The seasonal ARMA of all departments, row by row: days seen and forecast, rows that break
+    the model's recursion, coefficients out of bounds, and forecast rows that don't follow from it.
+
+    With noise e, z[t] = a z[t-1] + A z[t-7] - aA z[t-8] + e[t] + m e[t-1] + M e[t-7] + mM e[t-8],
+    over the past, whose noise is the residual, and over the forecast, whose noise is 0.
+    """
+    stages = Stages(b.spark)
+    daily = stages.keep("daily_tickets", b.daily())
+    steps = stages.keep("steps", fitting.arma_steps(daily, 365))
+    at = Window.partitionBy("department_id").orderBy("step")
+    lags = {f"{c}{k}": F.lag(c, k).over(at) for c in ("z", "noise") for k in (1, 7, 8)}
+    a, big_a, m, big_m = (F.col(c) for c in ("a", "big_a", "m", "big_m"))
+    expected = (a * F.col("z1") + big_a * F.col("z7") - a * big_a * F.col("z8")
+                + F.col("noise") + m * F.col("noise1") + big_m * F.col("noise7") + m * big_m * F.col("noise8"))
+    traced = steps.withColumns(lags).withColumn("gap", F.abs(F.col("z") - expected))
+    labels = b.departments().select("department_id", F.lit("SARIMAX-7").alias("model"))
+    made = forecasts.daily_forecast(daily, labels).join(
+        forecasts.daily_profile(daily).select("department_id", F.coalesce("lag_sd", F.lit(1.0)).alias("sd")), "department_id")
+    rows = traced.join(made, ["department_id", "date"], "left")
+    mean = F.greatest(F.expm1("z"), F.lit(0.0))
+    band = forecasts.BAND * F.col("sd")
+
+    def differs(value: Column, expected: Column) -> Column:
+        return F.coalesce(F.abs(value - expected) > 1e-9 * (1 + F.abs(expected)), F.lit(True))
+
+    bound = F.greatest(F.abs(a), F.abs(big_a)) > 1
+    ma_bound = F.greatest(F.abs(m), F.abs(big_m)) > 0.98
+    return rows.groupBy("department_id").agg(
+        F.count_if(~F.col("ahead")).alias("days"), F.count_if("ahead").alias("steps"), F.min(F.when(F.col("ahead"), F.col("date"))).alias("first_day"),
+        F.sum(F.when(~F.col("ahead"), F.col("z"))).alias("log_sum"),
+        F.count_if((F.col("step") >= 8) & (F.coalesce("gap", F.lit(1.0)) > 1e-8)).alias("broken"),
+        F.count_if(F.col("ahead") & (F.col("noise") != 0)).alias("noisy"), F.count_if(bound | ma_bound).alias("out_of_bounds"),
+        F.count_if(F.col("ahead") & (
+            differs(F.col("p50"), mean) | differs(F.col("p05"), F.greatest(mean - band, F.lit(0.0))) | differs(F.col("p95"), mean + band)
+        )).alias("not_followed"))
+
+
 @query
 def backlog_hold_forecast(b: Bindings) -> DataFrame:
     return forecasts.backlog_forecast(inputs.inherited_backlog(b.backlog_daily()), fit=False)
@@ -402,38 +404,59 @@ def backlog_stl_forecast(b: Bindings) -> DataFrame:
 TESTED = [f"2000-{m:02d}-01" for m in range(7, 13)] + [f"2001-{m:02d}-01" for m in range(1, 7)]
 
 
+def _thinned(b: Bindings) -> DataFrame:
+    """Daily tickets with silent spells before tested months: some departments lack the 75 days
+    before March 2001, others all days before October 2000."""
+    silent = F.col("date").between("2000-12-16", "2001-02-28") & (F.col("department_id") % 4 == 1)
+    young = (F.col("date") < "2000-10-01") & (F.col("department_id") % 4 == 2)
+    return b.daily().where(~silent & ~young)
+
+
 @query
 def backtest_errors_naive(b: Bindings) -> DataFrame:
-    daily = Stages(b.spark).keep("daily_tickets", b.daily())
-    return backtest.backtest_errors(backtest.backtest_months(daily, TESTED, backtest.NAIVE))
+    return backtest.backtest_errors(backtest.backtest_months(b.daily(), TESTED, (backtest.NAIVE,)))
+
+
+@query
+def backtest_months_naive(b: Bindings) -> DataFrame:
+    """Every tested month after silent spells: the horizon reaches its end, and none is lost."""
+    return backtest.backtest_months(_thinned(b), TESTED, (backtest.NAIVE,)).drop("fit_error")
 
 
 def _fitted_backtest(b: Bindings) -> DataFrame:
-    stages = Stages(b.spark)
-    daily = stages.keep("daily_tickets", b.daily())
-    tested = [backtest.backtest_months(daily, TESTED, engine) for engine in backtest.ENGINES]
-    return stages.keep("tested", tested[0].unionByName(tested[1]))
+    return Stages(b.spark).keep("tested", backtest.backtest_months(b.daily(), TESTED))
 
 
 @query
 def backtest_invariants(b: Bindings) -> DataFrame:
     """Both fitted engines over all departments and months: coverage, actual volume, impossible values."""
     return _fitted_backtest(b).groupBy("department_id", "engine", "path_used").agg(
-        F.count("*").alias("months"), F.sum("actual").alias("actual"),
+        F.count("*").alias("months"), F.sum("actual").alias("actual"), F.sum("horizon_days").alias("horizon_days"),
         F.count_if(~(F.col("forecast") >= 0) | F.isnan("forecast")).alias("impossible"))
 
 
 @query
 def backtest_recommendation(b: Bindings) -> DataFrame:
-    """The recommendation written and read as the monthly run reads it: departments by engine are
-    whole, and each has the engine of least error."""
+    """The recommendation and its errors written and read as the monthly run reads them: departments
+    by engine are whole, each has the engine of least error, and its bias makes the factor."""
     stages = Stages(b.spark)
     errors = stages.keep("errors", backtest.backtest_errors(_fitted_backtest(b)))
-    write_tables({"recommended_models": backtest.recommended_models(errors)}, stages.folder)
+    write_tables({
+        "recommended_models": backtest.recommended_models(errors),
+        "model_errors": backtest.measured_errors(errors, b.departments()),
+    }, stages.folder)
     labels = inputs.model_labels(read_table(b.spark, f"{stages.folder}/recommended_models"), schemas.REPORT_MODEL)
+    measured = read_table(b.spark, f"{stages.folder}/model_errors")
     least = errors.groupBy("department_id").agg(F.min("wape_pct").alias("least"))
     chosen = labels.join(errors.withColumnRenamed("engine", "model"), ["department_id", "model"]).join(least, "department_id")
-    return chosen.select("department_id", F.col("wape_pct").eqNullSafe(F.col("least")).alias("is_least"), "backtest_months")
+    factors = measured.select("department_id", "department_name", "model_used", F.col("bias_pct").alias("read_bias")).join(
+        adjust.calibration_factors(measured), "department_id")
+    kept_in = 1 - F.col("bias_pct") / 100
+    inside = F.least(F.greatest(kept_in, F.lit(adjust.FACTOR_LOW)), F.lit(adjust.FACTOR_HIGH))
+    return chosen.join(factors, "department_id").select(
+        "department_id", "department_name", F.col("wape_pct").eqNullSafe(F.col("least")).alias("is_least"), "backtest_months",
+        "months_without_forecast", ((F.col("model") == F.col("model_used")) & (F.col("bias_pct") == F.col("read_bias"))).alias("errors_follow"),
+        (F.col("calib_factor") == inside).alias("factor_follows"))
 
 
 # --- reference data ----------------------------------------------------------
@@ -722,6 +745,34 @@ def board_folders(b: Bindings) -> DataFrame:
     )
 
 
+@query
+def months_rewritten(b: Bindings) -> DataFrame:
+    """Actuals written by months; a second run doubles March and drops a vertical of April 2001 and
+    leaves the other months alone. The first half of the year is read back."""
+    path = f"{Stages(b.spark).folder}/actuals"
+    actuals = Stages(b.spark).keep("actuals", b.actuals())
+    write_months(actuals, path)
+    march, april = (F.col("month") == F.lit(m).cast("date") for m in ("2001-03-01", "2001-04-01"))
+    again = actuals.where(march | april & (F.col("vertical") != VERTICALS[0]))
+    write_months(again.withColumn("actual_volume", F.col("actual_volume") * F.when(march, 2).otherwise(1)), path, files_per_month=2)
+    schema = "vertical string, department_id bigint, department_name string, actual_volume double, month date"
+    return read_months(b.spark, path, schema, "2001-01-01", "2001-06-01")
+
+
+@query
+def label_conflicts(b: Bindings) -> DataFrame:
+    """Departments with several labels in two tables: with a sequence column, with equal places, and without one."""
+    rows = b.labels_by_customer()
+    with_order = inputs.label_conflicts(rows, "sequence")
+    return with_order.unionByName(inputs.label_conflicts(rows.drop("Sequence"), "none"))
+
+
+@query
+def labels_in_sequence(b: Bindings) -> DataFrame:
+    """The label of the last row by sequence, of several the greatest."""
+    return inputs.model_labels(b.labels_by_customer())
+
+
 @query
 def written_tables(b: Bindings) -> DataFrame:
     """Tables written, replaced, skipped when empty, and read back."""

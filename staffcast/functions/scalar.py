@@ -15,6 +15,12 @@ def floor_at_zero(value: Column) -> Column:
     return F.when(value.isNotNull(), F.greatest(value, F.lit(0.0)))
 
 
+def exact(value: Column) -> Column:
+    """Decimal of 9 places, whose sums and means do not depend on the order of rows; null where
+    a value does not fit 28 digits."""
+    return value.try_cast("decimal(28,9)")
+
+
 def ratio(numerator: Column, denominator: Column, otherwise: float | None = None) -> Column:
     """``numerator / denominator`` where the denominator is positive, else ``otherwise``."""
     return F.when(denominator > 0, F.try_divide(numerator, denominator)).otherwise(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from staffcast.functions.columns import find_column, month_start, strip_headers, to_day, to_id, to_number
-from staffcast.functions.scalar import working_days
+from staffcast.functions.scalar import exact, working_days
 from staffcast.operators.calendar import future_months
 from staffcast.operators.rates import latest_rows
 from staffcast.sources import schemas as S
@@ -22,7 +22,8 @@ def agent_days_by_day(rows: DataFrame) -> DataFrame:
     One conditional aggregate over one scan. With an ``agent_id`` column the
     count is distinct; Spark aggregates by (department, day, agent) first, so a
     large department is spread over all tasks. Days without a productive agent
-    keep null counts.
+    keep null counts. Sums and means are exact, so equal inputs give equal results
+    however the rows are dealt.
     """
     productive = F.col("item_target_day") > IDLE_TARGET
     if "agent_id" in rows.columns:
@@ -35,8 +36,8 @@ def agent_days_by_day(rows: DataFrame) -> DataFrame:
         .agg(
             agents.alias("agents"),
             F.count(F.when(productive, F.lit(1))).alias("productive_rows"),
-            F.avg(F.when(productive, F.col("item_target_day"))).alias("target_mean_day"),
-            F.coalesce(F.sum("prod_total_model"), F.lit(0.0)).alias("prod_sum_day"),
+            F.avg(F.when(productive, exact(F.col("item_target_day")))).cast("double").alias("target_mean_day"),
+            F.coalesce(F.sum(exact(F.col("prod_total_model"))).cast("double"), F.lit(0.0)).alias("prod_sum_day"),
         )
     )
     return daily.select(
@@ -54,8 +55,8 @@ def agent_day_pieces(rows: DataFrame) -> DataFrame:
         rows.where(F.col("department_id").isNotNull() & F.col("date").isNotNull())
         .groupBy("department_id", "date", productive.alias("productive"))
         .agg(
-            agents.alias("agents"), F.avg("item_target_day").alias("target_mean"),
-            F.coalesce(F.sum("prod_total_model"), F.lit(0.0)).alias("prod_sum"),
+            agents.alias("agents"), F.avg(exact(F.col("item_target_day"))).cast("double").alias("target_mean"),
+            F.coalesce(F.sum(exact(F.col("prod_total_model"))).cast("double"), F.lit(0.0)).alias("prod_sum"),
         )
     )
 
@@ -71,17 +72,21 @@ def join_agent_day_pieces(pieces: DataFrame) -> DataFrame:
     productive = pieces.where("productive")
     counted = productive.select(*keys, F.col("agents").alias("agents_day"))
     targets = productive.select(*keys, F.col("target_mean").alias("target_mean_day"))
-    produced = pieces.groupBy(*keys).agg(F.sum("prod_sum").alias("prod_sum_day"))
+    produced = pieces.groupBy(*keys).agg(F.sum(exact(F.col("prod_sum"))).cast("double").alias("prod_sum_day"))
     return counted.join(targets, keys, "full").join(produced, keys, "full")
 
 
 def agent_capacity(rows: DataFrame) -> DataFrame:
-    """Monthly capacity (mean agents times mean target) and productivity from agent days."""
+    """Monthly capacity (mean agents times mean target) and productivity from agent days.
+
+    The means are taken over exact values and only then multiplied, so months whose product
+    ends in a tie round the same way in every run.
+    """
     return agent_days_by_day(rows).groupBy(
         "department_id", month_start(F.col("date")).alias("month")
     ).agg(
-        (F.avg("agents_day") * F.avg("target_mean_day")).alias("capacity_agents"),
-        F.sum("prod_sum_day").alias("productivity_agents"),
+        (F.avg("agents_day") * F.avg(exact(F.col("target_mean_day"))).cast("double")).alias("capacity_agents"),
+        F.sum(exact(F.col("prod_sum_day"))).cast("double").alias("productivity_agents"),
     )
 
 

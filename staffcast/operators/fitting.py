@@ -86,33 +86,49 @@ def _fit_frame(pdf: pd.DataFrame, row: dict) -> pd.DataFrame:
     return pd.DataFrame([[row.get(c) for c in FIT_COLUMNS]], columns=FIT_COLUMNS)
 
 
+def fit_daily(
+    slot: np.ndarray, tickets: np.ndarray, asked: str, horizon: int, min_days: int,
+) -> tuple[np.ndarray, dict]:
+    """The gap-filled series and the fit that its label asks for, with decomposition as the
+    fallback of the seasonal ARMA, and no fit for a series that is too short or implausible."""
+    row, engine, error = None, asked, None
+    try:
+        y = _evenly_spaced(slot, tickets)
+    except Exception as problem:
+        back, y = slot.max() - slot, np.zeros(7)
+        y[6 - back[back < 7]] = np.nan_to_num(tickets[back < 7])
+        return y, {"fit_path": "naive", "engine_used": DEFAULT_ENGINE, "engine_failed": True, "fit_error": str(problem)[:200]}
+    if asked == ARMA_ENGINE:
+        try:
+            row = _arma_row(y, horizon)
+            error = None if row else "seasonal ARMA could not be fitted"
+        except Exception as problem:
+            error = str(problem)[:200]
+        engine = asked if row else DEFAULT_ENGINE
+    if row is None and len(y) >= min_days:
+        try:
+            row = decomposition_row(y, 7)
+        except Exception as problem:
+            error = str(problem)[:200]
+    return y, {
+        "fit_path": "naive", **(row or {}), "engine_used": engine, "engine_failed": error is not None, "fit_error": error}
+
+
+def median_path(row: dict, y: np.ndarray, horizon: int) -> np.ndarray:
+    """The middle forecast of the days after a series from the row of its fit, as `forecasts.daily_forecast`
+    expands it."""
+    if row["fit_path"] == "sarima":
+        return np.maximum(np.expm1(np.array(row["log_path"])), 0.0)
+    cycle = np.maximum(np.expm1(row["level"] + np.array(row["season"])), 0.0) if row["fit_path"] == "stl" else y[-7:]
+    return np.resize(cycle, horizon)
+
+
 def daily_fitter(horizon: int, min_days: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Grouped-map function choosing the engine by label, with decomposition as the fallback."""
+    """Grouped-map function choosing the engine by label."""
 
     def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
-        asked = pdf["model"].iloc[0]
-        row, engine, error = None, asked, None
-        try:
-            y = _evenly_spaced(pdf["slot"].to_numpy(), pdf["tickets"].to_numpy(dtype=float))
-        except Exception as problem:
-            return _fit_frame(pdf, {
-                "fit_path": "naive", "engine_used": DEFAULT_ENGINE, "engine_failed": True, "fit_error": str(problem)[:200]})
-        if asked == ARMA_ENGINE:
-            try:
-                row = _arma_row(y, horizon)
-                error = None if row else "seasonal ARMA could not be fitted"
-            except Exception as problem:
-                error = str(problem)[:200]
-            engine = asked if row else DEFAULT_ENGINE
-        if row is None and len(y) >= min_days:
-            try:
-                row = decomposition_row(y, 7)
-            except Exception as problem:
-                error = str(problem)[:200]
-        return _fit_frame(pdf, {
-            "fit_path": "naive", **(row or {}), "engine_used": engine,
-            "engine_failed": error is not None, "fit_error": error,
-        })
+        slot, tickets = pdf["slot"].to_numpy(), pdf["tickets"].to_numpy(dtype=float)
+        return _fit_frame(pdf, fit_daily(slot, tickets, pdf["model"].iloc[0], horizon, min_days)[1])
 
     return fit_one
 
@@ -152,3 +168,38 @@ def decompose_daily(daily: DataFrame, value: str = "tickets") -> DataFrame:
     rows = daily.select("department_id", day_number(F.col("date")).alias("slot"), value)
     split_rows = spread_by_key(rows).groupBy("department_id").applyInPandas(split, schema)
     return split_rows.select("department_id", F.date_from_unix_date("slot").alias("date"), "trend", "seasonal", "remainder")
+
+
+def arma_steps(daily: DataFrame, horizon: int) -> DataFrame:
+    """The seasonal ARMA of every department day by day: department_id, step, date, z, noise,
+    ahead, and the coefficients a, big_a, m, big_m.
+
+    In the past z is the log of 1 plus the tickets and `noise` the fit's residual; in the future
+    z is the forecast and `noise` 0. So every row but the first eight obeys one recursion.
+    Departments whose series cannot be fitted have no rows.
+    """
+    columns = ["department_id", "step", "slot", "z", "noise", "ahead", "a", "big_a", "m", "big_m"]
+
+    def trace(pdf: pd.DataFrame) -> pd.DataFrame:
+        slot = pdf["slot"].to_numpy()
+        try:
+            z = np.log1p(_evenly_spaced(slot, pdf["tickets"].to_numpy(dtype=float)))
+            p = seasonal_arma.fit(z)
+        except Exception:  # reported by the forecast itself, as engine_failed
+            p = None
+        if p is None:
+            return pd.DataFrame(columns=columns)
+        path = seasonal_arma.forecast(z, p, horizon)
+        steps = np.arange(len(z) + horizon)
+        return pd.DataFrame({
+            "department_id": int(pdf["department_id"].iloc[0]), "step": steps, "slot": int(slot.min()) + steps,
+            "z": np.concatenate((z, path)), "noise": np.concatenate((seasonal_arma.residuals(z, p), np.zeros(horizon))),
+            "ahead": steps >= len(z), "a": p[0], "big_a": p[1], "m": p[2], "big_m": p[3],
+        })
+
+    schema = ("department_id bigint, step int, slot int, z double, noise double, ahead boolean, a double, big_a double, "
+              "m double, big_m double")
+    rows = daily.where("department_id IS NOT NULL AND date IS NOT NULL").select(
+        "department_id", day_number(F.col("date")).alias("slot"), "tickets")
+    steps = spread_by_key(rows).groupBy("department_id").applyInPandas(trace, schema)
+    return steps.withColumn("date", F.date_from_unix_date("slot")).drop("slot")

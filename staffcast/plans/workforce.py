@@ -74,6 +74,16 @@ def _labels(spark: SparkSession, given: PlanInputs) -> DataFrame:
     )
 
 
+def _label_conflicts(spark: SparkSession, given: PlanInputs) -> DataFrame:
+    """Departments that the manual labels or the previous report list with different labels."""
+    out = empty_table(spark, schemas.LABEL_CONFLICTS)
+    if given.manual_labels is not None:
+        out = out.unionByName(inputs.label_conflicts(given.manual_labels, "manual"))
+    if given.previous_report is not None:
+        out = out.unionByName(inputs.label_conflicts(given.previous_report, "previous", schemas.REPORT_MODEL))
+    return out
+
+
 def _require_unique(departments: DataFrame) -> None:
     clash = inputs.map_conflicts(departments).take(1)
     if clash:
@@ -120,6 +130,7 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
     Each raw input is scanned once: its monthly (or daily) sums are written to
     the shared folder and read back, and everything after works on those. The
     report tables are lazy; ``staffcast.sources.sinks.write_tables`` saves them.
+    The run log has the rows counted while the stages were written.
     """
     p = params
     stages = Stages(spark)
@@ -142,7 +153,9 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
         "monthly_actuals": actuals,
         "daily_forecast": scope.attach_departments(daily_fc, scoped),
         "backlog_forecast": backlog_fc,
-    })
+        "implausible_series": forecasts.implausible_series(daily),
+        "label_conflicts": _label_conflicts(spark, given),
+    }, daily_forecast={"failed_days": F.count_if("engine_failed")})
     actuals, daily_fc = made["monthly_actuals"], made["daily_forecast"]
     monthly_fc = forecasts.monthly_rollup(daily_fc.drop("vertical", "department_name"), scoped)
 
@@ -155,7 +168,7 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
     adjusted = adjust.forecast_calls(adjusted, rates.calls_rate(actuals, calls))
     adjusted = adjust.forecast_repeats(adjusted, rates.repeats_rate(actuals, side["repeats"]))
     adjusted = adjust.attach_backlog(adjusted, backlog, made["backlog_forecast"])
-    adjusted = stages.keep("adjusted", adjust.calibrate(adjusted, errors))
+    adjusted = stages.keep("adjusted", adjust.calibrate(adjusted, errors), calibrated_rows=F.count_if(F.col("calib_factor") != 1.0))
     forecasts.check_quantiles(adjusted)
     raw_monthly = adjusted.select(*monthly_fc.columns)
 
@@ -192,33 +205,22 @@ def run_workforce_plan(spark: SparkSession, given: PlanInputs, params: PlanParam
         "Monthly_Inventory": lambda: side["backlog_mean"],
         "Model_Used_and_Error": lambda: errors,
         "Daily_Forecast": lambda: daily_fc,
-        "Implausible_Series": lambda: forecasts.implausible_series(daily),
+        "Backlog_Forecast": lambda: made["backlog_forecast"],
+        "Implausible_Series": lambda: made["implausible_series"],
+        "Label_Conflicts": lambda: made["label_conflicts"],
         "boards": lambda: report.board_wide(boards(), *p.board_range),
         "board_kpis_long": lambda: report.board_long(boards()),
         "capacity_report": lambda: report.capacity_report(facts),
         "workload_report": lambda: report.workload_report(facts),
-        "run_log": lambda: run_log({
-            "departments": departments,
-            "daily_tickets": daily,
-            "monthly_actuals": actuals,
-            **side,
-            "daily_forecast": daily_fc,
-            "implausible_series": forecasts.implausible_series(daily),
-            "engine_failures": daily_fc.where("engine_failed").select("department_id").distinct(),
-            "monthly_forecast": raw_monthly,
-            "calibrated_rows": adjusted.where("calib_factor != 1.0"),
-            "facts": facts,
-        }),
+        "run_log": lambda: run_log(spark, stages.metrics, p.horizon_days),
     })
 
 
-def run_log(stages: dict[str, DataFrame]) -> DataFrame:
-    """Row count per stage, as one table ``stage, rows``."""
-    counts = [
-        table.agg(F.count("*").alias("rows")).select(F.lit(name).alias("stage"), "rows")
-        for name, table in stages.items()
-    ]
-    out = counts[0]
-    for count in counts[1:]:
-        out = out.unionByName(count)
-    return out
+def run_log(spark: SparkSession, metrics: Mapping[str, Mapping[str, int]], horizon_days: int) -> DataFrame:
+    """Rows per stage, as one table ``stage, rows``, from what was counted while the stages were written."""
+    rows = {stage: counted["rows"] for stage, counted in metrics.items()}
+    rows["monthly_forecast"] = rows.pop("adjusted")
+    rows["calibrated_rows"] = metrics["adjusted"]["calibrated_rows"]
+    # every department has as many forecast rows as the horizon has days
+    rows["engine_failures"] = metrics["daily_forecast"]["failed_days"] // horizon_days
+    return spark.createDataFrame(sorted(rows.items()), "stage string, rows bigint")

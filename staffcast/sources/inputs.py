@@ -15,6 +15,7 @@ from staffcast.functions.columns import (
 )
 from staffcast.functions.scalar import stripped
 from staffcast.sources import schemas as S
+from staffcast.sources.tables import empty_table
 
 
 def incoming(raw: DataFrame) -> DataFrame:
@@ -232,18 +233,53 @@ def agent_days(raw: DataFrame) -> DataFrame | None:
     )
 
 
-def model_labels(raw: DataFrame, model_names: tuple[str, ...] = S.LABEL_MODEL) -> DataFrame | None:
-    """``department_id, model`` with one row per id; None when a column is missing.
-
-    An id listed several times keeps the greatest label, so the result does not
-    depend on file order.
-    """
+def _label_rows(raw: DataFrame, model_names: tuple[str, ...]) -> DataFrame | None:
+    """``department_id, model, place`` of all usable rows; place is null without a sequence column."""
     raw = strip_headers(raw)
     key, model = find_column(raw, S.DEPARTMENT_ID[:1]), find_column(raw, model_names)
     if not (key and model):
         return None
-    rows = raw.select(to_id(raw, key).alias("department_id"), quoted(model).cast("string").alias("model"))
-    return rows.dropna().groupBy("department_id").agg(F.max("model").alias("model"))
+    sequence = find_column(raw, S.LABEL_SEQUENCE)
+    place = quoted(sequence) if sequence else F.lit(None).cast("bigint")
+    if sequence and isinstance(raw.schema[sequence].dataType, T.StringType):
+        # numbers in text files go by value; what is no number, such as ISO times, by its text
+        place = F.struct(place.try_cast("double").alias("number"), place.alias("text"))
+    return raw.select(
+        to_id(raw, key).alias("department_id"), quoted(model).cast("string").alias("model"), place.alias("place")
+    ).dropna(subset=["department_id", "model"])
+
+
+def _last_label() -> Column:
+    return F.max_by("model", F.struct("place", "model"))
+
+
+def model_labels(raw: DataFrame, model_names: tuple[str, ...] = S.LABEL_MODEL) -> DataFrame | None:
+    """``department_id, model`` with one row per id; None when a column is missing.
+
+    Of an id listed several times the last label counts, by the sequence column where the table
+    has one (null first). Rows of equal place, and tables without such a column, keep the
+    greatest label: files have no order of rows. ``label_conflicts`` lists what was decided so.
+    """
+    rows = _label_rows(raw, model_names)
+    return None if rows is None else rows.groupBy("department_id").agg(_last_label().alias("model"))
+
+
+def label_conflicts(raw: DataFrame, source: str, model_names: tuple[str, ...] = S.LABEL_MODEL) -> DataFrame:
+    """Departments listed with different labels: how often, which, the one kept, and whether the
+    sequence decided or, for want of one or of different places, the alphabet."""
+    rows = _label_rows(raw, model_names)
+    if rows is None:
+        return empty_table(raw.sparkSession, S.LABEL_CONFLICTS)
+    # one row per label, so nothing grows with the number of rows of a department
+    labels = rows.groupBy("department_id", "model").agg(F.count("*").alias("entries"), F.max("place").alias("place"))
+    listed = labels.groupBy("department_id").agg(
+        F.sum("entries").alias("entries"), F.array_join(F.array_sort(F.collect_list("model")), ", ").alias("labels"),
+        F.count("*").alias("different"), _last_label().alias("kept"), F.max("place").alias("last"),
+        F.collect_list(F.struct("model", "place")).alias("places"))
+    at_last = F.size(F.filter("places", lambda p: p["place"].eqNullSafe(F.col("last"))))
+    return listed.where("different > 1").select(
+        F.lit(source).alias("source"), "department_id", "entries", "labels", "kept",
+        F.when(at_last > 1, F.lit("alphabet")).otherwise(F.lit("sequence")).alias("decided_by"))
 
 
 def merge_labels(manual: DataFrame, previous: DataFrame) -> DataFrame:

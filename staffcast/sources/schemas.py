@@ -53,3 +53,5 @@ AGENT_TARGET = ("item_target_day", "target_day", "item_target")
 AGENT_PRODUCTION = ("prod_total_model", "productivity", "prod_model")
 LABEL_MODEL = ("model",)
 REPORT_MODEL = ("Recommended_Model",)
+LABEL_SEQUENCE = ("sequence", "row_number", "updated_at")
+LABEL_CONFLICTS = "source string, department_id bigint, entries bigint, labels string, kept string, decided_by string"

@@ -53,6 +53,30 @@ def test_same_rows_as_sql(spark, database, name):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
+LARGER = "/root/testdata/sf0.01"
+TIES = ("agent_capacity", "capacity_consolidation", "capacity_consolidation_plain")
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="generated tables not present")
+@pytest.mark.parametrize("partitions", ["3", "64"])
+@pytest.mark.parametrize("name", TIES)
+def test_ties_round_alike_however_rows_are_dealt(spark, name, partitions):
+    con = duckdb.connect()
+    for file in os.listdir(LARGER):
+        con.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{LARGER}/{file}'")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        got = contract.queries()[name](spark, LARGER)
+        rows = ordered(got.collect(), got.columns)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    result = con.execute(contract.oracle_sql()[name])
+    assert rows == ordered(result.fetchall(), [c[0] for c in result.description])
+
+
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL - {"workload_with_fits"}))
 def test_fitted_bands(spark, name):
     rows = contract.queries()[name](spark, FOLDER).collect()

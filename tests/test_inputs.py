@@ -151,3 +151,27 @@ def test_published_errors_take_names_from_the_map(spark, departments):
     assert errors.count() == 16
     named = with_department_names(errors, departments)
     assert as_set(named.where("department_id <= 2"), "department_id", "department_name") == {(1, "Alpha"), (2, "Beta")}
+
+
+def labels(spark, rows, sequence="int"):
+    return spark.createDataFrame(rows, f"department_id int, model string, Sequence {sequence}")
+
+
+def test_the_last_label_by_sequence_counts(spark):
+    rows = [(1, "X", 1), (1, "A", 3), (1, "B", 2), (2, "A", 5), (2, "B", 5), (2, "Z", 1), (3, "M", None), (3, "B", 0), (4, "C", 1), (4, "C", 2), (None, "Q", 1), (5, None, 1)]
+    table = labels(spark, rows)
+    assert as_set(inputs.model_labels(table)) == {(1, "A"), (2, "B"), (3, "B"), (4, "C")}
+    assert as_set(inputs.model_labels(table.drop("Sequence"))) == {(1, "X"), (2, "Z"), (3, "M"), (4, "C")}
+    conflicts = {tuple(r)[1:] for r in inputs.label_conflicts(table, "s").collect()}
+    assert conflicts == {
+        (1, 3, "A, B, X", "A", "sequence"), (2, 3, "A, B, Z", "B", "alphabet"), (3, 2, "B, M", "B", "sequence")}
+    assert {r.decided_by for r in inputs.label_conflicts(table.drop("Sequence"), "s").collect()} == {"alphabet"}
+
+
+def test_sequences_as_text(spark):
+    assert as_set(inputs.model_labels(labels(spark, [(1, "A", "10"), (1, "B", "9")], "string"))) == {(1, "A")}
+    assert as_set(inputs.model_labels(labels(spark, [(1, "A", "2024-02-01"), (1, "B", "2023-12-01")], "string"))) == {(1, "A")}
+
+
+def test_no_conflicts_without_columns(spark):
+    assert inputs.label_conflicts(spark.createDataFrame([(1,)], "x int"), "s").collect() == []

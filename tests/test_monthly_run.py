@@ -32,6 +32,24 @@ def test_folder_in_folder_out(spark, tmp_path):
     assert not (tmp_path / "out" / "Monthly_Inventory").exists()
 
 
+def test_months_gone_by_stay(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    tickets = [(str(DAY + dt.timedelta(days=i)), 1, 4) for i in range(70)]
+    spark.createDataFrame(tickets, "Date string, department_id int, count int").write.parquet(f"{source}/incoming.parquet")
+    spark.createDataFrame([(1, "Alpha", "Payments")], "department_id int, Department string, Vertical string").write.parquet(f"{source}/department_map")
+    params = PlanParams(as_of="2026-01-15", fit_series=False)
+    run_monthly(spark, source, target, params, by_month=True)
+    first = {r.month: r.forecast_p50 for r in spark.read.parquet(f"{target}/Monthly_Forecast_RAW").collect()}
+    later = [(str(DAY + dt.timedelta(days=i)), 1, 8) for i in range(40, 100)]
+    spark.createDataFrame(later, "Date string, department_id int, count int").write.mode("overwrite").parquet(f"{source}/incoming.parquet")
+    run_monthly(spark, source, target, params, by_month=True)
+    second = {r.month: r.forecast_p50 for r in spark.read.parquet(f"{target}/Monthly_Forecast_RAW").collect()}
+    gone = dt.date(2026, 1, 1)
+    assert min(first) == gone and second[gone] == first[gone] and second[dt.date(2026, 3, 1)] == 2 * first[dt.date(2026, 3, 1)]
+    # actuals of the months that the second run no longer has stay too
+    assert {r.month for r in spark.read.parquet(f"{target}/Monthly_Actuals").collect()} == {DAY, dt.date(2025, 12, 1), dt.date(2026, 2, 1), gone}
+
+
 def test_required_tables(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="incoming, department_map"):
         read_inputs(spark, str(tmp_path), str(tmp_path))

@@ -84,7 +84,10 @@ def test_reports(tables):
 def test_run_log_and_sinks(spark, tables, tmp_path):
     log = {r.stage: r.rows for r in tables["run_log"].collect()}
     assert log["daily_tickets"] == 200 and log["daily_forecast"] == 730 and log["engine_failures"] == 0
-    assert log["repeats"] == 0 and log["calls"] == 1
+    assert log["repeats"] == 0 and log["calls"] == 1 and log["monthly_forecast"] == tables["Monthly_Forecast_RAW"].count()
+    assert log["calibrated_rows"] == log["facts"] == 26 and log["label_conflicts"] == 0 and log["backlog_forecast"] == 12
+    # the counts were observed, so nothing is scanned again
+    assert "FileScan" not in tables["run_log"]._jdf.queryExecution().executedPlan().toString()
     names = write_tables(tables, str(tmp_path), skip_if_empty=("Monthly_Inventory",))
     assert "Monthly_Inventory" not in names and len(names) == len(tables) - 1 and "Implausible_Series" in names
     assert spark.read.parquet(f"{tmp_path}/workload_report").count() == 26
@@ -113,3 +116,14 @@ def test_only_required_inputs(spark, given):
     rows = tables["workload_report"].collect()
     assert len(rows) == 26 and all(r["Capacity"] is None for r in rows)
     assert all(r["Inventory"] == 0 and r["Deflected forecast"] == 0 for r in rows)
+
+
+def test_conflicting_labels_are_listed(spark, given):
+    manual = spark.createDataFrame([(2, "STL", 1), (2, "SARIMAX-7", 2), (1, "STL", 1)], "department_id int, model string, sequence int")
+    report = spark.createDataFrame([(1, "A"), (1, "B")], "department_id int, Recommended_Model string")
+    tables = run_workforce_plan(
+        spark, PlanInputs(given.incoming, given.department_map, manual_labels=manual, previous_report=report), PlanParams(as_of="2026-02-01"))
+    got = {tuple(r) for r in tables["Label_Conflicts"].collect()}
+    assert got == {("manual", 2, 2, "SARIMAX-7, STL", "SARIMAX-7", "sequence"), ("previous", 1, 2, "A, B", "B", "alphabet")}
+    assert {(r[0], r[1]) for r in tables["Daily_Forecast"].select("department_id", "engine_used").distinct().collect()} == {(1, "STL"), (2, "SARIMAX-7")}
+    assert {r.stage: r.rows for r in tables["run_log"].collect()}["label_conflicts"] == 2

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from staffcast.operators import report
-from staffcast.sources.sinks import Stages, shared_folder, write_boards, write_tables
+from staffcast.sources.sinks import Stages, read_months, shared_folder, write_boards, write_months, write_tables
 
 JAN, FEB, MAR = (dt.date(2026, m, 1) for m in (1, 2, 3))
 SCHEMA = (
@@ -127,3 +127,34 @@ def test_stages_use_the_shared_folder(spark):
     kept = stages.keep_all({"x": spark.range(3), "y": spark.range(4)})
     assert kept["x"].count() == 3 and kept["y"].count() == 4
     assert stages.folder.startswith(shared_folder(spark))
+
+
+MONTHS_SCHEMA = "department_id bigint, volume double, month date"
+
+
+def test_a_rerun_replaces_only_its_months(spark, tmp_path):
+    path = f"{tmp_path}/months"
+    write_months(spark.createDataFrame([(1, 1.0, JAN), (2, 2.0, JAN), (1, 3.0, FEB), (1, 4.0, MAR), (9, 9.0, None)], MONTHS_SCHEMA), path)
+    write_months(spark.createDataFrame([(1, 30.0, FEB), (3, 31.0, FEB)], MONTHS_SCHEMA), path, files_per_month=3)
+    write_months(spark.createDataFrame([], MONTHS_SCHEMA), path)
+    got = {(r.department_id, r.volume, r.month) for r in read_months(spark, path, MONTHS_SCHEMA).collect()}
+    assert got == {(1, 1.0, JAN), (2, 2.0, JAN), (1, 30.0, FEB), (3, 31.0, FEB), (1, 4.0, MAR), (9, 9.0, None)}
+
+
+def test_a_range_of_months_opens_no_other_folder(spark, tmp_path):
+    path = f"{tmp_path}/months"
+    write_months(spark.createDataFrame([(1, float(m), dt.date(2026, m, 1)) for m in range(1, 13)], MONTHS_SCHEMA), path)
+    rows = read_months(spark, path, MONTHS_SCHEMA, "2026-03-01", "2026-05-01")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "month#" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert sorted(r.volume for r in rows.collect()) == [3.0, 4.0, 5.0]
+    scan = rows._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 3
+
+
+def test_stages_count_rows_while_they_write(spark, facts):
+    stages = Stages(spark)
+    kept = stages.keep_all({"facts": facts, "none": facts.where("false"), "empty": spark.createDataFrame([], "a int")},
+                           facts={"named": F.count("department_name")})
+    assert stages.metrics == {"facts": {"rows": 5, "named": 4}, "none": {"rows": 0}, "empty": {"rows": 0}}
+    assert kept["facts"].count() == 5
