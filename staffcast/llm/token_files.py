@@ -9,6 +9,9 @@ a part is searched for separators at even and at odd places with whole-array com
 prefix scan over the parts of a file then gives each part its place, which parity holds, how
 many documents ended before it, and where the document began that its first separator ends.
 
+The files say nothing of whose tokens they hold. `document_order` lists the ids of the table that
+they were written from, by the number of the task and so of the file, and by place.
+
 Defined results: an empty document (a null or empty text) counts 0 tokens; identifiers behind
 the last separator are a document without an end, reported with `ended` false; an odd last
 byte belongs to no identifier; an empty table gives no files and no rows; repeated rows are
@@ -21,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from staffcast.llm import bpe
@@ -54,6 +58,23 @@ def write_token_files(docs: DataFrame, folder: str, ranks_path: str, pattern: st
     raw.select(F.col("value").cast("string").alias("value")).write.option("lineSep", chr(last)).text(folder)
 
 
+def document_order(docs: DataFrame) -> DataFrame:
+    """(file_number, document, doc_id) of the files that `write_token_files` makes of the same
+    table. That must be a scan of files: its tasks have the same rows, in the same order, whichever
+    columns are read, as they depend on the files' sizes only. Write other tables first."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, file = 0, TaskContext.get().partitionId()
+        for batch in batches:
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, file, np.int32)), pa.array(np.arange(seen, seen + n)), batch.column(0)], names=["file_number", "document", "doc_id"])
+            seen += n
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id").mapInArrow(number, f"file_number int, document long, doc_id {kind}")
+
+
 def _parts(spark: SparkSession, folder: str, separator: int) -> DataFrame:
     """file, block, place (of the part in its block), bytes, and packed places behind separators
     at even and odd places of the part."""
