@@ -10,9 +10,15 @@ cosine in double precision. The threshold falls with the number of vectors so th
 direction holds few unrelated ones. Several independent codes make a miss of a pair at the
 least similarity rarer than one in a thousand.
 
-Directions with many vectors are compared block by block. A task gives the number of links of
-each vector and pairs that connect what is linked, not all pairs; a pair that meets at
-several directions counts at the first.
+Equal vectors of one label are one class with a count: classes are coded and compared, and a
+link of two classes counts as often as the other class has vectors, so a group of copies costs
+as much as one vector. Directions with many classes are compared block by block. A task gives
+the number of links of each class and pairs that connect what is linked, not all pairs; a pair
+that meets at several directions counts at the first.
+
+A vector is scaled by a power of two to components of at most 1 before anything is squared.
+That is exact and leaves its directions and cosines, so components of any magnitude that a
+double holds neither overflow nor vanish.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components,
 and rows with a null label, link with nothing; vectors of different lengths don't link; equal
@@ -97,8 +103,35 @@ def _code(dim: int, words: int, seed: int) -> Code:
     return _codes[key]
 
 
-def filters(rows: DataFrame, n: int) -> DataFrame:
-    """owner, vector (packed doubles) and the packed, ascending keys of its label's filters."""
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring the largest component of each to [0.5, 1); no zero is negative."""
+    out = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+    return out + 0.0
+
+
+def _vectors(rows: DataFrame) -> DataFrame:
+    """(owner, label, vec_id, vector): vectors as packed, scaled doubles, null for those that link with nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                values, ok = vectors(part.column(3))
+                ok &= np.array(part.column(1).is_valid())
+                packed: list[bytes | None] = [None] * part.num_rows
+                for dim in sorted({len(values[i]) for i in np.flatnonzero(ok)}):
+                    here = [i for i in np.flatnonzero(ok) if len(values[i]) == dim]
+                    for i, x in zip(here, scaled(np.stack([values[i] for i in here])), strict=True):
+                        packed[i] = x.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), part.column(2), pa.array(packed, pa.binary())], names=["owner", "label", "vec_id", "vector"])
+
+    return rows.mapInArrow(run, "owner long, label long, vec_id long, vector binary")
+
+
+def filters(classes: DataFrame, n: int) -> DataFrame:
+    """owner, vector, copies and the packed, ascending keys of the label's filters of `n` classes
+    (owner, label, vector, copies)."""
     per_filter = min(PER_FILTER, max(n, 2) / 2)
     threshold = -NormalDist().inv_cdf(per_filter / max(n, 2 * per_filter + 1)) if n > 2 * per_filter else 0.0
     words = max(2, int(np.ceil((FILTERS * max(n, 1) / per_filter) ** (1 / BLOCKS))))
@@ -107,27 +140,25 @@ def filters(rows: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                values, ok = vectors(part.column(2))
-                label, owner = part.column(1), part.column(0).to_numpy()
-                ok &= np.array(label.is_valid())
-                out = []
-                for dim in sorted({len(values[i]) for i in np.flatnonzero(ok)}):
-                    here = np.array([i for i in np.flatnonzero(ok) if len(values[i]) == dim])
-                    x = np.stack([values[i] for i in here])
-                    unit = x / np.linalg.norm(x / np.abs(x).max(axis=1)[:, None], axis=1)[:, None] / np.abs(x).max(axis=1)[:, None]
-                    salt = mix(np.array([label[int(i)].as_py() for i in here], dtype=np.int64).view(_U) ^ mix(np.full(len(here), dim, dtype=_U)))
+                label, packed = part.column(1).to_numpy(), part.column(2).to_pylist()
+                length = np.array([len(v) for v in packed], dtype=np.int64)
+                keys: list[bytes] = [b""] * part.num_rows
+                for size in np.unique(length):
+                    here, dim = np.flatnonzero(length == size), int(size) // 8
+                    x = np.frombuffer(b"".join(packed[i] for i in here), np.float64).reshape(-1, dim)
+                    unit = x / np.linalg.norm(x, axis=1)[:, None]
+                    salt = mix(label[here].view(_U) ^ mix(np.full(len(here), dim, dtype=_U)))
                     found = [[] for _ in here]
                     for seed in range(CODES):
                         row, number = _code(dim, words, seed).exceeding(unit, threshold, LEAST_FILTERS)
-                        keys = mix(mix(number.astype(_U) * _U(CODES) + _U(seed)) ^ salt[row])
-                        for r, k in zip(row.tolist(), keys, strict=True):
+                        for r, k in zip(row.tolist(), mix(mix(number.astype(_U) * _U(CODES) + _U(seed)) ^ salt[row]), strict=True):
                             found[r].append(k)
-                    out += [(int(owner[i]), x[j].tobytes(), np.sort(np.array(found[j], dtype=_U)).tobytes()) for j, i in enumerate(here)]
+                    for j, i in enumerate(here):
+                        keys[i] = np.sort(np.array(found[j], dtype=_U)).tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], pa.int64()), *(pa.array([o[k] for o in out], pa.binary()) for k in (1, 2))],
-                    names=["owner", "vector", "filters"])
+                    [part.column(0), part.column(2), part.column(3), pa.array(keys, pa.binary())], names=["owner", "vector", "copies", "filters"])
 
-    return rows.mapInArrow(run, "owner long, vector binary, filters binary")
+    return classes.select("owner", "label", "vector", "copies").mapInArrow(run, "owner long, vector binary, copies long, filters binary")
 
 
 def _keys(rows: DataFrame) -> DataFrame:
@@ -146,7 +177,7 @@ def _keys(rows: DataFrame) -> DataFrame:
 
 def _compare(least: float):
     def run(part: pa.Table) -> pa.Table:
-        owner, block = part.column("owner").to_numpy(), part.column("block").to_numpy()
+        owner, block, copies = (part.column(c).to_numpy() for c in ("owner", "block", "copies"))
         first, second = part.column("i")[0].as_py(), part.column("j")[0].as_py()
         here = _U(part.column("filter")[0].as_py() % (1 << 64))
         x = np.stack([np.frombuffer(v, np.float64) for v in part.column("vector").to_pylist()])
@@ -174,9 +205,9 @@ def _compare(least: float):
                 if len(p) and len(q):
                     linked[np.ix_(p, q)] = False
         n = np.zeros(len(owner), dtype=np.int64)
-        n[a] += linked.sum(axis=1)
+        n[a] += linked @ copies[b]
         if first != second:
-            n[b] += linked.sum(axis=0)
+            n[b] += copies[a] @ linked
         group, pairs = np.arange(len(owner)), []
         for i in np.flatnonzero(linked.any(axis=1)):
             for j in b[linked[i]]:
@@ -193,10 +224,15 @@ def _compare(least: float):
 
 def link(table: DataFrame, keep, least: float = LEAST_COSINE) -> DataFrame:
     """vec_id, n_links, component_id and kept for rows (vec_id, label, embedding)."""
-    rows = keep(table.select(
+    rows = table.select(
         F.monotonically_increasing_id().alias("owner"), F.col("label").cast("long").alias("label"),
-        F.col("embedding").cast("array<double>").alias("embedding"), F.col("vec_id").cast("long").alias("vec_id")), "rows")
-    coded = keep(filters(rows.select("owner", "label", "embedding"), rows.count()), "filters")
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    # equal vectors are found by a digest, so the vectors themselves travel once a class
+    rows = keep(_vectors(rows).withColumn("digest", F.md5("vector")), "rows")
+    same = ["label", "digest"]
+    classes = keep(rows.filter("vector IS NOT NULL").groupBy(*same).agg(
+        F.min("owner").alias("owner"), F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.any_value("vector").alias("vector")), "classes")
+    coded = keep(filters(classes, classes.count()), "filters")
     keys = keep(_keys(coded), "keys")
     crowds = keys.groupBy("filter").count().filter("count > 1").select(
         "filter", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks"))
@@ -205,12 +241,15 @@ def link(table: DataFrame, keep, least: float = LEAST_COSINE) -> DataFrame:
     met = met.select("filter", "owner", "block", other).select(
         "filter", "owner", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     found = keep(met.join(coded, "owner").groupBy("filter", "i", "j").applyInArrow(_compare(least), "a long, b long, n long"), "found")
-    counts = found.filter("n > 0").groupBy("a").agg(F.sum("n").alias("n_links"))
-    reached = components(found.filter("n = 0").select("a", "b"), keep)
-    joined = keep(rows.select("owner", "vec_id").join(reached, F.col("owner") == F.col("node"), "left").select(
-        "owner", "vec_id", F.coalesce("least", "owner").alias("group")), "grouped")
-    names = joined.groupBy("group").agg(F.min("vec_id").alias("component_id"))
-    out = joined.join(names, "group").join(counts, F.col("owner") == F.col("a"), "left")
+    counts = found.filter("n > 0").groupBy(F.col("a").alias("owner")).agg(F.sum("n").alias("others"))
+    reached = components(found.filter("n = 0").select("a", "b"), keep).withColumnRenamed("node", "owner")
+    joined = keep(classes.select(*same, "owner", "least_id", "copies").join(reached, "owner", "left").join(counts, "owner", "left").select(
+        *same, "least_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("least", "owner").alias("group")), "grouped")
+    names = joined.groupBy("group").agg(F.min("least_id").alias("component"))
+    of_class = joined.join(names, "group").select(*same, "links", "component")
+    out = rows.select("vec_id", *same).join(of_class, same, "left")
+    # what links with nothing has no class and is its own component
+    component = F.when(F.col("links").isNull(), F.col("vec_id")).otherwise(F.col("component"))
     return out.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id",
-        F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+        "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
