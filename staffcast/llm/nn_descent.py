@@ -5,24 +5,33 @@ gives all the same length, under which the order by inner product is that of dis
 search compares queries, with that component 0, and final scores use the original vectors in
 double precision.
 
+Equal vectors are one vertex: the graph and the search have distinct vectors only, and a
+vertex found stands for its ids. A result needs no more than the k + 1 smallest of them.
+
 Building: the first neighbours come from blocks of a few random-hyperplane codes. Then, in
 each round, every vertex brings its neighbours and the vertices whose neighbour it is
 together, and new pairs of them become each other's candidates; a vertex keeps its best. The
 meeting lists of a vertex are bounded by the method (a random sample of those that point to
-it), so vertices that very many point to stay cheap. Rounds end when few lists change.
+it), so vertices that very many point to stay cheap. Rounds end when few lists change, after
+as many as that takes.
 
-Searching: each query starts from entry points, and in every round the neighbours of its best
-vertices not yet expanded are scored; it keeps a beam of the best. Vectors and lists travel in
-packed rows by bucket, and each round's lists are written.
+Searching: each distinct query vector starts from its own vertex, if it is one, and some fixed
+entry points. In every round the neighbours of its best vertices not yet expanded are scored;
+it keeps a beam of the best. The search of a query ends when all of its beam is expanded.
+Candidates go to buckets of vertices, and answers back to groups of queries, in packed rows
+that hold all that one has for the other, so rows do not grow with queries times buckets.
+Each round's lists and beams are written.
 
 Every vector is indexed. Defined results: vectors that are null, empty, zero or hold null or
 non-finite components, and vectors of another length than most valid ones have (the larger of
-two as frequent), take no part; neither do null ids; equal vectors tie and the smaller id comes first; rows that repeat an id
-are one vector, the last of the sorted ones; an empty table gives an empty result.
+two as frequent), take no part; neither do null ids; of equal scores the smaller id comes
+first; rows that repeat an id are one vector, the last of the sorted ones; other columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from staffcast.llm.caps import vectors
+from staffcast.llm.words import mix
 
 NEIGHBOURS = 32
 POINTING = 32  # vertices that point to one, met in a round
-ROUNDS = 8
 CODES = 6
 BLOCK = 384
-BEAM, EXPAND, SEARCH_ROUNDS = 160, 32, 6
+BEAM, EXPAND = 160, 32  # vertices that a query keeps, and expands in a round
+GROUP_QUERIES, BUCKET_VERTICES = 256, 2000
 _SAME = 0.02  # rounds end when a smaller part of all list entries is new
 
 
@@ -67,7 +77,7 @@ def _valid(table: DataFrame, dim: int) -> DataFrame:
                 values, ok = vectors(part.column(1))
                 rows = [i for i in np.flatnonzero(ok & np.array(part.column(0).is_valid())) if len(values[i]) == dim]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows, pa.int64())), pa.array([values[i].tobytes() for i in rows], pa.binary())],
+                    [part.column(0).take(pa.array(rows, pa.int64())), pa.array([(values[i] + 0.0).tobytes() for i in rows], pa.binary())],
                     names=["id", "vector"])
 
     return table.mapInArrow(run, "id long, vector binary").groupBy("id").agg(F.max("vector").alias("vector"))
@@ -209,7 +219,7 @@ def build(points: DataFrame, n: int, n_buckets: int, keep) -> DataFrame:
         return _buckets(rows, n_buckets, "id").groupBy("bucket").applyInArrow(_merge(NEIGHBOURS), _LISTS)
 
     lists = keep(merged(_first_lists(points, n, NEIGHBOURS, keep), None), "lists")
-    for step in range(ROUNDS):
+    for step in itertools.count():
         entries = _entries(lists)
         pointing = entries.select(F.col("other").alias("centre"), F.col("id").alias("member"), "fresh")
         sample = F.row_number().over(_window(step)) <= POINTING
@@ -220,7 +230,7 @@ def build(points: DataFrame, n: int, n_buckets: int, keep) -> DataFrame:
         found = _buckets(met, n_buckets, "centre").groupBy("bucket").applyInArrow(_meet, "id long, others binary, scores binary")
         lists = keep(merged(found, lists), "lists")
         changed = lists.agg(F.sum("n_fresh")).first()[0] or 0
-        if changed < _SAME * n * NEIGHBOURS:
+        if changed <= _SAME * n * NEIGHBOURS:
             break
     return lists
 
@@ -241,36 +251,98 @@ def _worst(rows: DataFrame) -> DataFrame:
     return rows.select("id", "point", "scores").mapInArrow(run, "id long, point binary, worst float")
 
 
-def _score(part_a: pa.Table, part_b: pa.Table) -> pa.Table:
-    """Scores of the candidates (query, packed ids, query vector) against a bucket's vectors."""
-    ids = part_b.column("id").to_numpy()
-    order = np.argsort(ids)
-    ids, x = ids[order], _matrix(part_b.column("vector"))[order] if len(ids) else None
-    rows = []
-    if len(ids):
-        for query, others, vector in zip(*(part_a.column(c).to_pylist() for c in ("query", "others", "vector")), strict=True):
-            want = np.unique(np.frombuffer(others, np.int64))
-            at = np.minimum(np.searchsorted(ids, want), len(ids) - 1)
-            at = at[ids[at] == want]
-            if len(at):
-                rows.append((query, ids[at].tobytes(), (x[at] @ np.frombuffer(vector, np.float64)).tobytes()))
-    return _table(rows, ["query", "others", "scores"], [pa.int64(), pa.binary(), pa.binary()])
+def _place(ids: np.ndarray, n: int) -> np.ndarray:
+    """The bucket or group of ids."""
+    return (mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
-def _advance(beam: int, expand: int):
-    """Joins a query's beam (seen ids, scores, flags of expansion) and its newly scored vertices;
-    gives the new beam and the vertices to expand next."""
+def _runs(keys: np.ndarray) -> list[tuple[int, int]]:
+    bounds = np.flatnonzero(np.append(np.append(True, keys[1:] != keys[:-1]), True)) if len(keys) else np.zeros(1, np.int64)
+    return list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
 
-    def run(part: pa.Table) -> pa.Table:
-        query, beams = part.column("query").to_numpy(), part.column("beam").to_numpy().astype(bool)
-        cols = [part.column(c).to_pylist() for c in ("others", "scores", "done")]
-        size = [len(x) // 8 for x in cols[0]]
-        owner, is_beam = np.repeat(query, size), np.repeat(beams, size)
-        other, score = np.frombuffer(b"".join(cols[0]), np.int64), np.frombuffer(b"".join(cols[1]), np.float64)
-        done = np.concatenate([np.frombuffer(d, np.uint8) if d else np.zeros(s, np.uint8) for d, s in zip(cols[2], size, strict=True)]) if size else np.zeros(0, np.uint8)
-        first = np.argsort(~is_beam, kind="stable")
-        keep = first[owner[first] != other[first]]  # a query is no candidate of its own
-        owner, other, score, done = owner[keep], other[keep], score[keep], done[keep]
+
+_SENT = "bucket long, queries binary, counts binary, vectors binary, nodes binary"
+
+
+def _send(n_buckets: int):
+    """Rows (query, vector, others) as packets for the buckets of the others: queries, how many
+    nodes each asks for, their vectors, and the nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            query, vector = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            lists = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+            row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            node = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+            bucket = _place(node, n_buckets)
+            order = np.lexsort((node, query[row], bucket))
+            bucket, row, node = bucket[order], row[order], node[order]
+            out = []
+            for a, b in _runs(bucket):
+                asks = query[row[a:b]]
+                new = np.append(True, (asks[1:] != asks[:-1]) | (node[a + 1 : b] != node[a : b - 1]))
+                nodes, asks, at = node[a:b][new], asks[new], row[a:b][new]
+                spans = _runs(asks)
+                first = [at[i] for i, _ in spans]
+                out.append((int(bucket[a]), query[first].tobytes(), np.array([j - i for i, j in spans]).tobytes(), b"".join(vector[i] for i in first), nodes.tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int64(), *[pa.binary()] * 4))], names=["bucket", "queries", "counts", "vectors", "nodes"])
+
+    return run
+
+
+def _score(n_groups: int):
+    """Scores of the nodes that packets ask for against a bucket's vectors, packed for groups of queries."""
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        names, kinds = ["group", "queries", "others", "scores"], [pa.int64(), *[pa.binary()] * 3]
+        if not asked.num_rows or not held.num_rows:
+            return _table([], names, kinds)
+        ids = held.column("id").to_numpy()
+        order = np.argsort(ids)
+        ids, x = ids[order], _matrix(held.column("vector"))[order]
+        flat = {c: np.frombuffer(b"".join(asked.column(c).to_pylist()), np.int64) for c in ("queries", "counts", "nodes")}
+        vector = np.frombuffer(b"".join(asked.column("vectors").to_pylist()), np.float64).reshape(-1, x.shape[1])
+        source = np.repeat(np.arange(len(flat["queries"])), flat["counts"])
+        query, node = flat["queries"][source], flat["nodes"]
+        order = np.lexsort((node, query))
+        order = order[np.append(True, (query[order][1:] != query[order][:-1]) | (node[order][1:] != node[order][:-1]))]
+        source, query, node = source[order], query[order], node[order]
+        at = np.minimum(np.searchsorted(ids, node), len(ids) - 1)
+        known = ids[at] == node
+        source, query, node, at = source[known], query[known], node[known], at[known]
+        score = np.empty(len(node))
+        for a, b in _runs(query):
+            score[a:b] = x[at[a:b]] @ vector[source[a]]
+        group = _place(query, n_groups)
+        order = np.argsort(group, kind="stable")
+        group, query, node, score = group[order], query[order], node[order], score[order]
+        return _table([(int(group[a]), query[a:b].tobytes(), node[a:b].tobytes(), score[a:b].tobytes()) for a, b in _runs(group)], names, kinds)
+
+    return run
+
+
+_BEAMS = "group long, query long, vector binary, others binary, scores binary, done binary, next binary"
+
+
+def _advance(beam: int, expand: int):
+    """Joins the beams of a group of queries (seen ids, scores, flags of expansion) and their newly
+    scored vertices; gives the new beams and the vertices to expand next."""
+
+    def run(states: pa.Table, answers: pa.Table) -> pa.Table:
+        names, kinds = [f.split()[0] for f in _BEAMS.split(", ")], [pa.int64(), pa.int64(), *[pa.binary()] * 5]
+        if not states.num_rows:
+            return _table([], names, kinds)
+        group, ids = states.column("group")[0].as_py(), states.column("query").to_numpy()
+        vector = dict(zip(ids.tolist(), states.column("vector").to_pylist(), strict=True))
+        old = {c: states.column(c).to_pylist() for c in ("others", "scores", "done")}
+        size = [len(x) // 8 for x in old["others"]]
+        flat = {c: b"".join(answers.column(c).to_pylist()) for c in ("queries", "others", "scores")}
+        owner = np.concatenate([np.repeat(ids, size), np.frombuffer(flat["queries"], np.int64)])
+        other = np.frombuffer(b"".join(old["others"]) + flat["others"], np.int64)
+        score = np.frombuffer(b"".join(old["scores"]) + flat["scores"], np.float64)
+        done = np.zeros(len(owner), np.uint8)
+        done[: sum(size)] = np.frombuffer(b"".join(old["done"]), np.uint8)
         owner, other, score, done = _best(owner, other, score, beam, done)
         waiting = np.flatnonzero(done == 0)
         w = owner[waiting]
@@ -278,8 +350,9 @@ def _advance(beam: int, expand: int):
         next_ = {int(r[0]): r[1] for r in _pack(owner[go], other[go])}
         done = done.copy()
         done[go] = 1
-        rows = [(*r, next_.get(r[0])) for r in _pack(owner, other, score, done)]
-        return _table(rows, ["query", "others", "scores", "done", "next"], [pa.int64(), *[pa.binary()] * 4])
+        found = {r[0]: r[1:] for r in _pack(owner, other, score, done)}
+        rows = [(group, q, vector[q], *found.get(q, (b"", b"", b"")), next_.get(q)) for q in ids.tolist()]
+        return _table(rows, names, kinds)
 
     return run
 
@@ -290,12 +363,17 @@ def search(table: DataFrame, queries: DataFrame, k: int, keep) -> DataFrame:
     spark = table.sparkSession
     dim = _dimension(table)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = keep(_valid(table, dim), "base")
-    asked = keep(_valid(queries, dim).select(F.col("id").alias("query"), "vector"), "queries")
-    n = base.count()
-    longest = _norms(base).agg(F.max("norm")).first()[0] or 1.0
-    points = keep(_points(base, longest), "points")
-    n_buckets = max(2 * parts, -(-n // 2000))
+    base = keep(_valid(table, dim).withColumn("digest", F.md5("vector")), "base")
+    alike = base.withColumn("place", F.row_number().over(Window.partitionBy("digest").orderBy("id"))).filter(F.col("place") <= k + 1)
+    vertices = keep(alike.groupBy("digest").agg(
+        F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids"), F.any_value("vector").alias("vector")), "vertices")
+    wanted = keep(_valid(queries, dim).select(F.col("id").alias("query_id"), F.md5("vector").alias("digest"), "vector"), "wanted")
+    asked = keep(wanted.groupBy("digest").agg(F.min("query_id").alias("query"), F.any_value("vector").alias("vector")), "asked")
+    n, n_asked = vertices.count(), asked.count()
+    longest = _norms(vertices).agg(F.max("norm")).first()[0] or 1.0
+    points = keep(_points(vertices, longest), "points")
+    n_buckets = max(2 * parts, -(-n // BUCKET_VERTICES))
+    n_groups = max(1, -(-n_asked // GROUP_QUERIES))
     lists = build(points, n, n_buckets, keep)
     # a vertex leads to its neighbours and to a sample of those that point to it
     entries = _entries(lists)
@@ -303,29 +381,36 @@ def search(table: DataFrame, queries: DataFrame, k: int, keep) -> DataFrame:
     back = back.withColumn("place", F.row_number().over(_window(99))).filter(F.col("place") <= POINTING).drop("place")
     ways = entries.select(F.col("id").alias("centre"), F.col("other").alias("member")).union(back)
     graph = keep(_buckets(ways, n_buckets, "centre").groupBy("bucket").applyInArrow(_adjacent, "id long, others binary"), "graph")
-    base = keep(_buckets(base, n_buckets, "id"), "vectors")
+    placed = keep(_placed(vertices.select("id", "vector"), "id", n_buckets, "bucket"), "placed")
 
     # entry points: the query's own vertex, if it is one, and some fixed vertices
     fixed = points.select("id").orderBy(F.xxhash64("id")).limit(EXPAND)
     start = keep(fixed.agg(F.collect_list("id").alias("ids")), "entries").first().ids
-    state = None
-    ask = asked.select("query", F.explode(F.array(F.col("query"), *[F.lit(int(i)) for i in start])).alias("node"))
-    for step in range(SEARCH_ROUNDS):
-        frontier = ask.join(graph, F.col("node") == F.col("id")).select("query", "others")
-        wanted = _buckets(_flat(frontier), n_buckets, "node").groupBy("query", "bucket").agg(F.collect_set("node").alias("nodes"))
-        wanted = _packed(wanted).join(asked, "query")
-        scored = wanted.groupBy("bucket").cogroup(base.groupBy("bucket")).applyInArrow(
-            _score, "query long, others binary, scores binary")
-        rows = scored.select("query", "others", "scores", F.lit(None).cast("binary").alias("done"), F.lit(False).alias("beam"))
-        if state is not None:
-            rows = rows.unionByName(state.select("query", "others", "scores", "done", F.lit(True).alias("beam")))
-        rows = rows.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(2 * parts)))
-        state = keep(rows.groupBy("part").applyInArrow(
-            _advance(max(BEAM, 2 * k), EXPAND), "query long, others binary, scores binary, done binary, next binary"), "beam")
-        ask = _flat(state.filter("next IS NOT NULL").select("query", F.col("next").alias("others")))
+    own = asked.join(vertices.select("digest", F.col("id").alias("own")), "digest", "left")
+    none = F.lit(b"")
+    state = keep(_placed(own.select("query", "vector", "own"), "query", n_groups, "group"), "beam")
+    ask = state.select("query", "vector", F.array_compact(F.array("own", *[F.lit(int(i)) for i in start])).alias("nodes"))
+    ask = _listed(ask)
+    state = state.select("group", "query", "vector", none.alias("others"), none.alias("scores"), none.alias("done"), none.alias("next"))
+    while True:
+        sent = ask.mapInArrow(_send(n_buckets), _SENT)
+        scored = sent.groupBy("bucket").cogroup(placed.groupBy("bucket")).applyInArrow(
+            _score(n_groups), "group long, queries binary, others binary, scores binary")
+        state = keep(state.groupBy("group").cogroup(scored.groupBy("group")).applyInArrow(_advance(max(BEAM, 2 * k), EXPAND), _BEAMS), "beam")
         if not state.filter("next IS NOT NULL").take(1):
             break
-    return state.select("query", "others", "scores").mapInArrow(_top(k), "query_id long, rank int, vec_id long, score double")
+        frontier = _flat(state.filter("next IS NOT NULL").select("query", "vector", F.col("next").alias("others")))
+        ask = frontier.join(graph, F.col("node") == F.col("id")).select("query", "vector", "others")
+
+    # the best ids of each distinct query; its own id may be one more than asked for
+    found = state.select("query", "others", "scores").mapInArrow(_top(k + 1), "query long, id long, score double")
+    ids = found.join(vertices.select("id", "ids"), "id").select("query", "score", F.explode("ids").alias("vec_id"))
+    first = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    best = ids.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= k + 1)
+    best = keep(best.join(asked.select("query", "digest"), "query").select("digest", "place", "vec_id", "score"), "best")
+    mine = wanted.select("query_id", "digest").join(best, "digest").filter("query_id <> vec_id")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("place"))
+    return mine.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _norms(base: DataFrame) -> DataFrame:
@@ -357,38 +442,55 @@ def _adjacent(part: pa.Table) -> pa.Table:
     return _table(_pack(centre[order], member[order]), ["id", "others"], [pa.int64(), pa.binary()])
 
 
-def _flat(rows: DataFrame) -> DataFrame:
-    """(query, node) for packed lists (query, others)."""
+def _placed(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:
+    """The rows with the bucket or group of a column of ids."""
+    schema = rows.withColumn(name, F.lit(None).cast("long")).schema
+    at = rows.columns.index(key)
 
     def run(batches):
         for batch in batches:
-            lists = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in lists])), pa.array(flat)], names=["query", "node"])
+            place = _place(np.ascontiguousarray(batch.column(at).to_numpy(zero_copy_only=False)), n)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
-    return rows.select("query", "others").mapInArrow(run, "query long, node long")
 
+def _listed(rows: DataFrame) -> DataFrame:
+    """Rows (query, vector, nodes) with the array of nodes as a packed list."""
 
-def _packed(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             packed = [np.array(x, np.int64).tobytes() for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["query", "bucket", "others"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["query", "vector", "others"])
 
-    return rows.mapInArrow(run, "query long, bucket int, others binary")
+    return rows.mapInArrow(run, "query long, vector binary, others binary")
+
+
+def _flat(rows: DataFrame) -> DataFrame:
+    """(query, vector, node) for packed lists (query, vector, others)."""
+
+    def run(batches):
+        for batch in batches:
+            lists = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+            row = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(flat)], names=["query", "vector", "node"])
+
+    return rows.mapInArrow(run, "query long, vector binary, node long")
 
 
 def _top(k: int):
+    """Each query's k best vertices (query, id, score)."""
+
     def run(batches):
         for batch in batches:
             out = []
             for query, others, scores in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 o, s = np.frombuffer(others, np.int64), np.frombuffer(scores, np.float64)
                 best = np.lexsort((o, -s))[:k]
-                out.append((np.full(len(best), query), np.arange(1, len(best) + 1), o[best], s[best]))
-            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, (np.int64, np.int32, np.int64, np.float64), strict=True)],
-                                             names=["query_id", "rank", "vec_id", "score"])
+                out.append((np.full(len(best), query), o[best], s[best]))
+            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, (np.int64, np.int64, np.float64), strict=True)],
+                                             names=["query", "id", "score"])
 
     return run
