@@ -1,25 +1,27 @@
 """Cross-entropy difference of documents under matched n-gram models of a target and a background.
 
 Both models are bigram models over one vocabulary, all words of the background, and have the
-same smoothing: a bigram's count is mixed with `prior` times the word's unigram probability.
-Only with a `size` the vocabulary is that many most frequent words, and one id for all others. A document's score is its mean loss per token
-under the target less that under the background; the lower, the more it is like the target.
+same smoothing: a bigram's count is mixed with `prior` times the word's unigram probability. A
+document's score is its mean loss per token under the target less that under the background;
+the lower, the more it is like the target.
 
 Counts cover all documents. The most frequent words have ids, and their unigram counts are
 broadcast; all other words go by their 63-bit hashes and nothing about them is broadcast. A
 bigram whose word is such travels to the word's bucket, which has all of its occurrences and
-so its unigram count; a context that is such sends an entry of its own to its bucket, which
-answers with the loss's denominator.
+so its unigram count; a context that is such has an entry of its own, whose bucket counts it.
+Bigrams of two of the most frequent words are counted in dense tables of a fixed size, summed
+and broadcast, and scored where the text is.
 
-Bigrams of two of the most frequent words are counted in dense
-tables of a fixed size, summed and broadcast, and scored where the text is, so no bucket holds
-a bigram that nearly every document has. All others travel with their documents, packed, to
-the bucket of the bigram, which counts them for both models and answers with loss sums.
+Documents are first written in chunks of some megabytes. A chunk asks each bucket, in one
+packed row, for the counts of its different bigrams, adding its own numbers of them, and gets
+one packed row back. So what repeats in a chunk travels once, a bigram that very many
+documents have loads its bucket with one entry a chunk, and nothing travels by document: the
+chunk's texts are read again and scored with the counts beside them.
 
 Defined results: a null text or one without words has no tokens and null losses and score;
-repeated rows count as often as they occur and score alike; with an empty target every loss
-under it is that of the uniform model; an empty table gives an empty result; other columns
-are ignored; rows with one id but different texts are told apart.
+every row has a result of its own, whatever its id, and equal texts score alike; with an empty
+target every loss under it is that of the uniform model; an empty table gives an empty
+result; other columns are ignored; a text longer than a chunk is a chunk.
 """
 
 from __future__ import annotations
@@ -29,14 +31,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from staffcast.llm.words import chunks, cut, hashes, mix
+from staffcast.llm.words import Words, chunks, cut, cut_bytes, hashes, mix
 
 TABLE = 1 << 16  # words with ids; bounds what is broadcast, not which words are counted
 DENSE = 512  # ids whose bigrams are counted in dense tables
 PRIOR = 50.0
 BUCKET_ENTRIES = 1 << 20
+CHUNK_BYTES = 4 << 20
 _UNKNOWN, _BEGIN, _WORDS = 0, 1, 2
 _U = np.uint64
 _HASHED = _U(1 << 63)  # marks codes that are hashes of words without an id
@@ -60,44 +64,38 @@ def _counted(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(texts: DataFrame, size: int = TABLE) -> np.ndarray:
-    """Hashes of the most frequent words, most frequent first; at most `size`."""
-    return _counted(texts).orderBy(F.desc("n"), "word").limit(size).toPandas()["word"].to_numpy(dtype=np.int64).view(_U)
+def _all_words(texts: DataFrame, keep) -> tuple[np.ndarray, int]:
+    """Hashes of the most frequent words, at most TABLE, and the number of all different words.
 
-
-def _all_words(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
-    """`vocabulary` and the number of all different words, from one scan."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        different = 0
-        for batch in batches:
-            different += batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(batch.num_rows, bool)), *batch.columns], names=["is_word", "word", "n"])
-        yield pa.RecordBatch.from_pydict({"is_word": [False], "word": pa.array([0], pa.int64()), "n": pa.array([different], pa.int64())})
-
-    # the tasks' sums come first; there are at most as many as shuffle partitions
-    sums = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = _counted(texts).select("word", "n").mapInArrow(run, "is_word boolean, word long, n long")
-    rows = counts.orderBy("is_word", F.desc("n"), "word").limit(size + sums).toPandas()
-    is_word = rows["is_word"].to_numpy(dtype=bool)
-    return rows["word"].to_numpy(dtype=np.int64)[is_word][:size].view(_U), int(rows["n"].to_numpy()[~is_word].sum())
+    A histogram of counts by powers of two, at most 64 rows, gives the least count that few
+    enough words reach; only words of that count leave the table of counts.
+    """
+    counts = keep(texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    power = F.floor(F.log2("n")).cast("int").alias("power")
+    histogram = sorted(((r.power, r["count"]) for r in counts.groupBy(power).count().collect()), reverse=True)
+    least, reached = 62, 0
+    for power, n in histogram:
+        if reached + n > TABLE:
+            break
+        least, reached = power, reached + n
+    rows = counts.filter(F.col("n") >= 2**least).toPandas()
+    order = np.lexsort((rows["word"], -rows["n"]))
+    return rows["word"].to_numpy(dtype=np.int64)[order].view(_U), sum(n for _, n in histogram)
 
 
 class Ids:
     """Codes of words by their hashes: 1 stands before a text, then ids by frequency; all others
-    are their hashes under the mark _HASHED or, where the vocabulary is closed, 0, unknown."""
+    are their hashes under the mark _HASHED."""
 
-    def __init__(self, words: np.ndarray, closed: bool):
-        self.closed = closed
+    def __init__(self, words: np.ndarray):
         self.order = np.argsort(words)
         self.sorted = words[self.order]
         self.size = _WORDS + len(words)
 
-    def bigrams(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def bigrams(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Context code, word code and row of every word."""
-        words = cut(texts)
         h = hashes(words, lower=True)
-        ids = np.full(len(h), _UNKNOWN, dtype=_U) if self.closed else h | _HASHED
+        ids = h | _HASHED
         if len(self.sorted):
             at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
             known = self.sorted[at] == h
@@ -113,16 +111,16 @@ def _ids(codes: np.ndarray) -> np.ndarray:
     return np.where(codes < _HASHED, codes, _U(_UNKNOWN)).astype(np.int64)
 
 
-def _dense_counts(texts: DataFrame, known, closed: bool) -> tuple[np.ndarray, np.ndarray]:
+def _dense_counts(texts: DataFrame, known) -> tuple[np.ndarray, np.ndarray]:
     """Counts of all ids as contexts and words, and of bigrams of the DENSE first ids. Hashed
     words are counted together, at 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(known.value, closed)
+        ids = Ids(known.value)
         total = np.zeros(2 * ids.size + DENSE * DENSE, dtype=np.int64)
         for batch in batches:
             for _, part in chunks(batch.column(0)):
-                before, word, _ = ids.bigrams(part)
+                before, word, _ = ids.bigrams(cut(part))
                 total[: ids.size] += np.bincount(_ids(before), minlength=ids.size)
                 total[ids.size : 2 * ids.size] += np.bincount(_ids(word), minlength=ids.size)
                 both = (before < DENSE) & (word < DENSE)
@@ -159,141 +157,166 @@ class Model:
         return np.where(of_context, np.log(count + self.prior), under - np.log(count + self.prior * chance))
 
 
-_SENT = "bucket int, packed binary, n int, kind int"
-_SENT_SCHEMA = pa.schema([("bucket", pa.int32()), ("packed", pa.binary()), ("n", pa.int32()), ("kind", pa.int32())])
-_ENTRY, _TARGET, _ANSWER = range(3)
+class Asked:
+    """The different bigrams of some texts that are not in the dense tables of `dense` ids, in the
+    order of buckets, words and contexts, and what texts they are in. A hashed context has an
+    entry of its own, once for each time that it is one."""
 
-
-def score(background: DataFrame, target: DataFrame, size: int | None = None, prior: float = PRIOR) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss (means per token) and score of all rows
-    (doc_id, text) of `background`; its bigrams are counted as they are scored, in one shuffle.
-    All words count, or with `size` as many, the others being one.
-    `target` (text) is scanned twice; pass a written table.
-    """
-    spark = background.sparkSession
-    context = spark.sparkContext
-    closed = size is not None
-    words, different = (vocabulary(background.select("text"), size), 0) if closed else _all_words(background.select("text"), TABLE)
-    known = context.broadcast(words)
-    different = _WORDS + (len(words) if closed else different)
-    models = context.broadcast([Model(*_dense_counts(x.select("text"), known, closed), prior, different) for x in (target, background)])
-    tokens = int(models.value[1].context.sum())
-    entries = tokens + (0 if closed else int(models.value[1].context[_UNKNOWN]))
-    n_buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // (2 * BUCKET_ENTRIES)))
-
-    def grouped(*columns):
-        """Order by all columns, the last one first, and where equal rows begin in it."""
-        order = np.lexsort(columns)
-        new = np.zeros(len(order), dtype=bool)
-        new[:1] = True
-        for c in columns:
-            c = c[order]
-            new[1:] |= c[1:] != c[:-1]
-        return order, np.flatnonzero(new)
-
-    def with_contexts(before, word, row):
-        """The rows, and for each with a hashed context one more for that context."""
+    def __init__(self, before: np.ndarray, word: np.ndarray, row: np.ndarray, dense: int, n_buckets: int):
+        rest = (before >= dense) | (word >= dense)
+        before, word, row = before[rest], word[rest], row[rest]
         hashed = before >= _HASHED
-        return (np.concatenate([before, before[hashed]]), np.concatenate([word, np.full(int(hashed.sum()), _CONTEXT)]),
-                np.concatenate([row, row[hashed]]))
-
-    def pack(before, word, owner, row, count, kind, packer):
+        before = np.concatenate([before, before[hashed]])
+        word = np.concatenate([word, np.full(int(hashed.sum()), _CONTEXT)])
+        row = np.concatenate([row, row[hashed]])
         # a hashed word's bigrams meet in its bucket, those of an id are spread by context too
         key = np.where(word < _HASHED, mix(before ^ word * _U(0x9E3779B97F4A7C15)), mix(word))
-        bucket = ((key >> _U(20)) % _U(n_buckets)).astype(np.int32)
+        bucket = ((key >> _U(20)) % _U(n_buckets)).astype(np.int64)
         order = np.lexsort((before, word, bucket))
-        before, word, owner, row, count, bucket = (x[order] for x in (before, word, owner, row, count, bucket))
-        bounds = np.flatnonzero(np.append(np.append(True, bucket[1:] != bucket[:-1]), True)) if len(bucket) else []
+        before, word, bucket = before[order], word[order], bucket[order]
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (before[1:] != before[:-1]) | (word[1:] != word[:-1])
+        begin = np.flatnonzero(new)
+        self.row, self.entry = row[order], np.cumsum(new) - 1
+        self.before, self.word, self.bucket = before[begin], word[begin], bucket[begin]
+        self.count = np.diff(np.append(begin, len(order)))
+
+    def packets(self, packer: zstandard.ZstdCompressor) -> Iterator[tuple[int, bytes, int]]:
+        """Bucket, packed entries and their number."""
+        bounds = np.flatnonzero(np.append(np.append(True, self.bucket[1:] != self.bucket[:-1]), True)) if len(self.bucket) else []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            parts = (np.diff(word[a:b], prepend=_U(0)), before[a:b], owner[a:b], row[a:b], count[a:b])
-            raw = b"".join(x.tobytes() for x in parts)
-            yield int(bucket[a]), packer.compress(raw), int(b - a), kind
+            parts = (np.diff(self.word[a:b], prepend=_U(0)), self.before[a:b], self.count[a:b].astype(np.int64))
+            yield int(self.bucket[a]), packer.compress(b"".join(x.tobytes() for x in parts)), int(b - a)
 
-    def batch_of(out):
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _SENT_SCHEMA, strict=True)], schema=_SENT_SCHEMA)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, packer = Ids(known.value, closed), zstandard.ZstdCompressor(level=1)
+def _rows(columns: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(columns.values())], names=list(columns))
+
+
+def _chunked(table: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) as chunks: chunk, ids, lengths of the texts in bytes (-1: null), packed texts."""
+    field = table.schema["doc_id"]
+    schema = T.StructType([
+        T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(field.dataType)), T.StructField("lengths", T.BinaryType()),
+        T.StructField("packed", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, number = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at, part in chunks(batch.column(2)):
-                before, word, row = ids.bigrams(part)
-                place = batch.column(0).slice(at, len(part)).to_numpy()
-                mark = batch.column(1).slice(at, len(part)).to_numpy().astype(np.int32)
-                both = (before < DENSE) & (word < DENSE)
-                b, w, r = _ids(before[both]), _ids(word[both]), row[both]
-                sums = [np.bincount(r, m.loss(b, w, m.dense[b, w]), minlength=len(part)) for m in models.value]
-                n = np.bincount(row, minlength=len(part)).astype(np.float64)
-                one = np.ones(len(part))
-                out = [(int(place[0] % n_buckets), packer.compress(
-                    place.tobytes() + mark.tobytes() + sums[0].tobytes() + sums[1].tobytes() + n.tobytes() + one.tobytes()), len(part), _ANSWER)]
-                before, word, row = with_contexts(before[~both], word[~both], row[~both])
-                order, begin = grouped(before, word, row)
-                count = np.diff(np.append(begin, len(order))).astype(np.int32)
-                first = order[begin]
-                out += pack(before[first], word[first], place[row[first]], mark[row[first]], count, _ENTRY, packer)
-                yield batch_of(out)
-
-    def send_target(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, packer = Ids(known.value, closed), zstandard.ZstdCompressor(level=1)
+            for at, part in chunks(batch.column(1), CHUNK_BYTES):
+                raw = [None if t is None else t.encode() for t in part.to_pylist()]
+                lengths = np.array([-1 if t is None else len(t) for t in raw], dtype=np.int64)
+                ids = batch.column(0).slice(at, len(part))
+                listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays([ids]))
+                packed = packer.compress(b"".join(t for t in raw if t is not None))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), listed, pa.array([lengths.tobytes()]), pa.array([packed])], names=schema.names)
+                number += 1
+
+    return table.mapInArrow(run, schema)
+
+
+def _words_of(lengths: bytes, packed: bytes) -> Words:
+    size = np.maximum(np.frombuffer(lengths, np.int64), 0)
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    raw = zstandard.ZstdDecompressor().decompress(packed, max_output_size=int(offsets[-1])) if offsets[-1] else b""
+    return cut_bytes(np.frombuffer(raw, np.uint8), offsets)
+
+
+_SENT = {"bucket": pa.int64(), "chunk": pa.int64(), "packed": pa.binary(), "n": pa.int64()}
+_COUNTED = {"chunk": pa.int64(), "bucket": pa.int64(), "packed": pa.binary(), "n": pa.int64()}
+_TARGET = -1  # in place of a chunk: entries that are counted for the target and get no answer
+
+
+def _settle(part: pa.Table) -> pa.Table:
+    """Adds up the entries of a bucket; for each packet of a chunk the target's and background's
+    counts of its bigrams and, for hashed words, of the words."""
+    unpacker, packer, cols = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), [[], [], []]
+    size, chunk = part.column("n").to_numpy(), part.column("chunk").to_numpy()
+    for packed, n in zip(part.column("packed").to_pylist(), size.tolist(), strict=True):
+        raw = unpacker.decompress(packed, max_output_size=24 * n)
+        cols[0].append(np.cumsum(np.frombuffer(raw, "<u8", n), dtype=_U))
+        cols[1].append(np.frombuffer(raw, "<u8", n, 8 * n)), cols[2].append(np.frombuffer(raw, "<i8", n, 16 * n))
+    word, before, count = map(np.concatenate, cols)
+    cols.clear()
+    order = np.lexsort((before, word))
+    word, before = word[order], before[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (word[1:] != word[:-1]) | (before[1:] != before[:-1])
+    begin = np.flatnonzero(new)
+    entry = np.empty(len(order), dtype=np.int64)
+    entry[order] = np.cumsum(new) - 1
+    word = word[begin]
+    first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    of_word = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
+    of_target, counts = np.repeat(chunk == _TARGET, size), []
+    for here in (of_target, ~of_target):
+        n = np.bincount(entry[here], count[here], minlength=len(word)).astype(np.int64)
+        counts += [n, np.where(word >= _HASHED, np.add.reduceat(n, first)[of_word], 0)]
+    bucket, out, at = part.column("bucket")[0].as_py(), [], 0
+    for n, to in zip(size.tolist(), chunk.tolist(), strict=True):
+        if to != _TARGET:
+            out.append((to, bucket, packer.compress(b"".join(c[entry[at : at + n]].tobytes() for c in counts)), n))
+        at += n
+    return pa.Table.from_batches([_rows(_COUNTED, out)])
+
+
+def score(background: DataFrame, target: DataFrame, keep, prior: float = PRIOR) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss (means per token) and score of all rows
+    (doc_id, text) of `background`. `target` (text) is scanned twice; pass a written table.
+    """
+    context = background.sparkSession.sparkContext
+    texts = background.select("doc_id", F.col("text").cast("string").alias("text"))
+    words, different = _all_words(texts.select("text"), keep)
+    known = context.broadcast(words)
+    models = context.broadcast([Model(*_dense_counts(x.select("text"), known), prior, _WORDS + different) for x in (target, background)])
+    # words, and once more those that are hashed contexts
+    entries = int(models.value[1].context.sum() + models.value[1].context[_UNKNOWN])
+    n_buckets, dense = max(1, -(-entries // BUCKET_ENTRIES)), DENSE
+    cut_up = keep(_chunked(texts), "chunks")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, packer = Ids(known.value), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for _, part in chunks(batch.column(0)):
-                before, word, _ = ids.bigrams(part)
-                rest = ~((before < DENSE) & (word < DENSE))
-                before, word, _ = with_contexts(before[rest], word[rest], word[rest])
-                if len(word):
-                    order, begin = grouped(before, word)
-                    count = np.diff(np.append(begin, len(order))).astype(np.int32)
-                    first, none = order[begin], np.zeros(len(begin), np.int64)
-                    yield batch_of(list(pack(before[first], word[first], none, none.astype(np.int32), count, _TARGET, packer)))
-
-    def settle(part: pa.Table) -> pa.Table:
-        unpacker = zstandard.ZstdDecompressor()
-        cols = [[] for _ in range(6)]
-        sums = [[] for _ in range(6)]
-        for packed, n, kind in zip(*(part.column(c).to_pylist() for c in ("packed", "n", "kind")), strict=True):
-            raw = unpacker.decompress(packed, max_output_size=44 * n)
-            if kind == _ANSWER:
-                for c, (dtype, at) in zip(sums, (("<i8", 0), ("<i4", 8), ("<f8", 12), ("<f8", 20), ("<f8", 28), ("<f8", 36)), strict=True):
-                    c.append(np.frombuffer(raw, dtype, n, at * n))
-                continue
-            cols[0].append(np.cumsum(np.frombuffer(raw, "<u8", n), dtype=_U))
-            for c, (dtype, at) in zip(cols[1:5], (("<u8", 8), ("<i8", 16), ("<i4", 24), ("<i4", 28)), strict=True):
-                c.append(np.frombuffer(raw, dtype, n, at * n))
-            cols[5].append(np.full(n, kind == _TARGET))
-        if cols[0]:
-            word, before, place, mark, count, of_target = map(np.concatenate, cols)
-            cols.clear()
-            order, begin = grouped(before, word)
-            inverse = np.empty(len(order), dtype=np.int64)
-            inverse[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
-            before, word = before[order[begin]], word[order[begin]]
-            starts = np.append(True, word[1:] != word[:-1])
-            of_word = np.cumsum(starts) - 1
-            losses = []
-            for m, x in zip(models.value, (of_target, ~of_target), strict=True):
-                n = np.bincount(inverse[x], count[x], minlength=len(word))
-                losses.append(m.open_loss(before, word, n, np.add.reduceat(n, np.flatnonzero(starts))[of_word]))
-            e = np.flatnonzero(~of_target)
-            for c, x in zip(sums, (place[e], mark[e], losses[0][inverse[e]] * count[e], losses[1][inverse[e]] * count[e],
-                            np.zeros(len(e)), np.zeros(len(e))), strict=True):
-                c.append(x)
-        place, mark, *values = (np.concatenate(c) for c in sums)
-        order = np.lexsort((mark, place))
-        place, mark = place[order], mark[order]
-        begin = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (mark[1:] != mark[:-1]))) if len(place) else np.zeros(0, np.int64)
-        summed = [np.add.reduceat(v[order], begin) if len(begin) else v for v in values]
-        return pa.table({"place": place[begin], "mark": mark[begin].astype(np.int32), "t": summed[0], "b": summed[1], "n": summed[2], "copies": summed[3]})
-
-    keyed = background.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("place"),
-        F.shiftright(F.xxhash64("text"), 32).cast("int").alias("mark"), F.col("text").cast("string").alias("text"), "doc_id")
-    sent = keyed.select("place", "mark", "text").mapInArrow(send, _SENT).unionByName(
-        target.select(F.col("text").cast("string").alias("text")).mapInArrow(send_target, _SENT))
-    parts = sent.groupBy("bucket").applyInArrow(settle, "place long, mark int, t double, b double, n double, copies double")
-    sums = {c: F.sum(c).alias(c) for c in ("t", "b", "n", "copies")}
-    losses = parts.groupBy("place", "mark").agg(*sums.values())
-    joined = keyed.select("place", "mark", "doc_id").join(losses, ["place", "mark"], "left")
-    mean = {c: F.when(F.col("n") > 0, F.col(c) / F.col("n")) for c in ("t", "b")}
-    return joined.select(
-        "doc_id", (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"), mean["t"].alias("target_loss"),
-        mean["b"].alias("background_loss"), (mean["t"] - mean["b"]).alias("score"))
+            for chunk, lengths, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                asked = Asked(*ids.bigrams(_words_of(lengths, packed)), dense, n_buckets)
+                yield _rows(_SENT, [(bucket, chunk, raw, n) for bucket, raw, n in asked.packets(packer)])
+
+    def ask_for_target(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, packer = Ids(known.value), zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for _, part in chunks(batch.column(0), CHUNK_BYTES):
+                asked = Asked(*ids.bigrams(cut(part)), dense, n_buckets)
+                yield _rows(_SENT, [(bucket, _TARGET, raw, n) for bucket, raw, n in asked.packets(packer)])
+
+    schema = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL(
+        "n_tokens long, target_loss double, background_loss double, score double").fields])
+
+    def finish(held: pa.Table, counted: pa.Table) -> pa.Table:
+        out, unpacker = [], zstandard.ZstdDecompressor()
+        for row, (lengths, packed) in enumerate(zip(held.column("lengths").to_pylist(), held.column("packed").to_pylist(), strict=True)):
+            words = _words_of(lengths, packed)
+            before, word, of = Ids(known.value).bigrams(words)
+            both, size = (before < dense) & (word < dense), len(words.first) - 1
+            b, w, asked = _ids(before[both]), _ids(word[both]), Asked(before, word, of, dense, n_buckets)
+            answers = []
+            for i in np.argsort(counted.column("bucket").to_numpy()):
+                n = counted.column("n")[int(i)].as_py()
+                raw = unpacker.decompress(counted.column("packed")[int(i)].as_py(), max_output_size=32 * n)
+                answers.append(np.frombuffer(raw, "<i8").reshape(4, n))
+            counts = np.concatenate(answers, axis=1) if answers else np.zeros((4, 0), np.int64)
+            n, means = np.bincount(of, minlength=size), []
+            for m, (count, single) in zip(models.value, (counts[:2], counts[2:]), strict=True):
+                loss = m.open_loss(asked.before, asked.word, count, single)
+                total = np.bincount(of[both], m.loss(b, w, m.dense[b, w]), minlength=size) + np.bincount(asked.row, loss[asked.entry], minlength=size)
+                means.append(total / np.maximum(n, 1))
+            none = n == 0
+            columns = [pa.array(n.astype(np.int64)), *(pa.array(x, mask=none) for x in (*means, means[0] - means[1]))]
+            out.append(pa.Table.from_arrays([held.column("ids").combine_chunks()[row].values, *columns], names=schema.names))
+        return pa.concat_tables(out)
+
+    kinds = "bucket long, chunk long, packed binary, n long"
+    sent = cut_up.select("chunk", "lengths", "packed").mapInArrow(ask, kinds).unionByName(
+        target.select(F.col("text").cast("string").alias("text")).mapInArrow(ask_for_target, kinds))
+    counted = sent.groupBy("bucket").applyInArrow(_settle, "chunk long, bucket long, packed binary, n long")
+    return cut_up.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(finish, schema)

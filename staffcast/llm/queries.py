@@ -25,7 +25,7 @@ def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents").select("doc_id", "text")
     good = _read(spark, folder, "labels").filter("quality = 1 AND toxic = 0").select("doc_id").distinct()
     target = Kept(spark)(docs.join(good, "doc_id", "left_semi").select("text"), "target")
-    return cross_entropy.score(docs, target)
+    return cross_entropy.score(docs, target, Kept(spark))
 
 
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,12 +40,14 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as flat token files, and the tokens of each counted from its bytes."""
     keep = Kept(spark)
-    files = f"{keep.folder}/tokens"
+    files, docs = f"{keep.folder}/tokens", _read(spark, folder, "documents")
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    token_files.write_token_files(_read(spark, folder, "documents"), files, ranks, public_tokenizers.PATTERN)
-    counts = token_files.count_tokens(spark, files, keep)
-    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file")
-    return counts.select(number, "document", "start", "n_tokens", "ended")
+    token_files.write_token_files(docs, files, ranks, public_tokenizers.PATTERN)
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file_number")
+    counts = token_files.count_tokens(spark, files, keep).withColumn("file_number", number)
+    order = token_files.document_order(docs)
+    found = counts.join(order, ["file_number", "document"], "full")
+    return found.select("doc_id", F.col("file_number").alias("file"), "document", "start", "n_tokens", "ended")
 
 
 def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
