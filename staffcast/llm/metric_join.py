@@ -8,17 +8,23 @@ inequality separates nothing. So the join goes from coarse to fine, and every st
    what may be missing from its own part and what the other set's surplus may push out of that
    set's part; the sets with fewer are apart from all others.
 2. The remaining sets are ordered by how many sets hold a shingle. Linked sets share one of
-   the rarest fifth of their shingles. Sets that share such a shingle form its region, named
-   by the one of least id, so linked sets meet in a region. It is no Voronoi cell.
-3. In a region distances to pivots are exact. Sets in the pivot's ball are linked to it; two
-   sets whose distances to any pivot differ by more than the threshold are never compared
-   (triangle inequality), and a set becomes a pivot itself only while some set of another
-   component is inside its windows.
-4. A region of too many sets is split once, not recursively: several pivots are tried and the one with
-   the most sets in its ball is taken; the others, its boundary, are replicated to the shells
-   of the region that the triangle inequality leaves, in blocks, and joined there.
-
-The links kept connect exactly the texts that links connect; pairs inside a ball are not listed.
+   the rarest fifth of their shingles, so the sets that share such a shingle are a first region,
+   in which no two sets are at distance 1, and linked sets meet in one.
+3. A region of too many sets is split into the Voronoi cells of pivots drawn from it. A set
+   belongs to the cell of its nearest pivot if that is within RADIUS thresholds. By the triangle
+   inequality a set linked to a set of a cell is within one threshold more of that pivot, and
+   has at most two thresholds more to it than to its own, so boundary sets are replicated to the
+   cells within that window. The sets that no pivot is near are a cell of their own. Cells are
+   regions of the next level, and are split again while they are too large. A set in the ball of
+   its pivot is linked to it; sets that are so known to be connected have one label and need no
+   further comparison, and a cell of one label is done.
+4. Where cells don't get smaller, since the region is as narrow as the window, the sets outside
+   the most frequent label are compared with all of the region, in blocks.
+5. A region that is small enough is joined in one task. Two sets whose distances to any pivot
+   differ by more than the threshold are never compared there, and a set becomes a pivot only
+   while some set of another component is inside its windows.
+
+The links kept connect exactly the texts that links connect; pairs of one label are not listed.
 
 Defined results: a null text or one without words has an empty set and links with nothing;
 repeated rows and equal texts form one class; rows with one id but different texts are told
@@ -41,9 +47,11 @@ from staffcast.llm.words import chunks
 
 SHINGLE = 5
 PERCENT = 80
-REGION_SETS = 1500  # more are joined by ball and shells
+REGION_SETS = 1500  # more are split
 REGION_VALUES = 1 << 21
-TRIED_PIVOTS = 16
+PIVOTS = 16  # of a region, and distances that a small region's join remembers
+RADIUS = 2  # of a cell, in thresholds
+LEAST_SHRINK = 0.9  # of a region's sets, in its largest cell, for a split to go on
 _SLACK = 1e-9
 _PROFILE = "doc_id long, n int, k1 long, k2 long, need int, part binary"
 
@@ -168,17 +176,17 @@ def _linked(shared: np.ndarray, n: int, sizes: np.ndarray, percent: int) -> np.n
     return (100 * shared >= percent * (n + sizes - shared)) & (shared > 0)
 
 
-def connect(packed: list[bytes], percent: int) -> np.ndarray:
-    """Pairs of places of linked sets that connect exactly what all links connect.
+def connect(packed: list[bytes], labels: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of places of linked sets that connect exactly what all links connect, sets of one
+    label being connected already.
 
-    The first set is the region's pivot. A set is made a pivot, that is compared with all, only
-    while a set of another component that was no pivot yet is within the threshold by the
-    triangle inequality over the pivots so far.
+    A set is made a pivot, that is compared with all, only while a set of another component that
+    was no pivot yet is within the threshold by the triangle inequality over the pivots so far.
     """
     sets = Sets(packed)
     m, limit = len(packed), 1 - percent / 100 + _SLACK
-    component, waiting = np.arange(m), np.ones(m, dtype=bool)
-    near: list[np.ndarray] = []  # distances to pivots, sixteen of them at most
+    component, waiting = np.unique(labels, return_inverse=True)[1], np.ones(m, dtype=bool)
+    near: list[np.ndarray] = []  # distances to the first pivots
     pairs = []
     for i in range(m):
         open_ = waiting & (component != component[i])
@@ -195,36 +203,28 @@ def connect(packed: list[bytes], percent: int) -> np.ndarray:
             if component[j] != component[i]:
                 pairs.append((i, j))
                 component[component == component[j]] = component[i]
-        if len(near) < TRIED_PIVOTS:
+        if len(near) < PIVOTS:
             near.append(1 - shared / (sets.n[i] + sets.n - shared))
     return np.array(pairs, dtype=np.int64).reshape(-1, 2)
 
 
 def _edges_of_regions(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) inside each region; members are (region, node, set)."""
+    """Links (a, b) inside each region; members are (region, node, label, set)."""
 
     def join(part: pa.Table) -> pa.Table:
-        node = part.column("node").to_numpy()
+        node, label = part.column("node").to_numpy(), part.column("label").to_numpy()
         order = np.argsort(node, kind="stable")
         column = part.column("set").combine_chunks()
-        pairs = connect([column[int(i)].as_py() for i in order], percent)
+        pairs = connect([column[int(i)].as_py() for i in order], label[order], percent)
         return pa.table({"a": node[order][pairs[:, 0]].astype(np.int64), "b": node[order][pairs[:, 1]].astype(np.int64)})
 
     return members.groupBy("region").applyInArrow(join, "a long, b long")
 
 
-def _edges_of_large(members: DataFrame, sizes: DataFrame, percent: int, keep) -> DataFrame:
-    """Links inside regions of too many sets: ball of the best of several pivots, then boundary
-    blocks against the shells that the triangle inequality leaves."""
-    blocks = sizes.select("region", F.ceil(F.col("sets") / (REGION_SETS // 2)).cast("int").alias("blocks"))
-    dealt = keep(members.join(blocks, "region").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "dealt")
-    # candidates: the sets of least hash, a few from each block and of these a few in all
-    few = dealt.groupBy("region").agg(F.slice(F.array_sort(F.collect_set(F.when(
-        F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks") * (REGION_SETS // 2)) < 4 * TRIED_PIVOTS, F.col("node")))), 1, TRIED_PIVOTS).alias("tried"))
-    tried = few.select("region", F.explode(F.array_union("tried", F.array("region"))).alias("node"))
-    tried = keep(tried.join(dealt.select("region", "node", "set", "blocks"), ["region", "node"]), "tried")
-    pivots = tried.select("region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "set", F.lit(True).alias("pivot"))
+def _distances(dealt: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(region, pivot, node, shared, whole): what every set of a region, dealt into blocks, shares
+    with each pivot of the region (region, node, set, blocks), and how much both have."""
+    sent = pivots.select("region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "set", F.lit(True).alias("pivot"))
 
     def measure(part: pa.Table) -> pa.Table:
         pivot = part.column("pivot").to_numpy().astype(bool)
@@ -240,40 +240,111 @@ def _edges_of_large(members: DataFrame, sizes: DataFrame, percent: int, keep) ->
         region = part.column("region")[0].as_py()
         return pa.table({"region": np.full(len(cols[0]), region, np.int64), **dict(zip(("pivot", "node", "shared", "whole"), cols, strict=True))})
 
-    both = dealt.select("region", "block", "node", "set", F.lit(False).alias("pivot")).unionByName(pivots)
-    measured = keep(both.groupBy("region", "block").applyInArrow(
-        measure, "region long, pivot long, node long, shared long, whole long"), "measured")
-    inside = F.col("shared") * 100 >= F.col("whole") * percent
-    best = measured.groupBy("region", "pivot").agg(F.count_if(inside).alias("ball")).groupBy("region").agg(
-        F.max_by("pivot", F.struct("ball", -F.col("pivot"))).alias("pivot"))
-    placed = keep(measured.join(best, ["region", "pivot"]), "placed")
-    ball = placed.filter(inside & (F.col("pivot") != F.col("node"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    # shells as wide as the threshold; a boundary set meets its own shell and its neighbours
-    shell = F.floor((F.col("whole") - F.col("shared")) / F.col("whole") / F.lit(1 - percent / 100 + _SLACK)).cast("int")
-    placed = placed.select("region", "node", shell.alias("shell"), inside.alias("inside"))
-    rows = keep(dealt.select("region", "node", "set", "block").join(placed, ["region", "node"]), "shells")
-    edge = rows.filter(~F.col("inside")).select("region", "node", "set", F.col("block").alias("by"), F.explode(F.array(
-        F.col("shell") - 1, F.col("shell"), F.col("shell") + 1)).alias("shell"), F.lit(True).alias("boundary"))
-    groups = rows.select("region", "shell", "block").distinct().join(edge.select("region", "shell", "by").distinct(), ["region", "shell"])
-    met = groups.join(rows, ["region", "shell", "block"]).select("region", "shell", "block", "by", "node", "set", "inside", F.lit(False).alias("boundary"))
-    met = met.unionByName(groups.join(edge, ["region", "shell", "by"]).select(
-        "region", "shell", "block", "by", "node", "set", F.lit(False).alias("inside"), "boundary"))
+    both = dealt.select("region", "block", "node", "set", F.lit(False).alias("pivot")).unionByName(sent)
+    return both.groupBy("region", "block").applyInArrow(measure, "region long, pivot long, node long, shared long, whole long")
+
+
+def _joined_labels(part: pa.Table) -> pa.Table:
+    """Of a region's pivots (node, label) and links between them (node, other), at most PIVOTS + 1
+    squared rows, the least label that each is connected to."""
+    node, other, label = (part.column(c).to_numpy() for c in ("node", "other", "label"))
+    now = dict(zip(node[node == other].tolist(), label[node == other].tolist(), strict=True))
+    for a, b in zip(node.tolist(), other.tolist(), strict=True):
+        low, high = sorted((now[a], now[b]))
+        now = {n: low if x == high else x for n, x in now.items()}
+    region = part.column("region")[0].as_py()
+    return pa.table({"region": np.full(len(now), region, np.int64), "pivot": np.array([*now], np.int64), "joined": np.array([*now.values()], np.int64)})
+
+
+def _voronoi(rows: DataFrame, sizes: DataFrame, percent: int, level: int, keep) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One level of regions (region, node, label, set) of known sizes: links of sets to their pivots,
+    the cells as regions, and the regions that cells don't make smaller."""
+    limit = 1 - percent / 100 + _SLACK
+    blocks = sizes.select("region", "sets", F.ceil(F.col("sets") / (REGION_SETS // 2)).cast("int").alias("blocks"))
+    dealt = keep(rows.join(blocks, "region").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "dealt")
+    # pivots: the sets of least hash of this level, some from each block and of these a few in all
+    chance = F.pmod(F.xxhash64("node", F.lit(level + 1)), F.col("blocks") * (REGION_SETS // 2)) < 4 * PIVOTS
+    few = dealt.groupBy("region").agg(
+        F.slice(F.array_sort(F.collect_set(F.when(chance, F.col("node")))), 1, PIVOTS).alias("tried"), F.min("node").alias("least"))
+    tried = few.select("region", F.explode(F.array_union("tried", F.array("least"))).alias("node"))
+    pivots = keep(tried.join(dealt.select("region", "node", "label", "set", "blocks"), ["region", "node"]), "pivots")
+    measured = _distances(dealt, pivots).withColumns({
+        "distance": 1 - F.col("shared") / F.col("whole"), "inside": F.col("shared") * 100 >= F.col("whole") * percent})
+    measured = keep(measured.drop("shared", "whole"), "measured")
+    nearest = F.struct("distance", "pivot")
+    home = measured.groupBy("region", "node").agg(
+        F.min_by("pivot", nearest).alias("home"), F.min("distance").alias("least"), F.min_by("inside", nearest).alias("in_ball"))
+    links = measured.filter("inside").join(pivots.select("region", "node", "label"), ["region", "node"]).select("region", "node", F.col("pivot").alias("other"), "label")
+    joined = links.groupBy("region").applyInArrow(_joined_labels, "region long, pivot long, joined long")
+    home = keep(home.join(joined, (home["region"] == joined["region"]) & (home["home"] == joined["pivot"])).select(
+        home["region"], "node", "home", "least", "in_ball", "joined"), "home")
+    edges = home.filter("in_ball AND home <> node").select(F.col("home").alias("a"), F.col("node").alias("b")).unionByName(
+        links.filter("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    window = F.least(F.col("least") + 2 * limit, F.lit((RADIUS + 1) * limit))
+    cells = measured.join(home, ["region", "node"]).filter(F.col("distance") <= window).select("region", "pivot", "node")
+    far = home.filter(F.col("least") > RADIUS * limit).select("region", F.lit(-1).cast("long").alias("pivot"), "node")
+    cells = keep(cells.unionByName(far), "cells")
+    widest = cells.groupBy("region", "pivot").count().groupBy("region").agg(F.max("count").alias("widest"), F.sum("count").alias("copies"))
+    shrinks = (F.col("widest") <= LEAST_SHRINK * F.col("sets")) & (F.col("copies") <= 4 * F.col("sets"))
+    fate = keep(blocks.select("region", "sets").join(widest, "region").select("region", shrinks.alias("shrinks")), "fate")
+    label = F.when(F.col("in_ball"), F.col("joined")).otherwise(F.col("label")).alias("label")
+    known = keep(dealt.select("region", "node", "label", "set").join(home.select("region", "node", "in_ball", "joined"), ["region", "node"]).join(
+        fate, "region").select("region", "node", label, "set", "shrinks"), "labelled")
+    inner = cells.join(known.filter("shrinks"), ["region", "node"]).select(
+        F.xxhash64("region", "pivot", F.lit(level)).alias("region"), "node", "label", "set")
+    inner = keep(inner, "inner")
+    mixed = inner.groupBy("region").agg((F.min("label") < F.max("label")).alias("mixed")).filter("mixed").select("region")
+    return edges, inner.join(mixed, "region"), known.filter("NOT shrinks").drop("shrinks")
+
+
+def _edges_of_blocks(rows: DataFrame, percent: int, keep) -> DataFrame:
+    """Links between the labels of regions (region, node, label, set): the sets outside of the most
+    frequent label, in blocks, against all sets, in blocks."""
+    counts = keep(rows.groupBy("region", "label").agg(F.count(F.lit(1)).alias("sets")), "labels")
+    dealt = counts.groupBy("region").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.max("sets").alias("most"), F.sum("sets").alias("sets"))
+    per = F.lit(max(1, REGION_SETS // 2))
+    dealt = dealt.filter("most < sets").select(
+        "region", "main", F.ceil(F.col("sets") / per).cast("int").alias("blocks"), F.ceil((F.col("sets") - F.col("most")) / per).cast("int").alias("bys"))
+    rows = rows.join(dealt, "region")
+    hashed = F.xxhash64("node")
+    every = rows.select("region", F.pmod(hashed, F.col("blocks")).alias("block"), F.explode(F.sequence(F.lit(0), F.col("bys") - 1)).alias("by"),
+                        "node", "label", "set", F.lit(False).alias("outer"))
+    outer = rows.filter("label <> main").select("region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                                                F.pmod(hashed, F.col("bys")).alias("by"), "node", "label", "set", F.lit(True).alias("outer"))
 
     def compare(part: pa.Table) -> pa.Table:
-        boundary, inside = (part.column(c).to_numpy().astype(bool) for c in ("boundary", "inside"))
-        node, packed = part.column("node").to_numpy(), part.column("set").combine_chunks()
-        rest = np.flatnonzero(~boundary)
+        is_outer, node, label = part.column("outer").to_numpy().astype(bool), part.column("node").to_numpy(), part.column("label").to_numpy()
+        packed = part.column("set").combine_chunks()
+        rest = np.flatnonzero(~is_outer)
         sets = Sets([packed[int(i)].as_py() for i in rest])
         pairs = []
-        for z in np.flatnonzero(boundary):
+        for z in np.flatnonzero(is_outer):
             values = np.frombuffer(packed[int(z)].as_py(), np.uint64)
-            found = np.flatnonzero(_linked(sets.shared_with(values), len(values), sets.n, percent) & (node[rest] != node[z]))
-            to_ball = found[inside[rest[found]]][:1]  # the ball is one component: a link to it is enough
-            pairs += [(node[z], node[rest[j]]) for j in [*to_ball, *found[~inside[rest[found]]]]]
+            found = np.flatnonzero(_linked(sets.shared_with(values), len(values), sets.n, percent) & (label[rest] != label[z]))
+            # one link to a label connects it
+            found = found[np.unique(label[rest[found]], return_index=True)[1]]
+            pairs += [(node[z], node[rest[j]]) for j in found]
         pairs = np.array(pairs, dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return ball.unionByName(met.groupBy("region", "shell", "block", "by").applyInArrow(compare, "a long, b long"))
+    return every.unionByName(outer).groupBy("region", "block", "by").applyInArrow(compare, "a long, b long")
+
+
+def links_of(members: DataFrame, percent: int, keep) -> DataFrame:
+    """Links (a, b) that connect what all links inside of regions (region, node, set) connect."""
+    rows, links, level = keep(members.withColumn("label", F.col("node")), "members"), None, 0
+    while True:
+        sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("sets"), F.sum(F.octet_length("set") / 8).alias("values"))
+        large = F.col("sets") > F.greatest(F.lit(2), F.least(F.lit(REGION_SETS), F.lit(REGION_VALUES) * F.col("sets") / F.col("values")))
+        sizes = keep(sizes.withColumn("large", large), "sizes")
+        marked = rows.join(sizes.select("region", "large"), "region")
+        found = _edges_of_regions(marked.filter("NOT large").drop("large"), percent)
+        links = found if links is None else links.unionByName(found)
+        if not sizes.filter("large").take(1):
+            return links
+        edges, rows, stuck = _voronoi(marked.filter("large").drop("large"), sizes.filter("large"), percent, level, keep)
+        links = links.unionByName(edges).unionByName(_edges_of_blocks(stuck, percent, keep))
+        rows, level = keep(rows, "level"), level + 1
 
 
 def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -304,15 +375,7 @@ def join_components(docs: DataFrame, keep, width: int = SHINGLE, percent: int =
     rarest = keep(_rarest(shared, percent), "rarest")
     pivots = rarest.groupBy("value").agg(F.min("node").alias("region"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     regions = keep(rarest.join(pivots, "value").select("region", "node").distinct(), "regions")
-    measured = regions.join(sets.select("node", "n"), "node").groupBy("region").agg(
-        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("values"))
-    large = F.col("sets") > F.greatest(F.lit(2), F.least(F.lit(REGION_SETS), F.lit(REGION_VALUES) * F.col("sets") / F.col("values")))
-    measured = keep(measured.withColumn("large", large), "measured")
-    members = regions.join(measured.select("region", "large"), "region").join(sets, "node")
-    links = _edges_of_regions(members.filter("NOT large").select("region", "node", "set"), percent)
-    wide = measured.filter("large")
-    if wide.take(1):
-        links = links.unionByName(_edges_of_large(members.filter("large").select("region", "node", "set"), wide, percent, keep))
+    links = links_of(regions.join(sets.select("node", "set"), "node").select("region", "node", "set"), percent, keep)
     reached = components(links, keep)
     named = classes.select(*key, "node", F.col("least").alias("least_id")).join(reached, "node", "left")
     named = named.select(*key, "least_id", F.coalesce("least", "node").alias("group"))
