@@ -122,15 +122,59 @@ def test_components_are_those_of_brute_force(spark, seed):
     assert sorted(map(tuple, got.collect())) == components_by_hand(rows)
 
 
-def test_large_regions_are_joined_recursively(spark, monkeypatch):
+def test_large_regions_of_near_copies(spark, monkeypatch):
+    """Regions as narrow as the window, which cells don't make smaller."""
     monkeypatch.setattr(metric_join, "REGION_SETS", 12)
-    monkeypatch.setattr(metric_join, "TRIED_PIVOTS", 3)
+    monkeypatch.setattr(metric_join, "PIVOTS", 3)
     rows = near_copies(5, 70, 60, 6) + near_copies(6, 40, 80, 9) + corpus(4, 40)
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     got = metric_join.join_components(docs, Kept(spark))
     assert sorted(map(tuple, got.collect())) == components_by_hand([(i, t) for i, (_, t) in enumerate(rows)])
 
 
+def groups_of_links(n, links):
+    group = list(range(n))
+    for a, b in links:
+        low, high = sorted((group[a], group[b]))
+        group = [low if g == high else g for g in group]
+    return group
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_cells_are_split_again_and_lose_no_link(spark, monkeypatch, seed):
+    """One region of groups at many distances: its Voronoi cells are regions of a second level, and
+    after each level the links found so far and those still to be found connect what all connect."""
+    monkeypatch.setattr(metric_join, "REGION_SETS", 12)
+    monkeypatch.setattr(metric_join, "PIVOTS", 8)
+    rng = random.Random(seed)
+    common, sets = list(range(40)), []
+    for group in range(12):
+        base = rng.sample(common, 12) + [1000 * (group + 1) + i for i in range(40)]
+        for _ in range(rng.choice([2, 9, 25])):
+            mine = list(base)
+            for _ in range(rng.randint(0, 9)):
+                mine[rng.randrange(len(mine))] = rng.randrange(10**6, 10**7)
+            sets.append(set(mine))
+            base = mine if rng.random() < 0.3 else base  # chains leave the first set's ball
+    rng.shuffle(sets)
+    sets = [s for i, s in enumerate(sets) if s not in sets[:i]]
+    packed = [np.array(sorted(s), np.uint64).tobytes() for s in sets]
+    members = spark.createDataFrame([(7, i, p) for i, p in enumerate(packed)], "region long, node long, set binary").repartition(3)
+    levels, split = [], metric_join._voronoi
+
+    def counted(rows, sizes, percent, level, keep):
+        out = split(rows, sizes, percent, level, keep)
+        levels.append((level, sizes.count(), out[1].select("region").distinct().count()))
+        return out
+
+    monkeypatch.setattr(metric_join, "_voronoi", counted)
+    found = [(r.a, r.b) for r in metric_join.links_of(members, 80, Kept(spark)).collect()]
+    every = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert {(max(p), min(p)) for p in found} <= set(every)
+    assert groups_of_links(len(sets), found) == groups_of_links(len(sets), every)
+    assert len(levels) >= 2 and levels[0][2] > 1, levels
+
+
 def test_join_of_odd_rows(spark):
     rows = [(3, "a b c d e f"), (3, "a b c d e f"), (None, "A b C d e f"), (9, "x"), (8, "X"), (4, None), (4, ""), (None, None)]
     got = metric_join.join_components(spark.createDataFrame(rows, "doc_id long, text string"), Kept(spark)).collect()
@@ -163,3 +207,12 @@ def test_hits_that_a_link_makes_certain(percent):
             for c in [-(-percent * (n + m) // (100 + percent))])
         need = int(metric_join.least_hits(np.array([n]), percent)[0])
         assert 1 <= need <= max(1, worst) and need >= worst - 2
+
+
+def test_a_very_long_text_beside_its_copy(spark):
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(150_000)]
+    other = long[:-100] + [f"z{i}" for i in range(100)]
+    rows = [(5, " ".join(long)), (6, " ".join(other)), (7, "a b c d e f")]
+    got = metric_join.join_components(spark.createDataFrame(rows, "doc_id long, text string"), Kept(spark)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {5: 5, 6: 5, 7: 7}

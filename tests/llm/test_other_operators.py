@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -95,6 +96,25 @@ def test_tokens_behind_the_last_separator(spark):
     assert token_files.count_tokens(spark, f"{keep.folder}/none", keep).count() == 0
 
 
+def test_documents_of_token_files(spark):
+    """Counts tied to their documents over several files, with long, empty and repeated rows."""
+    rows = [(i, "word " * (i % 7) if i % 5 else None) for i in range(90)] + [(7, "x " * 200_000), (7, "again"), (None, "no id")]
+    keep = Kept(spark)
+    docs = keep(spark.createDataFrame(rows, "doc_id long, text string").withColumn("document", F.lit(1)).repartition(5))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        token_files.write_token_files(docs, f"{keep.folder}/t", RANKS, PATTERN)
+        order = token_files.document_order(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    counts = token_files.count_tokens(spark, f"{keep.folder}/t", keep).collect()
+    named = {(r.file_number, r.document): r.doc_id for r in order}
+    got = Counter((named.pop((int(r.file.split("part-")[1][:5]), r.document)), r.n_tokens) for r in counts)
+    codec = bpe.Codec(bpe.read_ranks(RANKS), PATTERN)
+    assert got == Counter((i, len(codec.encode([t])[0])) for i, t in rows) and not named
+    assert len({r.file_number for r in order}) > 1
+
+
 # --- mixing ------------------------------------------------------------------
 
 
@@ -175,6 +195,34 @@ def test_links_of_caps_are_those_of_brute_force(spark, monkeypatch):
     assert caps.link(spark.createDataFrame([], "vec_id long, embedding array<double>, label int"), Kept(spark)).count() == 0
 
 
+def test_links_of_vectors_of_any_magnitude(spark):
+    """Components that overflow or vanish when squared, against exact fractions."""
+    rng = random.Random(3)
+    rows = [(i, [v, v], 0) for i, v in enumerate([1e200, 1e200, 1e-200, 1e-200, 1.0, 5e-324, 1.7e308])]
+    for i in range(10, 60):
+        angle, scale = rng.uniform(0, 1.2), 10.0 ** rng.randint(-300, 300)
+        rows.append((i, [scale * math.cos(angle), scale * math.sin(angle)], 1))
+    got = {r.vec_id: r for r in caps.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), Kept(spark)).collect()}
+    for i, v, label in rows:
+        links = 0
+        for j, w, other in rows:
+            if i != j and label == other:
+                a, b = [[Fraction(x) for x in y] for y in (v, w)]
+                dot, square = sum(x * y for x, y in zip(a, b)), sum(x * x for x in a) * sum(y * y for y in b)
+                links += dot > 0 and dot * dot * 10000 >= 9604 * square
+        assert got[i].n_links == links
+    assert {got[i].component_id for i in range(7)} == {0} and [i for i in range(7) if got[i].kept] == [0]
+
+
+def test_many_copies_cost_one_vector(spark):
+    table = spark.range(20_000).select((F.col("id") + 5).alias("vec_id"), F.lit(1).alias("label"), F.array(F.lit(1.0), F.lit(-2.0), F.lit(-0.0)).alias("embedding"))
+    more = spark.createDataFrame([(1, 1, [1.0, -2.0, 0.01]), (2, 1, [1.0, 2.0, 0.0]), (3, 2, [1.0, -2.0, 0.0]), (3, 2, [2.0, -4.0, 0.0])], "vec_id long, label int, embedding array<double>")
+    got = caps.link(table.unionByName(more), Kept(spark))
+    assert {tuple(r) for r in got.filter("vec_id >= 5").groupBy("n_links", "component_id", "kept").count().collect()} == {(20_000, 1, False, 20_000)}
+    rest = sorted(tuple(r) for r in got.filter("vec_id < 5").collect())
+    assert rest == [(1, 20_000, 1, True), (2, 0, 2, True), (3, 1, 3, True), (3, 1, 3, True)]
+
+
 def test_neighbours_found(spark):
     rows = some_vectors(2, 500)
     table = spark.createDataFrame(rows, "id long, embedding array<double>, label int").select("id", "embedding")
@@ -192,6 +240,38 @@ def test_neighbours_found(spark):
     assert hit / total >= 0.9 and {r.query_id for r in got} == {i for i, _ in good if i % 20 == 0}
 
 
+def test_of_many_copies_the_smallest_ids(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(i), [2.0, 0.5, 0.0]) for i in rng.permutation(300)[:100]]
+    taken = {i for i, _ in rows}
+    rows += [(1000 + i, (rng.standard_normal(3) * 0.3).tolist()) for i in range(50)] + [(1000, [9.0, 9.0, 9.0]), (2000, [-2.0, 0.5, -0.0]), (2001, [-2.0, 0.5, 0.0])]
+    table = spark.createDataFrame(rows, "id long, embedding array<double>").withColumn("vector", F.lit(1)).repartition(4)
+    asked = sorted(taken)[::10] + [1003, 2000]
+    got = nn_descent.search(table, table.filter(F.col("id").isin(asked)), 20, Kept(spark)).collect()
+    vectors = {}
+    for i, v in sorted(rows, key=lambda r: (r[0], np.array(r[1]).tobytes())):  # of repeated ids the last
+        vectors[i] = np.array(v)
+    for q in asked:
+        best = sorted((-float(vectors[q] @ v), i) for i, v in vectors.items() if i != q)[:20]
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [m[1] for m in mine] == [b[1] for b in best] and [m[0] for m in mine] == list(range(1, 21))
+
+
+def test_recall_with_copies(spark):
+    """Several blocks of vectors, a fifth of them copies: by ids, of exact neighbours in double precision."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((4000, 24))
+    x[3200:] = x[rng.integers(0, 800, 800)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>").repartition(4)
+    got = nn_descent.search(table, table.filter("id % 20 = 0"), 20, Kept(spark)).toPandas()
+    hits = 0
+    for q in range(0, 4000, 20):
+        score = x @ x[q]
+        best = [i for i in np.lexsort((np.arange(4000), -score)) if i != q][:20]
+        hits += len(set(best) & set(got.vec_id[got.query_id == q]))
+    assert len(got) == 200 * 20 and hits / (200 * 20) >= 0.9
+
+
 def test_few_or_no_vectors(spark):
     few = spark.createDataFrame([(20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0]), (3, [1.0, 0.0]), (4, None)], "id long, embedding array<double>")
     got = nn_descent.search(few, few.filter("id % 20 = 0"), 20, Kept(spark)).orderBy("rank").collect()
@@ -223,56 +303,20 @@ def test_components_of_long_paths(spark):
 # --- models ------------------------------------------------------------------
 
 
-def test_losses_are_those_of_plain_counts(spark, monkeypatch):
-    monkeypatch.setattr(cross_entropy, "DENSE", 4)
-    rng = random.Random(5)
-    texts = [" ".join(rng.choices("a b C d e f g h".split(), k=rng.randint(1, 12))) for _ in range(60)] + [None, " ", "a b", "a b"]
-    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, "a q")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).repartition(4)
-    target = [t for _, t in rows[:20]]
-    got = cross_entropy.score(docs, spark.createDataFrame([(t,) for t in target], "text string"), size=5).collect()
-    count = Counter(w for _, t in rows for w in (t or "").lower().split())
-    # ties at the end of the vocabulary go by hash, so take the ids that were chosen
-    known = {int(h) for h in cross_entropy.vocabulary(docs.select("text"), 5)}
-    from staffcast.llm import words
-    name = {w: w if int(words.hashes(words.cut(pa.array([w])), lower=True)[0]) in known else "?" for w in count}
-    assert len({v for v in name.values() if v != "?"}) == 5
-
-    def model(corpus):
-        single, context, pair = Counter(), Counter(), Counter()
-        for text in corpus:
-            w = [name[x] for x in (text or "").lower().split()]
-            for a, b in zip(["<"] + w, w):
-                single[b] += 1
-                context[a] += 1
-                pair[a, b] += 1
-        total = sum(single.values())
-        return lambda a, b: -math.log((pair[a, b] + 50 * (single[b] + 1) / (total + 7)) / (context[a] + 50))
-
-    models = model(target), model([t for _, t in rows])
-    for r in got:
-        text = dict(rows)[r.doc_id]
-        w = [name[x] for x in (text or "").lower().split()]
-        assert (r.n_tokens or 0) == len(w)
-        if w:
-            loss = [sum(m(a, b) for a, b in zip(["<"] + w, w)) / len(w) for m in models]
-            assert (r.target_loss, r.background_loss) == pytest.approx(tuple(loss)) and r.score == pytest.approx(loss[0] - loss[1])
-        else:
-            assert r.score is None
-    assert len(got) == len(rows)
-
-
-@pytest.mark.parametrize("table", [0, 3, 7, 1 << 16])
-def test_losses_count_every_word(spark, monkeypatch, table):
-    """Words without an id in the broadcast table are counted by their hashes, as all others."""
+@pytest.mark.parametrize("table, chunk", [(0, 1 << 20), (3, 60), (7, 300), (1 << 16, 1), (1 << 16, 1 << 22)])
+def test_losses_count_every_word(spark, monkeypatch, table, chunk):
+    """Words without an id in the broadcast table are counted by their hashes, as all others, and
+    however texts are cut into chunks."""
     monkeypatch.setattr(cross_entropy, "DENSE", 4)
     monkeypatch.setattr(cross_entropy, "TABLE", table)
+    monkeypatch.setattr(cross_entropy, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(cross_entropy, "BUCKET_ENTRIES", 100)
     rng = random.Random(6)
     texts = [" ".join(rng.choices([f"w{i}" for i in range(40)], weights=[1 / (i + 1) for i in range(40)], k=rng.randint(1, 15))) for _ in range(80)]
-    rows = [*enumerate(texts), (3, texts[3]), (4, "other words W1"), (100, None), (None, "w0 rare")]
+    rows = [*enumerate(texts), (3, texts[3]), (4, "other words W1"), (100, None), (None, "w0 rare"), (101, " \n "), (102, "w1 " * 3000 + "last"), (None, None)]
     target = texts[:25] + ["never seen w0 w1 never seen"]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = cross_entropy.score(docs, spark.createDataFrame([(t,) for t in target], "text string")).collect()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("chunk", "n", "ids")}).repartition(4)
+    got = cross_entropy.score(docs, spark.createDataFrame([(t,) for t in target], "text string"), Kept(spark)).collect()
     different = len({w for _, t in rows for w in (t or "").lower().split()}) + 2
 
     def model(corpus):
@@ -297,6 +341,15 @@ def test_losses_count_every_word(spark, monkeypatch, table):
         assert a[:2] == b[:2] and (a[2:] == b[2:] or a[2:] == pytest.approx(b[2:]))
 
 
+def test_losses_of_nothing_and_under_no_target(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string")
+    none = docs.select("text").limit(0)
+    assert cross_entropy.score(docs.limit(0), none, Kept(spark)).count() == 0
+    got = {r.doc_id: r for r in cross_entropy.score(docs, none, Kept(spark)).collect()}
+    # two words, the place before a text, and the unknown word share the unigram probability
+    assert got[1].target_loss == pytest.approx(math.log(4)) and (got[2].n_tokens, got[2].score) == (0, None)
+
+
 def graded_texts(seed, n):
     rng = random.Random(seed)
     out = []
@@ -316,50 +369,83 @@ def test_held_out_grades(spark):
     model = ordinal.train(docs, ratings)
     assert model.thresholds[0] < model.thresholds[1]
     table = spark.createDataFrame([(i, t, 1) for i, t, _ in fresh], "doc_id long, text string, kept int")
-    got = {r.doc_id: r for r in ordinal.grade(table, model, threshold=0.5).collect()}
+    got = {r.doc_id: r for r in ordinal.grade(table, model).collect()}
     assert sum(got[i].kept == (g == 2) for i, _, g in fresh) / len(fresh) > 0.95
     means = [np.mean([got[i].expected_grade for i, _, g in fresh if g == k]) for k in range(3)]
     assert means[0] < means[1] < means[2]
     again = ordinal.train(docs.repartition(7), ratings.repartition(3))
     assert np.array_equal(again.weights, model.weights)
+    # without evidence against them, short and unfamiliar texts stay
+    strange = [(i, t) for i, t in enumerate(["hello", "n1", "n2 n3", "Всё новое слово", "unseen words in a short text", "日本語"] + [f"q{i} z{i}" for i in range(20)])]
+    kept = ordinal.grade(spark.createDataFrame(strange, "doc_id long, text string"), model)
+    assert kept.filter("kept").count() == len(strange)
 
 
-def test_fit_covers_the_stated_sample_in_parts(monkeypatch):
-    """The sample holds 16,384 ratings, and screening it in parts gives the model of one part."""
+def test_one_text_of_a_rated_id_is_fitted(spark):
+    """16,384 ratings at most, one row for each id, and repeated rows change nothing."""
     assert ordinal.SAMPLE_ROWS == 16384
+    known = graded_texts(3, 120)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in known], "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, g) for i, _, g in known], "doc_id long, grade int")
+    model = ordinal.train(docs, ratings)
+    more = docs.unionByName(docs).unionByName(docs.withColumn("text", F.lit("")))
+    again = ordinal.train(more, ratings.unionByName(ratings))
+    assert model.weights.any() and np.array_equal(again.weights, model.weights)
+    few = ordinal.train(docs, ratings, sample_rows=1)
+    assert not few.weights.any()
+
+
+def test_telling_features_are_those_of_plain_counts(spark):
     rng = np.random.default_rng(4)
-    lists = [np.unique(rng.integers(0, 60, rng.integers(0, 20))) for _ in range(300)]
-    grades = np.array([2 - min(2, int((x < 4).sum())) for x in lists])
-    number, first = np.concatenate(lists).astype(np.int32), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-    whole = ordinal.fit(number, first, grades, 3, rounds=20)
-    monkeypatch.setattr(ordinal, "FIT_ROWS", 7)
-    parts = ordinal.fit(number, first, grades, 3, rounds=20)
-    assert whole.weights.any() and np.allclose(whole.weights, parts.weights) and np.allclose(whole.thresholds, parts.thresholds)
-
-
-def test_gradient_of_the_ordinal_model():
-    """The fit lowers the loss to where small changes of any threshold or weight don't help."""
-    number, first = np.array([0, 1, 0, 1, 2, 2, 0]), np.array([0, 1, 3, 4, 5, 6, 7])
-    grades = np.array([0, 1, 1, 2, 2, 0])
-    m = ordinal.fit(number, first, grades, 3, least_docs=1, least_errors=-1, rounds=4000, ridge=0.05, rate=0.01)
-
-    def loss(weights, cuts):
-        upto = ordinal.Model(weights, cuts).at_most(ordinal.Model(weights, cuts).strengths(number, first))
-        upto = np.concatenate([np.zeros((6, 1)), upto, np.ones((6, 1))], axis=1)
-        p = upto[np.arange(6), grades + 1] - upto[np.arange(6), grades]
-        return -np.log(p).mean() + 0.025 * (weights**2).sum()
-
-    at = loss(m.weights, m.thresholds)
-    for k in range(3):
-        for step in (-0.05, 0.05):
-            w = m.weights.copy()
-            w[k] += step
-            assert loss(w, m.thresholds) > at - 1e-6
-    for k in range(2):
-        for step in (-0.05, 0.05):
-            c = m.thresholds.copy()
-            c[k] += step
-            assert loss(m.weights, c) > at - 1e-6
+    lists = [np.unique(rng.integers(0, 60, rng.integers(0, 20))).tolist() for _ in range(300)]
+    grades = [2 - min(2, sum(x < 4 for x in row)) for row in lists]
+    rows = spark.createDataFrame(list(zip(range(300), grades, lists)), "doc_id long, grade int, number array<int>").repartition(3)
+    want = []
+    for f in range(60):
+        here = [g for g, x in zip(grades, lists) if f in x]
+        for cut in (0, 1):
+            share = sum(g <= cut for g in grades) / 300
+            if len(here) >= 8 and abs(sum(g <= cut for g in here) - share * len(here)) > 4 * math.sqrt(share * (1 - share) * len(here)):
+                want.append(f)
+    assert want and ordinal.telling(rows, np.bincount(grades, minlength=3), 8, 4.0).tolist() == sorted(set(want))
+
+
+def ordinal_loss(weights, cuts, lists, grades, ridge):
+    """Mean negative log likelihood of the cumulative-link model, written out, and the ridge."""
+    total = 0.0
+    for features, grade in zip(lists, grades):
+        strength = sum(weights[f] for f in features)
+        upto = [0.0, *(1 / (1 + math.exp(strength - c)) for c in cuts), 1.0]
+        total -= math.log(upto[grade + 1] - upto[grade])
+    return total / len(grades) + ridge / 2 * sum(w * w for w in weights)
+
+
+def test_fit_is_the_likelihood_maximum_of_brute_force():
+    """Against a plain coordinate search over all weights and thresholds on small random data."""
+    rng = random.Random(11)
+    lists = [[f for f in range(4) if rng.random() < 0.5] for _ in range(60)]
+    grades = np.array([min(3, max(0, (0 in x) + 2 * (1 in x) - (2 in x) + rng.choice([0, 0, 1]))) for x in lists])
+    first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    model = ordinal.fit(np.array(sum(lists, [])), first, grades, 4, rounds=3000, ridge=0.02, rate=0.01)
+    point, step = [0.0] * 4 + [-1.0, 0.0, 1.0], 0.5
+
+    def loss(p):
+        return ordinal_loss(p[:4], p[4:], lists, grades, 0.02) if p[4] < p[5] < p[6] else math.inf
+
+    best = loss(point)
+    while step > 1e-5:
+        moved = False
+        for k in range(7):
+            for change in (-step, step):
+                trial = [*point]
+                trial[k] += change
+                if (now := loss(trial)) < best - 1e-12:
+                    point, best, moved = trial, now, True
+        step = step if moved else step / 2
+    assert np.allclose(model.weights[:4], point[:4], atol=2e-3) and np.allclose(model.thresholds, point[4:], atol=2e-3)
+    assert not model.weights[4:].any()
+    chances = np.diff(np.concatenate([[0], model.at_most(np.zeros(1))[0], [1]]))
+    assert chances.sum() == pytest.approx(1) and (chances > 0).all()
 
 
 def test_odd_texts_and_no_ratings(spark):

@@ -58,8 +58,8 @@ def test_leading_components_of_a_wide_spectrum(spark):
 def test_odd_vectors(spark):
     rng = np.random.default_rng(2)
     rows = [(i, v.tolist()) for i, v in enumerate(spectrum(rng, 60, 5, np.array([4, 3, 2, 1.5, 1])))]
-    rows += [(70, None), (71, []), (72, [1.0, None, 0, 0, 0]), (73, [float("nan")] * 5), (74, [float("inf"), 0, 0, 0, 0]), (75, [1.0, 2.0]),
-             (76, [0.0, -0.0, 0, 0, 0]), (76, [0.0, 0.0, 0, 0, 0]), (77, [1e300, 0, 0, 0, 0])]
+    rows += [(70, None), (71, []), (72, [1.0, None, 0.0, 0.0, 0.0]), (73, [float("nan")] * 5), (74, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (75, [1.0, 2.0]),
+             (76, [0.0, -0.0, 0.0, 0.0, 0.0]), (76, [0.0, 0.0, 0.0, 0.0, 0.0]), (77, [1e300, 0.0, 0.0, 0.0, 0.0])]
     got = whitening.whiten(spark.createDataFrame(rows, SCHEMA), Kept(spark)).collect()
     assert {r.vec_id for r in got} == {*range(60), 76}
     assert sum(r.vec_id == 76 for r in got) == 8
