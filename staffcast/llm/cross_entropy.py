@@ -12,7 +12,7 @@ so its unigram count; a context that is such has an entry of its own, whose buck
 Bigrams of two of the most frequent words are counted in dense tables of a fixed size, summed
 and broadcast, and scored where the text is.
 
-Documents are first written in chunks of some megabytes. A chunk asks each bucket, in one
+Documents are first written in chunks of about a megabyte. A chunk asks each bucket, in one
 packed row, for the counts of its different bigrams, adding its own numbers of them, and gets
 one packed row back. So what repeats in a chunk travels once, a bigram that very many
 documents have loads its bucket with one entry a chunk, and nothing travels by document: the
@@ -40,7 +40,7 @@ TABLE = 1 << 16  # words with ids; bounds what is broadcast, not which words are
 DENSE = 512  # ids whose bigrams are counted in dense tables
 PRIOR = 50.0
 BUCKET_ENTRIES = 1 << 20
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20  # of text; packed it is no huge object for the JVM's heap
 _UNKNOWN, _BEGIN, _WORDS = 0, 1, 2
 _U = np.uint64
 _HASHED = _U(1 << 63)  # marks codes that are hashes of words without an id
