@@ -46,7 +46,7 @@ POINTING = 32  # vertices that point to one, met in a round
 CODES = 6
 BLOCK = 384
 BEAM, EXPAND = 160, 32  # vertices that a query keeps, and expands in a round
-GROUP_QUERIES, BUCKET_VERTICES = 256, 2000
+GROUP_QUERIES, BUCKET_VERTICES, LEAST_BUCKETS = 256, 2000, 8
 _SAME = 0.02  # rounds end when a smaller part of all list entries is new
 
 
@@ -381,7 +381,9 @@ def search(table: DataFrame, queries: DataFrame, k: int, keep) -> DataFrame:
     back = back.withColumn("place", F.row_number().over(_window(99))).filter(F.col("place") <= POINTING).drop("place")
     ways = entries.select(F.col("id").alias("centre"), F.col("other").alias("member")).union(back)
     graph = keep(_buckets(ways, n_buckets, "centre").groupBy("bucket").applyInArrow(_adjacent, "id long, others binary"), "graph")
-    placed = keep(_placed(vertices.select("id", "vector"), "id", n_buckets, "bucket"), "placed")
+    # packets go from every task to every bucket, so these follow the vertices, not the partitions
+    n_places = max(LEAST_BUCKETS, -(-n // BUCKET_VERTICES))
+    placed = keep(_placed(vertices.select("id", "vector"), "id", n_places, "bucket"), "placed")
 
     # entry points: the query's own vertex, if it is one, and some fixed vertices
     fixed = points.select("id").orderBy(F.xxhash64("id")).limit(EXPAND)
@@ -393,7 +395,7 @@ def search(table: DataFrame, queries: DataFrame, k: int, keep) -> DataFrame:
     ask = _listed(ask)
     state = state.select("group", "query", "vector", none.alias("others"), none.alias("scores"), none.alias("done"), none.alias("next"))
     while True:
-        sent = ask.mapInArrow(_send(n_buckets), _SENT)
+        sent = ask.mapInArrow(_send(n_places), _SENT)
         scored = sent.groupBy("bucket").cogroup(placed.groupBy("bucket")).applyInArrow(
             _score(n_groups), "group long, queries binary, others binary, scores binary")
         state = keep(state.groupBy("group").cogroup(scored.groupBy("group")).applyInArrow(_advance(max(BEAM, 2 * k), EXPAND), _BEAMS), "beam")
