@@ -370,7 +370,10 @@ def test_held_out_grades(spark):
     assert model.thresholds[0] < model.thresholds[1]
     table = spark.createDataFrame([(i, t, 1) for i, t, _ in fresh], "doc_id long, text string, kept int")
     got = {r.doc_id: r for r in ordinal.grade(table, model).collect()}
-    assert sum(got[i].kept == (g == 2) for i, _, g in fresh) / len(fresh) > 0.95
+    assert sum((got[i].tail_probability >= 0.5) == (g == 2) for i, _, g in fresh) / len(fresh) > 0.95
+    # the production rule: hardly any good text goes, hardly any bad one stays
+    share = [np.mean([got[i].kept for i, _, g in fresh if g == k]) for k in range(3)]
+    assert share[0] < 0.1 and share[2] > 0.97
     means = [np.mean([got[i].expected_grade for i, _, g in fresh if g == k]) for k in range(3)]
     assert means[0] < means[1] < means[2]
     again = ordinal.train(docs.repartition(7), ratings.repartition(3))

@@ -75,11 +75,11 @@ def test_queries_are_registered(spark):
     from staffcast.llm.oracle import all_statements
 
     names = set(contract.queries())
-    assert {q.split("_")[0] for q in queries.all_queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.all_queries()} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.all_queries()) | {"pipeline"} <= names and set(all_statements()) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["op2_warc", "op6_mixing", "op9_substrings"])
+@pytest.mark.parametrize("name", ["op2_warc", "op6_mixing", "op9_substrings", "op11_chat", "op13_prefix_trie"])
 def test_same_rows_as_sql(spark, name):
     import os
 
@@ -92,7 +92,7 @@ def test_same_rows_as_sql(spark, name):
         pytest.skip("generated tables not present")
     got = queries.all_queries()[name](spark, tables)
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tables}/{table}.parquet'")
     result = con.execute(all_statements()[name])
     columns = [c[0] for c in result.description]
