@@ -640,10 +640,11 @@ def board_keys(b: Bindings) -> DataFrame:
 
 
 def plan_inputs(b: Bindings) -> PlanInputs:
+    sums = Stages(b.spark).keep("plan_sums", b.plan_sums())
     return PlanInputs(
-        incoming=b.incoming(), department_map=b.department_map(), deflection=b.deflection(),
+        incoming=b.incoming(), department_map=b.department_map(), deflection=b.deflection(sums),
         calls=b.calls_counted(), repeats=b.repeats(), backlog_daily=b.backlog_daily(),
-        backlog_open=b.backlog_open(), capacity_history=b.capacity_history("productive"),
+        backlog_open=b.backlog_open(), capacity_history=b.capacity_history("productive", sums),
         agent_days=b.agent_days(),
         manual_labels=b.manual_labels(), previous_report=b.previous_report(), model_errors=b.model_errors(),
     )

@@ -19,26 +19,28 @@ IDLE_TARGET = 1
 def agent_days_by_day(rows: DataFrame) -> DataFrame:
     """Per department and day: productive agents, their mean target, production of everybody.
 
-    One conditional aggregate over one scan. With an ``agent_id`` column the
-    count is distinct; Spark aggregates by (department, day, agent) first, so a
-    large department is spread over all tasks. Days without a productive agent
-    keep null counts. Sums and means are exact, so equal inputs give equal results
-    however the rows are dealt.
+    With an ``agent_id`` column the count is distinct: the different agents of a day, rows of
+    bare keys, are dealt by (department, day, agent), so a large department is spread over all
+    tasks, while the measures are summed where they are read. The rows are scanned once for
+    each; no sum travels by agent. Days without a productive agent keep null counts. Sums and
+    means are exact, so equal inputs give equal results however the rows are dealt.
     """
-    productive = F.col("item_target_day") > IDLE_TARGET
+    keys, productive = ["department_id", "date"], F.col("item_target_day") > IDLE_TARGET
+    rows = rows.where(F.col("department_id").isNotNull() & F.col("date").isNotNull())
+    measured = rows.select(
+        *keys, F.when(productive, F.lit(1)).alias("productive"),
+        F.when(productive, exact(F.col("item_target_day"))).alias("target"), exact(F.col("prod_total_model")).alias("produced"),
+    )
     if "agent_id" in rows.columns:
-        agents = F.countDistinct(F.when(productive, F.col("agent_id")))
+        agents = rows.where(productive & F.col("agent_id").isNotNull()).select(*keys, "agent_id").distinct()
+        measured = measured.unionByName(agents.select(*keys, F.lit(1).alias("agent")), allowMissingColumns=True)
     else:
-        agents = F.count(F.when(productive, F.lit(1)))
-    daily = (
-        rows.where(F.col("department_id").isNotNull() & F.col("date").isNotNull())
-        .groupBy("department_id", "date")
-        .agg(
-            agents.alias("agents"),
-            F.count(F.when(productive, F.lit(1))).alias("productive_rows"),
-            F.avg(F.when(productive, exact(F.col("item_target_day")))).cast("double").alias("target_mean_day"),
-            F.coalesce(F.sum(exact(F.col("prod_total_model"))).cast("double"), F.lit(0.0)).alias("prod_sum_day"),
-        )
+        measured = measured.withColumn("agent", F.col("productive"))
+    daily = measured.groupBy(*keys).agg(
+        F.count("agent").alias("agents"),
+        F.count("productive").alias("productive_rows"),
+        F.avg("target").cast("double").alias("target_mean_day"),
+        F.coalesce(F.sum("produced").cast("double"), F.lit(0.0)).alias("prod_sum_day"),
     )
     return daily.select(
         "department_id", "date",

@@ -6,6 +6,8 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from staffcast.catalog.bindings import Bindings
+from staffcast.catalog.queries import plan_inputs
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="generated tables not present")
@@ -70,3 +72,18 @@ def test_facts_used_twice_are_kept_first(spark, name):
     plan = plan_of(spark, name)
     assert len(re.findall(r"FileScan parquet.*lineitem\.parquet", plan)) <= 1
     assert len(re.findall(r"FileScan parquet.*orders\.parquet", plan)) <= 1
+
+
+def test_no_sums_travel_by_agent(spark):
+    below = plan_of(spark, "agent_days_by_day").split("Exchange hashpartitioning(department_id")[-1]
+    assert "agent_id" in below and "lineitem" in below
+    assert "partial_sum" not in below and "partial_avg" not in below
+
+
+def test_a_plan_sums_the_lines_once_for_two_inputs(spark):
+    bound = Bindings(spark, FOLDER)
+    given, fresh = plan_inputs(bound), (bound.deflection(), bound.capacity_history("productive"))
+    for kept, made in zip((given.deflection, given.capacity_history), fresh, strict=True):
+        assert "lineitem" not in kept._jdf.queryExecution().executedPlan().toString()
+        values = [sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in x.collect()) for x in (kept, made)]
+        assert kept.columns == made.columns and values[0] == values[1]
