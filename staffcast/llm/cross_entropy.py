@@ -8,15 +8,17 @@ the lower, the more it is like the target.
 Counts cover all documents. The most frequent words have ids, and their unigram counts are
 broadcast; all other words go by their 63-bit hashes and nothing about them is broadcast. A
 bigram whose word is such travels to the word's bucket, which has all of its occurrences and
-so its unigram count; a context that is such has an entry of its own, whose bucket counts it.
+so its unigram count; one whose context alone is such travels to the context's bucket, as does
+an entry of its own that counts the context. So a packet names a hash once for all its bigrams.
 Bigrams of two of the most frequent words are counted in dense tables of a fixed size, summed
 and broadcast, and scored where the text is.
 
 Documents are first written in chunks of about a megabyte. A chunk asks each bucket, in one
-packed row, for the counts of its different bigrams, adding its own numbers of them, and gets
-one packed row back. So what repeats in a chunk travels once, a bigram that very many
-documents have loads its bucket with one entry a chunk, and nothing travels by document: the
-chunk's texts are read again and scored with the counts beside them.
+packed row, for the counts of its different bigrams, adding its own numbers of them in the
+background and in those of its rows that are the target, and gets one packed row back. So what
+repeats in a chunk travels once, a bigram that very many documents have loads its bucket with
+one entry a chunk, and no text travels by document: which rows are the target is found from
+ids and places alone, and the chunk's texts are read again and scored with the counts beside them.
 
 Defined results: a null text or one without words has no tokens and null losses and score;
 every row has a result of its own, whatever its id, and equal texts score alike; with an empty
@@ -45,6 +47,7 @@ _UNKNOWN, _BEGIN, _WORDS = 0, 1, 2
 _U = np.uint64
 _HASHED = _U(1 << 63)  # marks codes that are hashes of words without an id
 _CONTEXT = _U(_UNKNOWN)  # in place of the word of a bigram with a hashed context: all its occurrences
+_AFTER = _U(1 << 40)  # marks the id of a word that is listed by its hashed context
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,28 +114,31 @@ def _ids(codes: np.ndarray) -> np.ndarray:
     return np.where(codes < _HASHED, codes, _U(_UNKNOWN)).astype(np.int64)
 
 
-def _dense_counts(texts: DataFrame, known) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of all ids as contexts and words, and of bigrams of the DENSE first ids. Hashed
-    words are counted together, at 0."""
+def _dense_counts(parts: DataFrame, known) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For target and background, counts of all ids as contexts and words, and of bigrams of the
+    DENSE first ids. Hashed words are counted together, at 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Ids(known.value)
-        total = np.zeros(2 * ids.size + DENSE * DENSE, dtype=np.int64)
+        total = np.zeros((2, 2 * ids.size + DENSE * DENSE), dtype=np.int64)
         for batch in batches:
-            for _, part in chunks(batch.column(0)):
-                before, word, _ = ids.bigrams(cut(part))
-                total[: ids.size] += np.bincount(_ids(before), minlength=ids.size)
-                total[ids.size : 2 * ids.size] += np.bincount(_ids(word), minlength=ids.size)
-                both = (before < DENSE) & (word < DENSE)
-                total[2 * ids.size :] += np.bincount(_ids(before[both]) * DENSE + _ids(word[both]), minlength=DENSE * DENSE)
+            for _, words, shares in _shares(batch):
+                every_before, every_word, row = ids.bigrams(words)
+                for sums, share in zip(total, shares, strict=True):
+                    if share.any():
+                        before, word = every_before[share[row]], every_word[share[row]]
+                        sums[: ids.size] += np.bincount(_ids(before), minlength=ids.size)
+                        sums[ids.size : 2 * ids.size] += np.bincount(_ids(word), minlength=ids.size)
+                        both = (before < DENSE) & (word < DENSE)
+                        sums[2 * ids.size :] += np.bincount(_ids(before[both]) * DENSE + _ids(word[both]), minlength=DENSE * DENSE)
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"place": used, "n": total[used]})
+        yield pa.RecordBatch.from_pydict({"place": used, "n": total.ravel()[used]})
 
     size = _WORDS + len(known.value)
-    rows = texts.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
-    total = np.zeros(2 * size + DENSE * DENSE, dtype=np.int64)
-    total[rows["place"].to_numpy()] = rows["n"].to_numpy()
-    return total[: 2 * size].reshape(2, size), total[2 * size :].reshape(DENSE, DENSE)
+    rows = parts.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros((2, 2 * size + DENSE * DENSE), dtype=np.int64)
+    total.ravel()[rows["place"].to_numpy()] = rows["n"].to_numpy()
+    return [(sums[: 2 * size].reshape(2, size), sums[2 * size :].reshape(DENSE, DENSE)) for sums in total]
 
 
 class Model:
@@ -157,10 +163,21 @@ class Model:
         return np.where(of_context, np.log(count + self.prior), under - np.log(count + self.prior * chance))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit integers as their first bytes, then their second ones and so on: alike bytes compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _of_planes(raw: bytes, n: int, at: int, kind: str) -> np.ndarray:
+    """n integers of `_planes`, behind `at` others."""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, 8 * at).reshape(8, n).T).view(kind).ravel()
+
+
 class Asked:
-    """The different bigrams of some texts that are not in the dense tables of `dense` ids, in the
-    order of buckets, words and contexts, and what texts they are in. A hashed context has an
-    entry of its own, once for each time that it is one."""
+    """The different bigrams of some texts that are not in the dense tables of `dense` ids, and
+    what texts they are in. Each is listed by its word or, where its context alone is hashed, by
+    that: the head; they are in the order of buckets, heads and what is beside the head. A hashed
+    context has an entry of its own, once for each time that it is one."""
 
     def __init__(self, before: np.ndarray, word: np.ndarray, row: np.ndarray, dense: int, n_buckets: int):
         rest = (before >= dense) | (word >= dense)
@@ -169,24 +186,39 @@ class Asked:
         before = np.concatenate([before, before[hashed]])
         word = np.concatenate([word, np.full(int(hashed.sum()), _CONTEXT)])
         row = np.concatenate([row, row[hashed]])
-        # a hashed word's bigrams meet in its bucket, those of an id are spread by context too
-        key = np.where(word < _HASHED, mix(before ^ word * _U(0x9E3779B97F4A7C15)), mix(word))
+        by_context = (before >= _HASHED) & (word < _HASHED)
+        head, beside = np.where(by_context, before, word), np.where(by_context, word | _AFTER, before)
+        # all of a hashed head meets in its bucket, bigrams of two ids are spread by context too
+        key = mix(np.where(head < _HASHED, before ^ word * _U(0x9E3779B97F4A7C15), head))
         bucket = ((key >> _U(20)) % _U(n_buckets)).astype(np.int64)
-        order = np.lexsort((before, word, bucket))
-        before, word, bucket = before[order], word[order], bucket[order]
+        order = np.lexsort((beside, head, bucket))
+        head, beside, bucket = head[order], beside[order], bucket[order]
         new = np.ones(len(order), dtype=bool)
-        new[1:] = (before[1:] != before[:-1]) | (word[1:] != word[:-1])
+        new[1:] = (head[1:] != head[:-1]) | (beside[1:] != beside[:-1])
         begin = np.flatnonzero(new)
         self.row, self.entry = row[order], np.cumsum(new) - 1
-        self.before, self.word, self.bucket = before[begin], word[begin], bucket[begin]
-        self.count = np.diff(np.append(begin, len(order)))
+        self.before, self.word = before[order][begin], word[order][begin]
+        self.head, self.beside, self.bucket = head[begin], beside[begin], bucket[begin]
 
-    def packets(self, packer: zstandard.ZstdCompressor) -> Iterator[tuple[int, bytes, int]]:
-        """Bucket, packed entries and their number."""
+    def packets(self, packer: zstandard.ZstdCompressor, shares: tuple[np.ndarray, ...]) -> Iterator[tuple[int, bytes, int]]:
+        """Bucket, packed entries and their number; counts are of the rows of each share."""
+        counts = [np.bincount(self.entry[share[self.row]], minlength=len(self.head)) for share in shares]
         bounds = np.flatnonzero(np.append(np.append(True, self.bucket[1:] != self.bucket[:-1]), True)) if len(self.bucket) else []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            parts = (np.diff(self.word[a:b], prepend=_U(0)), self.before[a:b], self.count[a:b].astype(np.int64))
-            yield int(self.bucket[a]), packer.compress(b"".join(x.tobytes() for x in parts)), int(b - a)
+            head = self.head[a:b]
+            first = np.flatnonzero(np.append(True, head[1:] != head[:-1]))
+            parts = (
+                np.array([len(first)]), np.diff(head[first], prepend=_U(0)), np.diff(np.append(first, b - a)), self.beside[a:b],
+                *(n[a:b].astype(np.int64) for n in counts))
+            yield int(self.bucket[a]), packer.compress(b"".join(map(_planes, parts))), int(b - a)
+
+
+def _entries(raw: bytes, n: int) -> tuple[np.ndarray, ...]:
+    """Heads, what is beside them, and the two counts of the entries of a packet."""
+    heads = int(_of_planes(raw, 1, 0, "<i8")[0])
+    head = np.repeat(np.cumsum(_of_planes(raw, heads, 1, "<u8"), dtype=_U), _of_planes(raw, heads, 1 + heads, "<i8"))
+    at = 1 + 2 * heads
+    return head, _of_planes(raw, n, at, "<u8"), _of_planes(raw, n, at + n, "<i8"), _of_planes(raw, n, at + 2 * n, "<i8")
 
 
 def _rows(columns: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
@@ -223,71 +255,84 @@ def _words_of(lengths: bytes, packed: bytes) -> Words:
     return cut_bytes(np.frombuffer(raw, np.uint8), offsets)
 
 
+def _shares(batch: pa.RecordBatch) -> Iterator[tuple[int, Words, tuple[np.ndarray, np.ndarray]]]:
+    """Each chunk with its words and which of its rows are the target's and the background's."""
+    for i in range(batch.num_rows):
+        chunk, lengths, packed, chosen = (c[i].as_py() for c in batch.columns)
+        words = _words_of(lengths, packed)
+        background = np.full(len(words.first) - 1, chunk != _TARGET)
+        target = ~background
+        target[chosen or []] = True
+        yield chunk, words, (target, background)
+
+
 _SENT = {"bucket": pa.int64(), "chunk": pa.int64(), "packed": pa.binary(), "n": pa.int64()}
 _COUNTED = {"chunk": pa.int64(), "bucket": pa.int64(), "packed": pa.binary(), "n": pa.int64()}
-_TARGET = -1  # in place of a chunk: entries that are counted for the target and get no answer
+_TARGET = -1  # in place of a chunk: texts that are the target's alone and get no answer
 
 
 def _settle(part: pa.Table) -> pa.Table:
     """Adds up the entries of a bucket; for each packet of a chunk the target's and background's
     counts of its bigrams and, for hashed words, of the words."""
-    unpacker, packer, cols = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), [[], [], []]
+    unpacker, packer, cols = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), []
     size, chunk = part.column("n").to_numpy(), part.column("chunk").to_numpy()
-    for packed, n in zip(part.column("packed").to_pylist(), size.tolist(), strict=True):
-        raw = unpacker.decompress(packed, max_output_size=24 * n)
-        cols[0].append(np.cumsum(np.frombuffer(raw, "<u8", n), dtype=_U))
-        cols[1].append(np.frombuffer(raw, "<u8", n, 8 * n)), cols[2].append(np.frombuffer(raw, "<i8", n, 16 * n))
-    word, before, count = map(np.concatenate, cols)
+    for packed, n in zip(part.column("packed"), size.tolist(), strict=True):
+        cols.append(_entries(unpacker.decompress(packed.as_py()), n))
+    head, beside, *added = (np.concatenate(c) for c in zip(*cols, strict=True))
     cols.clear()
-    order = np.lexsort((before, word))
-    word, before = word[order], before[order]
+    order = np.lexsort((beside, head))
+    head, beside = head[order], beside[order]
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (word[1:] != word[:-1]) | (before[1:] != before[:-1])
+    new[1:] = (head[1:] != head[:-1]) | (beside[1:] != beside[:-1])
     begin = np.flatnonzero(new)
     entry = np.empty(len(order), dtype=np.int64)
     entry[order] = np.cumsum(new) - 1
-    word = word[begin]
-    first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-    of_word = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
-    of_target, counts = np.repeat(chunk == _TARGET, size), []
-    for here in (of_target, ~of_target):
-        n = np.bincount(entry[here], count[here], minlength=len(word)).astype(np.int64)
-        counts += [n, np.where(word >= _HASHED, np.add.reduceat(n, first)[of_word], 0)]
+    head, beside = head[begin], beside[begin]
+    first = np.flatnonzero(np.append(True, head[1:] != head[:-1]))
+    of_head = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(head))))
+    is_word, counts = (head >= _HASHED) & ((beside < _AFTER) | (beside >= _HASHED)), []
+    for count in added:
+        n = np.bincount(entry, count, minlength=len(head)).astype(np.int64)
+        counts += [n, np.where(is_word, np.add.reduceat(np.where(is_word, n, 0), first)[of_head], 0)]
     bucket, out, at = part.column("bucket")[0].as_py(), [], 0
     for n, to in zip(size.tolist(), chunk.tolist(), strict=True):
         if to != _TARGET:
-            out.append((to, bucket, packer.compress(b"".join(c[entry[at : at + n]].tobytes() for c in counts)), n))
+            out.append((to, bucket, packer.compress(b"".join(_planes(c[entry[at : at + n]]) for c in counts)), n))
         at += n
     return pa.Table.from_batches([_rows(_COUNTED, out)])
 
 
 def score(background: DataFrame, target: DataFrame, keep, prior: float = PRIOR) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss (means per token) and score of all rows
-    (doc_id, text) of `background`. `target` (text) is scanned twice; pass a written table.
+    (doc_id, text) of `background`. `target` has texts (text) or, as its only column, the ids
+    (doc_id) of the rows of `background` that are the target.
     """
     context = background.sparkSession.sparkContext
     texts = background.select("doc_id", F.col("text").cast("string").alias("text"))
     words, different = _all_words(texts.select("text"), keep)
     known = context.broadcast(words)
-    models = context.broadcast([Model(*_dense_counts(x.select("text"), known), prior, _WORDS + different) for x in (target, background)])
+    cut_up = keep(_chunked(texts), "chunks")
+    parts = cut_up.select("chunk", "lengths", "packed")
+    if target.columns == ["doc_id"]:
+        # ids meet ids; a chunk then has a list of places, at most one for each of its rows
+        places = cut_up.select("chunk", F.posexplode("ids").alias("place", "doc_id")).join(target, "doc_id", "left_semi")
+        chosen = keep(places.groupBy("chunk").agg(F.collect_list("place").alias("chosen")), "chosen")
+        parts = parts.join(chosen, "chunk", "left").select(*parts.columns, "chosen")
+    else:
+        alone = target.select(F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        alone = keep(_chunked(alone), "target").select(F.lit(_TARGET).cast("long").alias("chunk"), "lengths", "packed")
+        parts = parts.unionByName(alone).withColumn("chosen", F.lit(None).cast("array<int>"))
+    models = context.broadcast([Model(*counted, prior, _WORDS + different) for counted in _dense_counts(parts, known)])
     # words, and once more those that are hashed contexts
     entries = int(models.value[1].context.sum() + models.value[1].context[_UNKNOWN])
     n_buckets, dense = max(1, -(-entries // BUCKET_ENTRIES)), DENSE
-    cut_up = keep(_chunked(texts), "chunks")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, packer = Ids(known.value), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for chunk, lengths, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                asked = Asked(*ids.bigrams(_words_of(lengths, packed)), dense, n_buckets)
-                yield _rows(_SENT, [(bucket, chunk, raw, n) for bucket, raw, n in asked.packets(packer)])
-
-    def ask_for_target(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, packer = Ids(known.value), zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for _, part in chunks(batch.column(0), CHUNK_BYTES):
-                asked = Asked(*ids.bigrams(cut(part)), dense, n_buckets)
-                yield _rows(_SENT, [(bucket, _TARGET, raw, n) for bucket, raw, n in asked.packets(packer)])
+            for chunk, words, shares in _shares(batch):
+                asked = Asked(*ids.bigrams(words), dense, n_buckets)
+                yield _rows(_SENT, [(bucket, chunk, raw, n) for bucket, raw, n in asked.packets(packer, shares)])
 
     schema = T.StructType([texts.schema["doc_id"], *T.StructType.fromDDL(
         "n_tokens long, target_loss double, background_loss double, score double").fields])
@@ -302,8 +347,8 @@ def score(background: DataFrame, target: DataFrame, keep, prior: float = PRIOR)
             answers = []
             for i in np.argsort(counted.column("bucket").to_numpy()):
                 n = counted.column("n")[int(i)].as_py()
-                raw = unpacker.decompress(counted.column("packed")[int(i)].as_py(), max_output_size=32 * n)
-                answers.append(np.frombuffer(raw, "<i8").reshape(4, n))
+                raw = unpacker.decompress(counted.column("packed")[int(i)].as_py())
+                answers.append(np.stack([_of_planes(raw, n, k * n, "<i8") for k in range(4)]))
             counts = np.concatenate(answers, axis=1) if answers else np.zeros((4, 0), np.int64)
             n, means = np.bincount(of, minlength=size), []
             for m, (count, single) in zip(models.value, (counts[:2], counts[2:]), strict=True):
@@ -315,8 +360,6 @@ def score(background: DataFrame, target: DataFrame, keep, prior: float = PRIOR)
             out.append(pa.Table.from_arrays([held.column("ids").combine_chunks()[row].values, *columns], names=schema.names))
         return pa.concat_tables(out)
 
-    kinds = "bucket long, chunk long, packed binary, n long"
-    sent = cut_up.select("chunk", "lengths", "packed").mapInArrow(ask, kinds).unionByName(
-        target.select(F.col("text").cast("string").alias("text")).mapInArrow(ask_for_target, kinds))
+    sent = parts.mapInArrow(ask, "bucket long, chunk long, packed binary, n long")
     counted = sent.groupBy("bucket").applyInArrow(_settle, "chunk long, bucket long, packed binary, n long")
     return cut_up.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(finish, schema)

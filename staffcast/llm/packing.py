@@ -36,14 +36,3 @@ def unpacked(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
             begin, texts, size = i + 1, [], 0
     if texts:
         yield begin, pa.array(texts, pa.binary()).cast(pa.string())
-
-
-def texts_of(rows: DataFrame) -> DataFrame:
-    """The texts of rows (text) that `packed` made."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, texts in unpacked(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([texts], names=["text"])
-
-    return rows.mapInArrow(unpack, "text string")

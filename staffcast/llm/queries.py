@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from staffcast.llm import (
     bpe, caps, chat, cross_entropy, metric_join, mixing, nn_descent, ordinal, prefix_trie, superkmers, token_files, warc, whitening,
 )
-from staffcast.llm.packing import packed, texts_of
 from staffcast.llm.stages import Kept, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +24,7 @@ def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """All documents scored by cross-entropy difference; the target is those rated good and not toxic."""
     docs = _read(spark, folder, "documents").select("doc_id", "text")
     good = _read(spark, folder, "labels").filter("quality = 1 AND toxic = 0").select("doc_id").distinct()
-    # texts meet the ratings compressed, by one plan at every size
-    keep = Kept(spark)
-    chosen = packed(docs).join(good.hint("merge"), "doc_id", "left_semi")
-    target = texts_of(keep(chosen.select("text"), "target"))
-    return cross_entropy.score(docs, target, keep)
+    return cross_entropy.score(docs, good, Kept(spark))
 
 
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:

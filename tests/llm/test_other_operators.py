@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from staffcast.llm import bpe, caps, components, cross_entropy, mixing, nn_descent, ordinal, stages, token_files, warc
@@ -350,6 +351,38 @@ def test_losses_of_nothing_and_under_no_target(spark):
     assert got[1].target_loss == pytest.approx(math.log(4)) and (got[2].n_tokens, got[2].score) == (0, None)
 
 
+@pytest.mark.parametrize("chunk", [1, 60, 1 << 20])
+def test_a_target_of_ids_is_that_of_its_texts(spark, monkeypatch, chunk):
+    monkeypatch.setattr(cross_entropy, "DENSE", 4)
+    monkeypatch.setattr(cross_entropy, "TABLE", 3)
+    monkeypatch.setattr(cross_entropy, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(cross_entropy, "BUCKET_ENTRIES", 20)
+    rows = [(i, f"w{i % 5} a b w{i % 7} rare{i} b") for i in range(40)] + [(3, "a again"), (3, "a again"), (50, None), (None, "a b"), (51, "")]
+    docs, good = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), [3, 5, 17, 50, 51, 99, None]
+    ids = spark.createDataFrame([(i,) for i in good], "doc_id int")
+    texts = spark.createDataFrame([(t,) for i, t in rows if i is not None and i in good], "text string")
+    key = lambda r: (str(r[0]), r[1], r[2] or 0)
+    by_id, by_text = (sorted(map(tuple, cross_entropy.score(docs, x, Kept(spark)).collect()), key=key) for x in (ids, texts))
+    assert len(by_id) == len(rows)
+    for a, b in zip(by_id, by_text, strict=True):
+        assert a[:2] == b[:2] and (a[2:] == b[2:] or a[2:] == pytest.approx(b[2:]))
+
+
+def test_a_packet_names_a_hashed_word_once():
+    rng = np.random.default_rng(3)
+    words = rng.integers(1 << 62, 1 << 63, 5000).astype(np.uint64) | cross_entropy._HASHED
+    ids = rng.integers(2, 60000, 5000).astype(np.uint64)
+    text = np.stack([ids, words], 1).ravel()  # each hashed word stands once after an id and once before another
+    before = np.append(np.uint64(1), text[:-1])
+    asked, everything = cross_entropy.Asked(before, text, np.zeros(len(text), np.int64), 4, 7), np.ones(1, bool)
+    packets = list(asked.packets(zstandard.ZstdCompressor(level=1), (~everything, everything)))
+    assert len(packets) == 7 and sum(n for _, _, n in packets) == 10000 + 4999
+    assert sum(len(raw) for _, raw, _ in packets) < 5000 * 8 + 10000 * 3.5
+    head, beside, target, background = cross_entropy._entries(zstandard.ZstdDecompressor().decompress(packets[0][1]), packets[0][2])
+    mine = asked.bucket == packets[0][0]
+    assert (head == asked.head[mine]).all() and (beside == asked.beside[mine]).all() and not target.any() and background.sum() == len(head)
+
+
 def graded_texts(seed, n):
     rng = random.Random(seed)
     out = []
