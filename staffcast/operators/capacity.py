@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from staffcast.functions.columns import find_column, month_start, strip_headers, to_day, to_id, to_number
-from staffcast.functions.scalar import exact, working_days
+from staffcast.functions.scalar import exact, exact_parts, exact_total, working_days
 from staffcast.operators.calendar import future_months
 from staffcast.operators.rates import latest_rows
 from staffcast.sources import schemas as S
@@ -27,20 +27,26 @@ def agent_days_by_day(rows: DataFrame) -> DataFrame:
     """
     keys, productive = ["department_id", "date"], F.col("item_target_day") > IDLE_TARGET
     rows = rows.where(F.col("department_id").isNotNull() & F.col("date").isNotNull())
+    target = exact_parts(F.when(productive, F.col("item_target_day")))
+    produced = exact_parts(F.col("prod_total_model"))
     measured = rows.select(
-        *keys, F.when(productive, F.lit(1)).alias("productive"),
-        F.when(productive, exact(F.col("item_target_day"))).alias("target"), exact(F.col("prod_total_model")).alias("produced"),
+        *keys, F.when(productive, F.lit(1)).alias("productive"), target[0].alias("target"), target[1].alias("target_rest"),
+        produced[0].alias("produced"), produced[1].alias("produced_rest"),
     )
     if "agent_id" in rows.columns:
         agents = rows.where(productive & F.col("agent_id").isNotNull()).select(*keys, "agent_id").distinct()
         measured = measured.unionByName(agents.select(*keys, F.lit(1).alias("agent")), allowMissingColumns=True)
     else:
         measured = measured.withColumn("agent", F.col("productive"))
+    targets = F.count("target") + F.count("target_rest")
+    target_sum = exact_total(F.sum("target"), F.sum("target_rest"))
+    # a mean of 13 places, as Spark takes it of these decimals; only sums beyond 28 digits divide as doubles
+    mean = (target_sum.try_cast("decimal(28,9)") / F.nullif(targets, F.lit(0)).cast("decimal(10,0)")).cast("decimal(32,13)")
     daily = measured.groupBy(*keys).agg(
         F.count("agent").alias("agents"),
         F.count("productive").alias("productive_rows"),
-        F.avg("target").cast("double").alias("target_mean_day"),
-        F.coalesce(F.sum("produced").cast("double"), F.lit(0.0)).alias("prod_sum_day"),
+        F.coalesce(mean.cast("double"), F.try_divide(target_sum.cast("double"), targets)).alias("target_mean_day"),
+        exact_total(F.sum("produced"), F.sum("produced_rest")).cast("double").alias("prod_sum_day"),
     )
     return daily.select(
         "department_id", "date",

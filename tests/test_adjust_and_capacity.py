@@ -1,4 +1,5 @@
 import datetime as dt
+import decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,18 @@ def test_agent_days(spark):
     assert rows(joined, "date", "agents_day", "target_mean_day", "prod_sum_day") == got
 
 
+def test_whole_and_other_measures_add_up_exactly(spark):
+    values = [0.1, 0.2, 3.0, 2.5, 7.0, 4e9, 1e18 + 256, -3.0, 1e30, 1 / 3]
+    raw = [("2024-01-01", 1, i, 2.0 + v % 1 if v != 7.0 else 5.0, v) for i, v in enumerate(values)]
+    got = capacity.agent_days_by_day(inputs.agent_days(spark.createDataFrame(raw, AGENT_SCHEMA.replace("item_target int", "item_target double")))).first()
+    places = decimal.Decimal("1e-9")
+    fit = lambda v: decimal.Decimal(repr(v)).quantize(places, decimal.ROUND_HALF_UP, decimal.Context(60))
+    total = lambda vs: sum((fit(v) for v in vs), decimal.Decimal(0))
+    with decimal.localcontext(decimal.Context(60)):
+        assert got.prod_sum_day == float(total(v for v in values if v < 1e19))
+        assert got.target_mean_day == float((total(r[3] for r in raw) / len(raw)).quantize(decimal.Decimal("1e-13"), decimal.ROUND_HALF_UP))
+
+
 def test_agent_days_without_agent_ids_count_rows(spark):
     raw = spark.createDataFrame(AGENT_ROWS, AGENT_SCHEMA).drop("worker_id")
     got = rows(capacity.agent_days_by_day(inputs.agent_days(raw)), "date", "agents_day")
