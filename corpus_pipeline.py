@@ -58,11 +58,13 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: the packed ids of each document, and whether they decode to its text."""
+    """Operator 5: the packed ids of each document, and whether they decode to its text.
+
+    One worker a task takes both steps; as two Python steps they would hold two, and workers live on.
+    """
     prepare(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
-    back = bpe.decode(coded, ranks, public_tokenizers.PATTERN)
+    back = bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return back.select("doc_id", "lang", "source", "n_tokens", "ids", same.alias("round_trip"))
 

@@ -11,6 +11,9 @@ Ids travel as packed little-endian unsigned 32-bit integers, the layout of flat
 Defined results: a null text is empty and gives no ids; empty packed ids decode to no bytes;
 null packed ids likewise; repeated rows are encoded alike; an empty table gives an empty
 result; all columns of the input are kept, and a column named as an output is replaced.
+
+Spark gives a task one Python worker for each Python step of its stage, and workers live on.
+`encode_and_decode` takes both steps in one worker, with one codec.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from staffcast.llm.words import chunks, span_hashes
 
 KNOWN_PIECES = 1 << 19  # pieces remembered by a worker; beyond that it starts afresh
+KNOWN_BYTES = 1 << 24  # of them all; few but long pieces fill a worker too
 MATRIX_CELLS = 1 << 21
 NO_RANK = np.int32(2**31 - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -155,12 +159,14 @@ class Codec:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.known_bytes = 0
         self.start = np.zeros(1, dtype=np.int64)
         self.token = np.zeros(0, dtype=np.uint32)
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces not seen before and append them to the flat store of known ones."""
         raw = [p.encode() for p in pieces]
+        self.known_bytes += sum(map(len, raw))
         whole = np.fromiter((self.ranks.get(p, -1) for p in raw), dtype=np.int64, count=len(raw))
         hard = np.flatnonzero(whole < 0)
         ids, lengths = self.merge([raw[i] for i in hard])
@@ -249,7 +255,7 @@ class Codec:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and where each text's ids start."""
         texts = [t or "" for t in texts]
-        if len(self.place) > KNOWN_PIECES:
+        if len(self.place) > KNOWN_PIECES or self.known_bytes > KNOWN_BYTES:
             self._forget()
         index, counts = self._cut(texts) if self.pattern.pattern == WORD_PATTERN else self._cut_by_regex(texts)
         ids, lengths = gather(self.token, self.start, index)
@@ -329,6 +335,35 @@ def _out_schema(df: DataFrame, **added: str):
     return df.select(*kept, *[F.lit(None).cast(kind).alias(name) for name, kind in added.items()]).schema
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], codec: Codec, text_col: str) -> Iterator[pa.RecordBatch]:
+    """The batches, in parts, with `ids` and `n_tokens` behind the columns kept."""
+    for batch in batches:
+        texts = batch.column(batch.schema.get_field_index(text_col))
+        for at, part in chunks(texts):
+            ids, bounds = codec.encode(part.to_pylist())
+            rows = batch.slice(at, len(part))
+            kept = [f.name for f in batch.schema if f.name not in ("ids", "n_tokens")]
+            packed = _binary(ids.astype("<u4").view(np.uint8), bounds * 4)
+            yield pa.RecordBatch.from_arrays(
+                [*(rows.column(name) for name in kept), packed, pa.array(np.diff(bounds))], names=[*kept, "ids", "n_tokens"])
+    codec._forget()  # workers live on; their known pieces need not
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], codec: Codec, ids_col: str) -> Iterator[pa.RecordBatch]:
+    """The batches, in parts, with `decoded` behind the columns kept."""
+    for batch in batches:
+        packed = batch.column(batch.schema.get_field_index(ids_col))
+        for at, part in chunks(packed):
+            bounds = np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + len(part) + 1].astype(np.int64)
+            body = part.buffers()[2]
+            ids = np.frombuffer(body, np.uint8)[bounds[0] : bounds[-1]].view("<u4") if body is not None and bounds[-1] > bounds[0] else np.zeros(0, np.uint32)
+            data, lengths = codec.decode(ids)
+            ends = np.concatenate([[0], np.cumsum(lengths)])[(bounds - bounds[0]) // 4]
+            rows = batch.slice(at, len(part))
+            kept = [f.name for f in batch.schema if f.name != "decoded"]
+            yield pa.RecordBatch.from_arrays([*(rows.column(name) for name in kept), _binary(data, ends)], names=[*kept, "decoded"])
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """Adds `ids`, the packed ids of the text, and `n_tokens`.
 
@@ -336,40 +371,29 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text")
     broadcast. The job has no shuffle.
     """
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = _out_schema(df, ids="binary", n_tokens="long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(ranks, pattern)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col))
-            for at, part in chunks(texts):
-                ids, bounds = codec.encode(part.to_pylist())
-                rows = batch.slice(at, len(part))
-                kept = [rows.column(i) for i, f in enumerate(batch.schema) if f.name not in ("ids", "n_tokens")]
-                packed = _binary(ids.astype("<u4").view(np.uint8), bounds * 4)
-                yield pa.RecordBatch.from_arrays([*kept, packed, pa.array(np.diff(bounds))], names=schema.names)
-        codec._forget()  # workers live on; their known pieces need not
+        return _encoded(batches, _codec(ranks, pattern), text_col)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, _out_schema(df, ids="binary", n_tokens="long"))
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """Adds `decoded`, the bytes that the packed ids stand for."""
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = _out_schema(df, decoded="binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoded(batches, _codec(ranks, pattern), ids_col)
+
+    return df.mapInArrow(run, _out_schema(df, decoded="binary"))
+
+
+def encode_and_decode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """Adds `ids` and `n_tokens` as `encode` does, then `decoded` from the packed ids as `decode` does."""
+    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, pattern)
-        for batch in batches:
-            packed = batch.column(batch.schema.get_field_index(ids_col))
-            for at, part in chunks(packed):
-                bounds = np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + len(part) + 1].astype(np.int64)
-                body = part.buffers()[2]
-                ids = np.frombuffer(body, np.uint8)[bounds[0] : bounds[-1]].view("<u4") if body is not None and bounds[-1] > bounds[0] else np.zeros(0, np.uint32)
-                data, lengths = codec.decode(ids)
-                ends = np.concatenate([[0], np.cumsum(lengths)])[(bounds - bounds[0]) // 4]
-                rows = batch.slice(at, len(part))
-                kept = [rows.column(i) for i, f in enumerate(batch.schema) if f.name != "decoded"]
-                yield pa.RecordBatch.from_arrays([*kept, _binary(data, ends)], names=schema.names)
-
-    return df.mapInArrow(run, schema)
+        return _decoded(_encoded(batches, codec, text_col), codec, "ids")
+
+    return df.mapInArrow(run, _out_schema(df, ids="binary", n_tokens="long", decoded="binary"))

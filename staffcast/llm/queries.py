@@ -58,8 +58,7 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded by the ranks of a public vocabulary, and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _read(spark, folder, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    decoded = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    decoded = bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

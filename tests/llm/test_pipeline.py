@@ -1,11 +1,13 @@
 """Stages of the pipeline on a small corpus, against plain versions of their decisions."""
 
+import hashlib
 import random
 
+import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from staffcast.llm import ordinal, queries
+from staffcast.llm import bpe, ordinal, queries
 from staffcast.llm.stages import Kept
 from test_dedup import components_by_hand, corpus, near_copies, removed_by_hand
 
@@ -70,6 +72,20 @@ def test_odd_rows_pass_all_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_one_worker_a_task_encodes_and_decodes(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
+    want = sorted((r.doc_id, r.n_tokens, bytes(r.ids)) for r in coded.collect())
+    pipe, query = corpus_pipeline.tokens(spark, docs, folder), queries.op5_bpe(spark, folder)
+    for table in (pipe, query):
+        assert table._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    rows = pipe.collect()
+    assert sorted((r.doc_id, r.n_tokens, bytes(r.ids)) for r in rows) == want and all(r.round_trip for r in rows)
+    found = sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in query.collect())
+    assert found == [(i, n, hashlib.sha256(ids).hexdigest()) for i, n, ids in want]
+
+
 def test_queries_are_registered(spark):
     import __spark_entry__ as contract
     from staffcast.llm.oracle import all_statements

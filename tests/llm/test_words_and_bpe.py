@@ -81,3 +81,22 @@ def test_a_worker_that_forgets_gives_the_same(monkeypatch):
     for text in ("one two three four five", "six one seven", "one"):
         assert codec.encode([text])[0].tolist() == REFERENCE.encode_ordinary(text)
     assert hashlib.sha256(b"").hexdigest() == hashlib.sha256(codec.encode([""])[0].tobytes()).hexdigest()
+
+
+def test_long_pieces_are_forgotten_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 1000, raising=False)
+    codec, held = bpe.Codec(LIST, public_tokenizers.PATTERN), []
+    for letter in "abcdefgh":
+        text = letter * 300 + "z" * 300
+        assert codec.encode([text])[0].tolist() == REFERENCE.encode_ordinary(text)
+        held.append(sum(map(len, codec.place)))
+    assert max(held) <= 1000 + 600 and held[-1] < sum(600 for _ in held)
+
+
+def test_both_steps_in_one_give_the_same(spark):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS * 2)], "doc_id long, text string, decoded string")
+    two = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN)
+    one = bpe.encode_and_decode(docs, RANKS, public_tokenizers.PATTERN)
+    assert one.columns == two.columns == ["doc_id", "text", "ids", "n_tokens", "decoded"]
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert bpe.encode_and_decode(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
